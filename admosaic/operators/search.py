@@ -313,7 +313,7 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
     """
     c = F.col
     asked = resolve_requests(requests, platform_defaults).withColumn(
-        "_key", F.explode(F.coalesce("r_countries", F.array(F.lit("*"))))
+        "_key", F.explode(F.array_distinct(F.coalesce("r_countries", F.array(F.lit("*")))))
     )
     keyed = ads.withColumn(
         "_key", F.explode(F.array_union(F.array(F.lit("*")), F.coalesce("countries", F.array().cast("array<string>"))))

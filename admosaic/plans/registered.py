@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import derived as D
-from . import normalization
+from . import analysis, jobs, logs, normalization, searching
 
-QUERIES = {**normalization.QUERIES}
-ORACLES = {**normalization.ORACLES}
+QUERIES = {**normalization.QUERIES, **searching.QUERIES, **analysis.QUERIES, **jobs.QUERIES, **logs.QUERIES}
+ORACLES = {**normalization.ORACLES, **searching.ORACLES, **analysis.ORACLES, **jobs.ORACLES, **logs.ORACLES}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Political ads normalised, searched and counted by country."""
+    return QUERIES["political_ads_by_country"](spark, sf_dir)

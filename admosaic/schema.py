@@ -69,7 +69,7 @@ def missing(field: T.StructField) -> Column:
 
 def empty_ads(spark: SparkSession) -> DataFrame:
     """A zero-row ad table."""
-    return spark.createDataFrame([], ADS)
+    return spark.range(0).select(*ads_columns({}))
 
 
 def ads_columns(values: dict[str, Column]) -> list[Column]:

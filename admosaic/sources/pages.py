@@ -88,24 +88,33 @@ def unwrap_pages(pages: DataFrame, platforms: list[str] | None = None) -> DataFr
     return _union([unwrap_source(pages, source.name) for source in _wanted(platforms)])
 
 
-def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
-    """Per page: number of items, reported total, position of the next page and error message."""
-    parts = []
-    for source in _wanted(platforms):
-        page = F.col("page")
-        items = source.items(page, F.col("operation"), F.col("body"))
-        parts.append(
-            _parsed(pages, source)
-            .select(*KEYS, "body", "page", F.coalesce(F.size(items), F.lit(0)).cast("bigint").alias("n"))
-            .select(
-                *KEYS,
-                F.greatest(F.col("n"), F.lit(0)).alias("items"),
-                F.coalesce(source.total(page), F.greatest(F.col("n"), F.lit(0))).alias("total_count"),
-                source.next_position(page).alias("next_position"),
-                source.error(page).alias("error"),
-            )
+def _summary(source: Source) -> Column:
+    """Counters of one page of a source; the page is bound to a lambda variable so that it is parsed once."""
+
+    def counted(page: Column) -> Column:
+        n = F.coalesce(F.size(source.items(page, F.col("operation"), F.col("body"))), F.lit(0)).cast("bigint")
+        return F.struct(
+            n.alias("items"),
+            F.coalesce(source.total(page), n).alias("total_count"),
+            source.next_position(page).alias("next_position"),
+            source.error(page).alias("error"),
         )
-    return _union(parts)
+
+    return F.element_at(F.transform(F.array(F.from_json("body", source.page)), counted), 1)
+
+
+def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
+    """Per page: number of items, reported total, position of the next page and error message.
+
+    One pass over the pages of all sources, whatever their order in storage.
+    """
+    sources = _wanted(platforms)
+    counters = None
+    for source in sources:
+        here = F.col("platform") == source.name
+        counters = F.when(here, _summary(source)) if counters is None else counters.when(here, _summary(source))
+    known = pages.filter(F.col("platform").isin(*[s.name for s in sources]))
+    return known.select(*KEYS, counters.alias("c")).select(*KEYS, "c.*")
 
 
 def page_errors(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:

@@ -107,3 +107,23 @@ def ads_with_limits(ads: DataFrame) -> DataFrame:
     return ads.join(F.broadcast(limits), "platform", "left").withColumns(
         {name: F.coalesce(F.col(name), F.lit(value).cast("bigint")) for name, value in DEFAULT_RATE_LIMITS.items()}
     )
+
+
+def field_coverage(items: DataFrame, platform: str) -> DataFrame:
+    """How many items of a source hold a value at each documented path, in one pass over the items."""
+    paths = [
+        (field, path) for field, listed in FIELD_PATHS.get(platform, {}).items() for path in listed
+    ]
+    if not paths:
+        raise ValueError(f"no documented paths for {platform}")
+    counts = [
+        F.count_if(F.get_json_object("item", "$." + path.replace("videos.url", "videos[*].url")).isNotNull()).alias(f"n{i}")
+        for i, (_, path) in enumerate(paths)
+    ]
+    rows = F.array(
+        *[
+            F.struct(F.lit(field).alias("field"), F.lit(path).alias("path"), F.col(f"n{i}").alias("items"))
+            for i, (field, path) in enumerate(paths)
+        ]
+    )
+    return items.agg(*counts).select(F.lit(platform).alias("platform"), F.inline(rows))
