@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .literals import lookup, strings
+
 # Region name -> ISO country code.
 REGION_TO_COUNTRY = {
     "United States": "US", "California": "US", "New York": "US", "Texas": "US", "Florida": "US",
@@ -31,10 +31,6 @@ EU_COUNTRIES = (
 )
 
 
-def _lookup(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
-
-
 def _upper(codes: Column) -> Column:
     return F.filter(F.transform(codes, lambda x: F.upper(F.trim(x))), lambda x: x != "")
 
@@ -51,29 +47,29 @@ def rejected_country_codes(codes: Column) -> Column:
 
 def regions_to_countries(regions: Column) -> Column:
     """Country codes of region names, names without a code kept, each once in order of appearance."""
-    table = _lookup(REGION_TO_COUNTRY)
+    table = lookup(REGION_TO_COUNTRY)
     return F.array_distinct(F.transform(regions, lambda x: F.coalesce(F.try_element_at(table, x), x)))
 
 
 def countries_to_numbers(codes: Column) -> Column:
     """Numeric codes of ISO codes, those without one left out."""
-    table = _lookup(COUNTRY_TO_NUMBER)
+    table = lookup(COUNTRY_TO_NUMBER)
     return F.array_compact(F.transform(clean_country_codes(codes), lambda x: F.try_element_at(table, x)))
 
 
 def countries_without_number(codes: Column) -> Column:
     """The ISO codes `countries_to_numbers` leaves out, each once."""
-    known = F.array(*[F.lit(code) for code in COUNTRY_TO_NUMBER])
+    known = strings(COUNTRY_TO_NUMBER)
     return F.array_except(clean_country_codes(codes), known)
 
 
 def number_to_country(number: Column) -> Column:
     """ISO code of a numeric code; an unknown number is kept as text."""
-    table = _lookup({v: k for k, v in COUNTRY_TO_NUMBER.items()})
+    table = lookup({v: k for k, v in COUNTRY_TO_NUMBER.items()})
     return F.coalesce(F.try_element_at(table, number.cast("int")), number.cast("string"))
 
 
 def first_supported(codes: Column, supported: list[str], fallback: str) -> Column:
     """First cleaned code that is in ``supported``, else ``fallback``."""
-    both = F.array_intersect(clean_country_codes(codes), F.array(*[F.lit(c) for c in supported]))
+    both = F.array_intersect(clean_country_codes(codes), strings(supported))
     return F.coalesce(F.try_element_at(both, F.lit(1)), F.lit(fallback))

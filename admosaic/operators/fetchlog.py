@@ -16,9 +16,12 @@ _PAGE = ["platform", "request_id", "page_no"]
 
 
 def distinct_pages(counters: DataFrame) -> DataFrame:
-    """One row per (platform, request, page) with the number of copies; values of the copy fetched last."""
+    """One row per (platform, request, page) with the number of copies; values of the copy fetched last.
+
+    Of copies fetched at the same moment the fullest counts, then the one with the later next position.
+    """
     values = ["items", "total_count", "next_position"]
-    newest = F.max_by(F.struct(*values), F.struct("fetched_at", F.xxhash64(*values)))
+    newest = F.max_by(F.struct(*values), F.struct("fetched_at", *values))
     return (
         counters.groupBy(*_PAGE)
         .agg(F.count("*").alias("copies"), newest.alias("v"))

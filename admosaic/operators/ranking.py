@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Largest n for which Spark limits each group before its window shuffle by itself.
-_GROUP_LIMIT = 999
+_GROUP_LIMIT = 1000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -55,7 +55,7 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group, ``n`` a column of at most ``most``.
 
-    Up to 999 rows Spark cuts each group before the shuffle. Beyond, groups are first cut within
+    Up to 1000 rows Spark cuts each group before the shuffle. Beyond, groups are first cut within
     ``salts`` parts by the hash of ``spread``, so the last window sees at most ``salts * most`` rows
     of a group.
     """

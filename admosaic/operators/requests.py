@@ -11,6 +11,7 @@ from ..functions.countries import (
     countries_to_numbers,
 )
 from ..functions.dates import date_preset, format_day, parse_day
+from ..functions.literals import strings
 from ..functions.text import clean_text
 from ..sources.registry import platform_names, supports
 from .normalize import META_FIELDS
@@ -74,7 +75,7 @@ def _native(platform_defaults: bool) -> dict[str, dict[str, dict[str, Column]]]:
     def first_country(default: str | None = None, allowed: list[str] | None = None) -> Column:
         codes = clean_country_codes(c("countries"))
         if allowed:
-            codes = F.array_intersect(codes, F.array(*[F.lit(x) for x in allowed]))
+            codes = F.array_intersect(codes, strings(allowed))
         found = F.try_element_at(codes, F.lit(1))
         return F.coalesce(found, F.lit(default)) if default and platform_defaults else found
 

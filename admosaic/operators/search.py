@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.countries import EU_COUNTRIES, clean_country_codes
 from ..functions.dates import date_preset, day_end, day_start, parse_day, preset_days
+from ..functions.literals import strings
 from ..sources.registry import platform_names
 from .normalize import select_fields
 from .ranking import top_per_group
@@ -90,7 +92,7 @@ def dates_match(first: Column, last: Column, start: Column, end: Column, mode: s
 
 def types_match(extra_json: Column, types: Column, platform: Column) -> Column:
     """Ad-type test; types the source does not know and ``ALL`` do not restrict."""
-    known = F.array(*[F.lit(t) for t in META_AD_TYPES])
+    known = strings(META_AD_TYPES)
     asked = F.when(platform == "meta", F.array_intersect(types, known)).otherwise(types)
     open_ = types.isNull() | (F.size(asked) == 0) | F.array_contains(asked, "ALL")
     return open_ | F.array_contains(asked, F.get_json_object(extra_json, "$.ad_type"))
@@ -100,7 +102,7 @@ def effective_countries(countries: Column, profile: Profile, platform_defaults:
     """The countries a source looks for: cleaned, cut to what it supports, NULL when unrestricted."""
     codes = clean_country_codes(countries)
     if profile.allowed:
-        allowed = F.array_intersect(codes, F.array(*[F.lit(c) for c in profile.allowed]))
+        allowed = F.array_intersect(codes, strings(profile.allowed))
         codes = F.when(F.size(allowed) > 0, allowed) if platform_defaults else F.when(
             F.size(allowed) > 0, allowed
         ).otherwise(codes)
@@ -108,7 +110,7 @@ def effective_countries(countries: Column, profile: Profile, platform_defaults:
         codes = F.slice(codes, 1, 1)
     codes = F.when(F.size(codes) > 0, codes)
     if platform_defaults and profile.default_countries:
-        codes = F.coalesce(codes, F.array(*[F.lit(c) for c in profile.default_countries]))
+        codes = F.coalesce(codes, strings(profile.default_countries))
     return codes
 
 
@@ -158,11 +160,11 @@ def find_ads(
     if media is not None and media.upper() != "ALL":
         out = out.filter(F.col("media_type") == media.lower())
     if countries or (platform_defaults and profile.default_countries):
-        given = F.array(*[F.lit(c) for c in countries or []]).cast("array<string>")
+        given = strings(countries or [])
         wanted = effective_countries(given, profile, platform_defaults)
         out = out.filter(wanted.isNull() | F.arrays_overlap("countries", wanted))
     if languages:
-        out = out.filter(F.arrays_overlap("languages", F.array(*[F.lit(x.lower()) for x in languages])))
+        out = out.filter(F.arrays_overlap("languages", strings(x.lower() for x in languages)))
     if advertisers:
         test = F.lit(False)
         for name in advertisers:
@@ -174,7 +176,7 @@ def find_ads(
     if q is not None and q.strip():
         out = out.filter(keyword_matches(F.col("ad_text"), F.lit(q.strip()), keyword_mode or profile.keyword))
     if types:
-        out = out.filter(types_match(F.col("extra_json"), F.array(*[F.lit(t) for t in types]), F.lit(platform)))
+        out = out.filter(types_match(F.col("extra_json"), strings(types), F.lit(platform)))
     return out
 
 
@@ -271,10 +273,14 @@ def _by_platform(platform: Column, value) -> Column:
 def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
     """Requests with the rules of their platform applied: what to look for, how, and how many rows."""
     platform = F.lower(F.trim("platform"))
+    rules: dict[tuple, list[str]] = {}
+    for name, p in PROFILES.items():
+        rules.setdefault((p.countries, p.allowed, p.default_countries if platform_defaults else ()), []).append(name)
     countries = None
-    for name, profile in PROFILES.items():
-        wanted = effective_countries(F.col("countries"), profile, platform_defaults)
-        countries = F.when(platform == name, wanted) if countries is None else countries.when(platform == name, wanted)
+    for names in rules.values():
+        here = platform.isin(*names)
+        wanted = effective_countries(F.col("countries"), PROFILES[names[0]], platform_defaults)
+        countries = F.when(here, wanted) if countries is None else countries.when(here, wanted)
     keyword = F.nullif(F.trim("keyword"), F.lit(""))
     cap = _by_platform(platform, lambda p: p.cap)
     return requests.select(
@@ -341,9 +347,8 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
         c("r_languages").isNull() | F.arrays_overlap("languages", "r_languages"),
         c("r_media").isNull() | (c("media_type") == c("r_media")),
     ]
-    for test in tests:
-        joined = joined.filter(test)
-    return joined.select("request_id", "r_limit", *ads.columns)
+    matched = joined.filter(reduce(lambda a, b: a & b, tests))
+    return matched.select("request_id", "r_limit", *ads.columns)
 
 
 def search_ads_batch(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:

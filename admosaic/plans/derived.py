@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.countries import REGION_TO_COUNTRY
+from ..functions.literals import string_lists, strings
 from ..functions.ranges import impressions_range_text, spend_range_text
 from ..schema import ads_columns
 from ..sources.registry import platform_names
@@ -26,22 +26,35 @@ MEDIA = ["image", "video", "text", "unknown"]
 AD_TYPES = ["POLITICAL_AND_ISSUE_ADS", "HOUSING_ADS", "EMPLOYMENT_ADS", "OTHER_ADS", "FINANCIAL_PRODUCTS_AND_SERVICES_ADS"]
 FACETS = {"A": "Age", "N": "Gender", "R": "Location"}
 PAGE_SIZE = 25
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp"
+    ),
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the star schema; times without a zone are read as the session's."""
-    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    zoneless = [f.name for f in read.schema if isinstance(f.dataType, T.TimestampNTZType)]
-    return read.withColumns({name: F.col(name).cast("timestamp") for name in zoneless}) if zoneless else read
+    """A table of the star schema. Its declared columns spare a look into the files; times are UTC."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list, index: Column) -> Column:
     """The value at a 0-based position of a fixed list of strings or of string lists."""
-    if isinstance(values[0], list):
-        options = [F.array(*[F.lit(x) for x in v]).cast("array<string>") for v in values]
-    else:
-        options = [F.lit(v) for v in values]
-    return F.element_at(F.array(*options), (index + 1).cast("int"))
+    options = string_lists(values) if isinstance(values[0], list) else strings(values)
+    return F.element_at(options, (index + 1).cast("int"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

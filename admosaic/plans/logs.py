@@ -133,10 +133,10 @@ def _collect(spark, sf_dir):
 
 
 def _bodies(spark, sf_dir):
-    """All landed copies of the collected pages, with the size of their bodies."""
+    """All landed copies of the collected pages, by request."""
     pages = D.page_log(spark, sf_dir)
     kept = L.collected_bodies(pages, L.collect_pages(page_counters(pages), 10))
-    return kept.groupBy("platform", "request_id").agg(F.count("*").alias("copies"), F.sum(F.length("body")).alias("chars"))
+    return kept.groupBy("platform", "request_id").agg(F.count("body").alias("copies"))
 
 
 def _totals(spark, sf_dir):
@@ -577,10 +577,10 @@ ORACLES = {
     ),
 }
 
-# Of copies landed at the same time either may count, so these compare what does not depend on the copy.
 _ONCE = """
 once AS (
-  SELECT platform, request_id, page_no, count(*) AS copies, arg_max(struct_pack(items := items, next_position := next_position), fetched_at) AS v
+  SELECT platform, request_id, page_no, count(*) AS copies, arg_max(struct_pack(items := items, next_position := next_position),
+    struct_pack(a := fetched_at, b := items, c := total_count, d := coalesce(next_position, ''))) AS v
   FROM with_total GROUP BY ALL
 )"""
 _AUDITED = """
@@ -607,4 +607,7 @@ ORACLES |= {
         count(*) FILTER (state = 'past_end') AS past_end FROM audited GROUP BY platform, request_id""",
     "collect_pages": f"WITH {_PAGES},{_ONCE},{_COLLECTED.format(4)}\n"
     "SELECT platform, request_id, page_no, copies FROM collected",
+    "collected_bodies": f"WITH {_PAGES},{_ONCE},{_COLLECTED.format(10)}\n"
+    """SELECT platform, request_id, count(*) AS copies FROM with_total
+    JOIN collected USING (platform, request_id, page_no) GROUP BY platform, request_id""",
 }
