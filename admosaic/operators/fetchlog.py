@@ -34,53 +34,40 @@ def page_audit(counters: DataFrame) -> DataFrame:
 
     ``state`` is ``followed`` or ``missing_next`` when the page names a next position, else ``last`` or
     ``past_end`` when a later page is there all the same; ``gap_before`` marks pages whose predecessor
-    did not land. A page tells its neighbours about itself, so a request is never gathered in one task.
+    did not land. A page tells its neighbours about itself, so a request is never gathered in one task;
+    only numbers are merged, which Spark does in a hash table.
     """
     pages = distinct_pages(counters)
 
-    def told(shift: int, before: bool, after: bool, own: bool) -> Column:
-        def mine(name: str) -> Column:
-            column = F.col(name)
-            return (column if own else F.lit(None).cast(dict(pages.dtypes)[name])).alias(name)
+    def told(shift: int, before: int, after: int, own: bool) -> Column:
+        def mine(column: Column, name: str) -> Column:
+            return (column if own else F.lit(None).cast("bigint")).alias(name)
 
         return F.struct(
             (F.col("page_no") + shift).alias("page_no"),
             F.lit(before).alias("before"),
             F.lit(after).alias("after"),
-            mine("copies"),
-            mine("items"),
-            mine("total_count"),
-            mine("next_position"),
+            mine(F.col("copies"), "copies"),
+            mine(F.col("items"), "items"),
+            mine(F.col("next_position").isNotNull().cast("bigint"), "more"),
         )
 
     notes = pages.select(
         "platform",
         "request_id",
-        F.inline(F.array(told(0, False, False, True), told(1, True, False, False), told(-1, False, True, False))),
+        F.inline(F.array(told(0, 0, 0, True), told(1, 1, 0, False), told(-1, 0, 1, False))),
     )
-    merged = notes.groupBy(*_PAGE).agg(
-        F.max("copies").alias("copies"),
-        F.max("items").alias("items"),
-        F.max("total_count").alias("total_count"),
-        F.max("next_position").alias("next_position"),
-        F.max("before").alias("before"),
-        F.max("after").alias("after"),
-    )
-    more = F.col("next_position").isNotNull()
+    merged = notes.groupBy(*_PAGE).agg(*[F.max(name).alias(name) for name in ("copies", "items", "more", "before", "after")])
+    more, after = F.col("more") == 1, F.col("after") == 1
     state = (
-        F.when(more & F.col("after"), "followed")
-        .when(more, "missing_next")
-        .when(F.col("after"), "past_end")
-        .otherwise("last")
+        F.when(more & after, "followed").when(more, "missing_next").when(after, "past_end").otherwise("last")
     )
     return merged.filter(F.col("copies").isNotNull()).select(
         *_PAGE,
         "items",
-        "total_count",
-        "next_position",
         "copies",
         state.alias("state"),
-        ((F.col("page_no") > 0) & ~F.col("before")).alias("gap_before"),
+        ((F.col("page_no") > 0) & (F.col("before") == 0)).alias("gap_before"),
     )
 
 

@@ -62,8 +62,8 @@ PROFILES = {
 
 
 def keyword_matches(text: Column, keyword: Column, mode: str) -> Column:
-    """Case-blind keyword test of a text."""
-    text, keyword = F.lower(text), F.lower(keyword)
+    """Keyword test of a text in lower case."""
+    keyword = F.lower(keyword)
     if mode == "like":
         escaped = F.replace(keyword, F.lit("\\"), F.lit("\\\\"))
         return F.like(text, F.concat(F.lit("%"), escaped, F.lit("%")))
@@ -74,7 +74,7 @@ def keyword_matches(text: Column, keyword: Column, mode: str) -> Column:
 
 
 def advertiser_matches(advertiser_id: Column, name: Column, asked: Column, mode: str) -> Column:
-    """An all-digit value is an id; anything else is part of the name, case-blind."""
+    """An all-digit value is an id; anything else is part of the name, which is in lower case."""
     return F.when(asked.rlike("^[0-9]+$"), advertiser_id == asked).otherwise(keyword_matches(name, asked, mode))
 
 
@@ -171,10 +171,10 @@ def find_ads(
             if re.fullmatch("[0-9]+", name):
                 test = test | (F.col("advertiser_id") == name)
             else:
-                test = test | keyword_matches(F.col("advertiser_name"), F.lit(name), _name_mode(profile))
+                test = test | keyword_matches(F.lower("advertiser_name"), F.lit(name), _name_mode(profile))
         out = out.filter(test)
     if q is not None and q.strip():
-        out = out.filter(keyword_matches(F.col("ad_text"), F.lit(q.strip()), keyword_mode or profile.keyword))
+        out = out.filter(keyword_matches(F.lower("ad_text"), F.lit(q.strip()), keyword_mode or profile.keyword))
     if types:
         out = out.filter(types_match(F.col("extra_json"), strings(types), F.lit(platform)))
     return out
@@ -310,42 +310,58 @@ def _mode_case(platform: Column, attribute: str, test) -> Column:
     return out
 
 
+def _only_ids(advertisers: Column) -> Column:
+    return F.forall(advertisers, lambda a: a.rlike("^[0-9]+$"))
+
+
+def _request_keys() -> Column:
+    """Where to look for the ads of a request: by its advertiser ids, else its countries, else everywhere."""
+    ids = F.transform("r_advertisers", lambda a: F.concat(F.lit("id:"), a))
+    return F.array_distinct(
+        F.when(_only_ids(F.col("r_advertisers")), ids).otherwise(F.coalesce("r_countries", strings(["*"])))
+    )
+
+
+def _ad_keys() -> Column:
+    """The keys under which requests find an ad."""
+    own = F.array_compact(F.array(F.lit("*"), F.concat(F.lit("id:"), "advertiser_id")))
+    return F.array_union(own, F.coalesce("countries", strings([])))
+
+
 def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
     """Every (request, matching ad) pair once, with the ad's columns and the request's ``r_limit``.
 
-    Pairs are found by an equality on platform and country (requests without countries meet each ad of
-    their platform once), then checked. Spark broadcasts the requests when they are small and otherwise
-    shuffles both sides, splitting skewed keys.
+    Pairs are found by an equality on platform and one key, the narrowest the request allows (advertiser
+    id, country, or ``*``), then checked, cheap tests first. Spark broadcasts the requests when they are
+    small and otherwise shuffles both sides, splitting skewed keys.
     """
     c = F.col
-    asked = resolve_requests(requests, platform_defaults).withColumn(
-        "_key", F.explode(F.array_distinct(F.coalesce("r_countries", F.array(F.lit("*")))))
-    )
-    keyed = ads.withColumn(
-        "_key", F.explode(F.array_union(F.array(F.lit("*")), F.coalesce("countries", F.array().cast("array<string>"))))
-    )
-    once = c("r_countries").isNull() | (
-        c("_key") == F.try_element_at(F.array_intersect("r_countries", "countries"), F.lit(1))
+    asked = resolve_requests(requests, platform_defaults).withColumn("_key", F.explode(_request_keys()))
+    keyed = ads.select(
+        "*",
+        F.lower("ad_text").alias("_text"),
+        F.lower("advertiser_name").alias("_name"),
+        F.explode(_ad_keys()).alias("_key"),
     )
     joined = keyed.join(asked, ["platform", "_key"])
+    both = F.array_intersect("r_countries", "countries")
+    by_country = (F.length("_key") == 2) & (c("_key") == F.try_element_at(both, F.lit(1)))
+    by_id = c("_key").startswith("id:") & (F.size(both) > 0)
 
     def advertiser(mode: str) -> Column:
         rule = "like" if mode == "like" else "contains"
-        return F.exists(
-            "r_advertisers", lambda a: advertiser_matches(c("advertiser_id"), c("advertiser_name"), a, rule)
-        )
+        return F.exists("r_advertisers", lambda a: advertiser_matches(c("advertiser_id"), c("_name"), a, rule))
 
     tests = [
-        once,
-        c("r_keyword").isNull()
-        | _mode_case(c("platform"), "keyword", lambda m: keyword_matches(c("ad_text"), c("r_keyword"), m)),
-        c("r_advertisers").isNull() | _mode_case(c("platform"), "keyword", advertiser),
         _mode_case(
             c("platform"), "dates", lambda m: dates_match(c("first_seen"), c("last_seen"), c("r_from"), c("r_to"), m)
         ),
-        types_match(c("extra_json"), c("r_types"), c("platform")),
-        c("r_languages").isNull() | F.arrays_overlap("languages", "r_languages"),
         c("r_media").isNull() | (c("media_type") == c("r_media")),
+        c("r_countries").isNull() | by_country | by_id,
+        c("r_languages").isNull() | F.arrays_overlap("languages", "r_languages"),
+        c("r_advertisers").isNull() | _mode_case(c("platform"), "keyword", advertiser),
+        types_match(c("extra_json"), c("r_types"), c("platform")),
+        c("r_keyword").isNull() | _mode_case(c("platform"), "keyword", lambda m: keyword_matches(c("_text"), c("r_keyword"), m)),
     ]
     matched = joined.filter(reduce(lambda a, b: a & b, tests))
     return matched.select("request_id", "r_limit", *ads.columns)
@@ -397,7 +413,7 @@ def search_advertisers(
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     found = ads if platform is None else ads.filter(F.col("platform") == platform)
     if q is not None:
-        found = found.filter(keyword_matches(F.col("advertiser_name"), F.lit(q), "like"))
+        found = found.filter(keyword_matches(F.lower("advertiser_name"), F.lit(q), "like"))
     if date_from is not None:
         found = found.filter(F.col("first_seen") >= day_start(_day(date_from)))
     grouped = found.groupBy("advertiser_id", "advertiser_name").agg(
