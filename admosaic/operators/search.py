@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.countries import EU_COUNTRIES, clean_country_codes
 from ..functions.dates import date_preset, day_end, day_start, parse_day, preset_days
-from ..functions.literals import strings
+from ..functions.literals import lookup, strings
 from ..sources.registry import platform_names
 from .normalize import select_fields
 from .ranking import top_per_group
@@ -61,23 +61,25 @@ PROFILES = {
 }
 
 
+def _like_pattern(word: Column) -> Column:
+    """A word anywhere in a text; ``%`` and ``_`` in it stay wildcards."""
+    return F.concat(F.lit("%"), F.replace(word, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+
+
+def _terms(words: Column) -> Column:
+    return F.filter(F.split(words, r"\s+"), lambda t: t != "")
+
+
 def keyword_matches(text: Column, keyword: Column, mode: str) -> Column:
     """Keyword test of a text in lower case."""
     keyword = F.lower(keyword)
     if mode == "like":
-        escaped = F.replace(keyword, F.lit("\\"), F.lit("\\\\"))
-        return F.like(text, F.concat(F.lit("%"), escaped, F.lit("%")))
+        return F.like(text, _like_pattern(keyword))
     if mode == "all_terms":
-        terms = F.filter(F.split(keyword, r"\s+"), lambda t: t != "")
-        return F.forall(terms, lambda t: F.contains(text, t))
+        return F.forall(_terms(keyword), lambda t: F.contains(text, t))
     return F.contains(text, keyword)
 
 
-def advertiser_matches(advertiser_id: Column, name: Column, asked: Column, mode: str) -> Column:
-    """An all-digit value is an id; anything else is part of the name, which is in lower case."""
-    return F.when(asked.rlike("^[0-9]+$"), advertiser_id == asked).otherwise(keyword_matches(name, asked, mode))
-
-
 def dates_match(first: Column, last: Column, start: Column, end: Column, mode: str) -> Column:
     """Date test of an ad; ``start`` and ``end`` are days, NULL when open. A NULL ``last`` is still running."""
     if mode == "contained":
@@ -258,18 +260,6 @@ def _check_request(countries, date_from, date_to, limit) -> None:
         raise ValueError("; ".join(errors))
 
 
-def _by_platform(platform: Column, value) -> Column:
-    """A column that depends on the platform: ``value(profile)`` for each, grouped by equal results."""
-    groups: dict = {}
-    for name, profile in PROFILES.items():
-        groups.setdefault(value(profile), []).append(name)
-    out = None
-    for result, names in groups.items():
-        test = platform.isin(*names)
-        out = F.when(test, F.lit(result)) if out is None else out.when(test, F.lit(result))
-    return out
-
-
 def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
     """Requests with the rules of their platform applied: what to look for, how, and how many rows."""
     platform = F.lower(F.trim("platform"))
@@ -281,33 +271,45 @@ def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> Da
         here = platform.isin(*names)
         wanted = effective_countries(F.col("countries"), PROFILES[names[0]], platform_defaults)
         countries = F.when(here, wanted) if countries is None else countries.when(here, wanted)
-    keyword = F.nullif(F.trim("keyword"), F.lit(""))
-    cap = _by_platform(platform, lambda p: p.cap)
+    word = F.lower(F.nullif(F.trim("keyword"), F.lit("")))
+    start, end = parse_day(F.col("date_from")), parse_day(F.col("date_to"))
+    both = start.isNotNull() & end.isNotNull()
+    dates, words = _modes("dates", platform), _modes("keyword", platform)
+    types = F.when(platform == "meta", F.array_intersect("types", strings(META_AD_TYPES))).otherwise(F.col("types"))
     return requests.select(
         "request_id",
         platform.alias("platform"),
-        keyword.alias("r_keyword"),
-        F.when(F.size("advertisers") > 0, F.col("advertisers")).alias("r_advertisers"),
+        F.when(words["contains"], word).alias("r_word"),
+        F.when(words["like"], _like_pattern(word)).alias("r_like"),
+        F.when(words["all_terms"], _terms(word)).alias("r_terms"),
+        F.when(F.size("advertisers") > 0, F.transform("advertisers", F.lower)).alias("r_advertisers"),
+        words["like"].alias("r_name_like"),
         countries.alias("r_countries"),
-        parse_day(F.col("date_from")).alias("r_from"),
-        parse_day(F.col("date_to")).alias("r_to"),
-        F.when(F.size("types") > 0, F.col("types")).alias("r_types"),
+        F.when(dates["contained"], day_start(start)).alias("r_first_min"),
+        F.when(dates["overlap"], day_end(end))
+        .when(dates["served"] & both, day_start(end) - F.expr("INTERVAL 0.000001 SECOND"))
+        .alias("r_first_max"),
+        F.when(dates["overlap"] | (dates["served"] & both), day_start(start)).alias("r_last_min"),
+        F.when(dates["contained"], day_end(end)).alias("r_last_max"),
+        F.when((F.size(types) > 0) & ~F.array_contains(types, "ALL"), types).alias("r_types"),
         F.when(F.size("languages") > 0, F.transform("languages", F.lower)).alias("r_languages"),
         F.when(F.upper("media") != "ALL", F.lower("media")).alias("r_media"),
-        F.least(F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT)), cap, F.lit(MAX_LIMIT)).cast("int").alias("r_limit"),
+        F.least(F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT)), _caps(platform), F.lit(MAX_LIMIT))
+        .cast("int")
+        .alias("r_limit"),
     )
 
 
-def _mode_case(platform: Column, attribute: str, test) -> Column:
-    """``test(mode)`` by the mode the platform's profile has for ``attribute``."""
-    modes: dict[str, list[str]] = {}
+def _modes(attribute: str, platform: Column) -> dict[str, Column]:
+    """For each mode of a profile attribute, whether the platform has it."""
+    names: dict[str, list[str]] = {}
     for name, profile in PROFILES.items():
-        modes.setdefault(getattr(profile, attribute), []).append(name)
-    out = None
-    for mode, names in modes.items():
-        hit = platform.isin(*names)
-        out = F.when(hit, test(mode)) if out is None else out.when(hit, test(mode))
-    return out
+        names.setdefault(getattr(profile, attribute), []).append(name)
+    return {mode: platform.isin(*listed) for mode, listed in names.items()}
+
+
+def _caps(platform: Column) -> Column:
+    return F.try_element_at(lookup({name: profile.cap for name, profile in PROFILES.items()}), platform)
 
 
 def _only_ids(advertisers: Column) -> Column:
@@ -341,6 +343,7 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
         "*",
         F.lower("ad_text").alias("_text"),
         F.lower("advertiser_name").alias("_name"),
+        F.get_json_object("extra_json", "$.ad_type").alias("_ad_type"),
         F.explode(_ad_keys()).alias("_key"),
     )
     joined = keyed.join(asked, ["platform", "_key"])
@@ -348,20 +351,27 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
     by_country = (F.length("_key") == 2) & (c("_key") == F.try_element_at(both, F.lit(1)))
     by_id = c("_key").startswith("id:") & (F.size(both) > 0)
 
-    def advertiser(mode: str) -> Column:
-        rule = "like" if mode == "like" else "contains"
-        return F.exists("r_advertisers", lambda a: advertiser_matches(c("advertiser_id"), c("_name"), a, rule))
+    def named(asked_name: Column) -> Column:
+        like = F.like(c("_name"), _like_pattern(asked_name))
+        by_name = F.when(c("r_name_like"), like).otherwise(F.contains(c("_name"), asked_name))
+        return F.when(asked_name.rlike("^[0-9]+$"), c("advertiser_id") == asked_name).otherwise(by_name)
+
+    def open_or(bound: str, test: Column) -> Column:
+        return c(bound).isNull() | test
 
     tests = [
-        _mode_case(
-            c("platform"), "dates", lambda m: dates_match(c("first_seen"), c("last_seen"), c("r_from"), c("r_to"), m)
-        ),
-        c("r_media").isNull() | (c("media_type") == c("r_media")),
-        c("r_countries").isNull() | by_country | by_id,
-        c("r_languages").isNull() | F.arrays_overlap("languages", "r_languages"),
-        c("r_advertisers").isNull() | _mode_case(c("platform"), "keyword", advertiser),
-        types_match(c("extra_json"), c("r_types"), c("platform")),
-        c("r_keyword").isNull() | _mode_case(c("platform"), "keyword", lambda m: keyword_matches(c("_text"), c("r_keyword"), m)),
+        open_or("r_first_min", c("first_seen") >= c("r_first_min")),
+        open_or("r_first_max", c("first_seen") <= c("r_first_max")),
+        open_or("r_last_min", c("last_seen").isNull() | (c("last_seen") >= c("r_last_min"))),
+        open_or("r_last_max", c("last_seen") <= c("r_last_max")),
+        open_or("r_media", c("media_type") == c("r_media")),
+        open_or("r_types", F.array_contains("r_types", c("_ad_type"))),
+        open_or("r_countries", by_country | by_id),
+        open_or("r_languages", F.arrays_overlap("languages", "r_languages")),
+        open_or("r_word", F.contains(c("_text"), c("r_word"))),
+        open_or("r_like", F.like(c("_text"), c("r_like"))),
+        open_or("r_terms", F.forall("r_terms", lambda t: F.contains(c("_text"), t))),
+        open_or("r_advertisers", F.exists("r_advertisers", named)),
     ]
     matched = joined.filter(reduce(lambda a, b: a & b, tests))
     return matched.select("request_id", "r_limit", *ads.columns)

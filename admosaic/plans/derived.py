@@ -95,11 +95,12 @@ def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base(
     spark: SparkSession, sf_dir: str, lines: bool = True, shares: bool = False, text: bool = False
 ) -> DataFrame:
-    """One row per order with everything the ad shapes are made of."""
+    """One row per order with everything the ad shapes are made of.
+
+    Orders are spread by their key once; lines, shares and documents join on that partitioning.
+    """
     c = F.col
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    out = orders.join(customer, c("o_custkey") == c("c_custkey"))
+    out = table(spark, sf_dir, "orders").repartition("o_orderkey")
     if lines:
         out = out.join(order_lines(spark, sf_dir), c("o_orderkey") == c("l_orderkey"), "left").drop("l_orderkey")
     if shares:
@@ -107,6 +108,7 @@ def base(
     if text:
         documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
         out = out.join(documents, c("o_orderkey") == c("doc_id"), "left")
+    out = out.join(table(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey"))
     low_known = c("o_orderpriority") != "4-NOT SPECIFIED"
     high_known = low_known & (c("o_orderpriority") != "5-LOW")
     spend = (F.floor(c("o_totalprice") / 1000) * 100).cast("bigint")
@@ -516,10 +518,15 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as one landed page of its order's request.
 
     Line numbers repeat and leave gaps, so pages do too. A page holds as many items as the line's
-    quantity above ten and says where the next starts unless its status is F.
+    quantity above ten and says where the next starts unless its status is F. Lines are spread before
+    they grow into bodies.
     """
     c = F.col
-    lines = table(spark, sf_dir, "lineitem").withColumn("platform", pick(PLATFORMS, c("l_orderkey") % 11))
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .repartition("l_orderkey")
+        .withColumn("platform", pick(PLATFORMS, c("l_orderkey") % 11))
+    )
     n = F.greatest(c("l_quantity").cast("int") - 10, F.lit(0))
     listed = F.array_join(F.array_repeat(F.lit('{"id":"1"}'), n), ",")
     more = c("l_linestatus") == "O"
