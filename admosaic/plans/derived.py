@@ -51,6 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows hashed by a key over the session's shuffle partitions.
+
+    The number is given so that narrow rows, which grow in what follows, are not put together again.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def pick(values: list, index: Column) -> Column:
     """The value at a 0-based position of a fixed list of strings or of string lists."""
     options = string_lists(values) if isinstance(values[0], list) else strings(values)
@@ -100,7 +108,7 @@ def base(
     Orders are spread by their key once; lines, shares and documents join on that partitioning.
     """
     c = F.col
-    out = table(spark, sf_dir, "orders").repartition("o_orderkey")
+    out = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     if lines:
         out = out.join(order_lines(spark, sf_dir), c("o_orderkey") == c("l_orderkey"), "left").drop("l_orderkey")
     if shares:
@@ -522,10 +530,8 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     they grow into bodies.
     """
     c = F.col
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .repartition("l_orderkey")
-        .withColumn("platform", pick(PLATFORMS, c("l_orderkey") % 11))
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").withColumn(
+        "platform", pick(PLATFORMS, c("l_orderkey") % 11)
     )
     n = F.greatest(c("l_quantity").cast("int") - 10, F.lit(0))
     listed = F.array_join(F.array_repeat(F.lit('{"id":"1"}'), n), ",")
