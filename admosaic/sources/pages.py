@@ -48,7 +48,7 @@ def read_raw_pages(spark: SparkSession, path: str, fmt: str = "text") -> DataFra
     files that hold one `RAW_PAGES` row per page, the layout to prefer for many small pages.
     """
     if fmt == "text":
-        return with_page_keys(spark.read.option("wholetext", True).text(path))
+        return with_page_keys(spark.read.text(path, wholetext=True))
     return spark.read.format(fmt).schema(RAW_PAGES).load(path)
 
 
