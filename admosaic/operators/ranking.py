@@ -25,13 +25,17 @@ def number_rows(table: DataFrame, group: str, order: list[str], name: str) -> Da
 
     The table is range-sorted by group and order and checkpointed; a row's number is its place in its
     task plus the rows its group has in earlier tasks. Only those counts, one row per task and group,
-    go through a window.
+    go through a window. Rows that are equal in group and order, however many, are split by their place
+    in the input; which of them comes first does not matter and is fixed by the checkpoint.
     """
     ensure_checkpoint_dir(table.sparkSession)
     place = F.monotonically_increasing_id()
+    keys = [group, *order, "_copy"]
     placed = (
-        table.repartitionByRange(F.col(group), *order)
-        .sortWithinPartitions(group, *order)
+        table.withColumn("_copy", place)
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_copy")
         .select("*", F.shiftright(place, 33).alias("_task"), place.alias("_place"))
         .checkpoint()
     )

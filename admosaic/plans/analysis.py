@@ -104,7 +104,8 @@ def _flagship(spark, sf_dir):
     ads = N.normalize_creatives(D.creatives(spark, sf_dir))
     found = S.find_ads(ads, "google", q="the", date_from="1996-01-01", date_to="2001-12-31")
     return (
-        found.select("ad_id", F.explode("countries").alias("country"))
+        found.select(F.explode_outer("countries").alias("country"))
+        .filter(F.col("country").isNotNull())
         .groupBy("country")
         .agg(F.count("*").alias("n"))
         .orderBy(F.desc("n"), "country")
