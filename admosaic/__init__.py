@@ -12,7 +12,10 @@ from .operators.analytics import (
     targeting_breakdown,
     targeting_facets,
     total_ads,
+    unnest_impressions,
+    unnest_targeting,
 )
+from .operators.bulk import get_all
 from .operators.fetchlog import (
     classify_errors,
     collect_pages,
@@ -51,7 +54,18 @@ from .operators.search import (
 )
 from .schema import ADS, empty_ads
 from .sources.pages import page_counters, page_errors, read_raw_pages, unwrap_pages
-from .sources.registry import platforms, source_index
+from .sources.registry import (
+    ads_with_limits,
+    field_coverage,
+    platform_capabilities,
+    platform_coverage,
+    platform_endpoints,
+    platform_limits,
+    platform_params,
+    platforms,
+    source_index,
+    supports,
+)
 from .sources.tables import read_creatives, write_ads
 from .streaming.ingest import ingest_pages_stream, stream_ads, stream_pages, stream_quota
 

@@ -22,14 +22,17 @@ def advertiser_samples(ads: DataFrame, n: int = 3) -> DataFrame:
     return named.select("ad_id", "advertiser_name").orderBy("ad_id", "advertiser_name").limit(n)
 
 
-def unnest_targeting(flat: DataFrame, *keep: str) -> DataFrame:
-    """One row per targeting facet of the flat table, with the columns to keep."""
-    return flat.select(*keep, F.inline("ad_targeting"))
+def unnest_targeting(flat: DataFrame, *keep: str, outer: bool = False) -> DataFrame:
+    """One row per targeting facet of the flat table, next to the columns to keep.
+
+    With ``outer`` an ad without targeting keeps one row. Nothing is joined back, so nothing is shuffled.
+    """
+    return flat.select(*keep, (F.inline_outer if outer else F.inline)("ad_targeting"))
 
 
-def unnest_impressions(flat: DataFrame, *keep: str) -> DataFrame:
-    """One row per country of the flat table, with the columns to keep."""
-    return flat.select(*keep, F.inline("impressions_by_country"))
+def unnest_impressions(flat: DataFrame, *keep: str, outer: bool = False) -> DataFrame:
+    """One row per country of the flat table, next to the columns to keep; ``outer`` as in targeting."""
+    return flat.select(*keep, (F.inline_outer if outer else F.inline)("impressions_by_country"))
 
 
 def targeting_facets(flat: DataFrame, top: int | None = 5) -> DataFrame:

@@ -79,6 +79,12 @@ def _long(spark, sf_dir):
     return A.clean_long(_flat(spark, sf_dir), "ad_url")
 
 
+def _unnested(spark, sf_dir):
+    """Every ad with its facets next to it; ads without targeting keep one row."""
+    rows = A.unnest_targeting(_flat(spark, sf_dir), "ad_url", "advertiser_name", outer=True)
+    return plain(rows.select("ad_url", "advertiser_name", "facet_name", "included_segments"))
+
+
 def _report(kind, **options):
     def run(spark, sf_dir):
         return plain(reports.platform_report(D.stored_ads(spark, sf_dir), kind, **options))
@@ -127,6 +133,7 @@ QUERIES = {
     "delivery_by_region": _delivery("delivery_by_region"),
     "clean_wide": _wide,
     "clean_long": _long,
+    "unnest_targeting": _unnested,
     "report_summary": _report("summary"),
     "report_summary_dated": _report("summary", date_from="1997-01-01", date_to="1998-12-31"),
     "report_spending": _report("spending"),
@@ -229,6 +236,10 @@ ORACLES = {
         UNION ALL
         SELECT {_URL}, 'impressions', 'urn:li:country:' || country, NULL, NULL, {_PCT} FROM shares JOIN base USING (k)"""
     ),
+    "unnest_targeting": _linkedin(
+        f"""SELECT {_URL} AS ad_url, name AS advertiser_name, facet AS facet_name, facets.segment AS included_segments
+        FROM base LEFT JOIN facets USING (k)"""
+    ),
     "report_summary": with_ads(f"SELECT {_SUMMARY} FROM ads GROUP BY platform"),
     "report_summary_dated": with_ads(
         f"""SELECT {_SUMMARY} FROM ads WHERE first_seen < DATE '1999-01-01' AND last_seen >= DATE '1997-01-01'

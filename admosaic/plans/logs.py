@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import fetchlog as L
 from ..operators import requests as R
+from ..operators.bulk import get_all
 from ..operators.normalize import normalize_ads
 from ..operators.ranking import ensure_checkpoint_dir
 from ..sources import registry
@@ -225,6 +226,12 @@ def _stored(spark, sf_dir):
     return plain(ads.select("platform", "ad_id", "countries", "targeting_age", "spend_range", "first_seen"))
 
 
+def _get_all(spark, sf_dir):
+    """The ads of the first twenty pages of every request of pinterest, those shown in one country."""
+    pages = D.pages_of(spark, sf_dir, "pinterest")
+    return plain_ads(get_all(pages, "pinterest", max_pages=20, countries=["DE"], media="image")).drop("ad_text")
+
+
 def _landed_json(spark, sf_dir):
     """Pages of booking written as compacted JSON, read as landed pages and normalised."""
     landing = scratch(spark, "pages")
@@ -258,6 +265,7 @@ QUERIES = {
     "quota_stream": _stream_quota,
     "stored_ads": _stored,
     "landed_json": _landed_json,
+    "get_all": _get_all,
 }
 
 _NAMES = sql_list([*D.PLATFORMS, " Meta ", "myspace"])
@@ -571,6 +579,8 @@ ORACLES = {
     ),
     "ingest_stream": f"SELECT * EXCLUDE (fetched_at) FROM ({NORMALIZED['normalize_x']})",
     "landed_json": NORMALIZED["normalize_booking"],
+    "get_all": f"""SELECT * EXCLUDE (ad_text) FROM ({NORMALIZED['normalize_pinterest']})
+        WHERE (CAST(ad_id AS BIGINT) // 25) % 40 < 20 AND list_contains(string_split(countries, ','), 'DE')""",
     "stored_ads": with_ads(
         f"""SELECT platform, ad_id, CASE WHEN c1 = c2 THEN c1 ELSE c1 || ', ' || c2 END AS countries,
           nullif(array_to_string(ages, ', '), '') AS targeting_age, spend_range, {sql_time('first_seen')} AS first_seen FROM ads"""

@@ -155,3 +155,22 @@ def test_targeting_and_countries(spark):
     assert got == [("18-24", 2), ("25-34", 1)]
     assert [r.n for r in admosaic.ads_by_platform(ads).collect()] == [2]
     assert admosaic.advertiser_samples(ads.withColumn("advertiser_name", F.lit("A")), 1).count() == 1
+
+
+def test_get_all(spark):
+    rows = [x_page("a", 0, 2), x_page("a", 1, 2), x_page("a", 2, 0), x_page("a", 3, 1, more=False), x_page("b", 0, 1)]
+    pages = spark.createDataFrame(rows, RAW_PAGES)
+    assert sorted(r.ad_id for r in admosaic.get_all(pages, "x").collect()) == ["a-0-0", "a-0-1", "a-1-0", "a-1-1", "b-0-0"]
+    assert admosaic.get_all(pages, "x", max_pages=1).count() == 3
+    assert admosaic.get_all(pages, "x", q="nothing").count() == 0
+    with pytest.raises(ValueError):
+        admosaic.get_all(pages, "x", "details")
+
+
+def test_stamp_and_union(spark):
+    a = spark.createDataFrame([("1", AT), ("2", None)], "ad_id string, fetched_at timestamp")
+    stamped = {r.ad_id: r.fetched_at for r in admosaic.stamp_fetched(a).collect()}
+    assert stamped["1"] == AT and stamped["2"] is not None
+    b = spark.createDataFrame([("3", "x")], "ad_id string, platform string")
+    assert admosaic.union_ads(a, b).columns == ["ad_id", "fetched_at", "platform"]
+    assert admosaic.union_ads(a, b).filter("platform IS NULL").count() == 2
