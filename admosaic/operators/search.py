@@ -70,14 +70,14 @@ def _terms(words: Column) -> Column:
     return F.filter(F.split(words, r"\s+"), lambda t: t != "")
 
 
-def keyword_matches(text: Column, keyword: Column, mode: str) -> Column:
+def keyword_matches(text: Column, keyword: str, mode: str) -> Column:
     """Keyword test of a text in lower case."""
-    keyword = F.lower(keyword)
+    word = keyword.lower()
     if mode == "like":
-        return F.like(text, _like_pattern(keyword))
+        return F.like(text, _like_pattern(F.lit(word)))
     if mode == "all_terms":
-        return F.forall(_terms(keyword), lambda t: F.contains(text, t))
-    return F.contains(text, keyword)
+        return reduce(lambda a, b: a & b, [F.contains(text, F.lit(term)) for term in word.split()])
+    return F.contains(text, F.lit(word))
 
 
 def dates_match(first: Column, last: Column, start: Column, end: Column, mode: str) -> Column:
@@ -92,12 +92,21 @@ def dates_match(first: Column, last: Column, start: Column, end: Column, mode: s
     return (end.isNull() | (first <= day_end(end))) & (start.isNull() | running)
 
 
-def types_match(extra_json: Column, types: Column, platform: Column) -> Column:
-    """Ad-type test; types the source does not know and ``ALL`` do not restrict."""
-    known = strings(META_AD_TYPES)
-    asked = F.when(platform == "meta", F.array_intersect(types, known)).otherwise(types)
-    open_ = types.isNull() | (F.size(asked) == 0) | F.array_contains(asked, "ALL")
-    return open_ | F.array_contains(asked, F.get_json_object(extra_json, "$.ad_type"))
+def effective_types(types: list[str], platform: str) -> list[str]:
+    """The ad types that restrict a request; none when the source does not know them or ``ALL`` is among them."""
+    known = [t for t in types if t in META_AD_TYPES] if platform == "meta" else types
+    return [] if "ALL" in known else known
+
+
+def wanted_countries(countries: list[str], profile: Profile, platform_defaults: bool = False) -> list[str]:
+    """`effective_countries` of one request; empty when unrestricted."""
+    codes = [c.strip().upper() for c in countries if re.fullmatch("[A-Za-z]{2}", c.strip())]
+    if profile.allowed:
+        allowed = [c for c in codes if c in profile.allowed]
+        codes = allowed if allowed or platform_defaults else codes
+    if profile.countries == "first":
+        codes = codes[:1]
+    return codes or (list(profile.default_countries) if platform_defaults else [])
 
 
 def effective_countries(countries: Column, profile: Profile, platform_defaults: bool = False) -> Column:
@@ -161,10 +170,9 @@ def find_ads(
         out = out.filter(F.coalesce("status", F.lit(profile.status)) == profile.status)
     if media is not None and media.upper() != "ALL":
         out = out.filter(F.col("media_type") == media.lower())
-    if countries or (platform_defaults and profile.default_countries):
-        given = strings(countries or [])
-        wanted = effective_countries(given, profile, platform_defaults)
-        out = out.filter(wanted.isNull() | F.arrays_overlap("countries", wanted))
+    codes = wanted_countries(countries or [], profile, platform_defaults)
+    if codes:
+        out = out.filter(F.arrays_overlap("countries", strings(codes)))
     if languages:
         out = out.filter(F.arrays_overlap("languages", strings(x.lower() for x in languages)))
     if advertisers:
@@ -173,12 +181,13 @@ def find_ads(
             if re.fullmatch("[0-9]+", name):
                 test = test | (F.col("advertiser_id") == name)
             else:
-                test = test | keyword_matches(F.lower("advertiser_name"), F.lit(name), _name_mode(profile))
+                test = test | keyword_matches(F.lower("advertiser_name"), name, _name_mode(profile))
         out = out.filter(test)
     if q is not None and q.strip():
-        out = out.filter(keyword_matches(F.lower("ad_text"), F.lit(q.strip()), keyword_mode or profile.keyword))
-    if types:
-        out = out.filter(types_match(F.col("extra_json"), strings(types), F.lit(platform)))
+        out = out.filter(keyword_matches(F.lower("ad_text"), q.strip(), keyword_mode or profile.keyword))
+    kinds = effective_types(types or [], platform)
+    if kinds:
+        out = out.filter(F.get_json_object("extra_json", "$.ad_type").isin(*kinds))
     return out
 
 
@@ -198,12 +207,14 @@ def page_of_results(ads: DataFrame, size: int, offset: int = 0) -> DataFrame:
 
 def page_after(ads: DataFrame, size: int, first_seen, ad_id: str) -> DataFrame:
     """The ``size`` ads that follow the given one, newest first: a filter instead of skipped rows."""
-    start = F.lit(first_seen).cast("timestamp")
-    later = (
-        (F.col("first_seen") < start)
-        | ((F.col("first_seen") == start) & (F.col("ad_id") > ad_id))
-        | F.col("first_seen").isNull()
-    )
+    later = F.col("first_seen").isNull() & (F.col("ad_id") > ad_id)
+    if first_seen is not None:
+        start = F.lit(first_seen).cast("timestamp")
+        later = (
+            (F.col("first_seen") < start)
+            | ((F.col("first_seen") == start) & (F.col("ad_id") > ad_id))
+            | F.col("first_seen").isNull()
+        )
     return ads.filter(later).orderBy(*newest_first()).limit(size)
 
 
@@ -423,7 +434,7 @@ def search_advertisers(
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     found = ads if platform is None else ads.filter(F.col("platform") == platform)
     if q is not None:
-        found = found.filter(keyword_matches(F.lower("advertiser_name"), F.lit(q), "like"))
+        found = found.filter(keyword_matches(F.lower("advertiser_name"), q, "like"))
     if date_from is not None:
         found = found.filter(F.col("first_seen") >= day_start(_day(date_from)))
     grouped = found.groupBy("advertiser_id", "advertiser_name").agg(
