@@ -51,3 +51,47 @@ SELECT * EXCLUDE (fails), '[' || array_to_string(fails, ', ') || ']' AS failed_r
        NOT base_failed AND len(fails) = 0 AS kept
 FROM f
 """
+
+NON_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _plain_words(text: str) -> str:
+    return f"list_filter(string_split_regex(translate(coalesce({text}, ''), {_A_Z}), '{NON_WORDS}'), lambda x: x <> '')"
+
+
+DECONTAMINATION = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_plain_words("text")} AS w FROM documents
+), b AS (
+  SELECT item_id, w FROM (SELECT item_id, {_plain_words("text")} AS w FROM benchmark) WHERE len(w) > 0
+), p AS (
+  SELECT item_id, w[i:least(i + 9, len(w))] AS p FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b)
+), pl AS (
+  SELECT DISTINCT p FROM p
+), occ AS (
+  SELECT r, w, i, w[i] AS t FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), df AS (
+  SELECT lower(t) AS dt, count(*) AS n FROM occ GROUP BY 1
+), rk AS (
+  SELECT p, first(lower(q.t) ORDER BY coalesce(n, 0), o) AS t1, min(coalesce(n, 0)) AS least
+  FROM (SELECT p, o, p[o] AS t FROM (SELECT p, unnest(range(1, len(p) + 1)) AS o FROM pl)) q LEFT JOIN df ON lower(q.t) = df.dt
+  GROUP BY p
+), first_word AS (
+  SELECT p, p[1] AS a FROM pl
+), hits AS (
+  SELECT r, i, len(p) AS n, p FROM occ JOIN first_word ON occ.t = a WHERE w[i:i + len(p) - 1] = p
+), n_hit AS (
+  SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS x FROM hits) GROUP BY r
+), its AS (
+  SELECT r, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) AS items FROM hits JOIN p USING (p) GROUP BY r
+), near AS (
+  SELECT r, count(DISTINCT item_id) AS near_items
+  FROM occ JOIN rk ON lower(occ.t) = t1 JOIN p USING (p)
+  WHERE rk.least > 0 AND list_has_all(w[greatest(i - 9, 1):i + 9], p) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(near_items, 0)::BIGINT AS near_items
+FROM d LEFT JOIN n_hit USING (r) LEFT JOIN its USING (r) LEFT JOIN near USING (r)
+"""

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import checks
+from .decontaminate import contamination
 from .quality import quality_report
 
 
@@ -20,10 +22,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumn("failed_rules", rated["failed_rules"].cast("string"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a 10-word window of a benchmark item, and the items."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+        "near_items",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op4_quality_rules": checks.QUALITY,
+    "op6_benchmark_decontamination": checks.DECONTAMINATION,
 }

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 WHITE = " \t\n\x0b\f\r"
-#: What separates words made of letters, digits and every character beyond ASCII.
-NON_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: What separates words made of digits, letters in either case and every character beyond ASCII.
+NON_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
