@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import checks
 from .decontaminate import contamination
+from .jaccard import similar_components
 from .quality import quality_report
 
 
@@ -36,7 +37,14 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under links of Jaccard similarity 0.9 on 3-word shingles."""
+    found = similar_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
