@@ -279,8 +279,9 @@ def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame
     shown = reached.select("cluster", "group", "block").distinct().join(
         labelled.select("cluster", "group", "root", "tokens"), ["cluster", "group"]
     ).select("cluster", "group", "block", "root", "tokens")
-    keys = ["cluster", "group", "block"]
-    return visits.groupBy(*keys).cogroup(shown.groupBy(*keys)).applyInArrow(_query_groups(percent), "a long, b long")
+    shown = shown.toDF("in_cluster", "in_group", "in_block", "root", "tokens")
+    sides = visits.groupBy("cluster", "group", "block"), shown.groupBy("in_cluster", "in_group", "in_block")
+    return sides[0].cogroup(sides[1]).applyInArrow(_query_groups(percent), "a long, b long")
 
 
 def similar_components(
