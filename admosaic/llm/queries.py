@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks
+from . import bpe, checks
 from .decontaminate import contamination
 from .jaccard import similar_components
 from .quality import quality_report
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, encoded by the multilingual ranks and decoded again."""
+    return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, failed rules and verdict of every document."""
     rated = quality_report(table(spark, sf_dir, "documents"))
@@ -45,6 +51,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_byte_level_bpe": op3_byte_level_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
