@@ -95,3 +95,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(near_items, 0)::BIGINT AS near_items
 FROM d LEFT JOIN n_hit USING (r) LEFT JOIN its USING (r) LEFT JOIN near USING (r)
 """
+
+# The patterns of the secret kinds.
+_SECRET_KINDS = (
+    ("assign", 6, r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""),
+    ("access", 20, r"()(AKIA[A-Z0-9]+)"),
+    ("hex", 24, r"()([0-9a-f]+)"),
+    ("vendor", 20, r"()((?:gh[opsu]_|xox[abp]-|sk_live_|glpat-)[A-Za-z0-9_-]{16,})"),
+    ("blob", 40, r"()([A-Za-z0-9+/]{40,})"),
+)
+_MARKED = " UNION ALL ".join(
+    f"SELECT r, {k} AS o, '{name}' AS kind, {least} AS least, string_split(regexp_replace(t, '{pattern.replace(chr(39), chr(39) * 2)}', "
+    f"chr(1) || '\\1' || chr(3) || '\\2' || chr(1), 'g'), chr(1)) AS p FROM d"
+    for k, (name, least, pattern) in enumerate(_SECRET_KINDS)
+)
+
+SECRETS = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, regexp_replace(coalesce(text, ''), '[\\x01-\\x03]', chr(4), 'g') AS t FROM documents
+), m AS (
+  {_MARKED}
+), piece AS (
+  SELECT r, o, kind, least, i, p[i] AS x, length(replace(p[i], chr(3), '')) AS n
+  FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM m WHERE len(p) > 1)
+), span AS (
+  SELECT r, o, kind, coalesce(sum(n) OVER (PARTITION BY r, o ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s,
+         n, i, least, string_split(x, chr(3))[2] AS v
+  FROM piece
+), good AS (
+  SELECT r, o, kind, s, s + n AS e, v FROM span WHERE i % 2 = 0 AND length(v) >= least
+    AND (o < 4 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')))
+), held AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners FROM good JOIN d USING (r) GROUP BY v
+), kept AS (
+  SELECT good.*, owners FROM good JOIN held USING (v) WHERE o < 3 OR owners < 3
+), a AS (
+  SELECT r, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+         string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, o) FILTER (o < 3) AS b,
+         string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, o) AS spans,
+         count(*) FILTER (owners < 3) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+  FROM kept GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+FROM d LEFT JOIN a USING (r)
+"""

@@ -12,12 +12,18 @@ from . import bpe, checks
 from .decontaminate import contamination
 from .jaccard import similar_components
 from .quality import quality_report
+from .secrets import secret_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, and how many of them only few sources hold."""
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded by the multilingual ranks and decoded again."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -51,12 +57,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_secret_scans": op2_secret_scans,
     "op3_byte_level_bpe": op3_byte_level_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_secret_scans": checks.SECRETS,
     "op4_quality_rules": checks.QUALITY,
     "op6_benchmark_decontamination": checks.DECONTAMINATION,
 }
