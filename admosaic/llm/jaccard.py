@@ -6,8 +6,8 @@
 2. Groups. Each cluster is sorted by its smallest hashes, which brings similar sets together, and cut into groups of
    at most GROUP sets. A group is opened in one task; clusters of one group, nearly all, are finished there.
 3. Larger clusters are cut and opened again in other orders, then the sets outside a cluster's largest component
-   query its other groups: the matrix (token, group) of the groups' token unions gives the groups that hold one of
-   a query's rarest tokens; a group's union then bounds the overlap, and only groups within the bound are opened.
+   query its other groups. The matrix says which group holds which parts; groups that share no part with a query hold
+   no linked set. Of the others the token union bounds the overlap, and only groups within the bound are opened.
 
 Equal sets are one node throughout. Only links that join something are kept, so a group of copies costs one link
 per copy, and no pair between different sets is lost for their components.
@@ -24,10 +24,14 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mix, shingle_sets
-from .textops import stored
+from .textops import free_names, sized, stored
 
-GROUP = 128
+GROUP = 512
+#: Token places that a group holds at most, unless one set alone has more.
+GROUP_TOKENS = 1 << 22
 QUERIES_A_TASK = 1024
+#: Rows of a few numbers each that a join may broadcast (some 40 MB).
+BROADCAST_ROWS = 1_000_000
 ORDERS = 3
 _COLUMNS = 4096
 
@@ -116,16 +120,17 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _tokens_of(width: int):
+def _tokens_of(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        threshold = Threshold(percent)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = list(shingle_sets(_texts(part), width))
                 keys = [pa.array([int(mix(s, 100 + k).min().view(np.int64)) for s in sets], pa.int64()) for k in range(ORDERS)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cluster"), part.column("node"), _lists(sets), *keys],
-                    ["cluster", "node", "tokens", *[f"key{k}" for k in range(ORDERS)]],
+                    [part.column("cluster"), part.column("node"), _lists(sets), _lists([signatures(x, threshold) for x in sets]), *keys],
+                    ["cluster", "node", "tokens", "parts", *[f"key{k}" for k in range(ORDERS)]],
                 )
 
     return run
@@ -170,7 +175,7 @@ def _open_groups(percent: int):
     """Sorted sets in, the same rows with a group number and the smallest node reached inside the group out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        threshold, waiting = Threshold(percent), []
+        threshold, waiting, held = Threshold(percent), [], 0
 
         def opened(rows: list) -> pa.RecordBatch:
             nodes = np.array([r[1] for r in rows])
@@ -184,27 +189,32 @@ def _open_groups(percent: int):
                     pa.array([int(nodes[0])] * len(rows), pa.int64()),
                     pa.array(nodes),
                     _lists(sets),
+                    _lists([r[3] for r in rows]),
                     pa.array(_roots(nodes, linked)),
-                    *[pa.array([r[3][k] for r in rows], pa.int64()) for k in range(ORDERS)],
+                    *[pa.array([r[4][k] for r in rows], pa.int64()) for k in range(ORDERS)],
                 ],
-                ["cluster", "group", "node", "tokens", "root", *[f"key{k}" for k in range(ORDERS)]],
+                ["cluster", "group", "node", "tokens", "parts", "root", *[f"key{k}" for k in range(ORDERS)]],
             )
 
         for batch in batches:
+            ids = [batch.column(c).to_pylist() for c in ("cluster", "node")]
+            lists = [_tokens(batch.column(c)) for c in ("tokens", "parts")]
             keys = zip(*[batch.column(f"key{k}").to_pylist() for k in range(ORDERS)], strict=True)
-            for row in zip(batch.column("cluster").to_pylist(), batch.column("node").to_pylist(), _tokens(batch.column("tokens")), keys, strict=True):
-                if waiting and (row[0] != waiting[0][0] or len(waiting) == GROUP):
+            for row in zip(*ids, *lists, keys, strict=True):
+                if waiting and row[1] == waiting[-1][1]:
+                    continue
+                held += len(row[2])
+                if waiting and (row[0] != waiting[0][0] or len(waiting) == GROUP or held > GROUP_TOKENS):
                     yield opened(waiting)
-                    waiting = []
-                if not waiting or row[1] != waiting[-1][1]:
-                    waiting.append(row)
+                    waiting, held = [], len(row[2])
+                waiting.append(row)
         if waiting:
             yield opened(waiting)
 
     return run
 
 
-_GROUPED = "cluster long, `group` long, node long, tokens array<long>, root long, " + ", ".join(f"key{k} long" for k in range(ORDERS))
+_GROUPED = "cluster long, `group` long, node long, tokens array<long>, parts array<long>, root long, " + ", ".join(f"key{k} long" for k in range(ORDERS))
 
 
 def _grouped(sets: DataFrame, order: int, percent: int) -> DataFrame:
@@ -239,7 +249,6 @@ def _query_groups(percent: int):
 
 def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Links between components of clusters that have several groups. roots: (node, root) so far."""
-    threshold = Threshold(percent)
     labelled = stored(
         groups.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled"
     )
@@ -252,26 +261,14 @@ def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame
     ).where("root <> main")
     asking = stored(
         asking.select(
-            "cluster", F.col("group").alias("home"), "node", "root", "tokens",
+            "cluster", F.col("group").alias("home"), "node", "root", "tokens", "parts",
             F.pmod(F.xxhash64("node"), F.ceil(F.col("outside") / QUERIES_A_TASK)).alias("block"),
         ),
         "queries",
     )
-    matrix = labelled.select("cluster", "group", F.explode("tokens").alias("token")).distinct()
-    held = matrix.groupBy("cluster", "token").agg(F.count("*").alias("n_groups"))
-    wanted = asking.select("cluster", "node", "home", "block", F.explode("tokens").alias("token"), F.size("tokens").alias("n"))
-    ranked = wanted.join(held, ["cluster", "token"]).groupBy("cluster", "node", "home", "block", "n").agg(
-        F.sort_array(F.collect_list(F.struct("n_groups", "token"))).alias("by")
-    )
-    least = F.ceil(F.col("n") * threshold.percent / 100).cast("int")
-    rarest = ranked.select("cluster", "node", "home", "block", F.explode(F.slice("by", F.lit(1), F.col("n") - least + 1)).alias("t"))
-    reached = (
-        rarest.select("cluster", "node", "home", "block", F.col("t")["token"].alias("token"))
-        .join(matrix, ["cluster", "token"])
-        .where("`group` <> home")
-        .select("cluster", "group", "block", "node")
-        .distinct()
-    )
+    matrix = labelled.select("cluster", "group", F.explode("parts").alias("part")).distinct()
+    wanted = asking.select("cluster", "node", "home", "block", F.explode("parts").alias("part"))
+    reached = wanted.join(matrix, ["cluster", "part"]).where("`group` <> home").select("cluster", "group", "block", "node").distinct()
     reached = stored(reached, "reached")
     visits = reached.join(asking.select("cluster", "node", "root", "tokens"), ["cluster", "node"]).select(
         "cluster", "group", "block", "root", "tokens"
@@ -287,10 +284,10 @@ def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame
 def similar_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90
 ) -> DataFrame:
-    """One row per document row: row (a number of this run), id, n_shingles, component_id, first_row.
+    """One row per document row: id, t1 and t2 (hashes of its text), n_shingles, component_id, stays.
 
     component_id is the smallest id of the documents reachable by links, nulls left aside (null if all are null);
-    first_row is the smallest row number among them. Rows without words, null texts included, are alone. Repeated rows
+    stays marks the row of a component to keep, or its repeats. Rows without words, null texts included, are alone. Repeated rows
     and rows with equal sets are linked. An empty table gives no rows. Sets are compared by 64-bit hashes of their
     shingles, and equal sets are recognised by 128 bits.
     """
@@ -306,19 +303,21 @@ def similar_components(
         "sets",
     )
     same = ["n", "s1", "s2"]
-    nodes = sets.where("n > 0").groupBy(*same).agg(F.min(F.struct("row", "id", "t1", "t2")).alias("of"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "t1", "t2"))
+    nodes = sets.where("n > 0").groupBy(*same).agg(first.alias("of"))
     nodes = stored(nodes.select(*same, F.col("of.row").alias("node"), "of.id", "of.t1", "of.t2"), "nodes")
 
     parts = sets.select(F.explode("sigs").alias("sig"), "s1")
     met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most")
     met = stored(met.select("sig", "least"), "met")
-    stars = parts.join(met, "sig").where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b")).distinct()
+    stars = parts.join(sized(met, BROADCAST_ROWS), "sig").where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(stars).select(F.col("node").alias("s1"), F.col("root").alias("cluster"))
 
     members = nodes.join(clusters, "s1").select("cluster", "node", F.col("id").alias("j"), F.col("t1").alias("j1"), F.col("t2").alias("j2"))
+    members = sized(stored(members, "members"), BROADCAST_ROWS)
     read = keyed.join(members, (F.col("t1") == F.col("j1")) & (F.col("t2") == F.col("j2")) & F.col("id").eqNullSafe(F.col("j")))
-    token_schema = "cluster long, node long, tokens array<long>, " + ", ".join(f"key{k} long" for k in range(ORDERS))
-    tokens = stored(read.select("cluster", "node", "text").mapInArrow(_tokens_of(width), token_schema), "tokens")
+    token_schema = "cluster long, node long, tokens array<long>, parts array<long>, " + ", ".join(f"key{k} long" for k in range(ORDERS))
+    tokens = stored(read.select("cluster", "node", "text").mapInArrow(_tokens_of(width, percent), token_schema), "tokens")
 
     groups = _grouped(tokens, 0, percent)
     links = groups.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -332,9 +331,40 @@ def similar_components(
         links = links.unionByName(_cross_links(groups, so_far, percent))
     found = components(links)
 
-    placed = nodes.join(found, "node", "left").select(*same, F.coalesce("root", "node").alias("root"))
-    full = sets.where("n > 0").join(placed, same).select("row", "id", "n", "root")
-    named = full.groupBy("root").agg(F.min("id").alias("component_id"), F.min("row").alias("first_row"))
-    alone = sets.where("n = 0").select("row", "id", "n", F.col("id").alias("component_id"), F.col("row").alias("first_row"))
-    rows = full.join(named, "root").select("row", "id", "n", "component_id", "first_row").unionByName(alone)
-    return rows.select("row", F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "first_row")
+    placed = stored(nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("node")))
+    named = placed.groupBy("root").agg(first.alias("of")).select("root", F.col("of.id").alias("component_id"), F.col("of.node").alias("main"))
+    named = sized(stored(named, "named"), BROADCAST_ROWS)
+    known = placed.join(named, "root").select(*same, "component_id", (F.col("main") == F.col("node")).alias("leads"))
+    full = sets.where("n > 0").join(stored(known, "known"), same)
+    stays = F.col("leads") & F.col("id").eqNullSafe(F.col("component_id"))
+    alone = sets.where("n = 0").withColumn("component_id", F.col("id")).withColumn("stays", F.lit(True))
+    columns = ["id", "t1", "t2", "n", "component_id", "stays"]
+    rows = full.withColumn("stays", stays).select(*columns).unionByName(alone.select(*columns))
+    return rows.withColumnsRenamed({"id": id_col, "n": "n_shingles"})
+
+
+def without_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """Of each component one row stays, with all its columns: the one with the smallest id, nulls last.
+
+    Rows that agree in id and text are one row and stay once, with the other columns of any of them. Texts without
+    words are alone and stay.
+    """
+    found = similar_components(docs, id_col, text_col, width, percent).select(F.col(id_col).alias("id"), "t1", "t2", "stays")
+    counted = stored(found.groupBy("id", "t1", "t2").agg(F.max("stays").alias("stays"), F.count("*").alias("rows")), "kept")
+    k1, k2, k3 = free_names(docs, "t1", "t2", "t3")
+    text, name = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def among(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        keys = sized(chosen.select(F.col("t1").alias(k1), F.col("t2").alias(k2), F.col("id").alias(k3)), BROADCAST_ROWS)
+        same = (F.xxhash64(text) == F.col(k1)) & (F.xxhash64(F.lit(1), text) == F.col(k2)) & name.eqNullSafe(F.col(k3))
+        return rows.join(keys, same, how)
+
+    again = counted.where("rows > 1 AND stays")
+    once = among(docs, counted.where("rows > 1 OR NOT stays"), "left_anti")
+    if again.isEmpty():
+        return once.select(*columns)
+    return once.unionByName(among(docs, again, "left_semi").dropDuplicates([id_col, text_col])).select(*columns)
