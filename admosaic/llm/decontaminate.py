@@ -16,17 +16,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ascii_lower, plain_words, stored
+from .textops import ascii_lower, document_keys, free_names, plain_words, sized, stored
 
 WINDOW = 10
 BLOCK_TERMS = 200_000
 BLOCK_PHRASES = 100_000
+BROADCAST_ROWS = 1_000_000
 
 
 def _key(doc_id: Column, text: Column) -> list[Column]:
     """128 bits that tell documents apart; repeated rows share them and have the same result."""
-    name = doc_id.cast("string")
-    return [F.xxhash64(name, text).alias("k1"), F.xxhash64(F.lit(1), text, name).alias("k2")]
+    return [k.alias(name) for k, name in zip(document_keys(text, doc_id), ("k1", "k2"), strict=True)]
 
 
 def benchmark_phrases(items: DataFrame, item_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
@@ -157,6 +157,15 @@ def covered_words(spans: Column) -> Column:
     )
 
 
+def _search(own, items, id_col, text_col, item_col, item_text_col, window) -> tuple[DataFrame, DataFrame, DataFrame]:
+    phrases = stored(benchmark_phrases(items, item_col, item_text_col, window), "phrases")
+    terms = phrases.select(F.explode("words").alias("t")).select(F.lower("t").alias("term")).distinct()
+    ranked = stored(rank_phrases(phrases, term_counts(own, text_col, terms)), "ranked")
+    index = stored(positional_index(own, id_col, text_col, ranked, window), "index")
+    exact, close = phrase_matches(index, ranked)
+    return phrases, stored(exact.distinct(), "matches"), close
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -173,12 +182,7 @@ def contamination(
     nothing is hit. Items under one id, and rows repeated, count once and each get the same result.
     """
     own = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    phrases = stored(benchmark_phrases(items, item_col, item_text_col, window), "phrases")
-    terms = phrases.select(F.explode("words").alias("t")).select(F.lower("t").alias("term")).distinct()
-    ranked = stored(rank_phrases(phrases, term_counts(own, text_col, terms)), "ranked")
-    index = stored(positional_index(own, id_col, text_col, ranked, window), "index")
-    exact, close = phrase_matches(index, ranked)
-    exact = stored(exact.distinct(), "matches")
+    phrases, exact, close = _search(own, items, id_col, text_col, item_col, item_text_col, window)
     owners = phrases.select("phrase", F.col("item").cast("string").alias("item")).distinct()
     named = (
         exact.select("k1", "k2", "phrase").distinct().join(owners, "phrase").select("k1", "k2", "item").distinct()
@@ -206,3 +210,21 @@ def contamination(
         F.coalesce("near_items", F.lit(0).cast("long")).alias("near_items"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The documents without any word inside a window of an item, with all their columns."""
+    own = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    _, exact, _ = _search(own, items, id_col, text_col, item_col, item_text_col, window)
+    k1, k2 = free_names(docs, "k1", "k2")
+    hit = sized(stored(exact.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "hit"), BROADCAST_ROWS)
+    keys = document_keys(F.col(f"`{text_col}`"), F.col(f"`{id_col}`"))
+    return docs.join(hit, (keys[0] == F.col(k1)) & (keys[1] == F.col(k2)), "left_anti")

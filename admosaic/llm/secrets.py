@@ -12,10 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import stored
+from .textops import document_keys, free_names, sized, stored
 
 #: A value held by so many owners is an example.
 EXAMPLE_OWNERS = 3
+#: Rows with live spans that the join back to the texts may broadcast.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -138,22 +140,31 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str | None = "source", repo_col: str = "doc_id", filler: str = "[SECRET]") -> DataFrame:
-    """The documents with every live span replaced by filler; examples stay, other columns too. Overlapping spans are
-    replaced together, once."""
-    numbered = docs.withColumn("_s_text", F.col(f"`{text_col}`")).withColumn("_s_row", F.xxhash64(F.col(f"`{id_col}`").cast("string"), "_s_text"))
-    numbered = numbered.withColumn("_s_two", F.xxhash64(F.lit(1), "_s_text", F.col(f"`{id_col}`").cast("string")))
-    key = F.struct("_s_row", "_s_two")
-    narrow = numbered.select(
-        key.alias("key"), F.col("_s_text").alias("text"),
-        (F.col(f"`{owner_col}`") if owner_col else F.lit(None)).alias("owner"), F.col(f"`{repo_col}`").alias("repo"),
-    )
+def redacted(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    owner_col: str | None = "source",
+    repo_col: str = "doc_id",
+    length_col: str | None = None,
+    filler: str = "[SECRET]",
+) -> DataFrame:
+    """The documents with every live span replaced by filler; examples and other columns stay. Overlapping spans are
+    replaced together, once. length_col, if given and there, is set to the new length where the text has changed."""
+    text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    k1, k2, at, new = free_names(docs, "k1", "k2", "live_spans", "new_text")
+    narrow = docs.select(
+        F.struct(*[k.alias(n) for k, n in zip(document_keys(text, doc_id), ("k1", "k2"), strict=True)]).alias("key"),
+        text.alias("text"),
+        (F.col(f"`{owner_col}`") if owner_col else F.lit(None)).alias("owner"),
+        F.col(f"`{repo_col}`").alias("repo"),
+    )
     judged = secret_spans(narrow, "key", "text", "owner", "repo")
     live = judged.select("key", F.filter("spans", lambda s: s["live"]).alias("live")).where(F.size("live") > 0)
-    live = live.groupBy("key").agg(F.min("live").alias("_s_live")).select("key.*", "_s_live")
-    text = F.col("_s_text")
+    live = live.groupBy("key").agg(F.min("live").alias("live"))
+    live = live.select(F.col("key.k1").alias(k1), F.col("key.k2").alias(k2), F.col("live").alias(at))
     cut = F.aggregate(
-        F.col("_s_live"),
+        F.col(at),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
@@ -163,6 +174,11 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    joined = numbered.join(live, ["_s_row", "_s_two"], "left")
-    done = F.when(F.col("_s_live").isNull(), text).otherwise(cut)
-    return joined.select(*[done.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    keys = document_keys(text, doc_id)
+    joined = docs.join(sized(stored(live, "live"), BROADCAST_ROWS), (keys[0] == F.col(k1)) & (keys[1] == F.col(k2)), "left")
+    joined = joined.withColumn(new, F.when(F.col(at).isNull(), text).otherwise(cut))
+    changed = {text_col: F.col(new)}
+    if length_col in docs.columns:
+        length = F.length(new).cast(docs.schema[length_col].dataType)
+        changed[length_col] = F.when(F.col(at).isNull(), F.col(f"`{length_col}`")).otherwise(length)
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

@@ -55,3 +55,25 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def sized(frame: DataFrame, most: int) -> DataFrame:
+    """The frame, marked for broadcast if it has at most so many rows; beyond, the join shuffles."""
+    return F.broadcast(frame) if frame.count() <= most else frame
+
+
+def document_keys(text: Column, doc_id: Column) -> list[Column]:
+    """Two 64-bit hashes of a row's text and id, by which results of a row find their way back to it."""
+    name = doc_id.cast("string")
+    return [F.xxhash64(name, text), F.xxhash64(F.lit(1), text, name)]
+
+
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of the frame has them (case aside)."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
