@@ -13,6 +13,7 @@ from .decontaminate import contamination
 from .jaccard import similar_components
 from .quality import quality_report
 from .secrets import secret_report
+from .token_files import read_token_files, write_token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,12 +56,19 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, from files of patched frame-of-reference blocks."""
+    files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(files, digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scans": op2_secret_scans,
     "op3_byte_level_bpe": op3_byte_level_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_token_files": op8_token_files,
 }
 
 ORACLES: dict[str, str] = {
