@@ -30,7 +30,7 @@ BLOCK = 4096
 PERCENTILE = 95
 ROWS = 128
 #: Ids in a block, its minimum, the width, and the number of exceptions.
-_HEAD = struct.Struct("<IIBH")
+_HEAD = "<IIBH"
 
 
 def pack_block(values: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -42,14 +42,14 @@ def pack_block(values: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     places = np.flatnonzero(above >> width)
     bits = ((above[:, None] >> np.arange(width)) & 1).astype(np.uint8)
     packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
-    head = _HEAD.pack(len(values), low, width, len(places))
+    head = struct.pack(_HEAD, len(values), low, width, len(places))
     return head + packed + places.astype("<u2").tobytes() + (above[places] >> width).astype("<u4").tobytes()
 
 
 def unpack_block(data: bytes) -> np.ndarray:
-    n, low, width, patches = _HEAD.unpack_from(data)
+    n, low, width, patches = struct.unpack_from(_HEAD, data)
     size = (n * width + 7) // 8
-    at = _HEAD.size
+    at = struct.calcsize(_HEAD)
     bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
     above = np.zeros(n, np.int64)
     for k in range(width):
