@@ -141,3 +141,53 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
        coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
 FROM d LEFT JOIN a USING (r)
 """
+
+# Phrases and statements of the license scan.
+_PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+_STATEMENTS = (
+    ("released under the mit license", "mit"),
+    ("permission is hereby granted free of charge to any person", "mit"),
+    ("licensed under the apache license version 2 0", "apache-2"),
+    ("licensed under cc by nc 4 0", "cc-by-nc"),
+    ("licensed under cc by 4 0", "cc-by"),
+    ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under the gnu general public license version 3", "gpl-3"),
+    ("licensed under the gnu general public license version 2", "gpl-2"),
+    ("mozilla public license version 2 0", "mpl-2"),
+    ("redistribution and use in source and binary forms", "bsd"),
+    ("all rights reserved", "all-rights-reserved"),
+)
+
+
+def _values(pairs: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join(f"({k}, string_split('{text}', ' '), '{label}')" for k, (text, label) in enumerate(pairs))
+
+
+LICENSES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_plain_words("text")} AS w FROM documents
+), ph(n, p, label) AS (
+  VALUES {_values(_PHRASES)}
+), tp(n, t, label) AS (
+  VALUES {_values(_STATEMENTS)}
+), occ AS (
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), base AS (
+  SELECT r, i - 1 AS pos, label FROM occ JOIN ph ON w[i] = p[1] AND w[i:i + len(p) - 1] = p
+), b AS (
+  SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS ls FROM base GROUP BY r
+), blocks AS (
+  SELECT r, w[s + 1:s + 20] AS x FROM (SELECT r, w, unnest(range(0, greatest(len(w), 1), 10)) AS s FROM d)
+), pairs AS (
+  SELECT r, label, len(list_intersect(list_distinct(t), list_distinct(x))) AS shared, len(list_distinct(t)) AS n FROM blocks, tp
+), held AS (
+  SELECT * FROM pairs WHERE 100 * shared >= 85 * n
+), m AS (
+  SELECT r, list(DISTINCT label) AS ls, max(shared / n) AS share, count(*) AS n_blocks FROM held GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(b.ls, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.ls, []), coalesce(m.ls, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score, coalesce(n_blocks, 0)::BIGINT AS n_blocks
+FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
+"""

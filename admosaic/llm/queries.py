@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import bpe, checks
 from .decontaminate import contamination
 from .jaccard import similar_components
+from .licenses import license_report
 from .quality import quality_report
 from .secrets import secret_report
 from .token_files import read_token_files, write_token_files
@@ -62,6 +63,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files, digests=True)
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and statements of every document."""
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scans": op2_secret_scans,
@@ -69,10 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_token_files": op8_token_files,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLES: dict[str, str] = {
     "op2_secret_scans": checks.SECRETS,
     "op4_quality_rules": checks.QUALITY,
     "op6_benchmark_decontamination": checks.DECONTAMINATION,
+    "op10_license_scans": checks.LICENSES,
 }
