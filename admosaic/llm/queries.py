@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, checks
 from .decontaminate import contamination
 from .jaccard import similar_components
 from .licenses import license_report
+from .pii import PATTERNS, with_surrogates
 from .quality import quality_report
 from .secrets import secret_report
 from .token_files import read_token_files, write_token_files
@@ -68,6 +69,17 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and how many entities of each kind it had."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = with_surrogates(docs, key="corpus")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x == kind)).cast("long").alias(f"n_{kind}")
+
+    return done.select("doc_id", "text", *[count(kind) for kind, _ in PATTERNS])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scans": op2_secret_scans,
@@ -75,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_token_files": op8_token_files,
+    "op9_pii_surrogates": op9_pii_surrogates,
     "op10_license_scans": op10_license_scans,
 }
 
