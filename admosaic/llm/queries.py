@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import bpe, checks
 from .decontaminate import contamination
 from .jaccard import similar_components
+from .langid import identify, page_records, train
 from .licenses import license_report
 from .pii import PATTERNS, with_surrogates
 from .quality import quality_report
@@ -38,6 +39,27 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumn("failed_rules", rated["failed_rules"].cast("string"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page and every document.
+
+    Likelihoods are learnt from the documents whose crc32(doc_id as text) is not 0 modulo 5. Documents declare nothing;
+    their source is their host, and its prior counts the languages of the documents learnt from.
+    """
+    docs = table(spark, sf_dir, "documents")
+    learnt = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
+    languages, likelihoods = train(docs.where(learnt), "text", "lang")
+    none = F.lit(None).cast("string")
+    label = F.when(learnt, F.col("lang"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text", none.alias("declared"), label.alias("label"), F.col("source").alias("host"))
+    of_pages = identify(page_records(table(spark, sf_dir, "pages")), languages, likelihoods)
+    of_texts = identify(texts, languages, likelihoods)
+    columns = ["declared", "host", "lang", "probability", "text_lang"]
+    no_id = F.lit(None).cast("long")
+    return of_texts.select(F.col("id").alias("doc_id"), no_id.alias("page_id"), *columns).unionByName(
+        of_pages.select(no_id.alias("doc_id"), F.col("id").alias("page_id"), *columns)
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside a 10-word window of a benchmark item, and the items."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_byte_level_bpe": op3_byte_level_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_token_files": op8_token_files,
     "op9_pii_surrogates": op9_pii_surrogates,
