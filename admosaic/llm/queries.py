@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, checks
+from .brown import perplexities
 from .decontaminate import contamination
 from .jaccard import similar_components
 from .langid import identify, page_records, train
@@ -80,6 +81,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-model and unigram scores of every document, learnt from those whose crc32 is not 2 modulo 7."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return perplexities(table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, from files of patched frame-of-reference blocks."""
     files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_token_files": op8_token_files,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_license_scans": op10_license_scans,

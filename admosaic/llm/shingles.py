@@ -32,18 +32,18 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every word of UTF-8 bytes; A-Z count as a-z, words end at space, tab, \\n, \\v, \\f and \\r."""
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of UTF-8 bytes; A-Z count as a-z, words end at space, tab, \\n, \\v, \\f and \\r."""
     data = np.where((data >= 65) & (data <= 90), data | 32, data)
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _power_tables(len(data) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[: len(data)], dtype=np.uint64)))
-    return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
     chunk, size = [], 0
     for text in texts:
         if chunk and size + len(text) > CHUNK:
@@ -57,9 +57,9 @@ def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     """For each text the sorted hashes of its distinct runs of width words; with fewer words, of the whole sequence."""
-    for chunk in _chunks(texts):
+    for chunk in chunks(texts):
         begins = np.cumsum([0] + [len(t) + 1 for t in chunk])
-        starts, words = word_hashes(np.frombuffer(b"\n".join(chunk), np.uint8))
+        starts, _, words = word_hashes(np.frombuffer(b"\n".join(chunk), np.uint8))
         first = np.searchsorted(starts, begins)
         runs = mix(words, width)
         for k in range(1, width):
