@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
-from itertools import chain
+import re
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -20,9 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import models
 
-#: Rows encoded together, and distinct pieces kept in mind by a task; neither changes a result.
+from .textops import process_cache
+
+#: Rows encoded together, and distinct pieces that a worker process keeps; neither changes a result.
 ROWS = 128
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -32,6 +35,42 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
+def _members(of: str) -> str:
+    """The characters of a class below U+10000, as ranges for the standard library's regular expressions."""
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    runs = (m.group() for m in regex.finditer(f"{of}+", every))
+    return "".join(f"\\u{ord(r[0]):04x}-\\u{ord(r[-1]):04x}" for r in runs)
+
+
+def cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Cuts a text into its matches of the pattern. The public pattern has a twin with its classes spelt out, which
+    is faster and serves every text without characters from U+10000 on."""
+    plain = regex.compile(pattern).findall
+    if pattern != public_tokenizers.PATTERN:
+        return plain
+    letters, numbers, space = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\s")
+    twin = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+"
+    ).findall
+    beyond = re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: plain(text) if beyond(text) else twin(text)
+
+
+class PieceIds(dict):
+    """From a piece to its ids, as the bytes of 32-bit numbers; a piece is encoded when it is first asked for."""
+
+    def __init__(self, model: models.Model):
+        super().__init__()
+        self.model, self.translation = model, byte_characters()
+
+    def __missing__(self, piece: str) -> bytes:
+        named = piece.encode().decode("latin-1").translate(self.translation)
+        ids = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
+        if len(self) < KEPT_PIECES:
+            self[piece] = ids
+        return ids
+
+
 class ByteBpe:
     """Encoder and decoder for one rank file, given as its bytes."""
 
@@ -39,8 +78,7 @@ class ByteBpe:
         pairs = (line.split() for line in rank_file.splitlines() if line.strip())
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         to_char = byte_characters()
-        self.translation = {b: c for b, c in to_char.items()}
-        named = {token: self._named(token) for token in ranks}
+        named = {token: token.decode("latin-1").translate(to_char) for token in ranks}
         merges = [
             (named[token[:cut]], named[token[cut:]])
             for token in sorted(ranks, key=ranks.__getitem__)
@@ -48,43 +86,44 @@ class ByteBpe:
             if token[:cut] in ranks and token[cut:] in ranks
         ]
         vocab = {named[token]: rank for token, rank in ranks.items()}
-        self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True)
-        self.pieces = regex.compile(pattern).findall
+        self.ids_of = PieceIds(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
+        self.pieces = cutter(pattern)
         # Decoding: the byte table turned round, from characters back to bytes.
         to_byte = {c: b for b, c in to_char.items()}
         self.bytes_of = {rank: bytes(to_byte[c] for c in name) for name, rank in vocab.items()}
-        self.known: dict[str, list[int]] = {}
+        self.lengths = np.zeros(max(self.bytes_of) + 1, np.int64)
+        for rank, data in self.bytes_of.items():
+            self.lengths[rank] = len(data)
 
-    def _named(self, data: bytes) -> str:
-        return data.decode("latin-1").translate(self.translation)
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.ids_of.__getitem__, self.pieces(text))), np.uint32)
 
-    def encode(self, text: str) -> list[int]:
-        if len(self.known) >= KEPT_PIECES:
-            self.known.clear()
-        known, pieces = self.known, self.pieces(text)
-        for piece in set(pieces).difference(known):
-            known[piece] = [t.id for t in self.model.tokenize(self._named(piece.encode()))]
-        return list(chain.from_iterable(map(known.__getitem__, pieces)))
-
-    def decode_bytes(self, ids: list[int]) -> bytes:
+    def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; a character of which only some bytes are there becomes U+FFFD."""
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
-    def offsets(self, ids: list[int], data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def offsets(self, ids: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """For each token the number of the character it starts in, and whether it starts inside that character."""
-        lengths = np.fromiter((len(self.bytes_of[i]) for i in ids), np.int64, len(ids))
+        lengths = self.lengths[ids]
         inside = (np.frombuffer(data, np.uint8) & 0xC0) == 0x80
         starts = np.cumsum(lengths) - lengths
         characters = np.cumsum(~inside) - 1
         return characters[starts], inside[starts]
 
 
+def _coder(rank_file: bytes, pattern: str) -> ByteBpe:
+    kept, key = process_cache("byte-bpe"), (hashlib.sha256(rank_file).hexdigest(), pattern)
+    if key not in kept:
+        kept[key] = ByteBpe(rank_file, pattern)
+    return kept[key]
+
+
 def _encoded(rank_file: bytes, pattern: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(rank_file, pattern)
+        bpe = _coder(rank_file, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -97,12 +136,12 @@ def _encoded(rank_file: bytes, pattern: str, digests: bool):
                     columns = {
                         "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
                         "n_split": split,
-                        "ids_sha256": pa.array([hashlib.sha256(np.array(i, "<u4").tobytes()).hexdigest() for i in ids]),
-                        "decoded_sha256": pa.array([hashlib.sha256(bpe.decode_bytes(i)).hexdigest() for i in ids]),
+                        "ids_sha256": pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids]),
+                        "decoded_sha256": pa.array([hashlib.sha256(bpe.decode_bytes(i.tolist())).hexdigest() for i in ids]),
                     }
                 else:
                     columns = {
-                        "ids": pa.array(ids, pa.list_(pa.int32())),
+                        "ids": pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
                         "starts": pa.array([c.tolist() for c, _ in placed], pa.list_(pa.int32())),
                         "n_split": split,
                     }
@@ -113,7 +152,7 @@ def _encoded(rank_file: bytes, pattern: str, digests: bool):
 
 def _decoded(rank_file: bytes, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(rank_file, pattern)
+        bpe = _coder(rank_file, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,3 +79,9 @@ def free_names(frame: DataFrame, *names: str) -> list[str]:
             name = f"_{name}"
         out.append(name)
     return out
+
+
+def process_cache(name: str) -> dict:
+    """A dictionary that the tasks of one worker process share; losing it costs time only."""
+    module = sys.modules.setdefault("corpus_process_cache", types.ModuleType("corpus_process_cache"))
+    return module.__dict__.setdefault(name, {})

@@ -12,19 +12,17 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import KEPT_PIECES, byte_characters
-from .textops import sized, stored
+from .bpe import PieceIds, cutter
+from .textops import process_cache, sized, stored
 
 BLOCK = 4096
 PERCENTILE = 95
@@ -86,30 +84,29 @@ class FileTokenizer:
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space", True)
         )
-        self.model, self.known = self.whole.model, {}
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.translation = byte_characters()
+        self.ids_of, self.pieces = PieceIds(self.whole.model), cutter(public_tokenizers.PATTERN)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if not self.by_piece:
-            return self.whole.encode(text, add_special_tokens=False).ids
-        if len(self.known) >= KEPT_PIECES:
-            self.known.clear()
-        known, pieces = self.known, self.pieces(text)
-        for piece in set(pieces).difference(known):
-            named = piece.encode().decode("latin-1").translate(self.translation)
-            known[piece] = [t.id for t in self.model.tokenize(named)]
-        return list(chain.from_iterable(map(known.__getitem__, pieces)))
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.frombuffer(b"".join(map(self.ids_of.__getitem__, self.pieces(text))), np.uint32)
+
+
+def _tokenizer(file: str) -> FileTokenizer:
+    kept = process_cache("tokenizer-files")
+    if file not in kept:
+        kept[file] = FileTokenizer(file)
+    return kept[file]
 
 
 def _packed(file: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, context, before = FileTokenizer(file), TaskContext.get(), 0
+        tokenizer, context, before = _tokenizer(file), TaskContext.get(), 0
         part = context.partitionId() if context else 0
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                ids = [np.array([*tokenizer.encode(t or ""), end], np.uint32) for t in rows.column("text").to_pylist()]
+                ids = [np.append(tokenizer.encode(t or ""), np.uint32(end)) for t in rows.column("text").to_pylist()]
                 counts = np.array([len(i) for i in ids], np.int64)
                 starts = before + np.cumsum(counts) - counts
                 before += int(counts.sum())
