@@ -21,7 +21,8 @@ from .textops import stored
 
 EXCHANGE_WORDS = 2048
 CLASSES = 48
-ROUNDS = 4
+#: Every word is moved ROUNDS times, a TURNS-th of the words at once.
+ROUNDS, TURNS = 2, 4
 #: Words whose counts every task holds; the counts of all others are joined.
 HELD_WORDS = 32_768
 #: Weight of a class's own frequency in a transition.
@@ -121,29 +122,35 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
 
-def _exchange(joint: np.ndarray, totals: np.ndarray):
-    """For each word of a group of rows (word, side, class, n) the class it fits best, others staying where they are.
+def _exchange(joint: np.ndarray):
+    """Moves the words of one turn, each to the class that makes the text's class pairs most likely, one by one.
 
-    The gain of a move is that of the likelihood of all class pairs; the word's own pairs with itself are left aside.
+    Rows are (word, side, class, n, now): how often each class follows (side 0) or precedes (side 1) a word.
     """
 
     def run(table: pa.Table) -> pa.Table:
         word, side, other, n, now = (table.column(c).to_numpy() for c in ("word", "side", "class", "n", "now"))
-        out = []
-        for w in np.unique(word):
-            mine = word == w
-            right, left = (np.bincount(other[mine & (side == s)], n[mine & (side == s)], len(totals)) for s in (0, 1))
-            home, count = int(now[mine][0]), right.sum()
-            rest, sums = joint.astype(np.float64).copy(), totals.astype(np.float64).copy()
-            rest[home, :] -= right
-            rest[:, home] -= left
-            sums[home] -= count
-            rest = np.maximum(rest, 0)
-            gain_rows = (_log_sum(rest[:CLASSES] + right) - _log_sum(rest[:CLASSES])).sum(axis=1)
-            gain_columns = (_log_sum(rest[:, :CLASSES] + left[:, None]) - _log_sum(rest[:, :CLASSES])).sum(axis=0)
-            gain = gain_rows + gain_columns - 2 * (_log_sum(sums[:CLASSES] + count) - _log_sum(sums[:CLASSES]))
-            out.append((int(w), int(np.argmax(np.round(gain, 6)))))
-        return pa.table({"word": pa.array([w for w, _ in out], pa.int64()), "class": pa.array([c for _, c in out], pa.int64())})
+        order = np.argsort(word, kind="stable")
+        word, side, other, n, now = (x[order] for x in (word, side, other, n, now))
+        words, first = np.unique(word, return_index=True)
+        cells, every, moved = joint.astype(np.float64).copy(), len(joint), []
+        for w, a, b in zip(words, first, np.append(first[1:], len(word)), strict=True):
+            right = np.bincount(other[a:b], np.where(side[a:b] == 0, n[a:b], 0), every)
+            left = np.bincount(other[a:b], np.where(side[a:b] == 1, n[a:b], 0), every)
+            home, count = int(now[a]), right.sum()
+            cells[home, :] -= right
+            cells[:, home] -= left
+            cells = np.maximum(cells, 0)
+            sums = cells.sum(axis=1)
+            gain = (_log_sum(cells[:CLASSES] + right) - _log_sum(cells[:CLASSES])).sum(axis=1)
+            gain += (_log_sum(cells[:, :CLASSES] + left[:, None]) - _log_sum(cells[:, :CLASSES])).sum(axis=0)
+            gain -= 2 * (_log_sum(sums[:CLASSES] + count) - _log_sum(sums[:CLASSES]))
+            best = int(np.argmax(gain))
+            best = home if gain[home] >= gain[best] - 1e-6 else best
+            cells[best, :] += right
+            cells[:, best] += left
+            moved.append((int(w), best))
+        return pa.table({"word": pa.array([w for w, _ in moved], pa.int64()), "class": pa.array([c for _, c in moved], pa.int64())})
 
     return run
 
@@ -204,19 +211,18 @@ def train(texts: DataFrame, counts: DataFrame, text_col: str = "text") -> Model:
         return joint
 
     joint = class_pairs()
-    for turn in range(ROUNDS):
+    for turn in range(ROUNDS * TURNS):
         if not len(words):
             break
         named = F.broadcast(class_map()).withColumnsRenamed({"item": "other"})
         sides = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.lit(0).cast("long").alias("side"), "n").unionByName(
             pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.lit(1).cast("long").alias("side"), "n")
         )
-        moving = (F.col("word") < len(words)) & (F.col("word") % 2 == turn % 2)
+        moving = (F.col("word") < len(words)) & (F.col("word") % TURNS == turn % TURNS)
         around = sides.where(moving).join(named, "other").groupBy("word", "side", "class").agg(F.sum("n").alias("n"))
         around = around.join(F.broadcast(class_map()).withColumnsRenamed({"item": "word", "class": "now"}), "word")
-        best = around.groupBy((F.col("word") % 64).alias("block")).applyInArrow(
-            _exchange(joint, joint.sum(axis=1)), "word long, class long"
-        )
+        # One group, as each move counts for the next: at most EXCHANGE_WORDS / TURNS words with their classes.
+        best = around.groupBy(F.lit(0).alias("all")).applyInArrow(_exchange(joint), "word long, class long")
         for r in best.collect():
             now[r["word"]] = r["class"]
         joint = class_pairs()
