@@ -1,8 +1,9 @@
 """Exact Jaccard join of documents on word shingles, with a token-group matrix.
 
 1. Signatures. A set's hash range is cut into more parts than two linked sets of its size can differ in, so linked
-   sets agree on whole parts. Sets that agree on a part are joined through the smallest of them; what hangs together
-   is a cluster. Linked sets are always in one cluster, and most documents are in none.
+   sets agree on whole parts. Of the sets that agree on a part, those are joined whose part bytes differ in no more
+   parts than linked sets can; what hangs together is a cluster. Linked sets are always in one cluster, and most
+   documents are in none.
 2. Groups. Each cluster is sorted by its smallest hashes, which brings similar sets together, and cut into groups of
    at most GROUP sets. A group is opened in one task; clusters of one group, nearly all, are finished there.
 3. Larger clusters are cut and opened again in other orders, then the sets outside a cluster's largest component
@@ -16,6 +17,7 @@ per copy, and no pair between different sets is lost for their components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ GROUP = 512
 #: Token places that a group holds at most, unless one set alone has more.
 GROUP_TOKENS = 1 << 22
 QUERIES_A_TASK = 1024
+#: Sets that agree on a part are compared if they are at most so many; more are joined without, which loses nothing.
+MEETING = 1024
 #: Rows of a few numbers each that a join may broadcast (some 40 MB).
 BROADCAST_ROWS = 1_000_000
 ORDERS = 3
@@ -69,22 +73,42 @@ class Threshold:
         return out
 
 
-def signatures(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """One 64-bit signature for each part of the hash range and size class.
+@lru_cache(maxsize=4096)
+def part_count(percent: int, low: int, high: int) -> tuple[int, int]:
+    """Parts for sets of low to high tokens, and how many of them may be empty without being signatures.
 
-    There are two parts more than linked sets can differ in, so they agree on two at least. A set with one empty part
-    leaves it out, as one of the two is not empty then; a set with more keeps them.
+    Linked sets agree on spare + 1 parts at least, and spare is chosen so that few sets have more empty ones.
+    """
+    apart = Threshold(percent).most_apart(high, high)
+    for spare in range(1, 3 + apart // 3):
+        parts = apart + 1 + spare
+        empty = parts * np.exp(-low / parts)
+        if spare >= empty + 4 * np.sqrt(empty) + 0.5:
+            break
+    return parts, spare
+
+
+def signatures(hashes: np.ndarray, threshold: Threshold) -> list[tuple[int, np.ndarray, bytes]]:
+    """For each size class its lowest size, a 64-bit signature for each part, and a byte for each part.
+
+    Linked sets agree on more parts than are spared. A set with no more empty parts than that leaves them out, as one
+    of the agreeing parts is not empty then; a set with more keeps them.
     """
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes, 7), dtype=np.uint64)))
     out = []
     for low, high in threshold.classes(len(hashes)):
-        parts = threshold.most_apart(high, high) + 2
+        parts, spare = part_count(threshold.percent, low, high)
         bounds = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         cuts = np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
         sig = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(np.arange(parts, dtype=np.uint64), low), 11)
         full = cuts[1:] > cuts[:-1]
-        out.append(sig if np.count_nonzero(~full) > 1 else sig[full])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        kept = sig if np.count_nonzero(~full) > spare else sig[full]
+        out.append((low, kept, (sig >> np.uint64(56)).astype(np.uint8).tobytes()))
+    return out
+
+
+def all_signatures(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint64), *[sig for _, sig, _ in signatures(hashes, threshold)]])
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -98,7 +122,7 @@ def _sets_of(width: int, percent: int):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = list(shingle_sets(_texts(part), width))
-                sigs = [signatures(s, threshold) for s in sets]
+                schemes = [signatures(s, threshold) for s in sets]
                 ids = np.array([(mix(s, 3).sum(dtype=np.uint64), mix(s, 5).sum(dtype=np.uint64)) for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -106,20 +130,64 @@ def _sets_of(width: int, percent: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(ids[:, 0].view(np.int64)),
                         pa.array(ids[:, 1].view(np.int64)),
-                        _lists(sigs),
+                        *[column for k in range(2) for column in _scheme([x[k] if len(x) > k else None for x in schemes])],
                     ],
-                    ["row", "id", "t1", "t2", "n", "s1", "s2", "sigs"],
+                    ["row", "id", "t1", "t2", "n", "s1", "s2", *[f"{c}{k}" for k in range(2) for c in ("size", "sigs", "bytes")]],
                 )
 
     return run
 
 
+def _scheme(column: list) -> list[pa.Array]:
+    none = np.empty(0, np.uint64)
+    return [
+        pa.array([x and x[0] for x in column], pa.int64()),
+        _lists([none if x is None else x[1] for x in column]),
+        pa.array([x and x[2] for x in column], pa.binary()),
+    ]
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
     values = np.concatenate([np.empty(0, np.uint64), *arrays]).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _close_sets(percent: int):
+    """Rows sorted by signature in; links out from each set to the smallest it reaches through sets that agree on the
+    signature and whose bytes differ in few enough parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        threshold, waiting = Threshold(percent), []
+
+        def close(rows: list) -> list[tuple[int, int]]:
+            nodes = np.array([r[1] for r in rows])
+            sizes = np.array([r[2] for r in rows])
+            told = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+            apart = np.zeros((len(rows), len(rows)), np.int32)
+            for part in told.T:
+                apart += part[:, None] != part[None, :]
+            most = (sizes[:, None] + sizes[None, :]) * (100 - threshold.percent) // (100 + threshold.percent)
+            roots = _roots(nodes, apart <= most)
+            return [(int(a), int(b)) for a, b in zip(nodes, roots, strict=True) if a != b]
+
+        def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
+
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in ("sig", "s1", "n", "bytes")], strict=True):
+                if waiting and row[0] != waiting[0][0]:
+                    links += close(waiting) if len(waiting) > 1 else []
+                    waiting = []
+                waiting.append(row)
+            yield out(sorted(set(links)))
+        if len(waiting) > 1:
+            yield out(close(waiting))
+
+    return run
+
+
 def _tokens_of(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         threshold = Threshold(percent)
@@ -129,7 +197,7 @@ def _tokens_of(width: int, percent: int):
                 sets = list(shingle_sets(_texts(part), width))
                 keys = [pa.array([int(mix(s, 100 + k).min().view(np.int64)) for s in sets], pa.int64()) for k in range(ORDERS)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cluster"), part.column("node"), _lists(sets), _lists([signatures(x, threshold) for x in sets]), *keys],
+                    [part.column("cluster"), part.column("node"), _lists(sets), _lists([all_signatures(x, threshold) for x in sets]), *keys],
                     ["cluster", "node", "tokens", "parts", *[f"key{k}" for k in range(ORDERS)]],
                 )
 
@@ -298,7 +366,8 @@ def similar_components(
     numbered = keyed.select(F.monotonically_increasing_id().alias("row"), "id", "text", "t1", "t2")
     sets = stored(
         numbered.mapInArrow(
-            _sets_of(width, percent), f"row long, id {kind}, t1 long, t2 long, n long, s1 long, s2 long, sigs array<long>"
+            _sets_of(width, percent), f"row long, id {kind}, t1 long, t2 long, n long, s1 long, s2 long, "
+            + ", ".join(f"size{k} long, sigs{k} array<long>, bytes{k} binary" for k in range(2)),
         ),
         "sets",
     )
@@ -307,10 +376,17 @@ def similar_components(
     nodes = sets.where("n > 0").groupBy(*same).agg(first.alias("of"))
     nodes = stored(nodes.select(*same, F.col("of.row").alias("node"), "of.id", "of.t1", "of.t2"), "nodes")
 
-    parts = sets.select(F.explode("sigs").alias("sig"), "s1")
-    met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most")).where("least < most")
-    met = stored(met.select("sig", "least"), "met")
-    stars = parts.join(sized(met, BROADCAST_ROWS), "sig").where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b")).distinct()
+    schemes = F.array(*[F.struct(F.col(f"size{k}").alias("size"), F.col(f"sigs{k}").alias("sigs"), F.col(f"bytes{k}").alias("bytes")) for k in range(2)])
+    parts = sets.select("s1", F.explode(schemes).alias("x")).select("s1", "x.size", F.explode("x.sigs").alias("sig"))
+    met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most"), F.count("*").alias("sets"))
+    met = stored(met.where("least < most").select("sig", "least", "sets"), "met")
+    meeting = stored(parts.join(sized(met, BROADCAST_ROWS), "sig").distinct(), "meeting")
+    stars = meeting.where(F.col("sets") > MEETING).where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b"))
+    told = sets.select("s1", "n", F.explode(schemes).alias("x")).select("s1", "n", "x.size", "x.bytes").where("size IS NOT NULL")
+    told = told.join(meeting.select("s1", "size").distinct(), ["s1", "size"], "left_semi").dropDuplicates(["s1", "size"])
+    small = meeting.where(F.col("sets") <= MEETING).select("sig", "s1", "size").join(told, ["s1", "size"])
+    compared = small.repartition("sig").sortWithinPartitions("sig", "s1").mapInArrow(_close_sets(percent), "a long, b long")
+    stars = stars.unionByName(compared).distinct()
     clusters = components(stars).select(F.col("node").alias("s1"), F.col("root").alias("cluster"))
 
     members = nodes.join(clusters, "s1").select("cluster", "node", F.col("id").alias("j"), F.col("t1").alias("j1"), F.col("t2").alias("j2"))
