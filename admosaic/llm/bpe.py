@@ -25,7 +25,7 @@ from .textops import process_cache
 
 #: Rows encoded together, and distinct pieces that a worker process keeps; neither changes a result.
 ROWS = 128
-KEPT_PIECES = 500_000
+KEPT_PIECES = 900_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -64,7 +64,10 @@ class PieceIds(dict):
         self.model, self.translation = model, byte_characters()
 
     def __missing__(self, piece: str) -> bytes:
-        named = piece.encode().decode("latin-1").translate(self.translation)
+        if piece.isascii() and piece.isprintable():
+            named = piece.replace(" ", self.translation[0x20])
+        else:
+            named = piece.encode().decode("latin-1").translate(self.translation)
         ids = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
         if len(self) < KEPT_PIECES:
             self[piece] = ids
