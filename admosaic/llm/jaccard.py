@@ -17,7 +17,6 @@ per copy, and no pair between different sets is lost for their components.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mix, shingle_sets
-from .textops import free_names, sized, stored
+from .textops import free_names, process_cache, sized, stored
 
 GROUP = 512
 #: Token places that a group holds at most, unless one set alone has more.
@@ -34,8 +33,10 @@ GROUP_TOKENS = 1 << 22
 QUERIES_A_TASK = 1024
 #: Sets that agree on a part are compared if they are at most so many; more are joined without, which loses nothing.
 MEETING = 1024
-#: Rows of a few numbers each that a join may broadcast (some 40 MB).
+FEW = 16
+#: Rows of a few numbers each that a join may broadcast (some 40 MB), and signatures with their two numbers (100 MB).
 BROADCAST_ROWS = 1_000_000
+BROADCAST_SIGNATURES = 4_000_000
 ORDERS = 3
 _COLUMNS = 4096
 
@@ -73,18 +74,21 @@ class Threshold:
         return out
 
 
-@lru_cache(maxsize=4096)
 def part_count(percent: int, low: int, high: int) -> tuple[int, int]:
     """Parts for sets of low to high tokens, and how many of them may be empty without being signatures.
 
     Linked sets agree on spare + 1 parts at least, and spare is chosen so that few sets have more empty ones.
     """
+    kept = process_cache("part-counts")
+    if (percent, low, high) in kept:
+        return kept[percent, low, high]
     apart = Threshold(percent).most_apart(high, high)
     for spare in range(1, 3 + apart // 3):
         parts = apart + 1 + spare
         empty = parts * np.exp(-low / parts)
         if spare >= empty + 4 * np.sqrt(empty) + 0.5:
             break
+    kept[percent, low, high] = parts, spare
     return parts, spare
 
 
@@ -154,36 +158,58 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _close_sets(percent: int):
-    """Rows sorted by signature in; links out from each set to the smallest it reaches through sets that agree on the
-    signature and whose bytes differ in few enough parts."""
+    """Rows (sig, s1, n, bytes) sorted by signature in; links of sets that agree on a signature and whose bytes differ
+    in few enough parts out. Groups of at most FEW sets are compared pair by pair, all of a batch at once; a larger
+    one gives a link from each set to the smallest it reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        threshold, waiting = Threshold(percent), []
-
-        def close(rows: list) -> list[tuple[int, int]]:
-            nodes = np.array([r[1] for r in rows])
-            sizes = np.array([r[2] for r in rows])
-            told = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
-            apart = np.zeros((len(rows), len(rows)), np.int32)
-            for part in told.T:
-                apart += part[:, None] != part[None, :]
-            most = (sizes[:, None] + sizes[None, :]) * (100 - threshold.percent) // (100 + threshold.percent)
-            roots = _roots(nodes, apart <= most)
-            return [(int(a), int(b)) for a, b in zip(nodes, roots, strict=True) if a != b]
-
-        def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
-
+        apart = 100 - percent
+
+        def close(table: pa.Table) -> pa.RecordBatch:
+            sig, nodes, sizes = (table.column(c).to_numpy() for c in ("sig", "s1", "n"))
+            told = table.column("bytes").combine_chunks()
+            told = told.chunk(0) if isinstance(told, pa.ChunkedArray) else told
+            starts = np.frombuffer(told.buffers()[1], np.int32)[told.offset : told.offset + len(told) + 1].astype(np.int64)
+            data, lengths = np.frombuffer(told.buffers()[2] or b"", np.uint8), np.diff(starts)
+            first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))
+            many = np.bincount(group) > FEW
+            links = [np.empty((0, 2), np.int64)]
+
+            def most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                return (a + b) * apart // (200 - apart)
+
+            for step in range(1, FEW):
+                left = np.flatnonzero((group[:-step] == group[step:]) & ~many[group[step:]]) if step < len(group) else []
+                for length in np.unique(lengths[left]) if len(left) else []:
+                    a = left[lengths[left] == length]
+                    at = np.arange(length)
+                    differ = data[starts[a][:, None] + at] != data[starts[a + step][:, None] + at]
+                    a = a[differ.sum(axis=1) <= most(sizes[a], sizes[a + step])]
+                    links.append(np.column_stack((nodes[a], nodes[a + step])))
+            for g in np.flatnonzero(many):
+                rows = np.flatnonzero(group == g)
+                matrix = data[starts[rows][:, None] + np.arange(lengths[rows[0]])]
+                differ = np.zeros((len(rows), len(rows)), np.int32)
+                for part in matrix.T:
+                    differ += part[:, None] != part[None, :]
+                roots = _roots(nodes[rows], differ <= most(sizes[rows][:, None], sizes[rows][None, :]))
+                links.append(np.column_stack((nodes[rows], roots)))
+            found = np.concatenate(links)
+            found = np.unique(np.sort(found[found[:, 0] != found[:, 1]], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 1]), pa.array(found[:, 0])], ["a", "b"])
+
+        rest = None
         for batch in batches:
-            links: list[tuple[int, int]] = []
-            for row in zip(*[batch.column(c).to_pylist() for c in ("sig", "s1", "n", "bytes")], strict=True):
-                if waiting and row[0] != waiting[0][0]:
-                    links += close(waiting) if len(waiting) > 1 else []
-                    waiting = []
-                waiting.append(row)
-            yield out(sorted(set(links)))
-        if len(waiting) > 1:
-            yield out(close(waiting))
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            sig = table.column("sig").to_numpy()
+            last = int(np.searchsorted(sig, sig[-1])) if len(sig) else 0
+            if last:
+                yield close(table.slice(0, last).combine_chunks())
+            rest = table.slice(last)
+        if rest is not None and rest.num_rows:
+            yield close(rest.combine_chunks())
 
     return run
 
@@ -380,7 +406,7 @@ def similar_components(
     parts = sets.select("s1", F.explode(schemes).alias("x")).select("s1", "x.size", F.explode("x.sigs").alias("sig"))
     met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most"), F.count("*").alias("sets"))
     met = stored(met.where("least < most").select("sig", "least", "sets"), "met")
-    meeting = stored(parts.join(sized(met, BROADCAST_ROWS), "sig").distinct(), "meeting")
+    meeting = stored(parts.join(sized(met, BROADCAST_SIGNATURES), "sig").distinct(), "meeting")
     stars = meeting.where(F.col("sets") > MEETING).where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b"))
     told = sets.select("s1", "n", F.explode(schemes).alias("x")).select("s1", "n", "x.size", "x.bytes").where("size IS NOT NULL")
     told = told.join(meeting.select("s1", "size").distinct(), ["s1", "size"], "left_semi").dropDuplicates(["s1", "size"])
