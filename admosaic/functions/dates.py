@@ -59,5 +59,5 @@ def day_start(day: Column) -> Column:
 
 
 def day_end(day: Column) -> Column:
-    """Last whole second of a day."""
-    return day.cast("date").cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    """Last microsecond of a day."""
+    return F.date_add(day.cast("date"), 1).cast("timestamp") - F.expr("INTERVAL 0.000001 SECOND")

@@ -12,10 +12,10 @@ MEDIA_TYPES = ("image", "video", "multi", "text", "carousel", "unknown")
 
 
 def media_type_from_assets(asset_types: Column) -> Column:
-    """image when any asset type names an image, else video when any names a video, else unknown."""
+    """image when any asset type names an image, else video when any names a video, case-blind, else unknown."""
     return (
-        F.when(F.exists(asset_types, lambda t: t.contains("Image")), F.lit("image"))
-        .when(F.exists(asset_types, lambda t: t.contains("Video")), F.lit("video"))
+        F.when(F.exists(asset_types, lambda t: F.upper(t).contains("IMAGE")), F.lit("image"))
+        .when(F.exists(asset_types, lambda t: F.upper(t).contains("VIDEO")), F.lit("video"))
         .otherwise(F.lit("unknown"))
     )
 

@@ -26,8 +26,15 @@ def impressions_range_text(low: Column, high: Column) -> Column:
 
 
 def _numbers(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(r"([0-9][0-9,]*(?:\.[0-9]+)?)"), F.lit(1))
-    return F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("decimal(28,6)").cast("long"))
+    """Numbers in a text; a K, M or B behind one multiplies it, before fractions are cut off."""
+    found = F.regexp_extract_all(text, F.lit(r"([0-9][0-9,]*(?:\.[0-9]+)?(?:\s*[KMBkmb](?![A-Za-z]))?)"), F.lit(1))
+
+    def number(x: Column) -> Column:
+        unit = F.upper(F.right(x, F.lit(1)))
+        times = F.when(unit == "K", 1_000).when(unit == "M", 1_000_000).when(unit == "B", 1_000_000_000).otherwise(1)
+        return (F.regexp_replace(x, "[^0-9.]", "").try_cast("decimal(22,6)") * times).cast("long")
+
+    return F.transform(found, number)
 
 
 def range_low(text: Column) -> Column:

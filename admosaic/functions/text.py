@@ -22,12 +22,16 @@ def percent_encode(text: Column) -> Column:
     return out
 
 
-def collapse_list(items: Column, sep: str = ", ", max_items: int = 5) -> Column:
-    """Join the non-empty items of a string list, cutting after ``max_items`` with ``...``; NULL when none."""
+def collapse_list(items: Column, sep: str = ", ", max_items: int | None = 5) -> Column:
+    """Join the non-empty items of a string list, cutting after ``max_items`` with ``...``; NULL when none.
+
+    ``max_items=None`` keeps all.
+    """
     kept = F.filter(items, lambda x: x.isNotNull() & (x != ""))
-    shown = F.when(
-        F.size(kept) > max_items, F.concat(F.slice(kept, 1, max_items), F.array(F.lit("...")))
-    ).otherwise(kept)
+    shown = kept
+    if max_items is not None:
+        cut = F.concat(F.slice(kept, 1, max_items), F.array(F.lit("...")))
+        shown = F.when(F.size(kept) > max_items, cut).otherwise(kept)
     return F.when(F.size(kept) > 0, F.array_join(shown, sep))
 
 

@@ -13,10 +13,10 @@ from .search import find_ads
 
 
 def get_all(
-    pages: DataFrame, platform: str, operation: str = "search_ads", max_pages: int = 10, **request
+    pages: DataFrame, platform: str, operation: str = "search_ads", max_pages: int | None = None, **request
 ) -> DataFrame:
-    """Ads (or advertisers) of all collected pages of a source: of each request the first ``max_pages``
-    pages, up to the first empty one. ``request`` narrows the ads as in `find_ads`.
+    """Ads (or advertisers) of all collected pages of a source: of each request the pages up to the first empty one,
+    at most ``max_pages`` where that is given. ``request`` narrows the ads as in `find_ads`.
     """
     if operation not in ("search_ads", "advertisers"):
         raise ValueError("operation must be search_ads or advertisers")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.registry import platform_limits
@@ -11,7 +11,6 @@ from ..sources.registry_values import DEFAULT_RATE_LIMITS
 FETCH_LOG = (
     "ts timestamp, platform string, endpoint string, status int, retry_after string, usage_header string, body string"
 )
-MAX_PAGES = 100
 _PAGE = ["platform", "request_id", "page_no"]
 
 
@@ -21,6 +20,7 @@ def distinct_pages(counters: DataFrame) -> DataFrame:
     Of copies fetched at the same moment the fullest counts, then the one with the later next position.
     """
     values = ["items", "total_count", "next_position"]
+    values += [name for name in ("readable",) if name in counters.columns]
     newest = F.max_by(F.struct(*values), F.struct("fetched_at", *values))
     return (
         counters.groupBy(*_PAGE)
@@ -82,22 +82,23 @@ def audit_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-def collect_pages(counters: DataFrame, max_pages: int = 10) -> DataFrame:
-    """The pages of each request that count as collected: the first ``max_pages``, up to the first empty one.
+def collect_pages(counters: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The pages of each request that count as collected: those before its first empty one, and of these the first
+    ``max_pages`` if that is given.
 
-    Copies are merged first, so a request has at most ``max_pages`` rows in the window.
+    Only a well-formed page ends a request; one that cannot be read, or that reports an error, is passed over. The
+    first empty page of a request is a minimum, so a request with many pages is never gathered in one task.
     """
-    if not 1 <= max_pages <= MAX_PAGES:
-        raise ValueError(f"max_pages must be between 1 and {MAX_PAGES}")
-    pages = distinct_pages(counters.filter(F.col("page_no") < max_pages))
-    so_far = (
-        Window.partitionBy("platform", "request_id")
-        .orderBy("page_no")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        pages.withColumn("_fewest", F.min("items").over(so_far)).filter(F.col("_fewest") > 0).drop("_fewest")
-    )
+    if max_pages is not None and max_pages < 1:
+        raise ValueError("max_pages must be at least 1")
+    pages = distinct_pages(counters if max_pages is None else counters.filter(F.col("page_no") < max_pages))
+    empty = F.col("items") == 0
+    if "readable" in pages.columns:
+        empty = empty & F.col("readable")
+    ends = pages.filter(empty).groupBy("platform", "request_id").agg(F.min("page_no").alias("_end"))
+    before = F.col("_end").isNull() | (F.col("page_no") < F.col("_end"))
+    kept = pages.join(ends, ["platform", "request_id"], "left").filter(before & (F.col("items") > 0))
+    return kept.drop("_end", "readable")
 
 
 def collected_bodies(pages: DataFrame, collected: DataFrame) -> DataFrame:
@@ -138,16 +139,23 @@ def usage_wait(usage: Column) -> Column:
 def usage_tier(fetch_log: DataFrame, max_usage_limit: int = 50) -> DataFrame:
     """Fetches with the highest of call, CPU and time usage and the wait it asks for.
 
-    A header that cannot be read counts as no usage; below the limit there is no wait.
+    Of a header with several accounts, or several entries for one, the highest counts. A header that cannot be read
+    counts as no usage; below the limit there is no wait.
     """
     numbers = "call_count double, total_cputime double, total_time double"
     header = F.col("usage_header")
-    wrapped = F.from_json(header, "map<string, string>")
-    inner = F.try_element_at(F.map_values(wrapped), F.lit(1))
-    text = F.when(inner.startswith("["), F.get_json_object(inner, "$[0]")).when(inner.startswith("{"), inner)
-    usage = F.from_json(F.coalesce(text, header), numbers)
+    wrapped = F.map_values(F.from_json(header, "map<string, string>"))
+    entries = f"array<struct<{numbers.replace(' double', ': double')}>>"
+
+    def listed(inner: Column) -> Column:
+        text = F.when(inner.startswith("["), inner).when(inner.startswith("{"), F.concat(F.lit("["), inner, F.lit("]")))
+        return F.coalesce(F.from_json(text, entries), F.array().cast(entries))
+
+    nested = F.coalesce(F.flatten(F.transform(wrapped, listed)), F.array().cast(entries))
+    usage = F.concat(nested, F.array_compact(F.array(F.from_json(header, numbers))))
     parsed = fetch_log.withColumn("_u", usage)
-    highest = F.coalesce(F.greatest("_u.call_count", "_u.total_cputime", "_u.total_time"), F.lit(0.0))
+    each = F.transform("_u", lambda u: F.greatest(u["call_count"], u["total_cputime"], u["total_time"]))
+    highest = F.coalesce(F.array_max(each), F.lit(0.0))
     waits = F.when(F.col("max_usage") > max_usage_limit, usage_wait(F.col("max_usage"))).otherwise(0)
     return parsed.withColumn("max_usage", highest).withColumn("wait_seconds", waits).drop("_u")
 

@@ -34,6 +34,14 @@ def normalize_items(items: DataFrame, platform: str) -> DataFrame:
     return parsed.select(*ads_columns({**source.mapping(F.col("p")), **shared}))
 
 
+def normalize_unknown(pages: DataFrame) -> DataFrame:
+    """The generic mapping of every readable page of a source without a mapping, whole page as raw item."""
+    other = pages.filter(~F.col("platform").isin(*PAGE_SOURCES) & F.try_parse_json("body").isNotNull())
+    stamp = F.coalesce(F.col("fetched_at"), F.current_timestamp())
+    values = {"platform": F.col("platform"), "extra_json": F.col("body"), "media_type": F.lit("unknown"), "fetched_at": stamp}
+    return other.select(*ads_columns(values))
+
+
 def stamp_fetched(ads: DataFrame) -> DataFrame:
     """Retrieval time: what is there already, else now."""
     known = F.col("fetched_at") if "fetched_at" in ads.columns else F.lit(None).cast("timestamp")
@@ -92,12 +100,17 @@ def normalize_ads(
     creatives: DataFrame | None = None,
     platforms: list[str] | None = None,
 ) -> DataFrame:
-    """The ad table of landed pages and of the tabular source, stacked."""
+    """The ad table of landed pages and of the tabular source, stacked.
+
+    Without a list of platforms, pages of sources that have no mapping of their own give one generic row each.
+    """
     parts = []
     if pages is not None:
         for platform in sorted(PAGE_SOURCES) if platforms is None else platforms:
             if platform in PAGE_SOURCES:
                 parts.append(normalize_items(unwrap_source(pages, platform), platform))
+        if platforms is None:
+            parts.append(normalize_unknown(pages))
     if creatives is not None and (platforms is None or "google" in platforms):
         parts.append(normalize_creatives(creatives))
     if not parts:

@@ -7,9 +7,6 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Largest n for which Spark limits each group before its window shuffle by itself.
-_GROUP_LIMIT = 1000
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only where none is set, as in tests."""
@@ -55,17 +52,16 @@ def number_rows(table: DataFrame, group: str, order: list[str], name: str) -> Da
 
 
 def top_per_group(
-    table: DataFrame, group: str, order: list[Column], n: Column, most: int, spread: list[str], salts: int = 32
+    table: DataFrame, group: str, order: list[Column], n: Column, spread: list[str], salts: int = 32, skip: Column | None = None
 ) -> DataFrame:
-    """The first ``n`` rows of each group, ``n`` a column of at most ``most``.
+    """Of each group the ``n`` rows that follow its first ``skip``; both are columns.
 
-    Up to 1000 rows Spark cuts each group before the shuffle. Beyond, groups are first cut within
-    ``salts`` parts by the hash of ``spread``, so the last window sees at most ``salts * most`` rows
-    of a group.
+    Groups are first cut within ``salts`` parts by the hash of ``spread``, so the last window sees at most
+    ``salts`` times the rows wanted of a group, whatever the group's size.
     """
-    if most > _GROUP_LIMIT:
-        part = Window.partitionBy(group, F.pmod(F.xxhash64(*spread), F.lit(salts))).orderBy(*order)
-        table = table.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n).drop("_rank")
+    skip = F.lit(0) if skip is None else skip
+    part = Window.partitionBy(group, F.pmod(F.xxhash64(*spread), F.lit(salts))).orderBy(*order)
+    cut = table.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n + skip)
     whole = Window.partitionBy(group).orderBy(*order)
-    ranked = table.withColumn("_rank", F.row_number().over(whole))
-    return ranked.filter(F.col("_rank") <= F.lit(most)).filter(F.col("_rank") <= n).drop("_rank")
+    ranked = cut.withColumn("_rank", F.row_number().over(whole))
+    return ranked.filter((F.col("_rank") > skip) & (F.col("_rank") <= n + skip)).drop("_rank")

@@ -37,7 +37,8 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     searching = c("operation") == "advertisers"
     rules = [
         (~F.coalesce(known, F.lit(False)), F.concat(F.lit("Unknown platform: "), F.coalesce(platform, F.lit("")))),
-        (known & ~can, F.concat(platform, F.lit(" does not support "), c("operation"))),
+        (c("operation").isNull(), F.lit("Operation must not be missing")),
+        (known & ~can & c("operation").isNotNull(), F.concat(platform, F.lit(" does not support "), c("operation"))),
         (F.exists("countries", lambda x: x.isNull()), F.lit("Countries must not be missing")),
         (F.size(bad) > 0, F.concat(F.lit("Invalid country codes: "), F.array_join(bad, ", "))),
         (c("date_from").isNotNull() & first.isNull(), F.lit("Invalid date_from format")),
@@ -50,7 +51,8 @@ def validate_requests(requests: DataFrame) -> DataFrame:
             F.lit("Search query is required for advertiser search"),
         ),
     ]
-    errors = F.array_compact(F.array(*[F.when(test, message) for test, message in rules]))
+    messages = [F.when(F.coalesce(test, F.lit(False)), F.coalesce(message, F.lit("Invalid request"))) for test, message in rules]
+    errors = F.array_compact(F.array(*messages))
     return requests.withColumn("errors", errors)
 
 

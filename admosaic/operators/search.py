@@ -99,8 +99,12 @@ def effective_types(types: list[str], platform: str) -> list[str]:
 
 
 def wanted_countries(countries: list[str], profile: Profile, platform_defaults: bool = False) -> list[str]:
-    """`effective_countries` of one request; empty when unrestricted."""
-    codes = [c.strip().upper() for c in countries if re.fullmatch("[A-Za-z]{2}", c.strip())]
+    """`effective_countries` of one request; empty when unrestricted. A country that is no code is an error, as
+    leaving it out would widen the request."""
+    bad = [c for c in countries if c is None or not re.fullmatch("[A-Za-z]{2}", c.strip())]
+    if bad:
+        raise ValueError(f"Invalid country codes: {', '.join(map(str, bad))}")
+    codes = [c.strip().upper() for c in countries]
     if profile.allowed:
         allowed = [c for c in codes if c in profile.allowed]
         codes = allowed if allowed or platform_defaults else codes
@@ -119,7 +123,9 @@ def effective_countries(countries: Column, profile: Profile, platform_defaults:
         ).otherwise(codes)
     if profile.countries == "first":
         codes = F.slice(codes, 1, 1)
-    codes = F.when(F.size(codes) > 0, codes)
+    # Countries of which none is a code match nothing, instead of everything.
+    unreadable = (F.size(countries) > 0) & (F.size(clean_country_codes(countries)) == 0)
+    codes = F.when((F.size(codes) > 0) | unreadable, codes)
     if platform_defaults and profile.default_countries:
         codes = F.coalesce(codes, strings(profile.default_countries))
     return codes
@@ -229,25 +235,27 @@ def search_ads(
     types: list[str] | None = None,
     languages: list[str] | None = None,
     media: str | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     page_token: str | int | None = None,
     fields: list[str] | None = None,
     **options,
 ) -> DataFrame:
     """One page of the ads that match a request, newest first.
 
-    A page holds at most ``limit`` rows and at most what the source returns at once; ``page_token`` is
-    the number of rows to skip.
+    A page holds at most ``limit`` rows, by default as many as the source returns when not told otherwise;
+    ``page_token`` is the number of rows to skip. How many rows the source's own service sends at once does
+    not matter here.
     """
-    _check_request(countries, date_from, date_to, limit)
+    profile = PROFILES.get(platform.strip().lower(), Profile())
+    size = profile.default_limit if limit is None else limit
+    _check_request(countries, date_from, date_to, size, max(MAX_LIMIT, profile.cap))
     found = find_ads(
         ads, platform, q, advertisers, countries, date_from, date_to, types, languages, media, **options
     )
-    size = min(limit, PROFILES[platform.strip().lower()].cap)
     return select_fields(page_of_results(found, size, int(page_token or 0)), fields)
 
 
-def _check_request(countries, date_from, date_to, limit) -> None:
+def _check_request(countries, date_from, date_to, limit, most) -> None:
     """Report every fault of a request together."""
     errors = []
     bad = [c for c in countries or [] if c is None or not re.fullmatch("[A-Za-z]{2}", c)]
@@ -265,14 +273,17 @@ def _check_request(countries, date_from, date_to, limit) -> None:
         errors.append("date_from must be before or equal to date_to")
     if limit is None or limit < 1:
         errors.append("limit must be a positive integer")
-    elif limit > MAX_LIMIT:
-        errors.append(f"limit cannot exceed {MAX_LIMIT}")
+    elif limit > most:
+        errors.append(f"limit cannot exceed {most}")
     if errors:
         raise ValueError("; ".join(errors))
 
 
 def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
-    """Requests with the rules of their platform applied: what to look for, how, and how many rows."""
+    """Requests with the rules of their platform applied: what to look for, how, and which rows.
+
+    Requests with a date that cannot be read are left out: without the date they would ask for more.
+    """
     platform = F.lower(F.trim("platform"))
     rules: dict[tuple, list[str]] = {}
     for name, p in PROFILES.items():
@@ -286,10 +297,16 @@ def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> Da
     start, end = parse_day(F.col("date_from")), parse_day(F.col("date_to"))
     both = start.isNotNull() & end.isNotNull()
     dates, words = _modes("dates", platform), _modes("keyword", platform)
+    readable = (start.isNotNull() | F.col("date_from").isNull()) & (end.isNotNull() | F.col("date_to").isNull())
+    status = F.lit(None).cast("string")
+    if platform_defaults:
+        status = F.try_element_at(lookup({name: p.status for name, p in PROFILES.items() if p.status}), platform)
+    skipped = F.col("page_token").try_cast("int") if "page_token" in requests.columns else F.lit(None)
     types = F.when(platform == "meta", F.array_intersect("types", strings(META_AD_TYPES))).otherwise(F.col("types"))
-    return requests.select(
+    return requests.where(readable).select(
         "request_id",
         platform.alias("platform"),
+        status.alias("r_status"),
         F.when(words["contains"], word).alias("r_word"),
         F.when(words["like"], _like_pattern(word)).alias("r_like"),
         F.when(words["all_terms"], _terms(word)).alias("r_terms"),
@@ -305,9 +322,8 @@ def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> Da
         F.when((F.size(types) > 0) & ~F.array_contains(types, "ALL"), types).alias("r_types"),
         F.when(F.size("languages") > 0, F.transform("languages", F.lower)).alias("r_languages"),
         F.when(F.upper("media") != "ALL", F.lower("media")).alias("r_media"),
-        F.least(F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT)), _caps(platform), F.lit(MAX_LIMIT))
-        .cast("int")
-        .alias("r_limit"),
+        F.coalesce(F.col("limit"), _default_limits(platform), F.lit(DEFAULT_LIMIT)).cast("int").alias("r_limit"),
+        F.coalesce(skipped, F.lit(0)).alias("r_skip"),
     )
 
 
@@ -319,8 +335,8 @@ def _modes(attribute: str, platform: Column) -> dict[str, Column]:
     return {mode: platform.isin(*listed) for mode, listed in names.items()}
 
 
-def _caps(platform: Column) -> Column:
-    return F.try_element_at(lookup({name: profile.cap for name, profile in PROFILES.items()}), platform)
+def _default_limits(platform: Column) -> Column:
+    return F.try_element_at(lookup({name: profile.default_limit for name, profile in PROFILES.items()}), platform)
 
 
 def _only_ids(advertisers: Column) -> Column:
@@ -342,7 +358,7 @@ def _ad_keys() -> Column:
 
 
 def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
-    """Every (request, matching ad) pair once, with the ad's columns and the request's ``r_limit``.
+    """Every (request, matching ad) pair once, with the ad's columns and the request's ``r_limit`` and ``r_skip``.
 
     Pairs are found by an equality on platform and one key, the narrowest the request allows (advertiser
     id, country, or ``*``), then checked, cheap tests first. Spark broadcasts the requests when they are
@@ -376,6 +392,7 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
         open_or("r_last_min", c("last_seen").isNull() | (c("last_seen") >= c("r_last_min"))),
         open_or("r_last_max", c("last_seen") <= c("r_last_max")),
         open_or("r_media", c("media_type") == c("r_media")),
+        open_or("r_status", F.coalesce(c("status"), c("r_status")) == c("r_status")),
         open_or("r_types", F.array_contains("r_types", c("_ad_type"))),
         open_or("r_countries", by_country | by_id),
         open_or("r_languages", F.arrays_overlap("languages", "r_languages")),
@@ -385,16 +402,15 @@ def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool
         open_or("r_advertisers", F.exists("r_advertisers", named)),
     ]
     matched = joined.filter(reduce(lambda a, b: a & b, tests))
-    return matched.select("request_id", "r_limit", *ads.columns)
+    return matched.select("request_id", "r_limit", "r_skip", *ads.columns)
 
 
 def search_ads_batch(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
-    """The first page of results of every request, newest first within each."""
+    """One page of results of every request, newest first within each: ``limit`` rows after the first ``page_token``."""
     pairs = matching_pairs(ads, requests, platform_defaults)
-    best = top_per_group(
-        pairs, "request_id", newest_first(), F.col("r_limit"), MAX_LIMIT, ["platform", "ad_id"]
-    )
-    return best.drop("r_limit")
+    limit, skip = F.col("r_limit"), F.col("r_skip")
+    best = top_per_group(pairs, "request_id", newest_first(), limit, ["platform", "ad_id"], skip=skip)
+    return best.drop("r_limit", "r_skip")
 
 
 def ad_details(ads: DataFrame, ad_ids: DataFrame | list[str], platform: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import fetchlog as L
 from ..operators import requests as R
 from ..operators.bulk import get_all
-from ..operators.normalize import normalize_ads
+from ..operators.normalize import latest_ads, normalize_ads
 from ..operators.ranking import ensure_checkpoint_dir
 from ..sources import registry
 from ..sources.pages import page_counters, page_errors, read_raw_pages
@@ -197,7 +197,7 @@ def _ingest(spark, sf_dir):
     pages.unionByName(again).write.parquet(landing)
     stream = stream_pages(spark, landing, "parquet")
     ingest_pages_stream(stream, out, state, platforms=["x"]).awaitTermination()
-    return plain_ads(spark.read.parquet(out)).drop("fetched_at")
+    return plain_ads(latest_ads(spark.read.parquet(out))).drop("fetched_at")
 
 
 def _stream_quota(spark, sf_dir):

@@ -138,12 +138,11 @@ asked AS (
         THEN list_filter(codes, lambda x: list_contains({_EU}, x))[1:1]
       WHEN platform IN ('amazon', 'booking', 'pinterest', 'tiktok', 'x') THEN codes[1:1] ELSE codes END AS codes,
     CASE WHEN platform = 'meta' AND kind = 'OTHER_ADS' THEN NULL ELSE kind END AS kind,
-    least(lim, 1000, CASE platform WHEN 'apple' THEN 50 WHEN 'google' THEN 10000 WHEN 'linkedin' THEN 25
-      WHEN 'meta' THEN 25 WHEN 'microsoft' THEN 1000 ELSE 100 END) AS lim)
-  FROM raw
+    lim AS lim)
+  FROM raw WHERE q % 11 <> 0
 ),
 pairs AS (
-  SELECT request_id, ads.ad_id, ads.platform, ads.first_seen, lim
+  SELECT request_id, ads.ad_id, ads.platform, ads.first_seen, lim, CASE WHEN q % 10 = 0 THEN 20 ELSE 0 END AS skip
   FROM ads JOIN asked USING (platform)
   WHERE (codes IS NULL OR list_has_any(countries, codes))
     AND (keyword IS NULL OR CASE platform
@@ -203,7 +202,7 @@ ORACLES = {
     "search_batch": with_ads(
         f"""SELECT request_id, ad_id, platform, {sql_time('first_seen')} AS first_seen FROM (
           SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY first_seen DESC, ad_id) AS place FROM pairs
-        ) WHERE place <= lim"""
+        ) WHERE place > skip AND place <= skip + lim"""
     ).replace("\nSELECT request_id", f",{_ASKED}\nSELECT request_id", 1),
     "search_batch_counts": with_ads("SELECT request_id, count(*) AS n FROM pairs GROUP BY request_id").replace(
         "\nSELECT request_id", f",{_ASKED}\nSELECT request_id", 1

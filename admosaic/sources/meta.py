@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_datetime
+from ..functions.media import media_type_by_name
 from ..functions.ranges import impressions_from_payload, range_high, range_low, spend_from_payload
 from ..functions.text import collapse_list, string_list
 from .base import Source
@@ -19,9 +20,9 @@ def _mapping(p: Column) -> dict[str, Column]:
         "beneficiary": p["beneficiary_payers"]["beneficiary"],
         "first_seen": parse_datetime(p["ad_delivery_start_time"]),
         "last_seen": parse_datetime(p["ad_delivery_stop_time"]),
-        "ad_text": collapse_list(p["ad_creative_bodies"]),
+        "ad_text": collapse_list(p["ad_creative_bodies"], max_items=None),
         "ad_library_url": p["ad_snapshot_url"],
-        "media_type": F.coalesce(p["media_type"], F.lit("unknown")),
+        "media_type": media_type_by_name(p["media_type"]),
         "media_urls": F.array_compact(F.array(p["ad_snapshot_url"])),
         "countries": F.array_compact(p["impressions_by_country"]["country"]),
         "spend_range": spend_from_payload(p["spend"]),

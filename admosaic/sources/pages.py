@@ -98,13 +98,15 @@ def _summary(source: Source) -> Column:
             F.coalesce(source.total(page), n).alias("total_count"),
             source.next_position(page).alias("next_position"),
             source.error(page).alias("error"),
+            (F.try_parse_json("body").isNotNull() & source.error(page).isNull()).alias("readable"),
         )
 
     return F.element_at(F.transform(F.array(F.from_json("body", source.page)), counted), 1)
 
 
 def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
-    """Per page: number of items, reported total, position of the next page and error message.
+    """Per page: number of items, reported total, position of the next page, error message, and whether the page is
+    well-formed and no error page.
 
     One pass over the pages of all sources, whatever their order in storage.
     """
@@ -117,6 +119,11 @@ def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataF
     return known.select(*KEYS, counters.alias("c")).select(*KEYS, "c.*")
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages, of any source, whose body is no JSON: truncated, an error text or nothing."""
+    return pages.filter(F.try_parse_json("body").isNull())
+
+
 def page_errors(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
     """Pages that carry an error message of their source."""
     return page_counters(pages, platforms).filter(F.col("error").isNotNull())

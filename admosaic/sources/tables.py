@@ -22,8 +22,8 @@ def read_creatives(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(path).select(*CREATIVE_COLUMNS)
 
 
-def flatten_lists(ads: DataFrame, max_items: int = 5) -> DataFrame:
-    """List columns as joined text, for formats without lists."""
+def flatten_lists(ads: DataFrame, max_items: int | None = None) -> DataFrame:
+    """List columns as joined text, for formats without lists; all items unless ``max_items`` is given."""
     lists = [name for name in LIST_FIELDS if name in ads.columns]
     return ads.withColumns({name: collapse_list(F.col(name), max_items=max_items) for name in lists})
 
@@ -40,7 +40,8 @@ def write_ads(
     if fmt == "csv":
         ads = flatten_lists(ads)
     if files_per_platform is not None:
-        spread = F.pmod(F.xxhash64("ad_id"), F.lit(files_per_platform))
+        own = F.when(F.col("ad_id").isNull(), F.xxhash64(*ads.columns)).otherwise(F.xxhash64("ad_id"))
+        spread = F.pmod(own, F.lit(files_per_platform))
         ads = ads.repartition("platform", spread)
     writer = ads.write.mode(mode).partitionBy("platform")
     (writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path))

@@ -134,3 +134,13 @@ def test_media_types(spark):
     assert value(spark, media.media_type_from_media(F.lit(None).cast("array<string>"))) == "text"
     assert value(spark, media.media_type_from_urls(strings(""), strings("i"))) == "image"
     assert value(spark, media.collect_urls(strings("a", ""), strings("b"))) == ["a", "b"]
+
+
+def test_number_suffixes_and_asset_names(spark):
+    cases = {"13K": (13_000, None), "1.5M - 2M": (1_500_000, 2_000_000), "10 K-100 K": (10_000, 100_000), "1,200 - 3,400": (1_200, 3_400)}
+    for written, wanted in cases.items():
+        assert (value(spark, ranges.range_low(F.lit(written))), value(spark, ranges.range_high(F.lit(written)))) == wanted
+    assert value(spark, media.media_type_from_assets(strings("ImageAsset", "x"))) == "image"
+    assert value(spark, media.media_type_from_assets(strings("VIDEO"))) == "video"
+    assert value(spark, text.collapse_list(strings(*"abcdefg"), max_items=None)) == "a, b, c, d, e, f, g"
+    assert str(value(spark, dates.day_end(F.lit("2024-05-01").cast("date")))) == "2024-05-01 23:59:59.999999"

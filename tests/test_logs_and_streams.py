@@ -10,7 +10,7 @@ import admosaic
 from admosaic.operators.fetchlog import FETCH_LOG
 from admosaic.operators.requests import REQUESTS
 from admosaic.sources import registry
-from admosaic.sources.pages import RAW_PAGES
+from admosaic.sources.pages import RAW_PAGES, unreadable_pages
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -41,7 +41,7 @@ def test_page_audit_and_collection(spark):
     bodies = admosaic.collected_bodies(spark.createDataFrame(rows, RAW_PAGES), kept)
     assert bodies.count() == 4
     with pytest.raises(ValueError):
-        admosaic.collect_pages(counters, 101)
+        admosaic.collect_pages(counters, 0)
 
 
 def test_usage_and_errors(spark):
@@ -135,14 +135,14 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
     def ingest():
         pages = admosaic.stream_pages(spark, str(landing))
-        admosaic.ingest_pages_stream(pages, out, state, watermark="1 day", platforms=["x"]).awaitTermination()
+        admosaic.ingest_pages_stream(pages, out, state, platforms=["x"]).awaitTermination()
 
     land(landing, "r1", 0, ["1", "2", "3"])
     land(landing, "r1", 1, ["3", "4"])
     ingest()
     land(landing, "r2", 0, ["2", "5"])
     ingest()
-    streamed = sorted((r.ad_id, r.ad_text, r.platform) for r in spark.read.parquet(out).collect())
+    streamed = sorted((r.ad_id, r.ad_text, r.platform) for r in admosaic.latest_ads(spark.read.parquet(out)).collect())
     pages = admosaic.read_raw_pages(spark, str(landing))
     batch = admosaic.latest_ads(admosaic.normalize_ads(pages, platforms=["x"]))
     assert streamed == sorted((r.ad_id, r.ad_text, r.platform) for r in batch.collect())
@@ -174,3 +174,39 @@ def test_stamp_and_union(spark):
     b = spark.createDataFrame([("3", "x")], "ad_id string, platform string")
     assert admosaic.union_ads(a, b).columns == ["ad_id", "fetched_at", "platform"]
     assert admosaic.union_ads(a, b).filter("platform IS NULL").count() == 2
+
+
+def test_stream_keeps_ads_without_id_and_late_pages(spark, tmp_path):
+    landing, out, state = (str(tmp_path / name) for name in ("landing", "ads", "state"))
+    body = json.dumps({"data": [{"text": "a"}, {"text": "b"}, {"id": "1", "text": "c"}]})
+
+    def land_page(request, day):
+        rows = [("x", "search_ads", request, 0, datetime.datetime(2024, 5, day), body)]
+        spark.createDataFrame(rows, RAW_PAGES).write.mode("append").parquet(landing)
+        pages = admosaic.stream_pages(spark, landing, "parquet")
+        admosaic.ingest_pages_stream(pages, out, state, platforms=["x"]).awaitTermination()
+
+    land_page("r1", 20)
+    land_page("r2", 1)
+    kept = admosaic.latest_ads(spark.read.parquet(out)).collect()
+    assert sorted(r.ad_text for r in kept) == ["a", "a", "b", "b", "c"]
+
+
+def test_only_a_well_formed_empty_page_ends_a_request(spark):
+    bodies = ['{"data":[{"id":"1"}]}', "<html>busy</html>", '{"data":[{"id":"2"}]}', '{"data":[]}', '{"data":[{"id":"3"}]}']
+    rows = [("x", "search_ads", "r", k, datetime.datetime(2024, 1, 1), body) for k, body in enumerate(bodies)]
+    rows.append(("newsource", "search_ads", "q", 0, datetime.datetime(2024, 1, 1), '{"ads": 1}'))
+    pages = spark.createDataFrame(rows, RAW_PAGES)
+    counters = admosaic.page_counters(pages)
+    assert [r.page_no for r in admosaic.collect_pages(counters).orderBy("page_no").collect()] == [0, 2]
+    assert [r.ad_id for r in admosaic.get_all(pages, "x").orderBy("ad_id").collect()] == ["1", "2"]
+    assert [r.page_no for r in unreadable_pages(pages).collect()] == [1]
+    generic = admosaic.normalize_ads(pages).filter("platform = 'newsource'").collect()
+    assert [(r.ad_id, r.extra_json) for r in generic] == [(None, '{"ads": 1}')]
+
+
+def test_usage_of_several_accounts(spark):
+    header = '{"a": [{"call_count": 10, "total_cputime": 1, "total_time": 2}, {"call_count": 99}], "b": [{"total_time": 20}]}'
+    log = spark.createDataFrame([(datetime.datetime(2024, 1, 1), "meta", "e", 200, None, header, None)], FETCH_LOG)
+    row = admosaic.usage_tier(log).first()
+    assert (row.max_usage, row.wait_seconds) == (99.0, 90)

@@ -91,7 +91,36 @@ def test_batch_limit_is_the_first_page(spark, ads):
     batch = admosaic.search_ads_batch(ads, requests_table(spark, rows)).collect()
     single = admosaic.search_ads(ads, "x", limit=5).collect()
     assert [r.ad_id for r in batch if r.request_id == "a"] == [r.ad_id for r in single]
-    assert sum(r.request_id == "b" for r in batch) == 25
+    assert sum(r.request_id == "b" for r in batch) == admosaic.find_ads(ads, "meta").count() > 25
+
+
+def test_no_limit_of_a_remote_service_cuts_a_search(spark, ads):
+    meta = admosaic.find_ads(ads, "meta").count()
+    assert admosaic.search_ads(ads, "meta", limit=500).count() == meta > 25
+    google = ads.filter("platform = 'google'")
+    many = google.crossJoin(spark.range(20)).drop("id")
+    assert admosaic.search_ads(many, "google", limit=5_000).count() == min(5_000, many.count()) > 1_000
+    assert admosaic.search_ads(many, "google").count() == 1_000
+
+
+def test_batch_pages_status_and_faults_as_in_the_single_search(spark, ads):
+    rows = [
+        ("page", "x", "search_ads", None, None, None, None, None, None, None, None, 5, "10"),
+        ("status", "snapchat", "search_ads", None, None, None, None, None, None, None, None, 1000, None),
+        ("country", "x", "search_ads", None, None, ["Germany"], None, None, None, None, None, 1000, None),
+        ("date", "x", "search_ads", None, None, None, "soon", None, None, None, None, 1000, None),
+    ]
+    batch = admosaic.search_ads_batch(ads, requests_table(spark, rows), platform_defaults=True).collect()
+    got = {name: [r.ad_id for r in batch if r.request_id == name] for name, *_ in rows}
+    page = admosaic.search_ads(ads, "x", limit=5, page_token="10", platform_defaults=True).collect()
+    status = admosaic.search_ads(ads, "snapchat", limit=1000, platform_defaults=True).collect()
+    assert got["page"] == [r.ad_id for r in page] and len(page) == 5
+    assert sorted(got["status"]) == sorted(r.ad_id for r in status) and status
+    assert got["country"] == [] and got["date"] == []
+    with pytest.raises(ValueError):
+        admosaic.find_ads(ads, "x", countries=["Germany"])
+    missing = admosaic.validate_requests(requests_table(spark, [("n", "x", *[None] * 11)])).first()
+    assert missing.errors == ["Operation must not be missing"]
 
 
 def test_date_modes(spark, ads):
@@ -169,7 +198,7 @@ def test_row_numbers_of_a_large_group(spark):
 
 def test_top_per_group_beyond_the_engine_limit(spark):
     rows = spark.range(5000).select(F.lit("g").alias("g"), "id", F.lit(1500).alias("n"))
-    got = top_per_group(rows, "g", [F.col("id").desc()], F.col("n"), 2000, ["id"])
+    got = top_per_group(rows, "g", [F.col("id").desc()], F.col("n"), ["id"])
     assert sorted(r.id for r in got.collect()) == list(range(3500, 5000))
 
 
