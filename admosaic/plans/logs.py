@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..operators import fetchlog as L
 from ..operators import requests as R
 from ..operators.bulk import get_all
-from ..operators.normalize import latest_ads, normalize_ads
+from ..operators.normalize import latest_ads, normalize_ads, normalize_unknown
 from ..operators.ranking import ensure_checkpoint_dir
 from ..sources import registry
-from ..sources.pages import page_counters, page_errors, read_raw_pages
+from ..sources.pages import page_counters, page_errors, read_raw_pages, unreadable_pages
 from ..sources.tables import flatten_lists, write_ads
 from ..streaming.ingest import ingest_pages_stream, stream_pages, stream_quota
 from . import derived as D
@@ -133,6 +133,36 @@ def _collect(spark, sf_dir):
     return plain(L.collect_pages(_counters(spark, sf_dir), 4).select("platform", "request_id", "page_no", "copies"))
 
 
+def _broken(spark, sf_dir):
+    """The page log with every third page of a request replaced by an error text."""
+    body = F.when(c("page_no") % 3 == 1, F.lit("<html>busy</html>")).otherwise(c("body"))
+    return D.page_log(spark, sf_dir).withColumn("body", body)
+
+
+def _collect_broken(spark, sf_dir):
+    """Pages that count as collected where some cannot be read: those are passed over and end nothing."""
+    collected = L.collect_pages(page_counters(_broken(spark, sf_dir)))
+    return plain(collected.select("platform", "request_id", "page_no", "copies"))
+
+
+def _unreadable(spark, sf_dir):
+    return unreadable_pages(_broken(spark, sf_dir)).groupBy("platform").agg(F.count("*").alias("pages"))
+
+
+def _unknown(spark, sf_dir):
+    """Pages of sources without a mapping, by source."""
+    pages = D.page_log(spark, sf_dir).withColumn("platform", F.concat(F.lit("new-"), "platform"))
+    return normalize_unknown(pages).groupBy("platform", "media_type").agg(F.count("*").alias("ads"))
+
+
+def _stored_csv(spark, sf_dir):
+    """The ad table written as CSV, read back as text."""
+    out = scratch(spark, "csv")
+    write_ads(D.stored_ads(spark, sf_dir), out, fmt="csv")
+    ads = spark.read.option("header", True).csv(out)
+    return plain(ads.select("platform", "ad_id", "countries", "targeting_age", "spend_range"))
+
+
 def _bodies(spark, sf_dir):
     """All landed copies of the collected pages, by request."""
     pages = D.page_log(spark, sf_dir)
@@ -253,7 +283,11 @@ QUERIES = {
     "page_audit": _audit,
     "page_audit_summary": _audit_summary,
     "collect_pages": _collect,
+    "collect_pages_broken": _collect_broken,
+    "unreadable_pages": _unreadable,
+    "normalize_unknown": _unknown,
     "collected_bodies": _bodies,
+    "stored_csv": _stored_csv,
     "page_totals": _totals,
     "page_errors": _errors,
     "quota_usage": _quota("hour"),
@@ -617,6 +651,20 @@ ORACLES |= {
         count(*) FILTER (state = 'past_end') AS past_end FROM audited GROUP BY platform, request_id""",
     "collect_pages": f"WITH {_PAGES},{_ONCE},{_COLLECTED.format(4)}\n"
     "SELECT platform, request_id, page_no, copies FROM collected",
+    "collect_pages_broken": f"""WITH {_PAGES},{_ONCE},
+ends AS (
+  SELECT platform, request_id, min(page_no) AS stop FROM once WHERE v.items = 0 AND page_no % 3 <> 1 GROUP BY platform, request_id
+)
+SELECT platform, request_id, page_no, copies FROM once LEFT JOIN ends USING (platform, request_id)
+WHERE v.items > 0 AND page_no % 3 <> 1 AND (stop IS NULL OR page_no < stop)""",
+    "unreadable_pages": f"""WITH {_PAGES}
+SELECT platform, count(*) AS pages FROM landed WHERE platform = 'google' OR page_no % 3 = 1 GROUP BY platform""",
+    "normalize_unknown": f"""WITH {_PAGES}
+SELECT 'new-' || platform AS platform, 'unknown' AS media_type, count(*) AS ads FROM with_total GROUP BY platform""",
+    "stored_csv": with_ads(
+        """SELECT platform, ad_id, CASE WHEN c1 = c2 THEN c1 ELSE c1 || ', ' || c2 END AS countries,
+          nullif(array_to_string(ages, ', '), '') AS targeting_age, spend_range FROM ads"""
+    ),
     "collected_bodies": f"WITH {_PAGES},{_ONCE},{_COLLECTED.format(10)}\n"
     """SELECT platform, request_id, count(*) AS copies FROM with_total
     JOIN collected USING (platform, request_id, page_no) GROUP BY platform, request_id""",

@@ -29,6 +29,11 @@ def _top(spark, sf_dir):
     return _short(S.search_ads(D.stored_ads(spark, sf_dir), "google", date_from="1996-01-01", limit=1000))
 
 
+def _limit_kept(spark, sf_dir):
+    """More rows than the source's own service would send at once."""
+    return _short(S.search_ads(D.stored_ads(spark, sf_dir), "meta", date_from="1996-01-01", limit=900))
+
+
 def _page(spark, sf_dir):
     return _short(S.search_ads(D.stored_ads(spark, sf_dir), "x", limit=40, page_token=20))
 
@@ -93,6 +98,7 @@ QUERIES = {
     "search_media": _find(platform="booking", media="IMAGE"),
     "search_status": _find(platform="snapchat", platform_defaults=True),
     "search_top": _top,
+    "search_limit_kept": _limit_kept,
     "search_page": _page,
     "search_page_after": _page_after,
     "search_batch": _batch,
@@ -192,6 +198,10 @@ ORACLES = {
         f"""{_OUT} WHERE platform = 'google' AND first_seen >= DATE '1996-01-01'
         ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 1000"""
     ),
+    "search_limit_kept": with_ads(
+        f"""{_OUT} WHERE platform = 'meta' AND (last_seen IS NULL OR last_seen >= DATE '1996-01-01')
+        ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 900"""
+    ),
     "search_page": with_ads(
         f"{_OUT} WHERE platform = 'x' ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 40 OFFSET 20"
     ),
