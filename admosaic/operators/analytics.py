@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import strings
+
 
 def ads_by_platform(ads: DataFrame) -> DataFrame:
     """Number of ads by platform, most first."""
@@ -98,15 +100,29 @@ def delivery_breakdown(ads: DataFrame, kind: str = "demographic_distribution") -
     )
 
 
+_CODE = "^[A-Z]{2}$"
+
+
+def _shares(chosen: Column) -> Column:
+    """Sum of the shares of the entries chosen, NULL when there are none."""
+    return F.when(
+        F.size(chosen) > 0, F.aggregate(chosen, F.lit(0.0), lambda a, x: a + F.coalesce(x["impression_percentage"], F.lit(0.0)))
+    )
+
+
 def _share(country: str) -> Column:
-    here = F.filter("impressions_by_country", lambda x: x["country"] == country)
-    return F.try_element_at(here, F.lit(1))["impression_percentage"]
+    return _shares(F.filter("impressions_by_country", lambda x: x["country"] == country))
+
+
+def _other_share(countries: list[str]) -> Column:
+    known = strings(countries)
+    return _shares(F.filter("impressions_by_country", lambda x: ~F.array_contains(known, F.coalesce(x["country"], F.lit("")))))
 
 
 def impression_countries(flat: DataFrame) -> list[str]:
     """Two-letter codes that occur in the impressions, sorted: a list bounded by the alphabet."""
     code = F.upper(F.regexp_replace("country", "^urn:li:country:", ""))
-    codes = unnest_impressions(flat).select(code.alias("code")).filter(F.col("code").rlike("^[A-Z]{2}$"))
+    codes = unnest_impressions(flat).select(code.alias("code")).filter(F.col("code").rlike(_CODE))
     return sorted(row.code for row in codes.distinct().collect())
 
 
@@ -126,8 +142,8 @@ def _plain_countries(flat: DataFrame) -> DataFrame:
 def clean_wide(flat: DataFrame, countries: list[str] | None = None) -> DataFrame:
     """The flat table without list columns: one row per ad.
 
-    Adds ``impression_pct_<CC>`` for each country, the midpoint ``impressions_mid`` and the summary
-    ``targeting_facets``. Each row is built from its own lists, so nothing is shuffled.
+    Adds ``impression_pct_<CC>`` for each country (the sum where an ad names it more than once),
+    ``impression_pct_other`` for all else, the midpoint ``impressions_mid`` and the summary ``targeting_facets``. Each row is built from its own lists, so nothing is shuffled.
     """
     codes = impression_countries(flat) if countries is None else [c.upper() for c in countries]
     plain = _plain_countries(flat)
@@ -138,6 +154,7 @@ def clean_wide(flat: DataFrame, countries: list[str] | None = None) -> DataFrame
         ((F.col("total_impressions_from") + F.col("total_impressions_to")) / 2).alias("impressions_mid"),
         F.nullif(F.array_join(facets, ", "), F.lit("")).alias("targeting_facets"),
         *[_share(code).alias(f"impression_pct_{code}") for code in codes],
+        _other_share(codes).alias("impression_pct_other"),
     )
 
 

@@ -70,9 +70,11 @@ def _delivery(kind):
 
 
 def _wide(spark, sf_dir):
-    wide = A.clean_wide(_flat(spark, sf_dir), D.NATION_CODES)
-    kept = ["ad_url", "advertiser_name", "impressions_mid", "targeting_facets"]
-    return wide.select(*kept, *[f"impression_pct_{code}" for code in D.NATION_CODES])
+    """A column for each of the first twenty countries, the others in one."""
+    codes = D.NATION_CODES[:20]
+    wide = A.clean_wide(_flat(spark, sf_dir), codes)
+    kept = ["ad_url", "advertiser_name", "impressions_mid", "targeting_facets", "impression_pct_other"]
+    return wide.select(*kept, *[f"impression_pct_{code}" for code in codes])
 
 
 def _long(spark, sf_dir):
@@ -225,9 +227,10 @@ ORACLES = {
     "clean_wide": _linkedin(
         f"""SELECT {_URL} AS ad_url, name AS advertiser_name, (imp_min + imp_max) / 2 AS impressions_mid,
           (SELECT string_agg(DISTINCT facet, ', ' ORDER BY facet) FROM facets f WHERE f.k = base.k) AS targeting_facets,
-          {', '.join(f"p.{c} AS impression_pct_{c}" for c in D.NATION_CODES)}
+          {', '.join(f"p.{c} AS impression_pct_{c}" for c in D.NATION_CODES[:20])}, p.others AS impression_pct_other
         FROM base LEFT JOIN (
-          SELECT k, {', '.join(f"CAST(max(percentage) FILTER (country = '{c}') AS DOUBLE) AS {c}" for c in D.NATION_CODES)}
+          SELECT k, {', '.join(f"CAST(sum(percentage) FILTER (country = '{c}') AS DOUBLE) AS {c}" for c in D.NATION_CODES[:20])},
+            CAST(sum(percentage) FILTER (country NOT IN ({', '.join(f"'{c}'" for c in D.NATION_CODES[:20])})) AS DOUBLE) AS others
           FROM shares GROUP BY k) p ON p.k = base.k"""
     ),
     "clean_long": _linkedin(
