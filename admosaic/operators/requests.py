@@ -99,7 +99,7 @@ def _native(platform_defaults: bool) -> dict[str, dict[str, dict[str, Column]]]:
     meta_countries = listed(codes)
     if platform_defaults:
         meta_countries = F.coalesce(meta_countries, F.lit("US"))
-    urns = F.transform(codes, lambda x: F.concat(F.lit("urn%3Ali%3Acountry%3A"), F.lower(x)))
+    urns = F.transform(codes, lambda x: F.concat(F.lit("urn%3Ali%3Acountry%3A"), x))
     preset = date_preset(parse_day(c("date_from")), parse_day(c("date_to")))
     return {
         "amazon": {

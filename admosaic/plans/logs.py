@@ -388,7 +388,7 @@ def _native_sql(defaults: bool) -> str:
         "CASE WHEN date_diff('day', d_from, coalesce(d_to, current_date)) > 180 THEN 'LAST_YEAR' "
         "WHEN date_diff('day', d_from, coalesce(d_to, current_date)) > 90 THEN 'LAST_180_DAYS' ELSE 'LAST_90_DAYS' END"
     )
-    urns = "'(value:List(' || array_to_string(list_transform(codes, lambda x: 'urn%3Ali%3Acountry%3A' || lower(x)), ',') || '))'"
+    urns = "'(value:List(' || array_to_string(list_transform(codes, lambda x: 'urn%3Ali%3Acountry%3A' || x), ',') || '))'"
     search = {
         "amazon": _pairs(advertiser="who", country=eu, start_date=start, end_date=end, limit=cap(100), offset=skip),
         "apple": "CASE WHEN who IS NULL THEN '' ELSE "
