@@ -92,8 +92,9 @@ def part_count(percent: int, low: int, high: int) -> tuple[int, int]:
     return parts, spare
 
 
-def signatures(hashes: np.ndarray, threshold: Threshold) -> list[tuple[int, np.ndarray, bytes]]:
-    """For each size class its lowest size, a 64-bit signature for each part, and a byte for each part.
+def signatures(hashes: np.ndarray, threshold: Threshold) -> list[tuple[int, np.ndarray, bytes, np.ndarray]]:
+    """For each size class its lowest size, a 64-bit signature for each part, a byte for each part, and the signatures
+    that a query has to ask for: as linked sets differ in few parts, one more of its fullest parts than that will do.
 
     Linked sets agree on more parts than are spared. A set with no more empty parts than that leaves them out, as one
     of the agreeing parts is not empty then; a set with more keeps them.
@@ -105,14 +106,18 @@ def signatures(hashes: np.ndarray, threshold: Threshold) -> list[tuple[int, np.n
         bounds = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
         cuts = np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
         sig = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(np.arange(parts, dtype=np.uint64), low), 11)
-        full = cuts[1:] > cuts[:-1]
-        kept = sig if np.count_nonzero(~full) > spare else sig[full]
-        out.append((low, kept, (sig >> np.uint64(56)).astype(np.uint8).tobytes()))
+        sizes = np.diff(cuts)
+        few = np.count_nonzero(sizes == 0) <= spare
+        kept = sig[sizes > 0] if few else sig
+        asked = sig[np.argsort(-sizes, kind="stable")[: parts - spare]] if few else sig
+        out.append((low, kept, (sig >> np.uint64(56)).astype(np.uint8).tobytes(), asked))
     return out
 
 
-def all_signatures(hashes: np.ndarray, threshold: Threshold) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.uint64), *[sig for _, sig, _ in signatures(hashes, threshold)]])
+def all_signatures(hashes: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """A set's signatures of all size classes, and those it asks for as a query."""
+    found, none = signatures(hashes, threshold), np.empty(0, np.uint64)
+    return np.concatenate([none, *[x[1] for x in found]]), np.concatenate([none, *[x[3] for x in found]])
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -221,10 +226,11 @@ def _tokens_of(width: int, percent: int):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = list(shingle_sets(_texts(part), width))
+                signed = [all_signatures(x, threshold) for x in sets]
                 keys = [pa.array([int(mix(s, 100 + k).min().view(np.int64)) for s in sets], pa.int64()) for k in range(ORDERS)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cluster"), part.column("node"), _lists(sets), _lists([all_signatures(x, threshold) for x in sets]), *keys],
-                    ["cluster", "node", "tokens", "parts", *[f"key{k}" for k in range(ORDERS)]],
+                    [part.column("cluster"), part.column("node"), _lists(sets), *[_lists([x[k] for x in signed]) for k in range(2)], *keys],
+                    ["cluster", "node", "tokens", "parts", "asks", *[f"key{k}" for k in range(ORDERS)]],
                 )
 
     return run
@@ -284,15 +290,16 @@ def _open_groups(percent: int):
                     pa.array(nodes),
                     _lists(sets),
                     _lists([r[3] for r in rows]),
+                    _lists([r[4] for r in rows]),
                     pa.array(_roots(nodes, linked)),
-                    *[pa.array([r[4][k] for r in rows], pa.int64()) for k in range(ORDERS)],
+                    *[pa.array([r[5][k] for r in rows], pa.int64()) for k in range(ORDERS)],
                 ],
-                ["cluster", "group", "node", "tokens", "parts", "root", *[f"key{k}" for k in range(ORDERS)]],
+                ["cluster", "group", "node", "tokens", "parts", "asks", "root", *[f"key{k}" for k in range(ORDERS)]],
             )
 
         for batch in batches:
             ids = [batch.column(c).to_pylist() for c in ("cluster", "node")]
-            lists = [_tokens(batch.column(c)) for c in ("tokens", "parts")]
+            lists = [_tokens(batch.column(c)) for c in ("tokens", "parts", "asks")]
             keys = zip(*[batch.column(f"key{k}").to_pylist() for k in range(ORDERS)], strict=True)
             for row in zip(*ids, *lists, keys, strict=True):
                 if waiting and row[1] == waiting[-1][1]:
@@ -308,7 +315,7 @@ def _open_groups(percent: int):
     return run
 
 
-_GROUPED = "cluster long, `group` long, node long, tokens array<long>, parts array<long>, root long, " + ", ".join(f"key{k} long" for k in range(ORDERS))
+_GROUPED = "cluster long, `group` long, node long, tokens array<long>, parts array<long>, asks array<long>, root long, " + ", ".join(f"key{k} long" for k in range(ORDERS))
 
 
 def _grouped(sets: DataFrame, order: int, percent: int) -> DataFrame:
@@ -355,13 +362,13 @@ def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame
     ).where("root <> main")
     asking = stored(
         asking.select(
-            "cluster", F.col("group").alias("home"), "node", "root", "tokens", "parts",
+            "cluster", F.col("group").alias("home"), "node", "root", "tokens", "asks",
             F.pmod(F.xxhash64("node"), F.ceil(F.col("outside") / QUERIES_A_TASK)).alias("block"),
         ),
         "queries",
     )
     matrix = labelled.select("cluster", "group", F.explode("parts").alias("part")).distinct()
-    wanted = asking.select("cluster", "node", "home", "block", F.explode("parts").alias("part"))
+    wanted = asking.select("cluster", "node", "home", "block", F.explode("asks").alias("part"))
     reached = wanted.join(matrix, ["cluster", "part"]).where("`group` <> home").select("cluster", "group", "block", "node").distinct()
     reached = stored(reached, "reached")
     visits = reached.join(asking.select("cluster", "node", "root", "tokens"), ["cluster", "node"]).select(
@@ -418,7 +425,7 @@ def similar_components(
     members = nodes.join(clusters, "s1").select("cluster", "node", F.col("id").alias("j"), F.col("t1").alias("j1"), F.col("t2").alias("j2"))
     members = sized(stored(members, "members"), BROADCAST_ROWS)
     read = keyed.join(members, (F.col("t1") == F.col("j1")) & (F.col("t2") == F.col("j2")) & F.col("id").eqNullSafe(F.col("j")))
-    token_schema = "cluster long, node long, tokens array<long>, parts array<long>, " + ", ".join(f"key{k} long" for k in range(ORDERS))
+    token_schema = "cluster long, node long, tokens array<long>, parts array<long>, asks array<long>, " + ", ".join(f"key{k} long" for k in range(ORDERS))
     tokens = stored(read.select("cluster", "node", "text").mapInArrow(_tokens_of(width, percent), token_schema), "tokens")
 
     groups = _grouped(tokens, 0, percent)
