@@ -98,7 +98,7 @@ def test_no_limit_of_a_remote_service_cuts_a_search(spark, ads):
     meta = admosaic.find_ads(ads, "meta").count()
     assert admosaic.search_ads(ads, "meta", limit=500).count() == meta > 25
     google = ads.filter("platform = 'google'")
-    many = google.crossJoin(spark.range(20)).drop("id")
+    many = google.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("_copy")
     assert admosaic.search_ads(many, "google", limit=5_000).count() == min(5_000, many.count()) > 1_000
     assert admosaic.search_ads(many, "google").count() == 1_000
 
