@@ -11,6 +11,7 @@ from ..functions.countries import (
     countries_to_numbers,
 )
 from ..functions.dates import date_preset, format_day, parse_day
+from ..functions.linkedin import daterange_param
 from ..functions.literals import strings
 from ..functions.text import clean_text
 from ..sources.registry import platform_names, supports
@@ -144,7 +145,7 @@ def _native(platform_defaults: bool) -> dict[str, dict[str, dict[str, Column]]]:
                 "countries": F.when(
                     F.size(codes) > 0, F.concat(F.lit("(value:List("), F.array_join(urns, ","), F.lit("))"))
                 ),
-                "start_date": start, "end_date": end, "count": at_most(25), "start": skip(),
+                "dateRange": daterange_param(c("date_from"), c("date_to")), "count": at_most(25), "start": skip(),
             },
             "advertisers": {"name": text("keyword"), "count": at_most(25), "start": skip()},
         },

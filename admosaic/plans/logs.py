@@ -389,6 +389,11 @@ def _native_sql(defaults: bool) -> str:
         "WHEN date_diff('day', d_from, coalesce(d_to, current_date)) > 90 THEN 'LAST_180_DAYS' ELSE 'LAST_90_DAYS' END"
     )
     urns = "'(value:List(' || array_to_string(list_transform(codes, lambda x: 'urn%3Ali%3Acountry%3A' || x), ',') || '))'"
+    day = "'(day:' || day({0}) || ',month:' || month({0}) || ',year:' || year({0}) || ')'"
+    served = (
+        "CASE WHEN d_from IS NOT NULL AND d_to IS NOT NULL THEN '(start:' || " + day.format("d_from") + " || ',end:' || "
+        + day.format("d_to") + " || ')' END"
+    )
     search = {
         "amazon": _pairs(advertiser="who", country=eu, start_date=start, end_date=end, limit=cap(100), offset=skip),
         "apple": "CASE WHEN who IS NULL THEN '' ELSE "
@@ -400,7 +405,7 @@ def _native_sql(defaults: bool) -> str:
             date_range_end=end, LIMIT=cap(10000), OFFSET=skip,
         ),
         "linkedin": _pairs(
-            keyword=key, advertiser="who", countries=urns, start_date=start, end_date=end, count=cap(25), start=skip
+            keyword=key, advertiser="who", countries=urns, dateRange=served, count=cap(25), start=skip
         ),
         "meta": _pairs(
             ad_reached_countries=meta_countries, search_terms=key, ad_type="CASE WHEN kind <> 'OTHER_ADS' THEN kind END",
