@@ -191,3 +191,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score, coalesce(n_blocks, 0)::BIGINT AS n_blocks
 FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """
+
+NEAR_COPIES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), {_A_Z}), '{SPACES}'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), pairs AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT x, y FROM pairs JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * i >= 90 * (nx.n + ny.n - i)
+), reach AS (
+  SELECT r, r AS t FROM d
+  UNION
+  SELECT reach.r, links.y FROM reach JOIN links ON reach.t = links.x
+), least AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM d JOIN least USING (r) LEFT JOIN n USING (r)
+"""

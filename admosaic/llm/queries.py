@@ -123,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": checks.NEAR_COPIES,
     "op2_secret_scans": checks.SECRETS,
     "op4_quality_rules": checks.QUALITY,
     "op6_benchmark_decontamination": checks.DECONTAMINATION,
