@@ -25,7 +25,7 @@ from .textops import process_cache
 
 #: Rows encoded together, and distinct pieces that a worker process keeps; neither changes a result.
 ROWS = 128
-KEPT_PIECES = 900_000
+KEPT_PIECES = 600_000
 
 
 def byte_characters() -> dict[int, str]:
