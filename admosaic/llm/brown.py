@@ -1,15 +1,16 @@
 """Class-based n-gram language model after Brown et al.: exchange clustering puts words into classes; a text's
 probability is the product of class transitions and of word emissions from the classes.
 
-The EXCHANGE_WORDS most frequent words are exchanged between CLASSES classes; every other word has the class of its
-form (length, and whether it ends in a letter), so that a word's class never needs a table that grows. Counts of words,
-classes and transitions are of all training texts. Unknown words share one extra place in the class of their form.
+Every word that occurs EXCHANGE_COUNT times or more is exchanged between CLASSES classes, at every size of input; rarer
+and unknown words have the class of their form (length, and whether it ends in a letter). Classes of words are a table
+that grows with the vocabulary; it is joined, and only the class-by-class table is held. Counts of words, classes and
+transitions are of all training texts. Unknown words share one extra place in the class of their form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +20,24 @@ from pyspark.sql import functions as F
 from .shingles import chunks, word_hashes
 from .textops import stored
 
-EXCHANGE_WORDS = 2048
+EXCHANGE_COUNT = 10
 CLASSES = 48
 #: Every word is moved ROUNDS times, a TURNS-th of the words at once.
 ROUNDS, TURNS = 2, 4
-#: Words whose counts every task holds; the counts of all others are joined.
+#: Words that one task moves one by one in a turn; tasks do not see the moves of one another before the turn's end.
+TASK_WORDS = 512
+#: Words whose counts and classes every task holds; those of all others are joined.
 HELD_WORDS = 32_768
+#: Words up to which the table of classes is broadcast; beyond, its joins shuffle.
+BROADCAST_WORDS = 1_000_000
 #: Weight of a class's own frequency in a transition.
 TRANSITION_WEIGHT = 10.0
 FORMS = 16
+EVERY = CLASSES + FORMS + 1
 END = np.uint64(0x0E0F_E0D0_C0DE_0001)
-_MERGED = 1 << 21
+#: Of a text's distinct words that tasks do not hold: hash, class of form and count; of each of their places: the number
+#: of the word, and the classes before and after, -1 where that is such a word too (after: or nothing).
+_LISTS = ("words", "own", "times", "number", "before", "after")
 
 
 def forms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -68,7 +76,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Classes:
-    """Sorted hashes of the exchanged words and the class of each; forms come after, the end of a text last."""
+    """Sorted hashes of the exchanged words that tasks hold and the class of each; forms come after, the end of a text
+    last."""
 
     words: np.ndarray
     classes: np.ndarray
@@ -85,37 +94,38 @@ class Classes:
         return out
 
 
-def _pair_counts(words: np.ndarray):
-    """Counts of neighbouring items: exchanged words by number, then forms, then the end, which also comes first."""
-    every = len(words) + FORMS + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.empty(0, np.int64), np.empty(0, np.int64)]
-
-        def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
-            found, where = np.unique(np.concatenate(codes), return_inverse=True)
-            return [found, np.bincount(where, np.concatenate(counts), len(found)).astype(np.int64)]
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of neighbouring tokens by hash, with the form of each; the end of a text also comes before it."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            for tokens, kinds, begins in token_runs(_bytes(batch.slice(at, 4096))):
+                before, form = np.roll(tokens, 1), np.roll(kinds, 1)
+                before[begins], form[begins] = END, -1
+                mixed = (before * np.uint64(0x9E37_79B9_7F4A_7C15)) ^ tokens
+                _, first, n = np.unique(mixed, return_index=True, return_counts=True)
+                columns = (before[first].view(np.int64), tokens[first].view(np.int64), form[first], kinds[first], n)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "form_a", "form_b", "n"])
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(kept[0] // every), pa.array(kept[0] % every), pa.array(kept[1])], ["a", "b", "n"])
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                for tokens, kinds, begins in token_runs(_bytes(batch.slice(at, 4096))):
-                    items = len(words) + np.where(tokens == END, FORMS, kinds)
-                    if len(words):
-                        place = np.minimum(np.searchsorted(words, tokens), len(words) - 1)
-                        items = np.where(words[place] == tokens, place, items)
-                    before = np.concatenate(([every - 1], items[:-1]))
-                    before[begins] = every - 1
-                    codes, n = np.unique(before.astype(np.int64) * every + items, return_counts=True)
-                    kept = merged([kept[0], codes], [kept[1], n])
-                if len(kept[0]) > _MERGED:
-                    yield rows()
-                    kept = [np.empty(0, np.int64), np.empty(0, np.int64)]
-        yield rows()
-
-    return run
+@dataclass
+class ClassTable:
+    """(item, class) of every exchanged word, form and the end: near is broadcast; far, if there is one, holds the words
+    beyond it, none of them frequent."""
+
+    near: DataFrame
+    far: DataFrame | None
+
+    def named(self, frame: DataFrame, item: str, name: str) -> DataFrame:
+        """The frame with the class of an item, null for none. Rows that near has named are spread over the tasks of
+        the join with far."""
+        found = frame.join(F.broadcast(self.near.select(F.col("item").alias(item), F.col("class").alias(name))), item, "left")
+        if self.far is None:
+            return found
+        key, more = f"{name}_key", f"{name}_more"
+        keyed = found.withColumn(key, F.when(F.col(name).isNull() & F.col(item).isNotNull(), F.col(item)).otherwise(F.xxhash64(*found.columns)))
+        joined = keyed.join(self.far.select(F.col("item").alias(key), F.col("class").alias(more)), key, "left")
+        open_row = F.col(name).isNull() & F.col(item).isNotNull()
+        return joined.withColumn(name, F.when(open_row, F.col(more)).otherwise(F.col(name))).drop(key, more)
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
@@ -123,34 +133,41 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
 
 
 def _exchange(joint: np.ndarray):
-    """Moves the words of one turn, each to the class that makes the text's class pairs most likely, one by one.
+    """Moves words, each to the class that makes the text's class pairs most likely, one by one within a task.
 
-    Rows are (word, side, class, n, now): how often each class follows (side 0) or precedes (side 1) a word.
+    Rows are (item, now, around): around has (side, class, n), how often each class follows (side 0) or precedes (side 1).
+    A last row without an item has what the task's moves change in the class pairs.
     """
 
-    def run(table: pa.Table) -> pa.Table:
-        word, side, other, n, now = (table.column(c).to_numpy() for c in ("word", "side", "class", "n", "now"))
-        order = np.argsort(word, kind="stable")
-        word, side, other, n, now = (x[order] for x in (word, side, other, n, now))
-        words, first = np.unique(word, return_index=True)
-        cells, every, moved = joint.astype(np.float64).copy(), len(joint), []
-        for w, a, b in zip(words, first, np.append(first[1:], len(word)), strict=True):
-            right = np.bincount(other[a:b], np.where(side[a:b] == 0, n[a:b], 0), every)
-            left = np.bincount(other[a:b], np.where(side[a:b] == 1, n[a:b], 0), every)
-            home, count = int(now[a]), right.sum()
-            cells[home, :] -= right
-            cells[:, home] -= left
-            cells = np.maximum(cells, 0)
-            sums = cells.sum(axis=1)
-            gain = (_log_sum(cells[:CLASSES] + right) - _log_sum(cells[:CLASSES])).sum(axis=1)
-            gain += (_log_sum(cells[:, :CLASSES] + left[:, None]) - _log_sum(cells[:, :CLASSES])).sum(axis=0)
-            gain -= 2 * (_log_sum(sums[:CLASSES] + count) - _log_sum(sums[:CLASSES]))
-            best = int(np.argmax(gain))
-            best = home if gain[home] >= gain[best] - 1e-6 else best
-            cells[best, :] += right
-            cells[:, best] += left
-            moved.append((int(w), best))
-        return pa.table({"word": pa.array([w for w, _ in moved], pa.int64()), "class": pa.array([c for _, c in moved], pa.int64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = joint.astype(np.float64).copy()
+        for batch in batches:
+            homes, lists = batch.column("now").to_numpy(), batch.column("around")
+            cuts, parts = lists.offsets.to_numpy(), lists.values
+            side, other, n = (parts.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            moved = np.empty(len(homes), np.int64)
+            for k, (home, a, b) in enumerate(zip(homes.tolist(), cuts[:-1], cuts[1:], strict=True)):
+                right = np.bincount(other[a:b], np.where(side[a:b] == 0, n[a:b], 0), EVERY)
+                left = np.bincount(other[a:b], np.where(side[a:b] == 1, n[a:b], 0), EVERY)
+                count = right.sum()
+                cells[home, :] -= right
+                cells[:, home] -= left
+                np.maximum(cells, 0, out=cells)
+                sums = cells.sum(axis=1)[:CLASSES]
+                after, ahead = np.flatnonzero(right), np.flatnonzero(left)
+                rows, columns = cells[:CLASSES, after], cells[ahead, :CLASSES]
+                gain = (_log_sum(rows + right[after]) - _log_sum(rows)).sum(axis=1)
+                gain += (_log_sum(columns + left[ahead][:, None]) - _log_sum(columns)).sum(axis=0)
+                gain -= 2 * (_log_sum(sums + count) - _log_sum(sums))
+                best = int(np.argmax(gain))
+                best = home if gain[home] >= gain[best] - 1e-6 else best
+                cells[best, :] += right
+                cells[:, best] += left
+                moved[k] = best
+            none = pa.nulls(len(moved), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(moved), none], ["item", "moved", "change"])
+        change = pa.array([(cells - joint).ravel()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), change], ["item", "moved", "change"])
 
     return run
 
@@ -166,6 +183,13 @@ class Model:
     held_counts: np.ndarray
     tokens: int
     distinct: int
+    table: ClassTable | None
+    """Classes of all exchanged words, if there are any that tasks do not hold."""
+
+    @property
+    def steps(self) -> np.ndarray:
+        """By class before and class: what a token's score has besides its count."""
+        return self.transitions - self.emissions
 
 
 def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -178,77 +202,98 @@ def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
 def train(texts: DataFrame, counts: DataFrame, text_col: str = "text") -> Model:
     """Fits the classes and their probabilities to texts, of which counts are the word_counts.
 
-    What the driver holds depends on the model's own sizes only: its words, classes and held counts.
+    What the driver holds depends on the model's own sizes only: its held words and its classes.
     """
     spark = texts.sparkSession
     sizes = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
     top = counts.orderBy(F.col("n").desc(), "word").limit(HELD_WORDS).collect()
     held = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     held_counts = np.array([r["n"] for r in top], np.int64)
-    exchanged = np.array([h for h in held if h != END][:EXCHANGE_WORDS], np.uint64)
-    rank_class = np.arange(len(exchanged)) % CLASSES
-    by_hash = np.argsort(exchanged)
-    words, now = exchanged[by_hash], rank_class[by_hash]
-    every = len(words) + FORMS + 1
-    rows = texts.select(F.col(f"`{text_col}`").alias("text"))
-    pairs = rows.mapInArrow(_pair_counts(words), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    pairs = stored(pairs, "pairs")
-
-    def class_map() -> DataFrame:
-        classes = np.concatenate((now, CLASSES + np.arange(FORMS + 1)))
-        return spark.createDataFrame([(int(k), int(c)) for k, c in enumerate(classes)], "item long, class long")
-
-    def class_pairs() -> np.ndarray:
-        joint = np.zeros((CLASSES + FORMS + 1, CLASSES + FORMS + 1))
-        named = F.broadcast(class_map())
-        summed = (
-            pairs.join(named.withColumnsRenamed({"item": "a", "class": "c"}), "a")
-            .join(F.broadcast(class_map()).withColumnsRenamed({"item": "b", "class": "d"}), "b")
-            .groupBy("c", "d").agg(F.sum("n").alias("n"))
-        )
-        for r in summed.collect():
+    end = int(END.astype(np.int64))
+    ranked = [r["word"] for r in top if r["n"] >= EXCHANGE_COUNT and r["word"] != end]
+    fixed = [(k, CLASSES + k) for k in range(FORMS)] + [(end, CLASSES + FORMS)]
+    first = spark.createDataFrame([(w, k % CLASSES) for k, w in enumerate(ranked)], "item long, first long")
+    exchanged = counts.where((F.col("n") >= EXCHANGE_COUNT) & (F.col("word") != end)).select(F.col("word").alias("item"))
+    now = exchanged.join(F.broadcast(first), "item", "left").select(
+        "item", F.coalesce("first", F.pmod(F.xxhash64("item"), F.lit(CLASSES)).cast("long")).alias("class"), F.col("first").isNotNull().alias("held")
+    )
+    now = stored(now, "classes")
+    n_words = now.count()
+
+    def class_table(now: DataFrame) -> ClassTable:
+        more = spark.createDataFrame(fixed, "item long, class long")
+        if n_words <= BROADCAST_WORDS:
+            return ClassTable(now.select("item", "class").unionByName(more), None)
+        return ClassTable(now.where("held").select("item", "class").unionByName(more), now.where(~F.col("held")).select("item", "class"))
+
+    def class_pairs(table: ClassTable) -> np.ndarray:
+        joint = np.zeros((EVERY, EVERY))
+        for r in table.named(table.named(pairs, "a", "c"), "b", "d").groupBy("c", "d").agg(F.sum("n").alias("n")).collect():
             joint[r["c"], r["d"]] = r["n"]
         return joint
 
-    joint = class_pairs()
+    table = class_table(now)
+    rows = texts.select(F.col(f"`{text_col}`").alias("text"))
+    met = rows.mapInArrow(_pair_counts, "a long, b long, form_a long, form_b long, n long")
+    met = table.named(table.named(met, "a", "class_a"), "b", "class_b")
+    items = [F.when(F.col(f"class_{x}").isNotNull(), F.col(x)).otherwise(F.col(f"form_{x}")).alias(x) for x in ("a", "b")]
+    pairs = stored(met.select(*items, "n").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+    joint = class_pairs(table)
+    tasks = max(1, -(-n_words // (TURNS * TASK_WORDS)))
     for turn in range(ROUNDS * TURNS):
-        if not len(words):
+        if not n_words:
             break
-        named = F.broadcast(class_map()).withColumnsRenamed({"item": "other"})
-        sides = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.lit(0).cast("long").alias("side"), "n").unionByName(
-            pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.lit(1).cast("long").alias("side"), "n")
-        )
-        moving = (F.col("word") < len(words)) & (F.col("word") % TURNS == turn % TURNS)
-        around = sides.where(moving).join(named, "other").groupBy("word", "side", "class").agg(F.sum("n").alias("n"))
-        around = around.join(F.broadcast(class_map()).withColumnsRenamed({"item": "word", "class": "now"}), "word")
-        # One group, as each move counts for the next: at most EXCHANGE_WORDS / TURNS words with their classes.
-        best = around.groupBy(F.lit(0).alias("all")).applyInArrow(_exchange(joint), "word long, class long")
-        for r in best.collect():
-            now[r["word"]] = r["class"]
-        joint = class_pairs()
-    classes = Classes(words, now)
+
+        def side(word: str, other: str, number: int, turn: int = turn) -> DataFrame:
+            at = F.col(word)
+            moving = ~at.between(0, FORMS - 1) & (at != end) & (F.pmod(F.xxhash64(at), F.lit(TURNS)) == turn % TURNS)
+            return pairs.where(moving).select(at.alias("item"), F.col(other).alias("other"), F.lit(number).alias("side"), "n")
+
+        around = table.named(side("a", "b", 0).unionByName(side("b", "a", 1)), "other", "class")
+        around = around.groupBy("item", "side", "class").agg(F.sum("n").alias("n"))
+        around = around.groupBy("item").agg(F.collect_list(F.struct("side", "class", "n")).alias("around"))
+        around = around.join(now.select("item", F.col("class").alias("now")), "item").select("item", "now", "around")
+        dealt = around.repartition(tasks, "item").sortWithinPartitions("item")
+        moved = stored(dealt.mapInArrow(_exchange(joint), "item long, moved long, change array<double>"), "moves")
+        now = stored(now.join(moved.where("item IS NOT NULL"), "item", "left").select("item", F.coalesce("moved", "class").alias("class"), "held"), "classes")
+        table = class_table(now)
+        if turn % TURNS == TURNS - 1:
+            joint = class_pairs(table)
+            continue
+        # Within a round the tasks' changes are added up; only pairs whose words both moved are counted again at its end.
+        changes = moved.where("item IS NULL").select(F.posexplode("change").alias("cell", "by")).groupBy("cell").agg(F.sum("by").alias("by"))
+        for r in changes.collect():
+            joint[divmod(r["cell"], EVERY)] = max(joint[divmod(r["cell"], EVERY)] + r["by"], 0)
+    own = now.where("held").select("item", "class").collect()
+    words = np.array([r["item"] for r in own], np.int64).view(np.uint64)
+    by_hash = np.argsort(words)
+    classes = Classes(words[by_hash], np.array([r["class"] for r in own], np.int64)[by_hash])
     frequency = joint.sum(axis=0) / max(joint.sum(), 1)
     frequency = (frequency + 1e-9) / (frequency + 1e-9).sum()
     row_sums = joint.sum(axis=1, keepdims=True)
     transitions = np.log10((joint + TRANSITION_WEIGHT * frequency) / (row_sums + TRANSITION_WEIGHT))
-    totals = np.zeros((2, CLASSES + FORMS + 1))
+    totals = np.zeros((2, EVERY))
     totals[0] = joint.sum(axis=0)
-    totals[1, :CLASSES] = np.bincount(now, minlength=CLASSES)[:CLASSES]
-    of_form = counts.groupBy("form").agg(F.count("*").alias("n")).collect()
-    for r in of_form:
+    for r in now.groupBy("class").count().collect():
+        totals[1, r["class"]] = r["count"]
+    rare = counts.where((F.col("n") < EXCHANGE_COUNT) | (F.col("word") == end))
+    for r in rare.groupBy("form").agg(F.count("*").alias("n")).collect():
         totals[1, CLASSES + (FORMS if r["form"] < 0 else r["form"])] = r["n"]
     order = np.argsort(held)
     emissions = np.log10(totals[0] + totals[1] + 1)
-    return Model(classes, transitions, emissions, held[order], held_counts[order], int(sizes["tokens"] or 0), int(sizes["distinct"]))
+    more = table if n_words > len(own) else None
+    return Model(classes, transitions, emissions, held[order], held_counts[order], int(sizes["tokens"] or 0), int(sizes["distinct"]), more)
 
 
 def _scored(model: Model):
+    joined, model = model.table is not None, replace(model, table=None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scale = np.log10(model.tokens + model.distinct + 1)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                columns = {k: [] for k in ("n_tokens", "n_known", "base", "score", "words", "times")}
+                columns = {k: [] for k in ("n_tokens", "n_known", "base", "score", *_LISTS)}
                 for tokens, kinds, begins in token_runs(_bytes(part)):
                     held = np.zeros(len(tokens), np.int64)
                     known = np.zeros(len(tokens), bool)
@@ -260,7 +305,11 @@ def _scored(model: Model):
                     before = np.concatenate(([model.classes.end], classes[:-1]))
                     before[begins] = model.classes.end
                     counted = np.log10(held + 1.0)
-                    step = counted + model.transitions[before, classes] - model.emissions[classes]
+                    known_before = np.concatenate(([True], known[:-1]))
+                    known_before[begins] = True
+                    # Steps from or to a word that the task does not hold are added when its class is joined.
+                    here = known & known_before if joined else np.ones(len(tokens), bool)
+                    step = counted + np.where(here, model.steps[before, classes], 0.0)
                     ends = np.append(begins[1:], len(tokens))
                     columns["n_tokens"] += (ends - begins).tolist()
                     columns["n_known"] += np.add.reduceat(known.astype(np.int64), begins).tolist()
@@ -269,24 +318,64 @@ def _scored(model: Model):
                     rare = np.flatnonzero(~known)
                     owner = np.searchsorted(begins, rare, side="right") - 1
                     order = np.lexsort((tokens[rare], owner))
-                    owner, words = owner[order], tokens[rare][order]
+                    of, words = owner[order], tokens[rare][order]
                     new = np.ones(len(words), bool)
-                    new[1:] = (owner[1:] != owner[:-1]) | (words[1:] != words[:-1])
+                    new[1:] = (of[1:] != of[:-1]) | (words[1:] != words[:-1])
                     first = np.flatnonzero(new)
-                    times = np.diff(np.append(first, len(words)))
-                    cuts = np.searchsorted(owner[first], np.arange(len(begins) + 1))
+                    cuts = np.searchsorted(of[first], np.arange(len(begins) + 1))
+                    lists = {
+                        "words": words[first].view(np.int64), "own": classes[rare][order][first], "times": np.diff(np.append(first, len(words))),
+                    }
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        for name, values in lists.items():
+                            columns[name].append(values[a:b])
+                    if not joined:
+                        rare, owner = rare[:0], owner[:0]
+                    number = np.empty(len(words), np.int64)
+                    number[order] = np.cumsum(new) - 1
+                    last = np.zeros(len(tokens), bool)
+                    last[ends - 1] = True
+                    follower = np.minimum(rare + 1, len(tokens) - 1)
+                    lists = {
+                        "number": number[: len(rare)] - cuts[owner],
+                        "before": np.where(known_before[rare], before[rare], -1),
+                        "after": np.where(known[follower] & ~last[rare], classes[follower], -1),
+                    }
+                    cuts = np.searchsorted(owner, np.arange(len(begins) + 1))
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        columns["words"].append(words[first[a:b]].view(np.int64))
-                        columns["times"].append(times[a:b])
+                        for name, values in lists.items():
+                            columns[name].append(values[a:b])
                 kinds_of = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64()}
                 arrays = [pa.array(columns[k], t) for k, t in kinds_of.items()]
-                arrays += [pa.array(columns[k], pa.list_(pa.int64())) for k in ("words", "times")]
+                arrays += [pa.array(columns[k], pa.list_(pa.int64())) for k in _LISTS]
                 rest = ["row", "id", "held_out"]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *arrays], [*rest, *columns])
 
     return run
 
 
+def _joined_steps(local: DataFrame, model: Model) -> DataFrame:
+    """(row, steps): the steps from and to the words that tasks do not hold, with the classes of the table."""
+    each = local.select("row", "words", "own", "number", F.posexplode(F.arrays_zip("number", "before", "after")).alias("at", "e"))
+    last = F.when(F.col("e.before") < 0, F.get("number", F.col("at") - 1)).cast("int")
+    each = each.select(
+        "row",
+        F.get("words", F.col("e.number").cast("int")).alias("word"),
+        F.get("own", F.col("e.number").cast("int")).alias("own"),
+        F.col("e.before").alias("before"),
+        F.col("e.after").alias("after"),
+        F.get("words", last).alias("last"),
+        F.get("own", last).alias("last_own"),
+    )
+    each = model.table.named(model.table.named(each, "word", "class"), "last", "last_class")
+    steps = F.split(F.lit(" ".join(map(repr, model.steps.ravel().tolist()))), " ").cast("array<double>")
+    here = F.coalesce("class", "own")
+    before = F.when(F.col("before") < 0, F.coalesce("last_class", "last_own")).otherwise(F.col("before"))
+    step = F.get(steps, (before * EVERY + here).cast("int"))
+    follows = F.when(F.col("after") >= 0, F.get(steps, (here * EVERY + F.col("after")).cast("int"))).otherwise(0.0)
+    return each.groupBy("row").agg(F.sum(step + follows).alias("steps"))
+
+
 def perplexities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
@@ -302,14 +391,20 @@ def perplexities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     counts = stored(word_counts(texts), "counts")
     model = train(texts, counts)
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text")
-    schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, words array<long>, times array<long>"
+    lists = ", ".join(f"{k} array<long>" for k in _LISTS)
+    schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, {lists}"
     local = stored(numbered.mapInArrow(_scored(model), schema), "scores")
     rare = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     more = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("found")
     )
-    joined = local.drop("words", "times").join(more, "row", "left")
+    joined = local.drop(*_LISTS).join(more, "row", "left")
+    if model.table is None:
+        joined = joined.withColumn("steps", F.lit(0.0))
+    else:
+        joined = joined.join(_joined_steps(local, model), "row", "left")
     extra = F.coalesce("more", F.lit(0.0))
+    score = F.col("score") + extra + F.coalesce("steps", F.lit(0.0))
     return joined.select(
         F.col("id").alias(id_col),
         "held_out",
@@ -317,6 +412,6 @@ def perplexities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
         (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + extra).alias("base_score"),
-        (F.col("score") + extra).alias("score"),
-        F.pow(F.lit(10.0), -(F.col("score") + extra) / F.col("n_tokens")).alias("perplexity"),
+        score.alias("score"),
+        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )

@@ -119,3 +119,63 @@ def test_exchange_finds_classes(spark):
     assert not of_nouns & of_verbs
     scored = [r for r in brown.perplexities(docs, F.col("doc_id") % 7 == 2).collect() if r["held_out"]]
     assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
+
+
+def test_every_frequent_word_is_exchanged_and_scored_by_its_class(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    kinds = [[f"{c}{k:04d}" for k in range(1300)] for c in "nv"]
+    rows = [(k, " ".join(kinds[j % 2][rng.integers(1300)] for j in range(400))) for k in range(180)]
+    rows += [(900, "seen twice"), (901, "seen twice n0001"), (902, "never v0007 n0003 n0004 never"), (903, None)]
+    docs = documents(spark, rows)
+    counts = Counter(w for _, t in rows[:-2] for w in spaced(t))
+    frequent = {w for w, n in counts.items() if n >= brown.EXCHANGE_COUNT}
+    assert len(frequent) > 2_100
+    held = F.col("doc_id") >= 902
+    learnt = docs.where(~held)
+    whole = brown.train(learnt, brown.word_counts(learnt))
+    hashes = {w: int(tokens[0]) for w in counts for tokens, _, _ in brown.token_runs([w.encode()])}
+    assert set(whole.classes.words.tolist()) == {hashes[w] for w in frequent}
+    class_of = dict(zip(whole.classes.words.tolist(), whole.classes.classes.tolist(), strict=True))
+    steps = whole.steps
+
+    def plain_score(text):
+        before, total = brown.CLASSES + brown.FORMS, 0.0
+        for w in [*spaced(text), None]:
+            form = before if w is None else int(next(brown.token_runs([w.encode()]))[1][0]) + brown.CLASSES
+            here = brown.CLASSES + brown.FORMS if w is None else class_of.get(hashes.get(w), form)
+            n = len(rows) - 2 if w is None else counts[w]
+            total, before = total + math.log10(n + 1) + steps[before, here], here
+        return total
+
+    want = {i: plain_score(t) for i, t in rows}
+    # The same words, held by tasks, joined by broadcast, and joined by shuffles; the classes may not depend on it.
+    monkeypatch.setattr(brown, "train", lambda *_: whole)
+    assert {r["doc_id"]: r["score"] for r in brown.perplexities(docs, held).collect()} == pytest.approx(want)
+    items = [(w if w < 2**63 else w - 2**64, int(c)) for w, c in class_of.items()]
+    fixed = [(k, brown.CLASSES + k) for k in range(brown.FORMS)] + [(int(brown.END.astype(np.int64)), brown.CLASSES + brown.FORMS)]
+    table = [spark.createDataFrame(x, "item long, class long") for x in (items + fixed, items[:50] + fixed, items[50:])]
+    few = np.argsort(-whole.held_counts)[:100]
+    few = few[np.argsort(whole.held[few])]
+    part = np.isin(whole.classes.words, whole.held[few])
+    cut = brown.Classes(whole.classes.words[part], whole.classes.classes[part])
+    for tables in (brown.ClassTable(table[0], None), brown.ClassTable(table[1], table[2])):
+        model = brown.Model(cut, whole.transitions, whole.emissions, whole.held[few], whole.held_counts[few], whole.tokens, whole.distinct, tables)
+        monkeypatch.setattr(brown, "train", lambda *_, model=model: model)
+        assert {r["doc_id"]: r["score"] for r in brown.perplexities(docs, held).collect()} == pytest.approx(want)
+
+
+def test_classes_do_not_depend_on_what_is_held_or_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"{'nv'[j % 2]}{rng.integers(40)}" for j in range(80))) for k in range(90)]
+    docs = documents(spark, rows)
+    monkeypatch.setattr(brown, "HELD_WORDS", 20)
+    found = []
+    for most in (1_000_000, 10):
+        monkeypatch.setattr(brown, "BROADCAST_WORDS", most)
+        model = brown.train(docs, brown.word_counts(docs))
+        near, far = model.table.near, model.table.far
+        assert (far is None) == (most > 10)
+        found.append(Counter((r["item"], r["class"]) for r in (near if far is None else near.unionByName(far)).collect()))
+        scored = brown.perplexities(docs, F.col("doc_id") % 7 == 2).collect()
+        assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
+    assert found[0] == found[1] and len(found[0]) == 80 + brown.FORMS + 1
