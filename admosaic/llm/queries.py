@@ -89,7 +89,7 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, from files of patched frame-of-reference blocks."""
-    files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), match_added=True)
     return read_token_files(files, digests=True)
 
 

@@ -9,6 +9,7 @@ index beside the payload, so any block can be read alone.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -71,12 +72,18 @@ def unpack(starts: list[int], payload: bytes) -> np.ndarray:
 
 class FileTokenizer:
     """The tokenizers library over a tokenizer file; each distinct piece of a task is encoded once where the file cuts
-    texts by the byte-level pattern alone, other files encode whole texts."""
+    texts by the byte-level pattern alone, other files encode whole texts.
 
-    def __init__(self, file: str):
+    With match_added the ids are those of the library's defaults: texts that hold an added token's content go to the
+    library whole. Without, special tokens in a text are text.
+    """
+
+    def __init__(self, file: str, match_added: bool = False):
         self.whole = Tokenizer.from_str(file)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not match_added
         made = json.loads(file)
+        added = [t["content"] for t in made.get("added_tokens") or [] if match_added]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         cut = made.get("pre_tokenizer") or {}
         self.by_piece = (
             made.get("normalizer") is None
@@ -87,21 +94,21 @@ class FileTokenizer:
         self.ids_of, self.pieces = PieceIds(self.whole.model), cutter(public_tokenizers.PATTERN)
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_piece:
+        if not self.by_piece or (self.added and self.added.search(text)):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.frombuffer(b"".join(map(self.ids_of.__getitem__, self.pieces(text))), np.uint32)
 
 
-def _tokenizer(file: str) -> FileTokenizer:
+def _tokenizer(file: str, match_added: bool) -> FileTokenizer:
     kept = process_cache("tokenizer-files")
-    if file not in kept:
-        kept[file] = FileTokenizer(file)
-    return kept[file]
+    if (file, match_added) not in kept:
+        kept[file, match_added] = FileTokenizer(file, match_added)
+    return kept[file, match_added]
 
 
-def _packed(file: str, end: int):
+def _packed(file: str, end: int, match_added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, context, before = _tokenizer(file), TaskContext.get(), 0
+        tokenizer, context, before = _tokenizer(file, match_added), TaskContext.get(), 0
         part = context.partitionId() if context else 0
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -145,11 +152,12 @@ def _unpacked(digests: bool):
     return run
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end: int = 0, match_added: bool = False) -> DataFrame:
     """Files of every row's ids and the end id, in ascending order of id (nulls first, ties by text), read back.
 
     Texts are dealt by ranges of ids, so that each task writes one file of documents in order. Null and empty texts
-    hold the end id alone; an empty table gives no rows. Without a path the files go to the shared folder.
+    hold the end id alone; an empty table gives no rows. Without a path the files go to the shared folder. match_added
+    gives the added tokens' own ids to their contents in a text, as the library does by default.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         made = file.read()
@@ -157,7 +165,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str | None = N
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     dealt = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     schema = f"part long, id {kind}, start long, n long, blocks array<long>, payload binary"
-    packed = dealt.mapInArrow(_packed(made, end), schema)
+    packed = dealt.mapInArrow(_packed(made, end, match_added), schema)
     if path is None:
         return stored(packed, "token-files")
     packed.write.parquet(path)

@@ -83,6 +83,22 @@ def test_token_files(spark):
     assert token_files.write_token_files(documents(spark, []), JSON).count() == 0
 
 
+def test_token_files_match_added_tokens_as_the_library_does(spark, tmp_path):
+    from admosaic.llm import queries
+
+    rows = [*ROWS, (400, "see <|endoftext|> here"), (401, "<|endoftext|><|endoftext|>"), (402, "see <|endoftext| > here")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(JSON)
+    assert library.encode("see <|endoftext|> here", add_special_tokens=False).ids == [3826, 220, 50256, 994]
+    want, before = Counter(), 0
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want[i, before, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+        before += len(ids)
+    got = queries.op8_token_files(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+
+
 def test_class_model(spark):
     rows = texts()
     docs = documents(spark, rows)
