@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from . import bpe, checks
 from .brown import perplexities
 from .decontaminate import contamination
+from .gray_index import near_copies
 from .jaccard import similar_components
 from .langid import identify, page_records, train
 from .licenses import license_report
 from .pii import PATTERNS, with_surrogates
 from .quality import quality_report
+from .resampling import resampled
 from .secrets import secret_report
 from .token_files import read_token_files, write_token_files
+from .whitening import whitened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +112,24 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", *[count(kind) for kind, _ in PATTERNS])
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark, and the rank of the tenth that is drawn."""
+    found = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on its 32 strongest components, whitened."""
+    found = whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and its class under links of at most two different bits."""
+    found = near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scans": op2_secret_scans,
@@ -120,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_license_scans": op10_license_scans,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
