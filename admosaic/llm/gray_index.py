@@ -2,9 +2,10 @@
 
 1. A document's fingerprint has a bit for each of 64 majorities over the XXH64 of its shingles. Equal fingerprints are
    one from here on, with the number of their documents and the smallest id.
-2. Fingerprints are dealt and sorted by Gray rank, so neighbours differ in few bits, and cut into blocks. A block's
-   pattern is the bits that all its fingerprints share; runs of LEAF fingerprints inside it have patterns of their own,
-   of which only the bits beyond the block's count again. Parents of blocks are built the same way until few are left.
+2. Fingerprints are dealt, sorted and numbered by Gray rank, so neighbours differ in few bits, and cut into blocks of
+   BLOCK whatever the number of tasks. A block's pattern is the bits that all its fingerprints share; shorter and
+   shorter runs inside it have patterns of their own, of which only the bits beyond those above count again. Parents of
+   blocks are built the same way until few are left.
 3. A fingerprint goes down from the top: at each node the differences from the newly shared bits are added to those
    so far, and a node is left with all that is below it once they exceed the bound. It only looks at blocks before its
    own, as the later ones look at it; inside its own block it is compared when the block is built.
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -28,7 +29,8 @@ from .textops import sized, stored
 SEED, BITS, APART = 42, 64, 2
 #: Bytes of text cut into words at once, and hashes whose bits are counted at once.
 PIECE, COUNTED = 1 << 20, 4096
-BLOCK, LEAF = 8192, 64
+#: Fingerprints in a block, and in the runs inside it that have a pattern.
+BLOCK, RUNS = 1 << 16, (2048, 64)
 #: Children of an inner node, and nodes that the top level may have: what every task is sent.
 FAN, TOP = 256, 2048
 #: Fingerprints that one task takes to one block, and pairs that it tests at once.
@@ -102,50 +104,58 @@ def _shared_pattern(masks: np.ndarray, values: np.ndarray) -> tuple[np.uint64, n
     return mask, values[0] & mask
 
 
-def near(asked: np.ndarray, so_far: np.ndarray, codes: np.ndarray, above: np.uint64, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places in asked, places in codes) of fingerprints with at most ``most`` different bits.
+class Tree:
+    """The patterns of a block's codes, from long runs down to the codes themselves.
 
-    so_far are the differences of asked from the codes in the bits ``above``, which all codes share.
+    A level holds the number of codes in a run, the bits shared in a run but not in the one above, and their values.
     """
-    starts = np.arange(0, len(codes), LEAF)
-    masks, values = pattern(codes, starts)
-    at_once = max(1, TESTED // len(starts))
-    for low in range(0, len(asked), at_once):
-        part = slice(low, low + at_once)
-        apart = so_far[part, None] + np.bitwise_count((asked[part, None] ^ values) & masks & ~above)
-        who, leaf = np.nonzero(apart <= most)
-        apart, rest = apart[who, leaf], ~(masks | above)
-        who = who + low
-        for k in range(0, len(who), TESTED // LEAF):
-            few = slice(k, k + TESTED // LEAF)
-            place = starts[leaf[few], None] + np.arange(LEAF)
-            inside = place < len(codes)
-            place = np.where(inside, place, 0)
-            total = apart[few, None] + np.bitwise_count((asked[who[few], None] ^ codes[place]) & rest[leaf[few], None])
-            one, two = np.nonzero((total <= most) & inside)
-            yield who[few][one], place[one, two]
-
-
-def block_roots(codes: np.ndarray, most: int) -> np.ndarray:
+
+    def __init__(self, codes: np.ndarray, above: np.uint64):
+        self.levels, self.size = [], len(codes)
+        outer, step = np.array([above]), None
+        for size in (*RUNS, 1):
+            masks, values = pattern(codes, np.arange(0, len(codes), size))
+            inherited = outer[np.zeros(len(masks), np.int64) if step is None else np.arange(len(masks)) * size // step]
+            self.levels.append((size, masks & ~inherited, values))
+            outer, step = masks, size
+
+    def near(self, asked: np.ndarray, so_far: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in asked, places in the block) of codes with at most ``most`` different bits.
+
+        so_far are the differences of asked from the bits above all runs.
+        """
+        yield from self._down(asked, np.arange(len(asked)), np.zeros(len(asked), np.int64), so_far, 0, most)
+
+    def _down(self, asked, who, run, so_far, level, most):
+        """Takes each of asked[who] to the children of its run, with the differences so far."""
+        size, masks, values = self.levels[level]
+        fan = len(masks) if level == 0 else self.levels[level - 1][0] // size
+        for low in range(0, len(who), max(1, TESTED // fan)):
+            few = slice(low, low + max(1, TESTED // fan))
+            child = run[few, None] * fan + np.arange(fan)
+            there = child < len(masks)
+            child = np.where(there, child, 0)
+            apart = so_far[few, None] + np.bitwise_count((asked[who[few], None] ^ values[child]) & masks[child])
+            one, two = np.nonzero((apart <= most) & there)
+            if level + 1 == len(self.levels):
+                yield who[few][one], child[one, two]
+            else:
+                yield from self._down(asked, who[few][one], child[one, two], apart[one, two], level + 1, most)
+
+
+def block_roots(codes: np.ndarray, shared: np.uint64, most: int) -> np.ndarray:
     """For each code of a block the smallest place that hangs together with its own."""
-    root = list(range(len(codes)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    now = np.arange(len(codes))
-    for low in range(0, len(codes), LEAF * 4):
-        high = min(low + LEAF * 4, len(codes))
-        asked = codes[low:high]
-        for who, place in near(asked, np.zeros(len(asked), np.int64), codes[:high], np.uint64(0), most):
-            for a, b in np.unique(np.column_stack((who + low, now[place])), axis=0).tolist():
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-        now[:high] = [find(x) for x in range(high)]
-    return now
+    root = np.arange(len(codes))
+    for who, place in Tree(codes, shared).near(codes, np.zeros(len(codes), np.int64), most):
+        while True:
+            a, b = root[who], root[place]
+            apart = a != b
+            if not apart.any():
+                break
+            np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+            while (root[root] != root).any():
+                root = root[root]
+    return root
 
 
 _BLOCK = "node long, mask long, value long, codes array<long>, roots array<long>"
@@ -175,17 +185,32 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[dict[str, np
         yield held
 
 
-def _blocks(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, BLOCK):
-            codes = rows["fp"]
-            (mask,), (value,) = pattern(codes, np.array([0]))
-            columns = [_long([rows["rank"][0]]), _long([mask]), _long([value]), _longs([codes]), _longs([codes[block_roots(codes, most)]])]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "mask", "value", "codes", "roots"])
+def _block_of(most: int):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("rank")
+        codes = _column(rows, "fp")
+        (mask,), (value,) = pattern(codes, np.array([0]))
+        roots = codes[block_roots(codes, mask, most)]
+        columns = [rows.column("rank").slice(0, 1).combine_chunks(), _long([mask]), _long([value]), _longs([codes]), _longs([roots])]
+        return pa.table(columns, ["node", "mask", "value", "codes", "roots"])
 
     return run
 
 
+def _blocks(codes: DataFrame, most: int) -> DataFrame:
+    """The blocks of distinct codes, cut by their number in order of Gray rank: their place in their task plus the codes of
+    earlier tasks, of which only one count a task goes through a window."""
+    place = F.monotonically_increasing_id()
+    dealt = codes.select("fp", gray_rank(F.col("fp")).alias("rank")).repartitionByRange("rank").sortWithinPartitions("rank")
+    dealt = stored(dealt.select("*", F.shiftright(place, 33).alias("task"), place.alias("place")), "sorted")
+    counts = dealt.groupBy("task").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("task", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("start"))
+    numbered = dealt.join(F.broadcast(starts), "task")
+    cut = numbered.select("fp", "rank", F.floor((F.col("place") + F.col("start")) / BLOCK).alias("block"))
+    return stored(cut.groupBy("block").applyInArrow(_block_of(most), _BLOCK), "blocks")
+
+
 def _parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _runs(batches, FAN):
         mask, value = _shared_pattern(rows["mask"], rows["value"])
@@ -243,8 +268,8 @@ def _to_links(most: int):
         links = np.empty((0, 2), np.uint64)
         if asked.num_rows and block.num_rows:
             codes, roots = (np.asarray(block.column(c)[0].values).view(np.uint64) for c in ("codes", "roots"))
-            mine = _column(asked, "root")
-            for who, place in near(_column(asked, "fp"), asked.column("apart").to_numpy(), codes, _column(block, "mask")[0], most):
+            mine, tree = _column(asked, "root"), Tree(codes, _column(block, "mask")[0])
+            for who, place in tree.near(_column(asked, "fp"), asked.column("apart").to_numpy(), most):
                 links = np.unique(np.concatenate((links, np.column_stack((mine[who], roots[place])))), axis=0)
         return pa.table({"a": _long(links[:, 0]), "b": _long(links[:, 1])})
 
@@ -265,9 +290,7 @@ def _met(visits: DataFrame, nodes: DataFrame, run, schema: str) -> DataFrame:
 def near_links(codes: DataFrame, most: int = APART) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) whose components are those of all pairs with at most
     ``most`` different bits."""
-    ranks = codes.select("fp", gray_rank(F.col("fp")).alias("rank"))
-    blocks = ranks.repartitionByRange("rank").sortWithinPartitions("rank").mapInArrow(_blocks(most), _BLOCK)
-    blocks = stored(blocks, "blocks")
+    blocks = _blocks(codes, most)
     inner = blocks.select(F.explode(F.arrays_zip("codes", "roots")).alias("x")).select(F.col("x.codes").alias("a"), F.col("x.roots").alias("b"))
     links = inner.where("a <> b")
     levels, tops = [], blocks.select("node", "mask", "value")

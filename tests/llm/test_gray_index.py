@@ -34,7 +34,7 @@ def plain_roots(codes, most):
 
 
 def small(monkeypatch, block=40, fan=3, top=4):
-    for name, value in (("BLOCK", block), ("LEAF", 4), ("FAN", fan), ("TOP", top), ("VISITORS", 50), ("TESTED", 256), ("MANY", 5)):
+    for name, value in (("BLOCK", block), ("RUNS", (12, 4)), ("FAN", fan), ("TOP", top), ("VISITORS", 50), ("TESTED", 256), ("MANY", 5)):
         monkeypatch.setattr(gray_index, name, value)
 
 
@@ -66,7 +66,7 @@ def test_components_are_exact(spark, monkeypatch, width, most):
     assert got == sorted(((i, c, least.get(roots[c])) for (i, _), c in zip(rows, codes, strict=True)), key=str)
 
 
-@pytest.mark.parametrize(("block", "fan", "top"), [(64, 5, 2), (8192, 256, 2048), (50, 256, 4000)])
+@pytest.mark.parametrize(("block", "fan", "top"), [(64, 5, 2), (65536, 256, 2048), (50, 256, 4000)])
 def test_links_of_dense_and_loose_fingerprints(spark, monkeypatch, block, fan, top):
     rng = random.Random(block)
     codes = {rng.getrandbits(64) for _ in range(400)} | {0, 2**64 - 1}
@@ -76,7 +76,7 @@ def test_links_of_dense_and_loose_fingerprints(spark, monkeypatch, block, fan, t
             for _ in range(rng.choice((1, 2, 3, 5, 8))):
                 code ^= 1 << rng.randrange(64)
             codes.add(code)
-    if block < 8192:
+    if block < 65536:
         small(monkeypatch, block, fan, top)
     table = spark.createDataFrame([(c - 2**64 if c >= 2**63 else c,) for c in codes], "fp long").repartition(3)
     links = [(r["a"] % 2**64, r["b"] % 2**64) for r in gray_index.near_links(table).collect()]
