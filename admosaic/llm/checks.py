@@ -216,3 +216,47 @@ WITH RECURSIVE d AS (
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
 FROM d JOIN least USING (r) LEFT JOIN n USING (r)
 """
+
+RESAMPLING = r"""
+WITH remainders AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark
+), dw AS (
+  SELECT r, unnest(w) AS w FROM d
+), vocabulary AS (
+  SELECT w, hex(w) AS h FROM (SELECT w FROM dw UNION SELECT w FROM b)
+), hashed AS (
+  SELECT w, xor(list_reduce(list_transform(range(strlen(w)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM vocabulary, remainders
+), own AS (
+  SELECT bucket, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY bucket
+), wanted AS (
+  SELECT bucket, count(*) AS n FROM b JOIN hashed USING (w) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM dw) AS s, (SELECT count(*) FROM b) AS t
+), gains AS (
+  SELECT own.bucket, CAST(floor(1000 * ln(((coalesce(wanted.n, 0) + 1.0::DOUBLE) * (s + 10000.0::DOUBLE))
+    / ((own.n + 1.0::DOUBLE) * (t + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM totals, own LEFT JOIN wanted USING (bucket)
+), weights AS (
+  SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (r)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, r) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed
+"""

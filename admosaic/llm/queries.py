@@ -152,4 +152,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": checks.QUALITY,
     "op6_benchmark_decontamination": checks.DECONTAMINATION,
     "op10_license_scans": checks.LICENSES,
+    "op11_importance_resampling": checks.RESAMPLING,
 }
