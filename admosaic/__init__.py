@@ -44,6 +44,7 @@ from .operators.requests import native_params, request_manifest, valid_requests,
 from .operators.search import (
     ad_details,
     find_ads,
+    match_counts,
     matching_pairs,
     missing_ids,
     page_after,

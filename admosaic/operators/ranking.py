@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .storage import shared_folder, stored
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set, as in tests."""
+    """The session's checkpoint folder, the shared one unless another is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="admosaic-"))
+        context.setCheckpointDir(shared_folder(spark))
     return context.getCheckpointDir()
 
 
@@ -65,3 +64,19 @@ def top_per_group(
     whole = Window.partitionBy(group).orderBy(*order)
     ranked = cut.withColumn("_rank", F.row_number().over(whole))
     return ranked.filter((F.col("_rank") > skip) & (F.col("_rank") <= n + skip)).drop("_rank")
+
+
+def cut_by_histogram(table: DataFrame, group: str, bin: Column, wanted: DataFrame) -> DataFrame:
+    """The rows that can be among the first ``n`` of their group when highest bins come first, a NULL bin last.
+
+    ``wanted`` has ``n`` by group. Rows are counted by group and bin, which is all that is shuffled; of each group the
+    bins are kept up to the one in which its n-th row lies. The table is read twice and should be stored.
+    """
+    rows = table.withColumn("_bin", bin)
+    counts = rows.groupBy(group, "_bin").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy(F.col("_bin").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    kept = counts.join(wanted.select(group, "n"), group).where("_before < n")
+    lowest = kept.groupBy(group).agg(F.min("_bin").alias("_lowest"), F.count_if(F.col("_bin").isNull()).alias("_open"))
+    joined = rows.join(stored(lowest, "lowest"), group).where((F.col("_open") > 0) | (F.col("_bin") >= F.col("_lowest")))
+    return joined.select(*table.columns)

@@ -16,7 +16,7 @@ from ..functions.literals import strings
 from ..functions.text import clean_text
 from ..sources.registry import platform_names, supports
 from .normalize import META_FIELDS
-from .search import META_AD_TYPES
+from .search import META_AD_TYPES, page_token_readable
 
 REQUESTS = (
     "request_id string, platform string, operation string, keyword string, advertisers array<string>, "
@@ -24,6 +24,8 @@ REQUESTS = (
     "languages array<string>, media string, limit int, page_token string"
 )
 OPERATIONS = ("search_ads", "advertisers", "details")
+#: Sources whose own page tokens are texts instead of positions.
+OPAQUE_TOKENS = ("tiktok",)
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
@@ -36,6 +38,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     first, last = parse_day(c("date_from")), parse_day(c("date_to"))
     bad = F.filter("countries", lambda x: ~x.rlike("^[A-Za-z]{2}$"))
     searching = c("operation") == "advertisers"
+    opaque = F.coalesce(platform.isin(*OPAQUE_TOKENS), F.lit(False))
     rules = [
         (~F.coalesce(known, F.lit(False)), F.concat(F.lit("Unknown platform: "), F.coalesce(platform, F.lit("")))),
         (c("operation").isNull(), F.lit("Operation must not be missing")),
@@ -47,6 +50,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         (first > last, F.lit("date_from must be before or equal to date_to")),
         (c("limit") < 1, F.lit("limit must be a positive integer")),
         (c("limit") > 1000, F.lit("limit cannot exceed 1000")),
+        (~opaque & ~page_token_readable(c("page_token")), F.lit("page_token must be a number of rows to skip")),
         (
             searching & (F.trim(F.coalesce(c("keyword"), F.lit(""))) == ""),
             F.lit("Search query is required for advertiser search"),
@@ -89,7 +93,7 @@ def _native(platform_defaults: bool) -> dict[str, dict[str, dict[str, Column]]]:
         return F.least(F.coalesce(c("limit"), F.lit(cap)), F.lit(cap)).cast("string")
 
     def skip() -> Column:
-        return F.coalesce(c("page_token").try_cast("int"), F.lit(0)).cast("string")
+        return F.coalesce(F.trim("page_token").try_cast("bigint"), F.lit(0)).cast("string")
 
     who = F.try_element_at("advertisers", F.lit(1))
     is_id = who.rlike("^[0-9]+$")

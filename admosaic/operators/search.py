@@ -14,14 +14,16 @@ from ..functions.countries import EU_COUNTRIES, clean_country_codes
 from ..functions.dates import date_preset, day_end, day_start, parse_day, preset_days
 from ..functions.literals import lookup, strings
 from ..sources.registry import platform_names
+from .matching import AD, like_pattern, matched, numbered, request_rows, terms
 from .normalize import select_fields
-from .ranking import top_per_group
+from .ranking import cut_by_histogram, top_per_group
+from .storage import stored
 
 # Ad types the meta source filters on; others have no effect.
 META_AD_TYPES = (
     "ALL", "POLITICAL_AND_ISSUE_ADS", "EMPLOYMENT_ADS", "HOUSING_ADS", "FINANCIAL_PRODUCTS_AND_SERVICES_ADS",
 )
-#: Bounds of the ``limit`` of a request.
+#: Rows of a page when a request does not say, whatever the source, and the most it may ask for.
 DEFAULT_LIMIT, MAX_LIMIT = 100, 1000
 
 
@@ -39,20 +41,19 @@ class Profile:
     allowed: tuple[str, ...] = ()
     default_countries: tuple[str, ...] = ()
     cap: int = 100
-    default_limit: int = 100
     keyword: str = "contains"
     dates: str = "overlap"
     status: str | None = None
 
 
-# Country rule, default country, cap and default of rows, keyword and date rule by source.
+# Country rule, default country, cap of rows, keyword and date rule by source.
 PROFILES = {
     "amazon": Profile(countries="first", allowed=tuple(EU_COUNTRIES), default_countries=("DE",)),
-    "apple": Profile(default_countries=("DE", "FR"), cap=50, default_limit=50),
+    "apple": Profile(default_countries=("DE", "FR"), cap=50),
     "booking": Profile(countries="first"),
-    "google": Profile(cap=10_000, default_limit=1000, keyword="like", dates="contained"),
-    "linkedin": Profile(cap=25, default_limit=25, keyword="all_terms", dates="served"),
-    "meta": Profile(default_countries=("US",), cap=25, default_limit=25),
+    "google": Profile(cap=10_000, keyword="like", dates="contained"),
+    "linkedin": Profile(cap=25, keyword="all_terms", dates="served"),
+    "meta": Profile(default_countries=("US",), cap=25),
     "microsoft": Profile(cap=1000),
     "pinterest": Profile(countries="first", default_countries=("US",)),
     "snapchat": Profile(status="ACTIVE"),
@@ -61,20 +62,11 @@ PROFILES = {
 }
 
 
-def _like_pattern(word: Column) -> Column:
-    """A word anywhere in a text; ``%`` and ``_`` in it stay wildcards."""
-    return F.concat(F.lit("%"), F.replace(word, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
-
-
-def _terms(words: Column) -> Column:
-    return F.filter(F.split(words, r"\s+"), lambda t: t != "")
-
-
 def keyword_matches(text: Column, keyword: str, mode: str) -> Column:
     """Keyword test of a text in lower case."""
     word = keyword.lower()
     if mode == "like":
-        return F.like(text, _like_pattern(F.lit(word)))
+        return F.like(text, like_pattern(F.lit(word)))
     if mode == "all_terms":
         return reduce(lambda a, b: a & b, [F.contains(text, F.lit(term)) for term in word.split()])
     return F.contains(text, F.lit(word))
@@ -242,22 +234,23 @@ def search_ads(
 ) -> DataFrame:
     """One page of the ads that match a request, newest first.
 
-    A page holds at most ``limit`` rows, by default as many as the source returns when not told otherwise;
-    ``page_token`` is the number of rows to skip. How many rows the source's own service sends at once does
+    A page holds at most ``limit`` rows, 100 by default; ``page_token`` is the number of rows to skip. How many rows the source's own service sends at once does
     not matter here.
     """
     profile = PROFILES.get(platform.strip().lower(), Profile())
-    size = profile.default_limit if limit is None else limit
-    _check_request(countries, date_from, date_to, size, max(MAX_LIMIT, profile.cap))
+    size = DEFAULT_LIMIT if limit is None else limit
+    _check_request(countries, date_from, date_to, size, max(MAX_LIMIT, profile.cap), page_token)
     found = find_ads(
         ads, platform, q, advertisers, countries, date_from, date_to, types, languages, media, **options
     )
     return select_fields(page_of_results(found, size, int(page_token or 0)), fields)
 
 
-def _check_request(countries, date_from, date_to, limit, most) -> None:
+def _check_request(countries, date_from, date_to, limit, most, page_token=None) -> None:
     """Report every fault of a request together."""
     errors = []
+    if page_token is not None and not re.fullmatch("[0-9]{1,18}", str(page_token).strip()):
+        errors.append("page_token must be a number of rows to skip")
     bad = [c for c in countries or [] if c is None or not re.fullmatch("[A-Za-z]{2}", c)]
     if bad:
         errors.append(f"Invalid country codes: {', '.join(map(str, bad))}")
@@ -279,10 +272,16 @@ def _check_request(countries, date_from, date_to, limit, most) -> None:
         raise ValueError("; ".join(errors))
 
 
+def page_token_readable(token: Column) -> Column:
+    """Whether a page token is missing or a number of rows to skip, of up to 18 digits."""
+    return token.isNull() | F.trim(token).rlike("^[0-9]{1,18}$")
+
+
 def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
     """Requests with the rules of their platform applied: what to look for, how, and which rows.
 
-    Requests with a date that cannot be read are left out: without the date they would ask for more.
+    Requests with a date or a page token that cannot be read are left out: without the date they would ask for more, and
+    without the token for page one again.
     """
     platform = F.lower(F.trim("platform"))
     rules: dict[tuple, list[str]] = {}
@@ -301,17 +300,17 @@ def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> Da
     status = F.lit(None).cast("string")
     if platform_defaults:
         status = F.try_element_at(lookup({name: p.status for name, p in PROFILES.items() if p.status}), platform)
-    skipped = F.col("page_token").try_cast("int") if "page_token" in requests.columns else F.lit(None)
+    token = F.col("page_token") if "page_token" in requests.columns else F.lit(None).cast("string")
+    readable = readable & page_token_readable(token)
     types = F.when(platform == "meta", F.array_intersect("types", strings(META_AD_TYPES))).otherwise(F.col("types"))
     return requests.where(readable).select(
         "request_id",
         platform.alias("platform"),
         status.alias("r_status"),
-        F.when(words["contains"], word).alias("r_word"),
-        F.when(words["like"], _like_pattern(word)).alias("r_like"),
-        F.when(words["all_terms"], _terms(word)).alias("r_terms"),
+        F.when(words["all_terms"], F.array_join(F.array_sort(F.array_distinct(terms(word))), " ")).otherwise(word).alias("r_text"),
+        F.when(words["all_terms"], "all_terms").when(words["like"], "like").otherwise("contains").alias("r_text_mode"),
         F.when(F.size("advertisers") > 0, F.transform("advertisers", F.lower)).alias("r_advertisers"),
-        words["like"].alias("r_name_like"),
+        F.when(words["like"], "like").otherwise("contains").alias("r_name_mode"),
         countries.alias("r_countries"),
         F.when(dates["contained"], day_start(start)).alias("r_first_min"),
         F.when(dates["overlap"], day_end(end))
@@ -322,8 +321,8 @@ def resolve_requests(requests: DataFrame, platform_defaults: bool = False) -> Da
         F.when((F.size(types) > 0) & ~F.array_contains(types, "ALL"), types).alias("r_types"),
         F.when(F.size("languages") > 0, F.transform("languages", F.lower)).alias("r_languages"),
         F.when(F.upper("media") != "ALL", F.lower("media")).alias("r_media"),
-        F.coalesce(F.col("limit"), _default_limits(platform), F.lit(DEFAULT_LIMIT)).cast("int").alias("r_limit"),
-        F.coalesce(skipped, F.lit(0)).alias("r_skip"),
+        F.coalesce(F.col("limit"), F.lit(DEFAULT_LIMIT)).cast("int").alias("r_limit"),
+        F.coalesce(F.trim(token).try_cast("bigint"), F.lit(0)).alias("r_skip"),
     )
 
 
@@ -335,82 +334,41 @@ def _modes(attribute: str, platform: Column) -> dict[str, Column]:
     return {mode: platform.isin(*listed) for mode, listed in names.items()}
 
 
-def _default_limits(platform: Column) -> Column:
-    return F.try_element_at(lookup({name: profile.default_limit for name, profile in PROFILES.items()}), platform)
-
+def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
+    """Every (request, matching ad) pair once, with the ad's columns and the request's ``r_limit`` and ``r_skip``.
 
-def _only_ids(advertisers: Column) -> Column:
-    return F.forall(advertisers, lambda a: a.rlike("^[0-9]+$"))
+    Pairs are found through the postings of each request's rarest condition (see `matching`); an ad's columns join by
+    its number afterwards.
+    """
+    own, asked, pairs = _met(ads, requests, platform_defaults)
+    named = pairs.select("_request", AD).join(asked.select("_request", "request_id", "r_limit", "r_skip"), "_request")
+    return named.join(own, AD).select("request_id", "r_limit", "r_skip", *ads.columns)
 
 
-def _request_keys() -> Column:
-    """Where to look for the ads of a request: by its advertiser ids, else its countries, else everywhere."""
-    ids = F.transform("r_advertisers", lambda a: F.concat(F.lit("id:"), a))
-    return F.array_distinct(
-        F.when(_only_ids(F.col("r_advertisers")), ids).otherwise(F.coalesce("r_countries", strings(["*"])))
-    )
+def _met(ads: DataFrame, requests: DataFrame, platform_defaults: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    own, asked = numbered(ads), request_rows(resolve_requests(requests, platform_defaults))
+    return own, asked, matched(own, asked)
 
 
-def _ad_keys() -> Column:
-    """The keys under which requests find an ad."""
-    own = F.array_compact(F.array(F.lit("*"), F.concat(F.lit("id:"), "advertiser_id")))
-    return F.array_union(own, F.coalesce("countries", strings([])))
+def match_counts(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
+    """How many ads match each request, without the bound on rows; requests that match none are left out."""
+    _, asked, pairs = _met(ads, requests, platform_defaults)
+    counts = pairs.groupBy("_request").agg(F.count("*").alias("n"))
+    return counts.join(asked.select("_request", "request_id"), "_request").select("request_id", "n")
 
 
-def matching_pairs(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
-    """Every (request, matching ad) pair once, with the ad's columns and the request's ``r_limit`` and ``r_skip``.
+def search_ads_batch(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
+    """One page of results of every request, newest first within each: ``limit`` rows after the first ``page_token``.
 
-    Pairs are found by an equality on platform and one key, the narrowest the request allows (advertiser
-    id, country, or ``*``), then checked, cheap tests first. Spark broadcasts the requests when they are
-    small and otherwise shuffles both sides, splitting skewed keys.
+    A histogram of starts cuts each request's matches before they are sorted.
     """
-    c = F.col
-    asked = resolve_requests(requests, platform_defaults).withColumn("_key", F.explode(_request_keys()))
-    keyed = ads.select(
-        "*",
-        F.lower("ad_text").alias("_text"),
-        F.lower("advertiser_name").alias("_name"),
-        F.get_json_object("extra_json", "$.ad_type").alias("_ad_type"),
-        F.explode(_ad_keys()).alias("_key"),
-    )
-    joined = keyed.join(asked, ["platform", "_key"])
-    both = F.array_intersect("r_countries", "countries")
-    by_country = (F.length("_key") == 2) & (c("_key") == F.try_element_at(both, F.lit(1)))
-    by_id = c("_key").startswith("id:") & (F.size(both) > 0)
-
-    def named(asked_name: Column) -> Column:
-        like = F.like(c("_name"), _like_pattern(asked_name))
-        by_name = F.when(c("r_name_like"), like).otherwise(F.contains(c("_name"), asked_name))
-        return F.when(asked_name.rlike("^[0-9]+$"), c("advertiser_id") == asked_name).otherwise(by_name)
-
-    def open_or(bound: str, test: Column) -> Column:
-        return c(bound).isNull() | test
-
-    tests = [
-        open_or("r_first_min", c("first_seen") >= c("r_first_min")),
-        open_or("r_first_max", c("first_seen") <= c("r_first_max")),
-        open_or("r_last_min", c("last_seen").isNull() | (c("last_seen") >= c("r_last_min"))),
-        open_or("r_last_max", c("last_seen") <= c("r_last_max")),
-        open_or("r_media", c("media_type") == c("r_media")),
-        open_or("r_status", F.coalesce(c("status"), c("r_status")) == c("r_status")),
-        open_or("r_types", F.array_contains("r_types", c("_ad_type"))),
-        open_or("r_countries", by_country | by_id),
-        open_or("r_languages", F.arrays_overlap("languages", "r_languages")),
-        open_or("r_word", F.contains(c("_text"), c("r_word"))),
-        open_or("r_like", F.like(c("_text"), c("r_like"))),
-        open_or("r_terms", F.forall("r_terms", lambda t: F.contains(c("_text"), t))),
-        open_or("r_advertisers", F.exists("r_advertisers", named)),
-    ]
-    matched = joined.filter(reduce(lambda a, b: a & b, tests))
-    return matched.select("request_id", "r_limit", "r_skip", *ads.columns)
-
-
-def search_ads_batch(ads: DataFrame, requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
-    """One page of results of every request, newest first within each: ``limit`` rows after the first ``page_token``."""
-    pairs = matching_pairs(ads, requests, platform_defaults)
+    own, asked, pairs = _met(ads, requests, platform_defaults)
     limit, skip = F.col("r_limit"), F.col("r_skip")
-    best = top_per_group(pairs, "request_id", newest_first(), limit, ["platform", "ad_id"], skip=skip)
-    return best.drop("r_limit", "r_skip")
+    month = F.floor(F.unix_date(F.to_date("first_seen")) / 32)
+    few = cut_by_histogram(stored(pairs, "pairs"), "_request", month, asked.select("_request", (limit + skip).alias("n")))
+    few = few.join(asked.select("_request", "r_limit", "r_skip"), "_request")
+    best = top_per_group(few, "_request", newest_first(), limit, [AD], skip=skip).select("_request", AD)
+    return best.join(asked.select("_request", "request_id"), "_request").join(own, AD).select("request_id", *ads.columns)
 
 
 def ad_details(ads: DataFrame, ad_ids: DataFrame | list[str], platform: str | None = None) -> DataFrame:

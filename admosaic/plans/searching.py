@@ -50,8 +50,25 @@ def _batch(spark, sf_dir):
 
 def _batch_counts(spark, sf_dir):
     """How many ads match each request, without the bound on rows."""
-    pairs = S.matching_pairs(D.stored_ads(spark, sf_dir, text=True), D.requests(spark, sf_dir))
-    return pairs.groupBy("request_id").agg(F.count("*").alias("n"))
+    return S.match_counts(D.stored_ads(spark, sf_dir, text=True), D.requests(spark, sf_dir))
+
+
+def _batch_pages(spark, sf_dir):
+    """Requests of which a third asks for the second page and another third has a page token that is no number."""
+    requests = D.requests(spark, sf_dir)
+    k = F.substring("request_id", 2, 20).cast("bigint")
+    requests = requests.withColumn("page_token", F.when(k % 3 == 0, "abc").when(k % 3 == 1, " 20 "))
+    found = S.search_ads_batch(D.stored_ads(spark, sf_dir, text=True), requests)
+    return plain(found.select("request_id", "ad_id", "platform", "first_seen"))
+
+
+def _batch_dates(spark, sf_dir):
+    """How many ads match each request when nothing but its dates counts."""
+    requests = D.requests(spark, sf_dir).withColumns({
+        **{name: F.lit(None).cast("string") for name in ("keyword", "media")},
+        **{name: F.lit(None).cast("array<string>") for name in ("advertisers", "countries", "types", "languages")},
+    }).where("date_from IS NOT NULL OR date_to IS NOT NULL")
+    return S.match_counts(D.stored_ads(spark, sf_dir), requests)
 
 
 def _wanted_ids(spark, sf_dir):
@@ -103,6 +120,8 @@ QUERIES = {
     "search_page_after": _page_after,
     "search_batch": _batch,
     "search_batch_counts": _batch_counts,
+    "search_batch_pages": _batch_pages,
+    "search_batch_dates": _batch_dates,
     "ad_details": _details,
     "missing_ids": _missing,
     "advertisers": _advertisers,
@@ -164,6 +183,10 @@ pairs AS (
     AND (NOT images OR media_type = 'image')
 )"""
 
+_BATCH = f"""SELECT request_id, ad_id, platform, {sql_time('first_seen')} AS first_seen FROM (
+          SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY first_seen DESC, ad_id) AS place FROM pairs
+        ) WHERE place > skip AND place <= skip + lim"""
+
 ORACLES = {
     "search_keyword": _where("platform = 'google' AND lower(ad_text) LIKE lower('%of_the%')"),
     "search_all_terms": _where(
@@ -217,6 +240,21 @@ ORACLES = {
     "search_batch_counts": with_ads("SELECT request_id, count(*) AS n FROM pairs GROUP BY request_id").replace(
         "\nSELECT request_id", f",{_ASKED}\nSELECT request_id", 1
     ),
+    "search_batch_pages": with_ads(_BATCH).replace("\nSELECT request_id", f",{_ASKED}\nSELECT request_id", 1)
+    .replace("WHERE q % 11 <> 0", "WHERE q % 11 <> 0 AND q % 3 <> 0")
+    .replace("CASE WHEN q % 10 = 0 THEN 20", "CASE WHEN q % 3 = 1 THEN 20"),
+    "search_batch_dates": with_ads(
+        f"""SELECT request_id, count(*) AS n FROM ads JOIN (
+          SELECT 'r' || c_custkey AS request_id, lower(trim({_NAMES}[CAST(c_custkey % 13 AS BIGINT) + 1])) AS platform,
+            DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS d_from,
+            DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) + CAST(floor(c_acctbal / 50) AS INTEGER) AS d_to
+          FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 11 <> 0
+        ) USING (platform)
+        WHERE CASE platform WHEN 'google' THEN first_seen >= d_from AND last_seen < d_to + 1
+          WHEN 'linkedin' THEN first_seen < d_to AND last_seen >= d_from
+          ELSE first_seen < d_to + 1 AND last_seen >= d_from END
+        GROUP BY request_id"""
+    ),
     "ad_details": with_ads(
         "SELECT event_id AS position, ad_id, platform, status FROM events JOIN ads ON k = event_id * 2"
     ),

@@ -1,12 +1,15 @@
 """Search against brute force: batch equals single requests, each pair once, lookups and paging."""
 
 import datetime
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import admosaic
-from admosaic.operators.ranking import number_rows, top_per_group
+from admosaic.operators import matching
+from admosaic.operators.ranking import cut_by_histogram, number_rows, top_per_group
 from admosaic.operators.requests import REQUESTS
 from admosaic.schema import ads_columns
 from admosaic.sources.registry import platform_names
@@ -85,6 +88,66 @@ def test_batch_equals_single_searches(spark, ads):
     assert len(expected) > 1000
 
 
+@pytest.mark.parametrize("few_grams", [0, 64])
+def test_patterns_open_their_rarest_gram(spark, monkeypatch, few_grams):
+    monkeypatch.setattr(matching, "FEW_GRAMS", few_grams)
+    monkeypatch.setattr(matching, "BROADCAST_PATTERNS", few_grams)
+    texts = ["solar panels", "the sun", "", "100% of_the x", "a\\b c", "😀 smile 😀", "e f", None, "of the", "öffentlich 日本語文"]
+    words = ["solar", "s", "", "%", "0% o", "of_the", "a\\b", "😀 s", "missing word", "日本語", "f e", "the of", "öff"]
+    modes = ["contains", "like", "all_terms"]
+    rows = [(k + 100 * (p == "y"), p, t) for k, t in enumerate(texts) for p in ("x", "y")]
+    table = spark.createDataFrame(rows, "_ad long, platform string, text string")
+    patterns = [("x", f"{m}:{w}", m, w) for m in modes for w in words]
+    found = matching.pattern_matches(table, spark.createDataFrame(patterns, "platform string, token string, mode string, word string"))
+
+    def has(mode, word, text):
+        if mode == "contains":
+            return word in text
+        if mode == "all_terms":
+            return all(t in text for t in word.split())
+        return re.search(".*".join(".".join(map(re.escape, part.split("_"))) for part in word.split("%")), text, re.S) is not None
+
+    wanted = [(k, "x", f"{m}:{w}") for k, t in enumerate(texts) if t is not None for m in modes for w in words if has(m, w, t)]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+def test_batch_of_dates_only_without_broadcasts(spark, ads, monkeypatch):
+    """Windows before, inside, around and after the ads' dates, open ones, inverted ones, through bins of days."""
+    monkeypatch.setattr(matching, "PAIRS_A_TASK", 50)
+    monkeypatch.setattr(matching, "NARROW_BINS", 2)
+    odd = ads.withColumns({
+        "first_seen": F.when(F.col("ad_id").cast("int") % 17 != 0, F.col("first_seen")),
+        "last_seen": F.when(F.col("ad_id").cast("int") % 5 == 0, F.col("first_seen") + F.expr("INTERVAL 900 DAYS")).otherwise(F.col("last_seen")),
+    }).cache()
+    windows = [("2024-01-10", "2024-01-20"), (None, "2024-02-01"), ("2024-06-01", None), ("2020-01-01", "2030-01-01"), ("2024-03-05", "2024-03-05")]
+    windows += [("1999-01-01", "1999-02-01"), ("2040-01-01", None), ("2024-05-01", "2024-04-20")]
+    platforms = ["x", "google", "linkedin"]
+    rows = [(f"{p}{k}", p, "search_ads", None, None, None, a, b, None, None, None, 1000, None) for p in platforms for k, (a, b) in enumerate(windows)]
+    wanted = sorted(
+        (f"{p}{k}", r["ad_id"]) for p in platforms for k, (a, b) in enumerate(windows)
+        for r in admosaic.find_ads(odd, p, date_from=a, date_to=b).select("ad_id").collect()
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = admosaic.matching_pairs(odd, requests_table(spark, rows))
+        assert sorted((r["request_id"], r["ad_id"]) for r in pairs.collect()) == wanted
+        counts = admosaic.match_counts(odd, requests_table(spark, rows))
+        assert {r["request_id"]: r["n"] for r in counts.collect()} == Counter(r for r, _ in wanted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_histogram_keeps_every_row_that_can_be_first(spark):
+    rows = [(g, None if k % 9 == 0 else (k * 7) % 23, k, n) for g, n in (("a", 5), ("b", 40), ("c", 0), ("d", 1000)) for k in range(60)]
+    table = spark.createDataFrame(rows, "g string, bin int, k int, n int")
+    kept = cut_by_histogram(table.drop("n"), "g", F.col("bin"), table.select("g", "n").distinct()).collect()
+    for g, n in (("a", 5), ("b", 40), ("c", 0), ("d", 1000)):
+        order = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        have = {r["k"] for r in kept if r["g"] == g}
+        assert {r[2] for r in order[:n]} <= have
+        assert len(have) <= n + 6
+
+
 def test_batch_limit_is_the_first_page(spark, ads):
     rows = [("a", "x", "search_ads", None, None, None, None, None, None, None, None, 5, None)]
     rows += [("b", "meta", "search_ads", None, None, None, None, None, None, None, None, 1000, None)]
@@ -100,7 +163,12 @@ def test_no_limit_of_a_remote_service_cuts_a_search(spark, ads):
     google = ads.filter("platform = 'google'")
     many = google.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("_copy")
     assert admosaic.search_ads(many, "google", limit=5_000).count() == min(5_000, many.count()) > 1_000
-    assert admosaic.search_ads(many, "google").count() == 1_000
+    assert admosaic.search_ads(many, "google").count() == 100
+    assert admosaic.search_ads(ads.withColumn("platform", F.lit("linkedin")), "linkedin").count() == 100
+    rows = [("m", "meta", "search_ads", *[None] * 10), ("l", "linkedin", "search_ads", *[None] * 10)]
+    both = [ads.withColumn("platform", F.lit(p)) for p in ("meta", "linkedin")]
+    batch = admosaic.search_ads_batch(both[0].unionByName(both[1]), requests_table(spark, rows))
+    assert {r["request_id"]: r["count"] for r in batch.groupBy("request_id").count().collect()} == {"m": 100, "l": 100}
 
 
 def test_batch_pages_status_and_faults_as_in_the_single_search(spark, ads):
@@ -109,6 +177,8 @@ def test_batch_pages_status_and_faults_as_in_the_single_search(spark, ads):
         ("status", "snapchat", "search_ads", None, None, None, None, None, None, None, None, 1000, None),
         ("country", "x", "search_ads", None, None, ["Germany"], None, None, None, None, None, 1000, None),
         ("date", "x", "search_ads", None, None, None, "soon", None, None, None, None, 1000, None),
+        ("token", "x", "search_ads", *[None] * 8, 1000, "abc"),
+        ("far", "x", "search_ads", *[None] * 8, 1000, "3000000000"),
     ]
     batch = admosaic.search_ads_batch(ads, requests_table(spark, rows), platform_defaults=True).collect()
     got = {name: [r.ad_id for r in batch if r.request_id == name] for name, *_ in rows}
@@ -116,7 +186,11 @@ def test_batch_pages_status_and_faults_as_in_the_single_search(spark, ads):
     status = admosaic.search_ads(ads, "snapchat", limit=1000, platform_defaults=True).collect()
     assert got["page"] == [r.ad_id for r in page] and len(page) == 5
     assert sorted(got["status"]) == sorted(r.ad_id for r in status) and status
-    assert got["country"] == [] and got["date"] == []
+    assert got["country"] == got["date"] == got["token"] == got["far"] == []
+    errors = {r.request_id: r.errors for r in admosaic.validate_requests(requests_table(spark, rows)).collect()}
+    assert errors["token"] == ["page_token must be a number of rows to skip"] and errors["far"] == errors["page"] == []
+    with pytest.raises(ValueError, match="page_token"):
+        admosaic.search_ads(ads, "x", page_token="abc")
     with pytest.raises(ValueError):
         admosaic.find_ads(ads, "x", countries=["Germany"])
     missing = admosaic.validate_requests(requests_table(spark, [("n", "x", *[None] * 11)])).first()
