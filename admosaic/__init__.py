@@ -22,6 +22,7 @@ from .operators.fetchlog import (
     collected_bodies,
     fetch_errors,
     page_audit,
+    page_chains,
     page_totals,
     quota_usage,
     usage_tier,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.registry import platform_limits
 from ..sources.registry_values import DEFAULT_RATE_LIMITS
+from .storage import stored
 
 FETCH_LOG = (
     "ts timestamp, platform string, endpoint string, status int, retry_after string, usage_header string, body string"
@@ -97,13 +100,69 @@ def collect_pages(counters: DataFrame, max_pages: int | None = None) -> DataFram
         empty = empty & F.col("readable")
     ends = pages.filter(empty).groupBy("platform", "request_id").agg(F.min("page_no").alias("_end"))
     before = F.col("_end").isNull() | (F.col("page_no") < F.col("_end"))
-    kept = pages.join(ends, ["platform", "request_id"], "left").filter(before & (F.col("items") > 0))
-    return kept.drop("_end", "readable")
+    ends = ends.toDF("_platform", "_request", "_end")
+    same = F.col("platform").eqNullSafe(F.col("_platform")) & F.col("request_id").eqNullSafe(F.col("_request"))
+    kept = pages.join(ends, same, "left").filter(before & (F.col("items") > 0))
+    return kept.drop("_platform", "_request", "_end", "readable")
 
 
 def collected_bodies(pages: DataFrame, collected: DataFrame) -> DataFrame:
     """The landed pages that `collect_pages` keeps, bodies included."""
-    return pages.join(collected.select(*_PAGE), _PAGE, "left_semi")
+    kept = collected.select(*[F.col(name).alias(f"_{name}") for name in _PAGE])
+    return pages.join(kept, reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in _PAGE]), "left_semi")
+
+
+def page_chains(pages: DataFrame) -> DataFrame:
+    """Whether the pages of each request follow from one another by their positions, not only by their numbers.
+
+    ``pages`` have platform, request_id, page_no, position (where the page starts; NULL for the first) and next_position;
+    of repeated pages any copy counts that names the latest next position. A page is succeeded by the page that starts at
+    its next position, the one numbered next if several do, else the first of them. Jumps along this are doubled until
+    they reach the end, so a request of n pages takes about log2(n) rounds, each a join on the page; whatever has not
+    ended by then runs in a circle, and the pages that such runs lie on are the loop.
+
+    ``state``: ``loop`` for pages on a circle; ``wrong_position`` if the page numbered next starts elsewhere;
+    ``missing_next`` if nothing starts at the next position; ``branch`` if an earlier page starts where this one does;
+    ``past_end`` if there is no next position but a page numbered next; else ``followed`` or ``last``. ``steps`` is the
+    number of pages that come after it by position, NULL if these end in a loop. Pages without a number have no place in a
+    request and are left out; a NULL platform or request counts as one of its own.
+    """
+    c, page, request = F.col, ["request", "page_no"], F.struct("platform", "request_id")
+    best = F.max_by(F.struct("position", "next_position"), F.struct("next_position", "position"))
+    once = pages.where("page_no IS NOT NULL").groupBy(request.alias("request"), "page_no").agg(best.alias("v"))
+    once = stored(once.select(*page, "v.*", F.struct("request", F.coalesce("v.position", F.lit("")).alias("position")).alias("at")), "pages")
+    starts = once.groupBy("at").agg(F.min("page_no").alias("first"))
+    to = F.struct("request", c("next_position").alias("position"))
+    named = once.where("next_position IS NOT NULL").select(*page, to.alias("to"))
+    found = named.join(starts.select(c("at").alias("to"), "first"), "to").select(*page, "first")
+    # The page numbered next, if it is there: told by itself, so that no request is gathered.
+    told = once.select("request", (c("page_no") - 1).alias("page_no"), F.struct("position").alias("after"))
+    placed = once.join(told, page, "left").join(found, page, "left").join(starts.select("at", c("first").alias("same")), "at")
+    fits = c("after.position") == c("next_position")
+    placed = placed.withColumn("to", F.when(fits, c("page_no") + 1).otherwise(c("first")))
+    placed = stored(placed.select(*page, "position", "next_position", "after", "same", "to"), "placed")
+
+    longest = placed.groupBy("request").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    jumps = placed.select(*page, "to", c("to").isNotNull().cast("bigint").alias("steps"))
+    for _ in range(max(1, longest).bit_length()):
+        ahead = jumps.select("request", c("page_no").alias("to"), c("to").alias("then"), c("steps").alias("more"))
+        jumps = jumps.join(ahead, ["request", "to"], "left").select(
+            *page, c("then").alias("to"), (c("steps") + F.coalesce("more", F.lit(0))).alias("steps")
+        )
+        jumps = stored(jumps, "jumps")
+    circle = jumps.where("to IS NOT NULL").select("request", c("to").alias("page_no")).distinct().withColumn("circle", F.lit(True))
+    known = placed.drop("to").join(jumps.select(*page, c("to").alias("runs"), "steps"), page).join(circle, page, "left")
+    lands = c("steps") > 0
+    state = (
+        F.when(c("circle"), "loop")
+        .when(c("next_position").isNotNull() & c("after").isNotNull() & ~F.coalesce(fits, F.lit(False)), "wrong_position")
+        .when(c("next_position").isNotNull() & ~lands, "missing_next")
+        .when(c("same") < c("page_no"), "branch")
+        .when(c("next_position").isNotNull(), "followed")
+        .when(c("after").isNotNull(), "past_end")
+        .otherwise("last")
+    )
+    return known.select("request.*", "page_no", "position", "next_position", state.alias("state"), F.when(c("runs").isNull(), c("steps")).alias("steps"))
 
 
 def page_totals(counters: DataFrame) -> DataFrame:

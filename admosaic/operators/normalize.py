@@ -35,8 +35,9 @@ def normalize_items(items: DataFrame, platform: str) -> DataFrame:
 
 
 def normalize_unknown(pages: DataFrame) -> DataFrame:
-    """The generic mapping of every readable page of a source without a mapping, whole page as raw item."""
-    other = pages.filter(~F.col("platform").isin(*PAGE_SOURCES) & F.try_parse_json("body").isNotNull())
+    """The generic mapping of every readable page of a source without a mapping, or of none, whole page as raw item."""
+    mapped = F.coalesce(F.col("platform").isin(*PAGE_SOURCES), F.lit(False))
+    other = pages.filter(~mapped & F.try_parse_json("body").isNotNull())
     stamp = F.coalesce(F.col("fetched_at"), F.current_timestamp())
     values = {"platform": F.col("platform"), "extra_json": F.col("body"), "media_type": F.lit("unknown"), "fetched_at": stamp}
     return other.select(*ads_columns(values))
@@ -102,13 +103,16 @@ def normalize_ads(
 ) -> DataFrame:
     """The ad table of landed pages and of the tabular source, stacked.
 
-    Without a list of platforms, pages of sources that have no mapping of their own give one generic row each.
+    Pages of sources that have no mapping of their own give one generic row each: all of them without a list of platforms,
+    else those named.
     """
     parts = []
     if pages is not None:
         for platform in sorted(PAGE_SOURCES) if platforms is None else platforms:
             if platform in PAGE_SOURCES:
                 parts.append(normalize_items(unwrap_source(pages, platform), platform))
+            else:
+                parts.append(normalize_unknown(pages.filter(F.col("platform") == platform)))
         if platforms is None:
             parts.append(normalize_unknown(pages))
     if creatives is not None and (platforms is None or "google" in platforms):

@@ -553,6 +553,7 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "amazon": text('{"data":[', listed, "]", offsets, "}"),
         "apple": text('{"data":[', listed, "]", offsets, "}"),
         "booking": text('{"data":[', listed, "]", if_more(',"pagination":{"next":"', offset, '"}'), "}"),
+        "google": text('{"creatives":[', listed, "]", if_more(',"paging":{"next_token":"', offset, '"}'), "}"),
         "linkedin": text('{"elements":[', listed, '],"paging":{"start":', offset, ',"count":25,"total":', total, "}}"),
         "meta": text('{"data":[', listed, "]", if_more(',"paging":{"next":"', offset, '"}'), "}"),
         "microsoft": text('{"value":[', listed, "]", if_more(',"@odata.nextLink":"http://x?$skip=', offset, '"'), "}"),
@@ -574,6 +575,24 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as one page of its order's request, with the position it starts at and the next one.
+
+    Some next positions lead five rows too far, some back to the second page, some pages start where the one before does.
+    """
+    c, line = F.col, F.col("l_linenumber")
+    lines = table(spark, sf_dir, "lineitem")
+    own = F.when((c("l_partkey") % 13 == 0) & (line > 2), line - 2).otherwise(line - 1) * 25
+    following = F.when(c("l_suppkey") % 7 == 0, line * 25 + 5).when(c("l_suppkey") % 5 == 0, F.lit(25)).otherwise(line * 25)
+    return lines.select(
+        pick(PLATFORMS, c("l_orderkey") % 11).alias("platform"),
+        c("l_orderkey").cast("string").alias("request_id"),
+        (line - 1).cast("int").alias("page_no"),
+        F.when(line > 1, own.cast("string")).alias("position"),
+        F.when(c("l_linestatus") == "O", following.cast("string")).alias("next_position"),
+    )
+
+
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one fetch."""
     c = F.col

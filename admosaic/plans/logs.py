@@ -170,6 +170,10 @@ def _bodies(spark, sf_dir):
     return kept.groupBy("platform", "request_id").agg(F.count("body").alias("copies"))
 
 
+def _chains(spark, sf_dir):
+    return plain(L.page_chains(D.page_positions(spark, sf_dir)))
+
+
 def _totals(spark, sf_dir):
     return L.page_totals(_counters(spark, sf_dir))
 
@@ -288,6 +292,7 @@ QUERIES = {
     "normalize_unknown": _unknown,
     "collected_bodies": _bodies,
     "stored_csv": _stored_csv,
+    "page_chains": _chains,
     "page_totals": _totals,
     "page_errors": _errors,
     "quota_usage": _quota("hour"),
@@ -452,14 +457,14 @@ _PLATFORM = sql_pick(D.PLATFORMS, "l_orderkey % 11")
 _PAGES = f"""
 landed AS (
   SELECT {_PLATFORM} AS platform, CAST(l_orderkey AS VARCHAR) AS request_id, CAST(l_linenumber - 1 AS BIGINT) AS page_no,
-    l_shipdate AS fetched_at, CAST(greatest(l_quantity - 10, 0) AS BIGINT) AS items,
+    l_shipdate AS fetched_at, CASE WHEN {_PLATFORM} = 'google' THEN 1 ELSE CAST(greatest(l_quantity - 10, 0) AS BIGINT) END AS items,
     CASE WHEN {_MORE} THEN CASE WHEN {_PLATFORM} IN ('amazon', 'apple', 'linkedin')
       THEN CAST(l_linenumber * 25 AS VARCHAR) ELSE CAST((l_linenumber - 1) * 25 AS VARCHAR) END END AS next_position
   FROM lineitem
 ),
 with_total AS (
   SELECT *, CASE WHEN platform <> 'linkedin' THEN items WHEN next_position IS NOT NULL THEN 1000 ELSE 0 END AS total_count
-  FROM landed WHERE platform <> 'google'
+  FROM landed
 ),
 latest AS (
   SELECT platform, request_id, page_no, max(fetched_at) AS at FROM with_total GROUP BY ALL
@@ -648,7 +653,41 @@ collected AS (
     SELECT *, min(v.items) OVER (PARTITION BY request_id ORDER BY page_no) AS fewest FROM once WHERE page_no < {0}
   ) WHERE fewest > 0
 )"""
+_CHAINS = f"""
+WITH RECURSIVE lines AS (
+  SELECT {_PLATFORM} AS platform, CAST(l_orderkey AS VARCHAR) AS request_id, l_linenumber AS line,
+    CASE WHEN l_linenumber > 1 THEN CAST((CASE WHEN l_partkey % 13 = 0 AND l_linenumber > 2 THEN l_linenumber - 2
+      ELSE l_linenumber - 1 END) * 25 AS VARCHAR) END AS position,
+    CASE WHEN l_linestatus = 'O' THEN CAST(CASE WHEN l_suppkey % 7 = 0 THEN l_linenumber * 25 + 5 WHEN l_suppkey % 5 = 0 THEN 25
+      ELSE l_linenumber * 25 END AS VARCHAR) END AS next_position
+  FROM lineitem
+), once AS (
+  SELECT platform, request_id, CAST(line - 1 AS BIGINT) AS page_no, position, next_position FROM (
+    SELECT *, row_number() OVER (PARTITION BY request_id, line ORDER BY next_position DESC NULLS LAST, position DESC NULLS LAST) AS r
+    FROM lines) WHERE r = 1
+), linked AS (
+  SELECT p.*, n.page_no IS NOT NULL AS numbered, n.position = p.next_position AS fits,
+    CASE WHEN n.position = p.next_position THEN n.page_no
+      ELSE (SELECT min(s.page_no) FROM once s WHERE s.request_id = p.request_id AND s.position = p.next_position) END AS succ,
+    (SELECT min(s.page_no) FROM once s WHERE s.request_id = p.request_id AND coalesce(s.position, '') = coalesce(p.position, '')) AS same
+  FROM once p LEFT JOIN once n ON n.request_id = p.request_id AND n.page_no = p.page_no + 1
+), walk AS (
+  SELECT request_id, page_no AS origin, succ AS here, 1 AS steps FROM linked WHERE succ IS NOT NULL
+  UNION ALL
+  SELECT w.request_id, w.origin, l.succ, w.steps + 1 FROM walk w JOIN linked l ON l.request_id = w.request_id AND l.page_no = w.here
+  WHERE l.succ IS NOT NULL AND w.steps < 40
+), ends AS (
+  SELECT request_id, origin, max(steps) AS steps, bool_or(here = origin) AS circle FROM walk GROUP BY ALL
+)
+SELECT platform, l.request_id, page_no, position, next_position,
+  CASE WHEN circle THEN 'loop' WHEN next_position IS NOT NULL AND numbered AND fits IS NOT TRUE THEN 'wrong_position'
+    WHEN next_position IS NOT NULL AND succ IS NULL THEN 'missing_next' WHEN same < page_no THEN 'branch'
+    WHEN next_position IS NOT NULL THEN 'followed' WHEN numbered THEN 'past_end' ELSE 'last' END AS state,
+  CASE WHEN e.steps IS NULL THEN 0 WHEN e.steps < 40 THEN CAST(e.steps AS BIGINT) END AS steps
+FROM linked l LEFT JOIN ends e ON e.request_id = l.request_id AND e.origin = l.page_no"""
+
 ORACLES |= {
+    "page_chains": _CHAINS,
     "page_audit": f"WITH {_PAGES},{_ONCE},{_AUDITED}\nSELECT * FROM audited",
     "page_audit_summary": f"WITH {_PAGES},{_ONCE},{_AUDITED}\n"
     """SELECT platform, request_id, count(*) AS pages, CAST(sum(copies - 1) AS BIGINT) AS repeats,
@@ -663,7 +702,7 @@ ends AS (
 SELECT platform, request_id, page_no, copies FROM once LEFT JOIN ends USING (platform, request_id)
 WHERE v.items > 0 AND page_no % 3 <> 1 AND (stop IS NULL OR page_no < stop)""",
     "unreadable_pages": f"""WITH {_PAGES}
-SELECT platform, count(*) AS pages FROM landed WHERE platform = 'google' OR page_no % 3 = 1 GROUP BY platform""",
+SELECT platform, count(*) AS pages FROM landed WHERE page_no % 3 = 1 GROUP BY platform""",
     "normalize_unknown": f"""WITH {_PAGES}
 SELECT 'new-' || platform AS platform, 'unknown' AS media_type, count(*) AS ads FROM with_total GROUP BY platform""",
     "stored_csv": with_ads(

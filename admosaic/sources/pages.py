@@ -104,18 +104,41 @@ def _summary(source: Source) -> Column:
     return F.element_at(F.transform(F.array(F.from_json("body", source.page)), counted), 1)
 
 
+#: Where pages of a source without a module of its own may say what follows.
+_ANY_PAGING = "next: string, next_token: string, next_page_token: string"
+
+
+def _any_summary() -> Column:
+    """Counters of a page of any other source: one item if it is JSON, and the usual names of a next position."""
+
+    def counted(page: Column) -> Column:
+        n = F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()
+        paging = F.coalesce(page["paging"], page["pagination"])
+        return F.struct(
+            n.cast("bigint").alias("items"),
+            n.cast("bigint").alias("total_count"),
+            F.coalesce(paging["next"], paging["next_token"], paging["next_page_token"]).alias("next_position"),
+            F.lit(None).cast("string").alias("error"),
+            n.alias("readable"),
+        )
+
+    parsed = F.from_json("body", f"paging struct<{_ANY_PAGING}>, pagination struct<{_ANY_PAGING}>")
+    return F.element_at(F.transform(F.array(parsed), counted), 1)
+
+
 def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
     """Per page: number of items, reported total, position of the next page, error message, and whether the page is
     well-formed and no error page.
 
-    One pass over the pages of all sources, whatever their order in storage.
+    One pass over the pages of all sources, whatever their order in storage. A readable page of a source without a module
+    of its own, or of none, counts as one item, as `normalize_unknown` maps it.
     """
-    sources = _wanted(platforms)
     counters = None
-    for source in sources:
+    for source in _wanted(None if platforms is None else [p for p in platforms if p in PAGE_SOURCES]):
         here = F.col("platform") == source.name
         counters = F.when(here, _summary(source)) if counters is None else counters.when(here, _summary(source))
-    known = pages.filter(F.col("platform").isin(*[s.name for s in sources]))
+    counters = _any_summary() if counters is None else counters.otherwise(_any_summary())
+    known = pages if platforms is None else pages.filter(F.col("platform").isin(*platforms))
     return known.select(*KEYS, counters.alias("c")).select(*KEYS, "c.*")
 
 

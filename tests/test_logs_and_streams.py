@@ -44,6 +44,49 @@ def test_page_audit_and_collection(spark):
         admosaic.collect_pages(counters, 0)
 
 
+def test_chains_of_positions(spark):
+    """Numbers without a gap whose positions do not fit, run in circles, start twice or lead nowhere; one long request."""
+    rows = [
+        ("x", "ok", 0, None, "a"), ("x", "ok", 1, "a", "b"), ("x", "ok", 2, "b", None),
+        ("new", "wrong", 0, None, "a"), ("new", "wrong", 1, "z", "b"), ("new", "wrong", 2, "b", "c"),
+        ("x", "loop", 0, None, "a"), ("x", "loop", 1, "a", "b"), ("x", "loop", 2, "b", "a"),
+        ("x", "self", 0, None, "a"), ("x", "self", 1, "a", "a"),
+        (None, "branch", 0, None, "a"), (None, "branch", 1, "a", None), (None, "branch", 2, "a", "q"), (None, "branch", 3, "q", None),
+        ("x", None, 0, None, "a"), ("x", None, 2, "a", None), ("x", "twice", 0, None, "a"), ("x", "twice", 0, None, None),
+        ("x", "none", None, "a", "b"),
+    ]
+    rows += [("x", "long", k, str(k) if k else None, str(k + 1)) for k in range(300)]
+    table = spark.createDataFrame(rows, "platform string, request_id string, page_no int, position string, next_position string")
+    got = {(r.platform, r.request_id, r.page_no): (r.state, r.steps) for r in admosaic.page_chains(table).collect()}
+    long = {k: v for k, v in got.items() if k[1] == "long"}
+    assert long == {("x", "long", k): ("followed" if k < 299 else "missing_next", 299 - k) for k in range(300)}
+    assert {k: v for k, v in got.items() if k[1] != "long"} == {
+        ("x", "ok", 0): ("followed", 2), ("x", "ok", 1): ("followed", 1), ("x", "ok", 2): ("last", 0),
+        ("new", "wrong", 0): ("wrong_position", 0), ("new", "wrong", 1): ("followed", 1), ("new", "wrong", 2): ("missing_next", 0),
+        ("x", "loop", 0): ("followed", None), ("x", "loop", 1): ("loop", None), ("x", "loop", 2): ("loop", None),
+        ("x", "self", 0): ("followed", None), ("x", "self", 1): ("loop", None),
+        (None, "branch", 0): ("followed", 1), (None, "branch", 1): ("past_end", 0), (None, "branch", 2): ("branch", 1),
+        (None, "branch", 3): ("last", 0), ("x", None, 0): ("followed", 1), ("x", None, 2): ("last", 0),
+        ("x", "twice", 0): ("missing_next", 0),
+    }
+    assert admosaic.page_chains(table.limit(0)).collect() == []
+
+
+def test_pages_of_every_source_are_counted(spark):
+    bodies = [('{"paging": {"next": "n"}}', 0), ('{"pagination": {"next_token": 5}}', 1), ("oops", 2), (None, 3), ('{"paging": "x"}', 4)]
+    rows = [(p, "search_ads", "r", k, AT, body) for p in ("google", "new", None) for body, k in bodies]
+    pages = spark.createDataFrame(rows, RAW_PAGES)
+    got = sorted((str(r.platform), r.page_no, r["items"], r.next_position, r.readable) for r in admosaic.page_counters(pages).collect())
+    each = [(0, 1, "n", True), (1, 1, "5", True), (2, 0, None, False), (3, 0, None, False), (4, 1, None, True)]
+    assert got == [(p, *e) for p in ("None", "google", "new") for e in each]
+    assert admosaic.page_counters(pages, ["new"]).count() == 5
+    kept = admosaic.collect_pages(admosaic.page_counters(pages))
+    assert sorted((str(r.platform), r.page_no) for r in kept.collect()) == [(p, k) for p in ("None", "google", "new") for k in (0, 1, 4)]
+    assert admosaic.collected_bodies(pages, kept).count() == 9
+    assert admosaic.normalize_ads(pages).count() == 9
+    assert admosaic.normalize_ads(pages, platforms=["new", "x"]).count() == 3
+
+
 def test_usage_and_errors(spark):
     rows = [
         (AT, "meta", "e", 200, None, '{"call_count": 96, "total_cputime": 1, "total_time": 2}', "{}"),
@@ -198,7 +241,8 @@ def test_only_a_well_formed_empty_page_ends_a_request(spark):
     rows.append(("newsource", "search_ads", "q", 0, datetime.datetime(2024, 1, 1), '{"ads": 1}'))
     pages = spark.createDataFrame(rows, RAW_PAGES)
     counters = admosaic.page_counters(pages)
-    assert [r.page_no for r in admosaic.collect_pages(counters).orderBy("page_no").collect()] == [0, 2]
+    kept = admosaic.collect_pages(counters).orderBy("platform", "page_no").collect()
+    assert [(r.platform, r.page_no) for r in kept] == [("newsource", 0), ("x", 0), ("x", 2)]
     assert [r.ad_id for r in admosaic.get_all(pages, "x").orderBy("ad_id").collect()] == ["1", "2"]
     assert [r.page_no for r in unreadable_pages(pages).collect()] == [1]
     generic = admosaic.normalize_ads(pages).filter("platform = 'newsource'").collect()
