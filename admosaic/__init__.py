@@ -25,6 +25,7 @@ from .operators.fetchlog import (
     page_chains,
     page_totals,
     quota_usage,
+    quota_windows,
     usage_tier,
 )
 from .operators.normalize import (
@@ -70,5 +71,7 @@ from .sources.registry import (
 )
 from .sources.tables import read_creatives, write_ads
 from .streaming.ingest import ingest_pages_stream, stream_ads, stream_pages, stream_quota
+from .streaming.quota import ingest_quota_stream, read_late, read_quota
+from .streaming.upsert import merge_batch, read_upserted, upsert_pages_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -188,6 +188,54 @@ def quota_usage(fetch_log: DataFrame, period: str = "hour") -> DataFrame:
     )
 
 
+#: Seconds of the periods that sources limit, and by how many a sliding window of each moves.
+PERIODS = {"minute": (60, 10), "hour": (3600, 300), "day": (86_400, 3600)}
+
+
+def quota_counts(fetch_log: DataFrame, periods: list[str] | None = None, sliding: bool = False) -> DataFrame:
+    """Fetches by platform, period and start of the window, for several periods at once; counts of parts of a log add up.
+
+    A fetch is counted once for each period, in the step it falls in; only the counts of steps are spread over the
+    windows that slide across them. Fetches without a time are in no window.
+    """
+    c = F.col
+    shapes = []
+    for name in periods or PERIODS:
+        length, step = PERIODS[name]
+        step = step if sliding else length
+        at = (F.floor(F.unix_timestamp("ts") / step) * step).alias("at")
+        shapes.append(F.struct(F.lit(name).alias("period"), F.lit(length).alias("length"), F.lit(step).alias("step"), at))
+    steps = fetch_log.where("ts IS NOT NULL").select("platform", F.inline(F.array(*shapes)))
+    steps = steps.groupBy("platform", "period", "length", "step", "at").agg(F.count("*").alias("requests"))
+    start = F.explode(F.sequence(c("at") - c("length") + c("step"), c("at"), c("step").cast("bigint"))).alias("start")
+    windows = steps.select("platform", "period", start, "requests").groupBy("platform", "period", "start")
+    return windows.agg(F.sum("requests").alias("requests"))
+
+
+def against_limits(counts: DataFrame) -> DataFrame:
+    """`quota_counts` with what the platform allows in the period, platforms without a limit for a period left out.
+
+    Sources that are not registered have the default limits; there is none for a minute.
+    """
+    limits = platform_limits(counts.sparkSession)
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("period"), F.col(f"requests_per_{p}").alias("allowed")) for p in PERIODS]))
+    limits = limits.select("platform", each.alias("x")).select("platform", "x.*")
+    default = F.lit(None).cast("bigint")
+    for period in PERIODS:
+        if f"requests_per_{period}" in DEFAULT_RATE_LIMITS:
+            default = F.when(F.col("period") == period, F.lit(DEFAULT_RATE_LIMITS[f"requests_per_{period}"])).otherwise(default)
+    joined = counts.join(F.broadcast(limits), ["platform", "period"], "left").withColumn("allowed", F.coalesce("allowed", default))
+    return joined.where("allowed IS NOT NULL").select(
+        "platform", "period", F.timestamp_seconds("start").alias("period_start"), "requests",
+        F.col("allowed").cast("bigint").alias("allowed"), (F.col("requests") > F.col("allowed")).alias("over_limit"),
+    )
+
+
+def quota_windows(fetch_log: DataFrame, periods: list[str] | None = None, sliding: bool = True) -> DataFrame:
+    """Fetches in every window of a minute, an hour and a day, sliding or not, against the platform's limits."""
+    return against_limits(quota_counts(fetch_log, periods, sliding))
+
+
 def usage_wait(usage: Column) -> Column:
     """Seconds to wait at a usage in percent."""
     return (

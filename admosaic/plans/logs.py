@@ -16,6 +16,8 @@ from ..sources import registry
 from ..sources.pages import page_counters, page_errors, read_raw_pages, unreadable_pages
 from ..sources.tables import flatten_lists, write_ads
 from ..streaming.ingest import ingest_pages_stream, stream_pages, stream_quota
+from ..streaming.quota import ingest_quota_stream, read_late, read_quota
+from ..streaming.upsert import read_upserted, upsert_pages_stream
 from . import derived as D
 from .compare import plain, plain_ads, sql_list, sql_pick, sql_time
 from .derived_sql import with_ads, with_base
@@ -234,6 +236,37 @@ def _ingest(spark, sf_dir):
     return plain_ads(latest_ads(spark.read.parquet(out))).drop("fetched_at")
 
 
+def _upserted(spark, sf_dir):
+    """Orders as pages of x, landed in two streams' runs, the second with every page again and later ones first; the
+    table holds each ad once."""
+    landing, out, state = (scratch(spark, name) for name in ("landing", "ads", "state"))
+    pages = D.pages_of(spark, sf_dir, "x")
+    later = pages.withColumn("fetched_at", c("fetched_at") + F.expr("INTERVAL 5 MINUTES"))
+    for part in (later.where("page_no % 2 = 0"), pages):
+        part.write.mode("append").parquet(landing)
+        upsert_pages_stream(stream_pages(spark, landing, "parquet"), out, state, ["x"], buckets=8).awaitTermination()
+    return plain_ads(read_upserted(spark, out)).drop("fetched_at")
+
+
+def _windows(periods, sliding):
+    def run(spark, sf_dir):
+        return plain(L.quota_windows(D.fetch_log(spark, sf_dir), periods, sliding))
+
+    return run
+
+
+def _quota_ingested(spark, sf_dir):
+    """The fetch log in two runs of a stream, the older half last, in sliding windows of an hour and tumbling sums of all."""
+    landing, out, state = (scratch(spark, name) for name in ("log", "quota", "state"))
+    log = D.fetch_log(spark, sf_dir)
+    for newer in (True, False):
+        log.where((c("ts") >= "2024-01-15") == newer).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(L.FETCH_LOG).parquet(landing)
+        ingest_quota_stream(stream, out, state, ["hour"]).awaitTermination()
+    late = read_late(spark, out).groupBy("platform").agg(F.count("*").alias("late"))
+    return plain(read_quota(spark, out).join(late, "platform", "left").na.fill(0, ["late"]))
+
+
 def _stream_quota(spark, sf_dir):
     """The fetch log as a stream, in complete mode, against the limits of a day."""
     landing, out, state = (scratch(spark, name) for name in ("log", "quota", "state"))
@@ -302,6 +335,10 @@ QUERIES = {
     "fetch_errors": _fetch_errors,
     "ingest_stream": _ingest,
     "quota_stream": _stream_quota,
+    "quota_minute": _windows(["minute"], False),
+    "quota_sliding": _windows(None, True),
+    "quota_ingested": _quota_ingested,
+    "upsert_stream": _upserted,
     "stored_ads": _stored,
     "landed_json": _landed_json,
     "get_all": _get_all,
@@ -512,6 +549,23 @@ def _quota_sql(period: str) -> str:
     )
 
 
+def _windows_sql(shapes: list[tuple[str, int, int]], late: str = "", late_column: str = "") -> str:
+    """Windows of (period, seconds, seconds between starts) against the limits."""
+    each = "\nUNION ALL ".join(
+        f"""SELECT platform, '{period}' AS period, ts, unnest(range(CAST(floor(epoch(ts)) AS BIGINT) // {step} * {step} - {length} + {step},
+          CAST(floor(epoch(ts)) AS BIGINT) // {step} * {step} + 1, {step})) AS start FROM log"""
+        for period, length, step in shapes
+    )
+    return _logged(
+        f"""SELECT platform, period, {sql_time('make_timestamp(start * 1000000)')} AS period_start, requests, allowed,
+          requests > allowed AS over_limit{late_column}
+        FROM (SELECT platform, period, start, count(*) AS requests FROM ({each}) GROUP BY ALL)
+        JOIN (SELECT platform, 'minute' AS period, CAST(60 AS BIGINT) AS allowed FROM {_LIMITS} WHERE platform = 'linkedin'
+          UNION ALL SELECT platform, 'hour', CAST(per_hour AS BIGINT) FROM {_LIMITS}
+          UNION ALL SELECT platform, 'day', CAST(per_day AS BIGINT) FROM {_LIMITS}) USING (platform, period){late}"""
+    )
+
+
 _WAIT = (
     "CASE WHEN max_usage > 95 THEN 90 WHEN max_usage > 90 THEN 30 WHEN max_usage > 80 THEN 10 "
     "WHEN max_usage > 75 THEN 5 WHEN max_usage > 50 THEN 3 ELSE 0 END"
@@ -609,6 +663,15 @@ ORACLES = {
     "quota_usage": _quota_sql("hour"),
     "quota_usage_day": _quota_sql("day"),
     "quota_stream": _quota_sql("day"),
+    "quota_minute": _windows_sql([("minute", 60, 60)]),
+    "quota_sliding": _windows_sql([("minute", 60, 10), ("hour", 3600, 300), ("day", 86400, 3600)]),
+    "quota_ingested": _windows_sql(
+        [("hour", 3600, 300)],
+        """ LEFT JOIN (SELECT platform, count(*) AS late FROM log WHERE ts < TIMESTAMP '2024-01-15'
+          AND ts < (SELECT max(ts) FROM log) - INTERVAL 10 MINUTE GROUP BY platform) USING (platform)""",
+        ", coalesce(late, 0) AS late",
+    ),
+    "upsert_stream": f"SELECT * EXCLUDE (fetched_at) FROM ({NORMALIZED['normalize_x']})",
     "usage_tier": _logged(
         f"""SELECT platform, CAST({_WAIT} AS BIGINT) AS wait_seconds, count(*) AS n, max(max_usage) AS max_usage
         FROM log GROUP BY platform, {_WAIT}"""
