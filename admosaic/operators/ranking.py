@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,3 +82,41 @@ def cut_by_histogram(table: DataFrame, group: str, bin: Column, wanted: DataFram
     lowest = kept.groupBy(group).agg(F.min("_bin").alias("_lowest"), F.count_if(F.col("_bin").isNull()).alias("_open"))
     joined = rows.join(stored(lowest, "lowest"), group).where((F.col("_open") > 0) | (F.col("_bin") >= F.col("_lowest")))
     return joined.select(*table.columns)
+
+
+#: Rows that one task may sort to give a page.
+PAGE_ROWS = 100_000
+
+
+def narrowed_page(table: DataFrame, levels: list[list[tuple[Column, bool]]], first: int, size: int) -> tuple[DataFrame, int]:
+    """The part of an ordered table that holds rows ``first`` to ``first + size``, and how many of its rows come before.
+
+    ``levels`` are ever finer keys that agree with the order of the table: columns, each with whether it falls; NULL comes
+    last in falling ones, else first. Rows are counted by the first key, and only the keys in which the rows wanted lie
+    are kept, at most one for each; while these are too many to be sorted in one task, the next key narrows them
+    further. A histogram is all that is shuffled and collected.
+    """
+
+    def place_of(key: tuple, level: list[tuple[Column, bool]]) -> tuple:
+        return tuple((v is None, 0 if v is None else -v) if falls else (v is not None, v or "") for v, (_, falls) in zip(key, level, strict=True))
+
+    for level in levels:
+        names = [f"_k{k}" for k in range(len(level))]
+        keyed = table.withColumns(dict(zip(names, [column for column, _ in level], strict=True)))
+        counts = sorted(((tuple(r[:-1]), r[-1]) for r in keyed.groupBy(*names).count().collect()), key=lambda x: place_of(x[0], level))
+        kept, before, place = [], 0, 0
+        for key, n in counts:
+            if place < first + size and place + n > first:
+                before = before if kept else place
+                kept.append((*key, n))
+            place += n
+        if not kept:
+            return table.limit(0), 0
+        there = keyed.select(*names, F.lit(0).cast("bigint").alias("_n")).schema
+        wanted = F.broadcast(table.sparkSession.createDataFrame(kept, there)).toDF(*[f"_w{n}" for n in [*names, "n"]])
+        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_w{n}")) for n in names])
+        table = keyed.join(wanted, same, "left_semi").select(*table.columns)
+        first -= before
+        if sum(k[-1] for k in kept) <= PAGE_ROWS + size:
+            break
+    return table, first

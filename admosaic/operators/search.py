@@ -16,7 +16,7 @@ from ..functions.literals import lookup, strings
 from ..sources.registry import platform_names
 from .matching import AD, like_pattern, matched, numbered, request_rows, terms
 from .normalize import select_fields
-from .ranking import cut_by_histogram, top_per_group
+from .ranking import cut_by_histogram, narrowed_page, top_per_group
 from .storage import stored
 
 # Ad types the meta source filters on; others have no effect.
@@ -198,8 +198,21 @@ def newest_first() -> list[Column]:
     return [F.col("first_seen").desc_nulls_last(), F.col("ad_id").asc()]
 
 
+#: Rows skipped up to which a page is cut from its first rows; beyond, histograms find the rows that hold it.
+SHALLOW = 10_000
+
+
 def page_of_results(ads: DataFrame, size: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + size`` of the ads, newest first. For deep pages use `page_after`."""
+    """Rows ``offset`` to ``offset + size`` of the ads, newest first.
+
+    For deep pages the ads are counted by month, then where needed by day, second and ever longer beginnings of the id,
+    and only the part that holds the page is sorted. `page_after` needs no counting where the last ad seen is known.
+    """
+    if offset > SHALLOW:
+        day, moment = F.unix_date(F.to_date("first_seen")), (F.unix_micros("first_seen"), True)
+        levels = [[(F.floor(day / 32), True)], [(day, True)], [moment]]
+        levels += [[moment, (F.substring("ad_id", 1, k), False)] for k in (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)]
+        ads, offset = narrowed_page(ads, levels, offset, size)
     return ads.orderBy(*newest_first()).offset(offset).limit(size)
 
 

@@ -38,6 +38,11 @@ def _page(spark, sf_dir):
     return _short(S.search_ads(D.stored_ads(spark, sf_dir), "x", limit=40, page_token=20))
 
 
+def _page_deep(spark, sf_dir):
+    """A page far down all ads, found by counts."""
+    return _short(S.page_of_results(D.stored_ads(spark, sf_dir, lines=False), 60, 10_500))
+
+
 def _page_after(spark, sf_dir):
     return _short(S.page_after(D.stored_ads(spark, sf_dir), 50, "1999-06-01", "500"))
 
@@ -118,6 +123,7 @@ QUERIES = {
     "search_limit_kept": _limit_kept,
     "search_page": _page,
     "search_page_after": _page_after,
+    "search_page_deep": _page_deep,
     "search_batch": _batch,
     "search_batch_counts": _batch_counts,
     "search_batch_pages": _batch_pages,
@@ -228,6 +234,7 @@ ORACLES = {
     "search_page": with_ads(
         f"{_OUT} WHERE platform = 'x' ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 40 OFFSET 20"
     ),
+    "search_page_deep": with_ads(f"{_OUT} ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 60 OFFSET 10500"),
     "search_page_after": with_ads(
         f"""{_OUT} WHERE first_seen < DATE '1999-06-01' OR (first_seen = DATE '1999-06-01' AND ad_id > '500')
         ORDER BY ads.first_seen DESC, ads.ad_id LIMIT 50"""

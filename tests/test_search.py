@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import admosaic
-from admosaic.operators import matching
+from admosaic.operators import matching, ranking, search
 from admosaic.operators.ranking import cut_by_histogram, number_rows, top_per_group
 from admosaic.operators.requests import REQUESTS
 from admosaic.schema import ads_columns
@@ -241,6 +241,21 @@ def test_fields_and_paging(ads):
     assert admosaic.page_after(x, 10, last.first_seen, last.ad_id).select("ad_id").collect() == second.select("ad_id").collect()
 
 
+@pytest.mark.parametrize("rows_sorted", [0, 30])
+def test_deep_pages_are_found_by_counts(spark, ads, monkeypatch, rows_sorted):
+    """A third of the ads starts at one moment, some never; ids of different lengths."""
+    monkeypatch.setattr(search, "SHALLOW", -1)
+    monkeypatch.setattr(ranking, "PAGE_ROWS", rows_sorted)
+    k = F.col("ad_id").cast("int")
+    same = F.when(k % 3 == 0, F.lit("2024-02-02 03:04:05").cast("timestamp")).when(k % 41 != 0, F.col("first_seen"))
+    table = ads.withColumn("first_seen", same).select("ad_id", "first_seen").cache()
+    rows = table.collect()
+    order = sorted(rows, key=lambda r: (r.first_seen is None, -(r.first_seen or datetime.datetime(2030, 1, 1)).timestamp(), r.ad_id))
+    for offset, size in ((0, 5), (700, 40), (777, 1), (1480, 100), (1500, 3)):
+        page = admosaic.page_of_results(table, size, offset).collect()
+        assert [r.ad_id for r in page] == [r.ad_id for r in order[offset : offset + size]]
+
+
 def test_details(ads):
     got = admosaic.ad_details(ads, ["7", "nope", "3", "7"]).collect()
     assert [r.ad_id for r in got] == ["7", "3", "7"]
