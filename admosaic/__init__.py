@@ -41,7 +41,7 @@ from .operators.normalize import (
     union_ads,
 )
 from .operators.quality import check_ads, violation_summary
-from .operators.reports import platform_report
+from .operators.reports import add_to_reports, platform_report, report_of_partials, report_partials, stored_report
 from .operators.requests import native_params, request_manifest, valid_requests, validate_requests
 from .operators.search import (
     ad_details,
@@ -69,7 +69,7 @@ from .sources.registry import (
     source_index,
     supports,
 )
-from .sources.tables import read_creatives, write_ads
+from .sources.tables import read_creatives, save_ads_by_id, write_ads
 from .streaming.ingest import ingest_pages_stream, stream_ads, stream_pages, stream_quota
 from .streaming.quota import ingest_quota_stream, read_late, read_quota
 from .streaming.upsert import merge_batch, read_upserted, upsert_pages_stream

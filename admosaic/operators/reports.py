@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import range_high, range_low
@@ -51,6 +51,10 @@ def _summary(ads: DataFrame) -> DataFrame:
     per_advertiser = ads.groupBy("platform", "advertiser_id").agg(
         F.count("*").alias("n"), F.min("first_seen").alias("first"), F.max("last_seen").alias("last")
     )
+    return _by_platform(per_advertiser)
+
+
+def _by_platform(per_advertiser: DataFrame) -> DataFrame:
     return per_advertiser.groupBy("platform").agg(
         F.sum("n").alias("total_ads"),
         F.count("advertiser_id").alias("advertisers"),
@@ -62,6 +66,10 @@ def _summary(ads: DataFrame) -> DataFrame:
 def _totals(ads: DataFrame, measures: list[Column], names: list[str]) -> DataFrame:
     """Sums by advertiser and per platform. The subtotal adds up the advertisers' sums."""
     by_advertiser = ads.groupBy("platform", "advertiser_id").agg(F.count("*").alias("total_ads"), *measures)
+    return _rolled(by_advertiser, names)
+
+
+def _rolled(by_advertiser: DataFrame, names: list[str]) -> DataFrame:
     rolled = by_advertiser.rollup("platform", "advertiser_id").agg(
         F.grouping_id().alias("_level"),
         F.sum("total_ads").alias("total_ads"),
@@ -112,10 +120,66 @@ def _advertisers(ads: DataFrame) -> DataFrame:
     The rank of a number of ads is one plus the advertisers with more: it comes from the counts of
     counts, which are few, and is joined back, so the advertisers themselves are never in one window.
     """
-    counted = ads.groupBy("platform", "advertiser_id", "advertiser_name").agg(F.count("*").alias("total_ads"))
+    return _ranked(ads.groupBy("platform", "advertiser_id", "advertiser_name").agg(F.count("*").alias("total_ads")))
+
+
+def _ranked(counted: DataFrame) -> DataFrame:
     sizes = counted.groupBy("platform", "total_ads").agg(F.count("*").alias("_same"))
     above = (
         Window.partitionBy("platform").orderBy(F.desc("total_ads")).rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = sizes.withColumn("rank", F.coalesce(F.sum("_same").over(above), F.lit(0)) + 1).drop("_same")
     return counted.join(ranks, ["platform", "total_ads"])
+
+
+# --- reports that grow with new ads only
+
+#: Sums that partial rows keep, by report: name in the report, name in the partial rows.
+_SUMS = {
+    "spending": {"spend_low": "spend_low", "spend_high": "spend_high", "unknown_low": "unknown_spend_low", "unknown_high": "unknown_spend_high"},
+    "reach": {
+        "impressions_low": "impressions_low", "impressions_high": "impressions_high", "eu_reach": "reach",
+        "unknown_low": "unknown_impressions_low", "unknown_high": "unknown_impressions_high", "unknown_reach": "unknown_reach",
+    },
+}
+_BOUNDS = ("spend_low", "spend_high", "impressions_low", "impressions_high", "reach")
+PARTIALS = (
+    "platform string, advertiser_id string, advertiser_name string, n bigint, first timestamp, last timestamp, "
+    + ", ".join(f"{name} bigint, unknown_{name} bigint" for name in _BOUNDS)
+    + ", batch bigint"
+)
+
+
+def report_partials(ads: DataFrame) -> DataFrame:
+    """One row per advertiser with everything that the reports add up; rows of parts of the ads merge into those of all."""
+    bounded = with_bounds(ads).withColumn("reach", F.col("eu_reach").try_cast("bigint"))
+    sums = [x for name in _BOUNDS for x in (F.sum(name).cast("bigint").alias(name), _unknown(name).alias(f"unknown_{name}"))]
+    return bounded.groupBy("platform", "advertiser_id", "advertiser_name").agg(
+        F.count("*").alias("n"), F.min("first_seen").alias("first"), F.max("last_seen").alias("last"), *sums
+    )
+
+
+def report_of_partials(partials: DataFrame, report_type: str = "summary") -> DataFrame:
+    """The `platform_report` of all ads whose partial rows these are, however many rows an advertiser has."""
+    if report_type not in REPORTS:
+        raise ValueError(f"unknown report: {report_type}; known: {', '.join(REPORTS)}")
+    if report_type == "advertisers":
+        return _ranked(partials.groupBy("platform", "advertiser_id", "advertiser_name").agg(F.sum("n").alias("total_ads")))
+    merged = partials.groupBy("platform", "advertiser_id")
+    if report_type == "summary":
+        return _by_platform(merged.agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")))
+    sums = _SUMS[report_type]
+    named = [F.sum(partial).alias(name) for name, partial in sums.items()]
+    return _rolled(merged.agg(F.sum("n").alias("total_ads"), *named), list(sums))
+
+
+def add_to_reports(ads: DataFrame, batch: int, path: str) -> None:
+    """Write the partial rows of a batch of new ads; a batch that is written again replaces itself."""
+    rows = report_partials(ads).withColumn("batch", F.lit(batch).cast("bigint"))
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def stored_report(spark: SparkSession, path: str, report_type: str = "summary") -> DataFrame:
+    """The report over all batches at ``path``, from their partial rows alone."""
+    rows = spark.read.schema(PARTIALS).option("recursiveFileLookup", True).parquet(path)
+    return report_of_partials(rows, report_type)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
 from ..operators import normalize as N
 from ..operators import quality, reports
+from ..operators.storage import shared_folder
 from ..sources.pages import unwrap_pages
 from . import derived as D
 from .compare import plain, sql_joined, sql_pick, sql_time
@@ -94,6 +97,18 @@ def _report(kind, **options):
     return run
 
 
+def _merged_report(kind):
+    """The report put together from the partial rows of three batches, one of them written twice."""
+
+    def run(spark, sf_dir):
+        path, ads = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}", D.stored_ads(spark, sf_dir)
+        for batch in (0, 1, 1, 2):
+            reports.add_to_reports(ads.where(F.col("ad_id").cast("bigint") % 3 == batch), batch, path)
+        return plain(reports.stored_report(spark, path, kind))
+
+    return run
+
+
 def _check(spark, sf_dir):
     """Violations of the ads of google and apple: types outside the list, names instead of codes."""
     ads = N.normalize_creatives(D.creatives(spark, sf_dir, text=False, missing_ids=True))
@@ -141,6 +156,7 @@ QUERIES = {
     "report_spending": _report("spending"),
     "report_reach": _report("reach"),
     "report_advertisers": _report("advertisers"),
+    **{f"report_{kind}_merged": _merged_report(kind) for kind in reports.REPORTS},
     "check_ads": _check,
     "violation_summary": _violations,
 }
@@ -279,4 +295,6 @@ ORACLES = {
     ),
 }
 
+ORACLES |= {f"report_{kind}_merged": ORACLES[f"report_{kind}"] for kind in reports.REPORTS}
+
 __all__ = ["ORACLES", "QUERIES", "sql_pick"]

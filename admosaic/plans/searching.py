@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.countries import EU_COUNTRIES
 from ..operators import search as S
+from ..operators.storage import shared_folder
+from ..sources.tables import save_ads_by_id
 from . import derived as D
 from .compare import plain, sql_list, sql_pick, sql_time
 from .derived_sql import with_ads
@@ -88,6 +92,14 @@ def _details(spark, sf_dir):
     return plain(found.select("position", "ad_id", "platform", "status"))
 
 
+def _details_by_bucket(spark, sf_dir):
+    """`ad_details` of a table saved in buckets of the ad's id."""
+    name = f"ads_{uuid.uuid4().hex}"
+    save_ads_by_id(D.stored_ads(spark, sf_dir, lines=False), name, buckets=16, path=f"{shared_folder(spark)}/{name}")
+    found = S.ad_details(spark.table(name), _wanted_ids(spark, sf_dir))
+    return plain(found.select("position", "ad_id", "platform", "status"))
+
+
 def _missing(spark, sf_dir):
     return S.missing_ids(D.stored_ads(spark, sf_dir, lines=False), _wanted_ids(spark, sf_dir))
 
@@ -129,6 +141,7 @@ QUERIES = {
     "search_batch_pages": _batch_pages,
     "search_batch_dates": _batch_dates,
     "ad_details": _details,
+    "ad_details_bucketed": _details_by_bucket,
     "missing_ids": _missing,
     "advertisers": _advertisers,
     "advertisers_named": _advertisers_named,
@@ -265,6 +278,9 @@ ORACLES = {
     "ad_details": with_ads(
         "SELECT event_id AS position, ad_id, platform, status FROM events JOIN ads ON k = event_id * 2"
     ),
+    "ad_details_bucketed": with_ads(
+        "SELECT event_id AS position, ad_id, platform, status FROM events JOIN ads ON k = event_id * 2"
+    ),
     "missing_ids": """
         SELECT CAST(event_id * 2 AS VARCHAR) AS ad_id, event_id AS position
         FROM events WHERE event_id * 2 NOT IN (SELECT o_orderkey FROM orders)""",

@@ -45,3 +45,15 @@ def write_ads(
         ads = ads.repartition("platform", spread)
     writer = ads.write.mode(mode).partitionBy("platform")
     (writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path))
+
+
+def save_ads_by_id(ads: DataFrame, name: str, buckets: int = 200, path: str | None = None) -> None:
+    """Save an ad table in the catalog, at ``path`` or else in the warehouse, in buckets of ``ad_id``, with Bloom filters on
+    ids.
+
+    Lists of ids then join without moving the ads, and a search for single ids skips the row groups that lack them.
+    """
+    writer = ads.write.mode("overwrite").format("parquet").bucketBy(buckets, "ad_id").sortBy("ad_id")
+    for column in ("ad_id", "advertiser_id"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)

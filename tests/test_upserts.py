@@ -130,3 +130,34 @@ def test_counts_of_a_stream_add_up_and_late_fetches_are_set_aside(spark, tmp_pat
     late = admosaic.read_late(spark, out).select(F.unix_timestamp("ts").alias("t"), "batch").collect()
     start = spark.range(1).select(F.unix_timestamp(F.lit(AT)).alias("t")).first().t
     assert sorted((r.t - start, r.batch) for r in late) == [(5, 2), (30, 1)]
+
+
+def test_reports_of_parts_are_reports_of_all(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    rows = [(str(k), p, a, f"name {a}", "$10 - $20" if k % 3 else None, str(k) if k % 4 else None) for k in range(60) for p in ("x", "meta") for a in ("A", None, f"b{k % 5}")]
+    schema = "ad_id string, platform string, advertiser_id string, advertiser_name string, spend_range string, eu_reach string"
+    ads = admosaic.conform_ads(spark.createDataFrame(rows, schema)).withColumn("first_seen", F.lit(AT))
+    for batch in (0, 1, 2, 1):
+        admosaic.add_to_reports(ads.where(F.col("ad_id").cast("int") % 4 >= 3) if batch == 2 else ads.where(F.col("ad_id").cast("int") % 4 == batch), batch, path)
+    admosaic.add_to_reports(ads.where(F.col("ad_id").cast("int") % 4 == 2), 3, path)
+    for kind in ("summary", "spending", "reach", "advertisers"):
+        whole, parts = admosaic.platform_report(ads, kind), admosaic.stored_report(spark, path, kind)
+        assert sorted(map(str, parts.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_lookups_in_a_bucketed_table_do_not_move_the_ads(spark, tmp_path):
+    ads = admosaic.conform_ads(spark.range(500).select(F.col("id").cast("string").alias("ad_id"), F.lit("x").alias("platform")))
+    admosaic.save_ads_by_id(ads, "ads_by_id", 4, str(tmp_path / "ads"))
+    wanted = spark.createDataFrame([(str(k * 7), k) for k in range(100)], "ad_id string, position bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = admosaic.ad_details(spark.table("ads_by_id"), wanted)
+        assert [r.ad_id for r in found.collect()] == [str(k * 7) for k in range(72)]
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        executed = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        # One exchange for the ids, one for the order of the result; none between the ads' scan and the join.
+        assert executed.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE ads_by_id")
