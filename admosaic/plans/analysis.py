@@ -11,7 +11,9 @@ from ..operators import analytics as A
 from ..operators import normalize as N
 from ..operators import quality, reports
 from ..operators.storage import shared_folder
+from ..sources import registry
 from ..sources.pages import unwrap_pages
+from ..sources.registry_values import FIELD_PATHS
 from . import derived as D
 from .compare import plain, sql_joined, sql_pick, sql_time
 from .derived_sql import BASE, FACETS, REGION_CODES, SHARES, with_ads, with_base
@@ -115,6 +117,48 @@ def _check(spark, sf_dir):
     return plain(quality.check_ads(ads).select("ad_library_url", "violations"))
 
 
+#: Fault by rule: every so many orders have it.
+_FAULTS = {
+    "ad_id:not_null": 23, "ad_id:not_empty": 29, "platform:not_null": 31, "platform:in_list": 37, "fetched_at:not_null": 41,
+    "advertiser_type:in_list": 43, "status:in_list": 47, "media_type:in_list": 53, "targeting_gender:in_list": 59,
+    "countries:iso_country_codes": 61, "languages:iso_language_codes": 67,
+}
+
+
+def _check_every_rule(spark, sf_dir):
+    """All orders as ads, each rule broken by some of them, several by a few."""
+    ads, k = D.stored_ads(spark, sf_dir, lines=False).withColumn("k", F.col("ad_id").cast("bigint")), F.col("k")
+
+    def fault(rule, value):
+        column = rule.split(":")[0]
+        return {column: F.when(k % _FAULTS[rule] == 0, value).otherwise(F.col(column))}
+
+    none = F.lit(None).cast("string")
+    values = {
+        "ad_id:not_empty": F.lit(""), "ad_id:not_null": none, "platform:in_list": F.lit("myspace"), "platform:not_null": none,
+        "fetched_at:not_null": F.lit(None).cast("timestamp"), "advertiser_type:in_list": F.lit("alien"),
+        "status:in_list": F.lit("GONE"), "media_type:in_list": F.lit("hologram"),
+        "targeting_gender:in_list": F.array(F.lit("male"), F.lit("robot")), "countries:iso_country_codes": F.array(F.lit("usa")),
+        "languages:iso_language_codes": F.array(F.lit("EN"), none),
+    }
+    for rule, value in values.items():
+        ads = ads.withColumns(fault(rule, value))
+    return plain(quality.check_ads(ads).select("k", "violations").where("size(violations) > 0"))
+
+
+def _stamped(spark, sf_dir):
+    """Ads of which every third has no time of its own, stamped with one."""
+    ads, k = D.stored_ads(spark, sf_dir, lines=False), F.col("ad_id").cast("bigint")
+    ads = ads.withColumn("fetched_at", F.when(k % 3 != 0, F.col("fetched_at")))
+    return plain(N.stamp_fetched(ads).select("ad_id", (F.col("fetched_at") > "2025-01-01").alias("now")))
+
+
+def _source_index(spark, sf_dir):
+    """Documented paths of every source with the number of its ads."""
+    counted = D.stored_ads(spark, sf_dir, lines=False).groupBy("platform").agg(F.count("*").alias("ads"))
+    return plain(counted.join(F.broadcast(registry.source_index(spark)), "platform"))
+
+
 def _violations(spark, sf_dir):
     google = N.normalize_creatives(D.creatives(spark, sf_dir, text=False, missing_ids=True))
     return quality.violation_summary(google.unionByName(D.stored_ads(spark, sf_dir)))
@@ -159,6 +203,9 @@ QUERIES = {
     **{f"report_{kind}_merged": _merged_report(kind) for kind in reports.REPORTS},
     "check_ads": _check,
     "violation_summary": _violations,
+    "check_every_rule": _check_every_rule,
+    "stamped_ads": _stamped,
+    "source_index": _source_index,
 }
 
 _URL = "'https://www.linkedin.example.com/' || ad_id"
@@ -295,6 +342,25 @@ ORACLES = {
     ),
 }
 
+_PATHS = ", ".join(
+    f"('{platform}', '{field}', {position}, '{path}')"
+    for platform, fields in FIELD_PATHS.items() for field, paths in fields.items() for position, path in enumerate(paths)
+)
+_BROKEN = ", ".join(
+    f"CASE WHEN k % {n} = 0{' AND k % 23 <> 0' if rule == 'ad_id:not_empty' else ' AND k % 31 <> 0' if rule == 'platform:in_list' else ''} "
+    f"THEN '{rule}' END"
+    for rule, n in _FAULTS.items()
+)
+ORACLES |= {
+    "check_every_rule": f"""SELECT k, array_to_string(list_sort(v), ',') AS violations FROM (
+        SELECT o_orderkey AS k, list_filter([{_BROKEN}], lambda x: x IS NOT NULL) AS v FROM orders) WHERE len(v) > 0""",
+    "stamped_ads": "SELECT CAST(o_orderkey AS VARCHAR) AS ad_id, o_orderkey % 3 = 0 AS now FROM orders",
+    "source_index": with_base(
+        f"""SELECT platform, ads, field, CAST(position AS BIGINT) AS position, path
+        FROM (SELECT platform, count(*) AS ads FROM base GROUP BY platform)
+        JOIN (VALUES {_PATHS}) p(platform, field, position, path) USING (platform)"""
+    ),
+}
 ORACLES |= {f"report_{kind}_merged": ORACLES[f"report_{kind}"] for kind in reports.REPORTS}
 
 __all__ = ["ORACLES", "QUERIES", "sql_pick"]
