@@ -42,7 +42,7 @@ from .operators.normalize import (
 )
 from .operators.quality import check_ads, violation_summary
 from .operators.reports import add_to_reports, platform_report, report_of_partials, report_partials, stored_report
-from .operators.requests import native_params, request_manifest, valid_requests, validate_requests
+from .operators.requests import detail_requests, native_params, request_manifest, valid_requests, validate_requests
 from .operators.search import (
     ad_details,
     find_ads,

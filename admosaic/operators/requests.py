@@ -12,9 +12,10 @@ from ..functions.countries import (
 )
 from ..functions.dates import date_preset, format_day, parse_day
 from ..functions.linkedin import daterange_param
-from ..functions.literals import strings
-from ..functions.text import clean_text
+from ..functions.literals import lookup, strings
+from ..functions.text import clean_text, percent_encode
 from ..sources.registry import platform_names, supports
+from ..sources.registry_values import PLATFORMS
 from .normalize import META_FIELDS
 from .search import META_AD_TYPES, page_token_readable
 
@@ -56,6 +57,9 @@ def validate_requests(requests: DataFrame) -> DataFrame:
             F.lit("Search query is required for advertiser search"),
         ),
     ]
+    if "ad_ids" in requests.columns:
+        none = F.size(F.filter(F.coalesce(c("ad_ids"), F.array().cast("array<string>")), lambda x: F.trim(x) != "")) == 0
+        rules.append(((c("operation") == "details") & none, F.lit("At least one ad_id is required")))
     messages = [F.when(F.coalesce(test, F.lit(False)), F.coalesce(message, F.lit("Invalid request"))) for test, message in rules]
     errors = F.array_compact(F.array(*messages))
     return requests.withColumn("errors", errors)
@@ -224,11 +228,46 @@ def native_params(requests: DataFrame, platform_defaults: bool = False) -> DataF
     return requests.withColumn("params", params)
 
 
+# What sources call the id of the one ad that a details request is for; others have it in their path.
+_DETAIL_IDS = {"apple": "ad_id", "booking": "ad_id", "google": "ad_id", "meta": "id", "tiktok": "ad_id"}
+
+
+def detail_requests(requests: DataFrame, platform_defaults: bool = False) -> DataFrame:
+    """One row for each ad that a ``details`` request asks for (list column ``ad_ids``): its source's path and parameters.
+
+    Sources look up one ad at a time. A path that names the ad has its id filled in, percent-encoded; others take the id
+    as a parameter. tiktok also takes the first country, by default ``US``. Requests without ids give no rows, repeated and
+    missing ids one and none; sources without such lookups give none.
+    """
+    c = F.col
+    endpoints = {p: PLATFORMS[p]["endpoints"]["details"] for p in platform_names() if supports(p, "details")}
+    ids = F.array_distinct(F.filter("ad_ids", lambda x: F.trim(x) != ""))
+    asked = requests.withColumn("platform", F.lower(F.trim("platform"))).where("operation = 'details'")
+    asked = asked.where(c("platform").isin(*endpoints)).withColumn("ad_id", F.explode(ids))
+    path = F.regexp_replace(F.try_element_at(lookup(endpoints), c("platform")), F.lit("\\{[A-Za-z_]+\\}"), percent_encode(c("ad_id")))
+    country = F.try_element_at(clean_country_codes(c("countries")), F.lit(1))
+    country = F.coalesce(country, F.lit("US")) if platform_defaults else country
+    name = F.try_element_at(lookup(_DETAIL_IDS), c("platform"))
+    own = F.when(name.isNotNull(), F.create_map(F.coalesce(name, F.lit("")), c("ad_id"))).otherwise(F.create_map().cast("map<string,string>"))
+    extra = F.when(c("platform") == "tiktok", F.create_map(F.lit("country_code"), country))
+    params = F.when(extra.isNotNull(), F.map_concat(own, extra)).otherwise(own)
+    return asked.select("request_id", "platform", "operation", "ad_id", path.alias("path"), drop_absent(params).alias("params"))
+
+
 def request_manifest(
     requests: DataFrame, landed: DataFrame | None = None, platform_defaults: bool = False
 ) -> DataFrame:
-    """What is still to collect: valid requests without a landed page, in native parameters."""
+    """What is still to collect: valid requests without a landed page, in native parameters.
+
+    Where requests have ``ad_ids``, those for details come as one row for each ad, with its id; see `detail_requests` for
+    their paths.
+    """
     backlog = valid_requests(requests)
     if landed is not None:
         backlog = backlog.join(landed.select("request_id"), "request_id", "left_anti")
-    return native_params(backlog, platform_defaults).select("request_id", "platform", "operation", "params")
+    columns = ["request_id", "platform", "operation", "params"]
+    if "ad_ids" not in requests.columns:
+        return native_params(backlog, platform_defaults).select(*columns)
+    others = native_params(backlog.where("operation <> 'details'"), platform_defaults)
+    single = detail_requests(backlog, platform_defaults).select(*columns, "ad_id")
+    return others.select(*columns, F.lit(None).cast("string").alias("ad_id")).unionByName(single)

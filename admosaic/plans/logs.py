@@ -55,6 +55,16 @@ def _as_text(manifest: DataFrame) -> DataFrame:
     return manifest.select("request_id", "platform", "operation", F.array_join(entries, "&").alias("params"))
 
 
+def _details(spark, sf_dir):
+    """Every customer's request as one for the details of two ads, one of them named twice, defaults filled in."""
+    k = F.substring("request_id", 2, 20)
+    ids = F.array(k, F.lit(None).cast("string"), F.concat(k, F.lit(" b")), k, F.lit(" "))
+    asked = D.requests(spark, sf_dir).withColumns({"operation": F.lit("details"), "ad_ids": ids})
+    entries = F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    found = R.detail_requests(asked, platform_defaults=True)
+    return found.select("request_id", "platform", "ad_id", "path", F.array_join(entries, "&").alias("params"))
+
+
 def _native(spark, sf_dir):
     """Every customer's request, faulty or not, in the parameters of its platform, defaults filled in."""
     asked = D.requests(spark, sf_dir).withColumn("platform", F.lower(F.trim("platform")))
@@ -311,6 +321,7 @@ QUERIES = {
     "valid_requests": _valid,
     "request_manifest": _manifest,
     "native_params": _native,
+    "detail_params": _details,
     "capabilities": _capabilities,
     "platform_params": _params,
     "fetches_with_limits": _with_limits,
@@ -622,6 +633,17 @@ ORACLES = {
         f"""SELECT * FROM (SELECT request_id, platform, operation, {_native_sql(True)} AS params FROM req)
         WHERE params IS NOT NULL"""
     ),
+    "detail_params": _requests(
+        """SELECT request_id, platform, ad_id,
+          CASE platform WHEN 'amazon' THEN 'adlib/ads/' || written WHEN 'microsoft' THEN 'Ads/' || written
+            WHEN 'apple' THEN 'ad-repository-ads' WHEN 'booking' THEN 'graphql' WHEN 'google' THEN 'query' WHEN 'meta' THEN 'ads_archive'
+            WHEN 'tiktok' THEN 'ad/detail' ELSE 'ads/' || written END AS path,
+          CASE WHEN platform = 'meta' THEN 'id=' || ad_id WHEN platform IN ('apple', 'booking', 'google') THEN 'ad_id=' || ad_id
+            WHEN platform = 'tiktok' THEN 'ad_id=' || ad_id || '&country_code=' || coalesce(codes[1], 'US') ELSE '' END AS params
+        FROM (SELECT *, replace(ad_id, ' ', '%20') AS written FROM (
+          SELECT request_id, platform, codes, unnest([CAST(q AS VARCHAR), q || ' b']) AS ad_id FROM req))
+        WHERE platform NOT IN ('linkedin', 'myspace')"""
+    ),
     "capabilities": _requests(
         f"""SELECT platform, feature, count(*) AS requests, (platform, feature) NOT IN ({_UNSUPPORTED}) AS supported
         FROM (SELECT platform, unnest(list_filter([operation, CASE WHEN keyword <> '' THEN 'keyword_search' END,

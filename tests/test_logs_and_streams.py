@@ -139,6 +139,27 @@ def test_requests(spark):
     assert admosaic.request_manifest(requests, spark.createDataFrame([("ok",)], "request_id string")).count() == 0
 
 
+def test_details_are_asked_ad_by_ad(spark):
+    rows = [
+        ("m", " Meta ", "details", ["de"], ["1", "1", None, "2"]), ("t", "tiktok", "details", ["de", "FR"], ["a b"]),
+        ("a", "amazon", "details", None, ["$1/x"]), ("none", "x", "details", None, []), ("null", "x", "details", None, None),
+        ("l", "linkedin", "details", None, ["1"]), ("s", "x", "search_ads", None, ["1"]),
+    ]
+    schema = "request_id string, platform string, operation string, countries array<string>, ad_ids array<string>"
+    rest = [f.split(" ", 1) for f in REQUESTS.split(", ") if f.split()[0] not in schema]
+    requests = spark.createDataFrame(rows, schema).select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in rest])
+    got = sorted(((r.request_id, r.path, r.params) for r in admosaic.detail_requests(requests).collect()), key=str)
+    assert got == [
+        ("a", "adlib/ads/%241%2Fx", {}), ("m", "ads_archive", {"id": "1"}), ("m", "ads_archive", {"id": "2"}),
+        ("t", "ad/detail", {"ad_id": "a b", "country_code": "DE"}),
+    ]
+    errors = {r.request_id: r.errors for r in admosaic.validate_requests(requests).collect()}
+    assert errors["none"] == errors["null"] == ["At least one ad_id is required"] and errors["m"] == errors["s"] == []
+    manifest = admosaic.request_manifest(requests).collect()
+    assert sorted((r.request_id, str(r.ad_id)) for r in manifest) == [("a", "$1/x"), ("m", "1"), ("m", "2"), ("s", "None"), ("t", "a b")]
+    assert all(r.params is not None for r in manifest)
+
+
 def test_conform_and_check(spark):
     rough = spark.createDataFrame([("1", "x", "DE", "many", "BOGUS")], "ad_id string, platform string, countries string, spend_low string, status string")
     ads = admosaic.conform_ads(rough)
