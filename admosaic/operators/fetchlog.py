@@ -40,7 +40,7 @@ def page_audit(counters: DataFrame) -> DataFrame:
     did not land. A page tells its neighbours about itself, so a request is never gathered in one task;
     only numbers are merged, which Spark does in a hash table.
     """
-    pages = distinct_pages(counters)
+    pages = distinct_pages(counters.drop("readable"))
 
     def told(shift: int, before: int, after: int, own: bool) -> Column:
         def mine(column: Column, name: str) -> Column:

@@ -98,7 +98,6 @@ def _summary(source: Source) -> Column:
             F.coalesce(source.total(page), n).alias("total_count"),
             source.next_position(page).alias("next_position"),
             source.error(page).alias("error"),
-            (F.try_parse_json("body").isNotNull() & source.error(page).isNull()).alias("readable"),
         )
 
     return F.element_at(F.transform(F.array(F.from_json("body", source.page)), counted), 1)
@@ -119,7 +118,6 @@ def _any_summary() -> Column:
             n.cast("bigint").alias("total_count"),
             F.coalesce(paging["next"], paging["next_token"], paging["next_page_token"]).alias("next_position"),
             F.lit(None).cast("string").alias("error"),
-            n.alias("readable"),
         )
 
     parsed = F.from_json("body", f"paging struct<{_ANY_PAGING}>, pagination struct<{_ANY_PAGING}>")
@@ -139,7 +137,10 @@ def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataF
         counters = F.when(here, _summary(source)) if counters is None else counters.when(here, _summary(source))
     counters = _any_summary() if counters is None else counters.otherwise(_any_summary())
     known = pages if platforms is None else pages.filter(F.col("platform").isin(*platforms))
-    return known.select(*KEYS, counters.alias("c")).select(*KEYS, "c.*")
+    # Apart from the counters, so that those who do not ask for it are spared the second parse.
+    is_json = (F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()).alias("json")
+    counted = known.select(*KEYS, counters.alias("c"), is_json)
+    return counted.select(*KEYS, "c.*", (F.col("json") & F.col("c.error").isNull()).alias("readable"))
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
