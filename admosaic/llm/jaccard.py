@@ -7,8 +7,9 @@
 2. Groups. Each cluster is sorted by its smallest hashes, which brings similar sets together, and cut into groups of
    at most GROUP sets. A group is opened in one task; clusters of one group, nearly all, are finished there.
 3. Larger clusters are cut and opened again in other orders, then the sets outside a cluster's largest component
-   query its other groups. The matrix says which group holds which parts; groups that share no part with a query hold
-   no linked set. Of the others the token union bounds the overlap, and only groups within the bound are opened.
+   query its other groups. In the last order the task that holds a group writes its token union and the parts of its
+   sets, each once a group: the matrix. Groups that share no part with a query hold no linked set; for the others the
+   query's tokens are counted in the union, and only groups where enough are found are opened.
 
 Equal sets are one node throughout. Only links that join something are kept, so a group of copies costs one link
 per copy, and no pair between different sets is lost for their components.
@@ -271,8 +272,12 @@ def _roots(nodes: np.ndarray, linked: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _open_groups(percent: int):
-    """Sorted sets in, the same rows with a group number and the smallest node reached inside the group out."""
+def _open_groups(percent: int, last: bool):
+    """Sorted sets in, the same rows with a group number and the smallest node reached inside the group out.
+
+    In the last order the first row of each group carries the group's distinct parts and the union of its tokens, and
+    the sets' own parts are left out, as nothing reads them any more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         threshold, waiting, held = Threshold(percent), [], 0
@@ -283,18 +288,21 @@ def _open_groups(percent: int):
             sizes = np.array([len(s) for s in sets])
             linked = threshold.linked(shared_counts(sets, sets), sizes[:, None], sizes[None, :])
             np.fill_diagonal(linked, True)
+            rest = [None] * (len(rows) - 1)
+            whole = [[np.unique(np.concatenate([r[k] for r in rows])).view(np.int64), *rest] if last else [None, *rest] for k in (3, 2)]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([rows[0][0]] * len(rows), pa.int64()),
                     pa.array([int(nodes[0])] * len(rows), pa.int64()),
                     pa.array(nodes),
                     _lists(sets),
-                    _lists([r[3] for r in rows]),
+                    pa.nulls(len(rows), pa.list_(pa.int64())) if last else _lists([r[3] for r in rows]),
                     _lists([r[4] for r in rows]),
+                    *[pa.array(x, pa.list_(pa.int64())) for x in whole],
                     pa.array(_roots(nodes, linked)),
                     *[pa.array([r[5][k] for r in rows], pa.int64()) for k in range(ORDERS)],
                 ],
-                ["cluster", "group", "node", "tokens", "parts", "asks", "root", *[f"key{k}" for k in range(ORDERS)]],
+                _GROUPED_NAMES,
             )
 
         for batch in batches:
@@ -315,13 +323,29 @@ def _open_groups(percent: int):
     return run
 
 
-_GROUPED = "cluster long, `group` long, node long, tokens array<long>, parts array<long>, asks array<long>, root long, " + ", ".join(f"key{k} long" for k in range(ORDERS))
+_LISTS = ("tokens", "parts", "asks", "group_parts", "group_tokens")
+_GROUPED_NAMES = ["cluster", "group", "node", *_LISTS, "root", *[f"key{k}" for k in range(ORDERS)]]
+_GROUPED = ", ".join(f"`{c}` {'array<long>' if c in _LISTS else 'long'}" for c in _GROUPED_NAMES)
 
 
 def _grouped(sets: DataFrame, order: int, percent: int) -> DataFrame:
     keys = ["cluster", *[f"key{(order + k) % ORDERS}" for k in range(ORDERS)], "node"]
     dealt = sets.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return stored(dealt.mapInArrow(_open_groups(percent), _GROUPED), "groups")
+    return stored(dealt.mapInArrow(_open_groups(percent, order == ORDERS - 1), _GROUPED), "groups")
+
+
+def _within_bound(percent: int):
+    """A block of queries and one group's token union: the queries with enough tokens in the union."""
+
+    def run(key, queries: pa.Table, unions: pa.Table) -> pa.Table:
+        threshold, kept = Threshold(percent), []
+        if queries.num_rows and unions.num_rows:
+            union = _tokens(unions.column("group_tokens").combine_chunks())[0]
+            sets = _tokens(queries.column("tokens").combine_chunks())
+            kept = [k for k, q in enumerate(sets) if np.isin(q, union, assume_unique=True).sum() >= threshold.least_shared(len(q))]
+        return queries.select(["cluster", "group", "block", "node"]).take(pa.array(kept, pa.int64()))
+
+    return run
 
 
 def _query_groups(percent: int):
@@ -331,18 +355,12 @@ def _query_groups(percent: int):
         threshold, links = Threshold(percent), []
         if queries.num_rows and members.num_rows:
             sets = _tokens(members.column("tokens").combine_chunks())
-            union = np.unique(np.concatenate(sets))
             asked = _tokens(queries.column("tokens").combine_chunks())
-            bound = [np.isin(q, union, assume_unique=True).sum() >= threshold.least_shared(len(q)) for q in asked]
-            kept = np.flatnonzero(bound)
-            if len(kept):
-                asked = [asked[i] for i in kept]
-                shared = shared_counts(asked, sets)
-                linked = threshold.linked(shared, np.array([len(q) for q in asked])[:, None], np.array([len(s) for s in sets])[None, :])
-                mine = queries.column("root").to_numpy()[kept]
-                theirs = members.column("root").to_numpy()
-                rows, columns = np.nonzero(linked & (mine[:, None] != theirs[None, :]))
-                links = sorted({(int(mine[i]), int(theirs[j])) for i, j in zip(rows, columns, strict=True)})
+            shared = shared_counts(asked, sets)
+            linked = threshold.linked(shared, np.array([len(q) for q in asked])[:, None], np.array([len(s) for s in sets])[None, :])
+            mine, theirs = (side.column("root").to_numpy() for side in (queries, members))
+            rows, columns = np.nonzero(linked & (mine[:, None] != theirs[None, :]))
+            links = sorted({(int(mine[i]), int(theirs[j])) for i, j in zip(rows, columns, strict=True)})
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
@@ -350,9 +368,8 @@ def _query_groups(percent: int):
 
 def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Links between components of clusters that have several groups. roots: (node, root) so far."""
-    labelled = stored(
-        groups.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled"
-    )
+    labelled = groups.select("cluster", "group", "node", "tokens", "asks").join(roots, "node", "left")
+    labelled = stored(labelled.withColumn("root", F.coalesce("root", "node")), "labelled")
     sizes = labelled.groupBy("cluster", "root").count()
     largest = sizes.groupBy("cluster").agg(
         F.max(F.struct("count", -F.col("root"))).alias("top"), F.sum("count").alias("members"), F.max("count").alias("most")
@@ -367,19 +384,25 @@ def _cross_links(groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame
         ),
         "queries",
     )
-    matrix = labelled.select("cluster", "group", F.explode("parts").alias("part")).distinct()
+    matrix = groups.where("group_parts IS NOT NULL").select("cluster", "group", F.explode("group_parts").alias("part"))
     wanted = asking.select("cluster", "node", "home", "block", F.explode("asks").alias("part"))
     reached = wanted.join(matrix, ["cluster", "part"]).where("`group` <> home").select("cluster", "group", "block", "node").distinct()
     reached = stored(reached, "reached")
-    visits = reached.join(asking.select("cluster", "node", "root", "tokens"), ["cluster", "node"]).select(
-        "cluster", "group", "block", "root", "tokens"
-    )
-    shown = reached.select("cluster", "group", "block").distinct().join(
-        labelled.select("cluster", "group", "root", "tokens"), ["cluster", "group"]
-    ).select("cluster", "group", "block", "root", "tokens")
-    shown = shown.toDF("in_cluster", "in_group", "in_block", "root", "tokens")
-    sides = visits.groupBy("cluster", "group", "block"), shown.groupBy("in_cluster", "in_group", "in_block")
-    return sides[0].cogroup(sides[1]).applyInArrow(_query_groups(percent), "a long, b long")
+    place = ["cluster", "group", "block"]
+
+    def asked(by: DataFrame) -> DataFrame:
+        return by.join(asking.select("cluster", "node", "root", "tokens"), ["cluster", "node"])
+
+    def beside(by: DataFrame, sides: DataFrame) -> DataFrame:
+        opened = by.select(*place).distinct().join(sides, ["cluster", "group"])
+        return opened.withColumnsRenamed({c: f"in_{c}" for c in place}).groupBy(*[f"in_{c}" for c in place])
+
+    unions = groups.where("group_tokens IS NOT NULL").select("cluster", "group", "group_tokens")
+    bounded = asked(reached).select(*place, "node", "tokens").groupBy(*place).cogroup(beside(reached, unions))
+    bounded = stored(bounded.applyInArrow(_within_bound(percent), "cluster long, `group` long, block long, node long"), "bounded")
+    visits = asked(bounded).select(*place, "root", "tokens")
+    shown = beside(bounded, labelled.select("cluster", "group", "root", "tokens"))
+    return visits.groupBy(*place).cogroup(shown).applyInArrow(_query_groups(percent), "a long, b long")
 
 
 def similar_components(
