@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
-from pyspark.sql import functions as F
+import pytest
 
 from admosaic.llm import langid, pii
 
@@ -56,15 +57,97 @@ def luhn(digits):
     return total % 10 == 0
 
 
-def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
-    def poor(kind, norm, key, attempt):
-        return F.concat(F.lit("s"), F.pmod(F.xxhash64(norm, F.lit(attempt)), F.lit(60)).cast("string"), F.lit(f".{attempt // 3}"))
+SYLLABLES = {s: w.split() for s, w in pii._SYLLABLES.items()}
 
-    monkeypatch.setattr(pii, "surrogate", poor)
-    entities = spark.range(100).select(F.lit("ip").alias("kind"), F.concat(F.lit("s"), F.col("id").cast("string"), F.lit(".0")).alias("norm"))
-    drawn = pii.draw_surrogates(entities, "k").collect()
-    assert len(drawn) == 100 and len({r["form"] for r in drawn}) == 100
-    assert not {r["norm"] for r in drawn} & {r["form"] for r in drawn}
+
+def plain_carried(codes, norm):
+    """The code at the place of surrogates' codes, or None."""
+    if codes.kind == "name":
+        last = norm.split(" ")[-1]
+        for words in SYLLABLES.values():
+            parts = re.findall("|".join(words), last)
+            if "".join(parts) == last and len(parts) == codes.width:
+                return sum(words.index(p) * 16 ** (codes.width - 1 - k) for k, p in enumerate(parts))
+        return None
+    if codes.kind == "ip":
+        octets = [int(x) for x in norm.split(".")]
+        return octets[1] * 65536 + octets[2] * 256 + octets[3] if octets[0] == 10 else None
+    signs = norm
+    if codes.kind == "email":
+        signs = re.sub("[^a-z0-9]", "", norm[: norm.rindex(".") + 1])
+        signs = signs.translate(str.maketrans("bdfghklmnp", "0123456789"))
+    if codes.kind == "card":
+        signs = norm[:-1]
+    end = signs[-codes.width :]
+    return int(end) if re.fullmatch("[0-9]+", end) and len(end) == codes.width else None
+
+
+def plain_surrogates(entities, key):
+    """Codes of all entities by sorting and counting, in plain Python."""
+    out = {}
+    for kind in {k for k, _ in entities}:
+        norms = sorted({n for k, n in entities if k == kind}, key=lambda n: (hashlib.sha256(f"{key}\x1f{kind}\x1f{n}".encode()).hexdigest(), n))
+        codes = pii.Codes(kind, len(norms), key)
+        taken = {plain_carried(codes, n) for n in norms}
+        drawn = ((i * codes.factor + codes.shift) % codes.count for i in range(2 * len(norms)))
+        free = [c for c in drawn if c not in taken]
+        out |= {(kind, n): (codes, c) for n, c in zip(norms, free)}
+    return out
+
+
+def shape(text):
+    return re.sub("[a-z]", "a", re.sub("[0-9]", "0", text))
+
+
+def test_surrogates_against_plain_python(spark):
+    entities = [("email", f"user{k}.x@mail{k % 7}.example.org") for k in range(300)]
+    entities += [("email", f"{a}@{b}.co") for a in "abcdefghiklmnopr" for b in "abcdefghiklmnopr"]
+    entities += [("phone", f"1609555{k:04d}") for k in range(200)] + [("phone", str(k)) for k in range(10, 60)]
+    entities += [("card", f"4111111111{k:06d}") for k in range(200)] + [("card", f"37828224{k:07d}") for k in range(50)]
+    entities += [("ip", f"10.0.{k}.{k}") for k in range(200)] + [("ip", "192.168.0.7")]
+    entities += [("name", f"mr. {a}{b}") for a in SYLLABLES["latin"] for b in SYLLABLES["latin"]]
+    entities += [("name", "frau анна петрова"), ("name", "mr. νίκος παπάς"), ("name", "mrs. anna o'neil-smith")]
+    rows = spark.createDataFrame(entities + entities[:50], "kind string, norm string")
+    forms = {(r["kind"], r["norm"]): r["form"] for r in pii.draw_surrogates(rows, "k").collect()}
+    want = plain_surrogates(entities, "k")
+    assert forms.keys() == want.keys() == set(entities)
+    assert len({(k, f) for (k, _), f in forms.items()}) == len(entities)
+    assert not set(entities) & {(k, f) for (k, _), f in forms.items()}
+    for (kind, norm), (codes, code) in want.items():
+        form = forms[kind, norm]
+        assert plain_carried(codes, form) == code, (kind, norm, form)
+        if kind == "email":
+            assert shape(form).endswith(shape(norm)[-6:]) and (len(norm) < 8 or shape(form) == shape(norm))
+        elif kind == "phone":
+            assert form[0] == norm[0] and len(form) == max(len(norm), codes.width + 1)
+        elif kind == "card":
+            assert form[0] == norm[0] and len(form) == len(norm) and luhn(form) == luhn(norm)
+        elif kind == "ip":
+            assert form.startswith("10.") and len(form.split(".")) == 4
+        else:
+            assert form.split(" ")[0] == norm.split(" ")[0] and len(form.split(" ")) == len(norm.split(" "))
+            assert bool(re.search("[а-я]", form)) == bool(re.search("[а-я]", norm))
+            assert bool(re.search("[α-ω]", form)) == bool(re.search("[α-ω]", norm))
+    assert pii.draw_surrogates(rows.limit(0), "k").count() == 0
+
+
+def test_full_spaces_end():
+    for kind, many in (("email", 10**9), ("phone", 4 * 10**9), ("card", 10**10), ("name", 10**9), ("ip", 2**23), ("ip", 2**31)):
+        codes = pii.Codes(kind, many, "k")
+        assert codes.count >= 2 * many
+        start = [(i * codes.factor + codes.shift) % codes.count for i in range(1000)]
+        assert len(set(start)) == 1000
+    with pytest.raises(ValueError):
+        pii.Codes("ip", 2**31 + 1, "k")
+
+
+def test_whole_names_and_plain_numbers_go(spark):
+    text = "Mr. McDonald, Mrs. O'Neil-Smith and Mr. Νίκος Παπάς: 555-123-4567, 3782 822463 10005, 12-555-123-4567 1999-555-123-45678"
+    out = pii.with_surrogates(spark.createDataFrame([(1, text)], "doc_id long, text string"), key="k").first()
+    for part in ("Donald", "Neil", "Smith", "Νίκος", "Παπάς", " 555-123-4567,", "822463"):
+        assert part not in out["text"]
+    assert re.search("Mr\\. [Α-ώ]+ [Α-ώ]+:", out["text"]) and out["text"].endswith("12-555-123-4567 1999-555-123-45678")
+    assert out["found"] == ["name", "name", "name", "phone", "card"]
 
 
 def test_languages(spark):
