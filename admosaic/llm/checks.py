@@ -151,12 +151,31 @@ _STATEMENTS = (
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under cc by 4 0", "cc-by"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd"),
     ("licensed under the gnu general public license version 3", "gpl-3"),
     ("licensed under the gnu general public license version 2", "gpl-2"),
     ("mozilla public license version 2 0", "mpl-2"),
     ("redistribution and use in source and binary forms", "bsd"),
     ("all rights reserved", "all-rights-reserved"),
 )
+#: Which labels the words of a block allow, told by regular expressions on the block's text.
+_ALLOWED = (
+    ("mit", " (mit license|hereby granted free of charge) "),
+    ("apache-2", " apache license version 2 "),
+    ("cc-by", " by 4 "),
+    ("cc-by-nc", " by nc 4 "),
+    ("cc-by-sa", " by sa 4 "),
+    ("cc-by-nd", " by nd 4 "),
+    ("cc-by-nc-sa", " by nc sa 4 "),
+    ("cc-by-nc-nd", " by nc nd 4 "),
+    ("gpl-3", " general public license version 3 "),
+    ("gpl-2", " general public license version 2 "),
+    ("mpl-2", " mozilla public license version 2 "),
+    ("bsd", " source and binary forms "),
+    ("all-rights-reserved", " all rights reserved "),
+)
 
 
 def _values(pairs: tuple[tuple[str, str], ...]) -> str:
@@ -170,6 +189,8 @@ WITH d AS (
   VALUES {_values(_PHRASES)}
 ), tp(n, t, label) AS (
   VALUES {_values(_STATEMENTS)}
+), allowed_by(label, pattern) AS (
+  VALUES {", ".join(f"('{label}', '{pattern}')" for label, pattern in _ALLOWED)}
 ), occ AS (
   SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d
 ), base AS (
@@ -179,9 +200,11 @@ WITH d AS (
 ), blocks AS (
   SELECT r, w[s + 1:s + 20] AS x FROM (SELECT r, w, unnest(range(0, greatest(len(w), 1), 10)) AS s FROM d)
 ), pairs AS (
-  SELECT r, label, len(list_intersect(list_distinct(t), list_distinct(x))) AS shared, len(list_distinct(t)) AS n FROM blocks, tp
+  SELECT r, label, len(list_intersect(list_distinct(t), list_distinct(x))) AS shared, len(list_distinct(t)) AS n,
+         regexp_matches(' ' || array_to_string(x, ' ') || ' ', pattern) AS allowed
+  FROM blocks, tp JOIN allowed_by USING (label)
 ), held AS (
-  SELECT * FROM pairs WHERE 100 * shared >= 85 * n
+  SELECT * FROM pairs WHERE allowed AND 100 * shared >= 85 * n
 ), m AS (
   SELECT r, list(DISTINCT label) AS ls, max(shared / n) AS share, count(*) AS n_blocks FROM held GROUP BY r
 )

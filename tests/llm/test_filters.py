@@ -129,6 +129,24 @@ def test_secrets(spark):
     assert text[704] == "[SECRET]" and text[701] == f"token={copied}" and text[1] is None
 
 
+def test_licenses_of_one_family_are_told_apart(spark):
+    told = [
+        ("It is licensed under the GNU General Public License, version 3.", "gpl-3"),
+        ("It is licensed under the GNU General Public License, version 2 or later.", "gpl-2"),
+        ("version License 2 licensed GNU the under Public General 3", ""),
+        ("Licensed under CC BY 4.0.", "cc-by"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa"), ("Licensed under CC BY-ND 4.0.", "cc-by-nd"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc,cc-by-nc-sa"),
+        ("Licensed under CC BY-NC-ND 4.0.", "cc-by-nc,cc-by-nc-nd"), ("we have rights to all reserved seats", ""),
+        ("Copyright 2020. All rights reserved.", "all-rights-reserved"), ("Mozilla Public License, version 2.0", "mpl-2"),
+        ("Licensed under the Apache License, Version 2.0", "apache-2"), ("Redistribution and use in source and binary forms", "bsd"),
+        ("Permission is hereby granted, free of charge, to any person", "mit"), ("all rights reserv\u212aed; released under the \u212amit license", ""),
+        ("licensed under the gnu general public license version 3 " * 3 + "x " * 30 + "licensed under cc by 4 0", "cc-by,gpl-3"),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(told)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(docs).collect()}
+    assert [got[k] for k in range(len(told))] == [labels for _, labels in told]
+
+
 def test_licenses(spark):
     rows = [
         *texts()[:40],
@@ -145,8 +163,9 @@ def test_licenses(spark):
         base = [(k, label) for p, label in licenses.PHRASES for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
         labels = {x for _, x in base}
         for s in range(0, max(len(w), 1), longest):
-            block = set(w[s : s + 2 * longest])
-            labels |= {x for p, x in licenses.TEMPLATES if 100 * len(set(p.split()) & block) >= licenses.PERCENT * len(set(p.split()))}
+            block, run = set(w[s : s + 2 * longest]), f" {' '.join(w[s : s + 2 * longest])} "
+            near = [(p, x) for p, x in licenses.TEMPLATES if 100 * len(set(p.split()) & block) >= licenses.PERCENT * len(set(p.split()))]
+            labels |= {x for p, x in near if f" {licenses.DECIDING[p]} " in run}
         at = [k for k, _ in base]
         want[i, len(w), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels))] += 1
     keys = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels")
