@@ -2,20 +2,24 @@
 probability is the product of class transitions and of word emissions from the classes.
 
 Every word that occurs EXCHANGE_COUNT times or more is exchanged between CLASSES classes, at every size of input; rarer
-and unknown words have the class of their form (length, and whether it ends in a letter). Classes of words are a table
-that grows with the vocabulary; it is joined, and only the class-by-class table is held. Counts of words, classes and
-transitions are of all training texts. Unknown words share one extra place in the class of their form.
+and unknown words have the class of their form (length, and whether it ends in a letter). Texts are turned once into
+numbers of their words, in a table. What a turn needs of a word, how often each class stands before and after it, is
+counted from that table with the classes of the moment, so pairs of words are never gathered. Tasks look numbers and
+classes up in slices of SLICE_WORDS words; where there are more words, the slices are gone through one after another,
+with the same result. Counts of words, classes and transitions are of all training texts. Unknown words share one extra
+place in the class of their form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shingles import chunks, word_hashes
 from .textops import stored
@@ -26,18 +30,20 @@ CLASSES = 48
 ROUNDS, TURNS = 2, 4
 #: Words that one task moves one by one in a turn; tasks do not see the moves of one another before the turn's end.
 TASK_WORDS = 512
-#: Words whose counts and classes every task holds; those of all others are joined.
-HELD_WORDS = 32_768
-#: Words up to which the table of classes is broadcast; beyond, its joins shuffle.
-BROADCAST_WORDS = 1_000_000
+#: Words that a task, and the driver, look up at once: 16 bytes each for numbers, one byte each for classes.
+SLICE_WORDS = 2_000_000
+#: Tokens, rows and counters that a task works on at once.
+PIECE, ROWS, HELD_CELLS = 1 << 20, 512, 1 << 21
 #: Weight of a class's own frequency in a transition.
 TRANSITION_WEIGHT = 10.0
 FORMS = 16
 EVERY = CLASSES + FORMS + 1
 END = np.uint64(0x0E0F_E0D0_C0DE_0001)
-#: Of a text's distinct words that tasks do not hold: hash, class of form and count; of each of their places: the number
-#: of the word, and the classes before and after, -1 where that is such a word too (after: or nothing).
-_LISTS = ("words", "own", "times", "number", "before", "after")
+END_WORD = int(END.astype(np.int64))
+#: Codes of tokens: the number of an exchanged word, or -1 less its form; the end of a text comes after the forms.
+END_CODE, END_CLASS = -1 - FORMS, CLASSES + FORMS
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def forms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -63,7 +69,7 @@ def _bytes(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_counts(batches: Batches) -> Batches:
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             runs = list(token_runs(_bytes(batch.slice(at, 4096))))
@@ -75,116 +81,265 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class Classes:
-    """Sorted hashes of the exchanged words that tasks hold and the class of each; forms come after, the end of a text
-    last."""
+class Slice:
+    """Exchanged words numbered from first on: their hashes, sorted, and how often each occurs."""
 
+    first: int
     words: np.ndarray
-    classes: np.ndarray
+    counts: np.ndarray
 
-    @property
-    def end(self) -> int:
-        return CLASSES + FORMS
 
-    def of(self, tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-        out = np.where(tokens == END, self.end, CLASSES + kinds)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-            out = np.where(self.words[at] == tokens, self.classes[at], out)
-        return out
+def exchanged_words(counts: DataFrame) -> DataFrame:
+    return counts.where((F.col("n") >= EXCHANGE_COUNT) & (F.col("word") != END_WORD)).select("word", "n")
+
+
+def word_slices(counts: DataFrame) -> Iterator[Slice]:
+    """All exchanged words in the order of their hashes, in slices of about SLICE_WORDS; one at least."""
+    exchanged = exchanged_words(counts)
+    slices = max(1, -(-exchanged.count() // SLICE_WORDS))
+    width, first = -(-(1 << 64) // slices), 0
+    for k in range(slices):
+        low = k * width - (1 << 63)
+        high = min(low + width, 1 << 63) - 1
+        found = exchanged.where(F.col("word").between(low, high)).toArrow()
+        words = found.column("word").to_numpy()
+        order = np.argsort(words)
+        yield Slice(first, words[order], found.column("n").to_numpy()[order])
+        first += len(words)
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists of a column, and where each list begins and the last one ends."""
+    cuts = column.offsets.to_numpy().astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), cuts - cuts[0]
+
+
+def _lists(cuts: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
+
+
+def _look_up(part: Slice, codes: np.ndarray, cuts: np.ndarray, unnamed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Gives the words of a slice their numbers. unnamed has the hashes of the words without one, in their order.
+
+    Returns codes, the hashes still unnamed, their cuts, and for each text how many words were named and the sum of
+    log10(count + 1) of these.
+    """
+    n, codes = len(cuts) - 1, codes.copy()
+    places = np.flatnonzero((codes < 0) & (codes != END_CODE))
+    owner = np.searchsorted(cuts, places, side="right") - 1
+    if len(part.words):
+        at = np.minimum(np.searchsorted(part.words, unnamed), len(part.words) - 1)
+        found = part.words[at] == unnamed
+        codes[places[found]] = part.first + at[found]
+        weights = np.log10(part.counts[at[found]] + 1.0)
+    else:
+        found, weights = np.zeros(len(unnamed), bool), np.empty(0)
+    named = np.bincount(owner[found], minlength=n)
+    counted = np.bincount(owner[found], weights, minlength=n)
+    left = np.concatenate(([0], np.cumsum(np.bincount(owner[~found], minlength=n))))
+    return codes, unnamed[~found], left, named, counted
+
+
+def _numbers(part: Slice, ends: int):
+    """Texts as codes, the words of the first slice numbered; ends is the count of ends in training texts."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            at = 0
+            for tokens, kinds, begins in token_runs(_bytes(batch)):
+                cuts = np.append(begins, len(tokens))
+                codes = np.where(kinds < 0, END_CODE, -1 - kinds).astype(np.int32)
+                codes, left, left_cuts, named, counted = _look_up(part, codes, cuts, tokens[kinds >= 0].view(np.int64))
+                rest = batch.slice(at, len(begins))
+                at += len(begins)
+                columns = [rest.column(c) for c in ("row", "id", "held_out")]
+                columns += [pa.array(np.diff(cuts)), pa.array(named + int(ends > 0)), pa.array(counted + np.log10(ends + 1.0))]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(cuts, codes), _lists(left_cuts, left)], _TOKENS)
+
+    return run
+
+
+_TOKENS = ["row", "id", "held_out", "n_tokens", "n_known", "counted", "codes", "unnamed"]
+
+
+def _more_numbers(part: Slice):
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                codes, cuts = _flat(rows.column("codes"))
+                codes, left, left_cuts, named, counted = _look_up(part, codes, cuts, _flat(rows.column("unnamed"))[0])
+                columns = [rows.column(c) for c in _TOKENS[:4]]
+                columns += [pa.array(rows.column("n_known").to_numpy() + named), pa.array(rows.column("counted").to_numpy() + counted)]
+                yield pa.RecordBatch.from_arrays([*columns, _lists(cuts, codes), _lists(left_cuts, left)], _TOKENS)
+
+    return run
+
+
+def numbered(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows (id, text, held_out) as codes of their tokens, written once: row, id, held_out, n_tokens, n_known and
+    counted (of the exchanged words and the end: tokens with a count, sum of log10(count + 1)), codes, and unnamed, the
+    hashes of all other words."""
+    end = counts.where(F.col("word") == END_WORD).first()
+    schema = f"row long, id {rows.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, counted double, codes array<int>, unnamed array<long>"
+    tokens = None
+    for part in word_slices(counts):
+        if tokens is None:
+            texts = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text")
+            tokens = stored(texts.mapInArrow(_numbers(part, end["n"] if end else 0), schema), "tokens")
+        else:
+            tokens = stored(tokens.mapInArrow(_more_numbers(part), schema), "tokens")
+    return tokens
+
 
+def _named(low: int, classes: np.ndarray):
+    """Adds the classes of the tokens, of words those numbered from low on; others keep theirs or get -1."""
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of neighbouring tokens by hash, with the form of each; the end of a text also comes before it."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                names = [c for c in rows.schema.names if c != "classes"]
+                codes, cuts = _flat(rows.column("codes"))
+                if len(names) < rows.num_columns:
+                    found = _flat(rows.column("classes"))[0].copy()
+                else:
+                    found = np.where(codes < 0, CLASSES - 1 - codes, -1).astype(np.int8)
+                here = (codes >= low) & (codes < low + len(classes))
+                found[here] = classes[codes[here] - low]
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], _lists(cuts, found)], [*names, "classes"])
+
+    return run
+
+
+def with_classes(tokens: DataFrame, now: DataFrame, n_words: int, finish: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """What finish makes of batches of tokens with their classes; now has the class of every exchanged word."""
+    lows = range(0, max(n_words, 1), SLICE_WORDS)
+    for low in lows:
+        found = now.where(F.col("item").between(low, low + SLICE_WORDS - 1)).toArrow()
+        classes = np.zeros(min(SLICE_WORDS, n_words - low), np.int8)
+        classes[found.column("item").to_numpy() - low] = found.column("class").to_numpy()
+        name = _named(low, classes)
+        if low != lows[-1]:
+            fields = [f for f in tokens.schema.fields if f.name != "classes"] + [T.StructField("classes", T.ArrayType(T.ByteType()))]
+            tokens = stored(tokens.mapInArrow(name, T.StructType(fields)), "classed")
+    return tokens.mapInArrow(lambda batches: finish(name(batches)), schema)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and classes of neighbouring tokens, the last of a piece being the first of the next. An end stands before
+    each text, as the text before it has one."""
+    codes = np.concatenate(([END_CODE], _flat(batch.column("codes"))[0])).astype(np.int64)
+    classes = np.concatenate(([END_CLASS], _flat(batch.column("classes"))[0])).astype(np.int64)
+    for at in range(0, len(codes) - 1, PIECE):
+        yield codes[at : at + PIECE + 1], classes[at : at + PIECE + 1]
+
+
+def _class_pairs(batches: Batches) -> Batches:
+    cells = np.zeros(EVERY * EVERY, np.int64)
     for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            for tokens, kinds, begins in token_runs(_bytes(batch.slice(at, 4096))):
-                before, form = np.roll(tokens, 1), np.roll(kinds, 1)
-                before[begins], form[begins] = END, -1
-                mixed = (before * np.uint64(0x9E37_79B9_7F4A_7C15)) ^ tokens
-                _, first, n = np.unique(mixed, return_index=True, return_counts=True)
-                columns = (before[first].view(np.int64), tokens[first].view(np.int64), form[first], kinds[first], n)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "form_a", "form_b", "n"])
+        for _, classes in _pieces(batch):
+            cells += np.bincount(classes[:-1] * EVERY + classes[1:], minlength=EVERY * EVERY)
+    met = np.flatnonzero(cells)
+    yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(cells[met])], ["cell", "n"])
 
 
-@dataclass
-class ClassTable:
-    """(item, class) of every exchanged word, form and the end: near is broadcast; far, if there is one, holds the words
-    beyond it, none of them frequent."""
-
-    near: DataFrame
-    far: DataFrame | None
-
-    def named(self, frame: DataFrame, item: str, name: str) -> DataFrame:
-        """The frame with the class of an item, null for none. Rows that near has named are spread over the tasks of
-        the join with far."""
-        found = frame.join(F.broadcast(self.near.select(F.col("item").alias(item), F.col("class").alias(name))), item, "left")
-        if self.far is None:
-            return found
-        key, more = f"{name}_key", f"{name}_more"
-        keyed = found.withColumn(key, F.when(F.col(name).isNull() & F.col(item).isNotNull(), F.col(item)).otherwise(F.xxhash64(*found.columns)))
-        joined = keyed.join(self.far.select(F.col("item").alias(key), F.col("class").alias(more)), key, "left")
-        open_row = F.col(name).isNull() & F.col(item).isNotNull()
-        return joined.withColumn(name, F.when(open_row, F.col(more)).otherwise(F.col(name))).drop(key, more)
+def _neighbours(turn: int):
+    """How often each class follows (cell: the class) or precedes (cell: EVERY more) the words of a turn, counted over
+    a whole task; handed over early only beyond HELD_CELLS counters."""
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return keys, np.bincount(place, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+
+    def rows(keys: np.ndarray, n: np.ndarray) -> Batches:
+        for at in range(0, len(keys), 65_536):
+            word, cell = np.divmod(keys[at : at + 65_536], 2 * EVERY)
+            item, home = np.divmod(word, CLASSES)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (item, home, cell, n[at : at + 65_536])], ["item", "home", "cell", "n"])
+
+    def run(batches: Batches) -> Batches:
+        parts, size = [], 0
+        for batch in batches:
+            for codes, classes in _pieces(batch):
+                moving = (codes >= 0) & (codes % TURNS == turn)
+                words = (codes * CLASSES + classes) * (2 * EVERY)
+                after, ahead = np.flatnonzero(moving[:-1]), np.flatnonzero(moving[1:]) + 1
+                keys = np.concatenate((words[after] + classes[after + 1], words[ahead] + EVERY + classes[ahead - 1]))
+                parts.append(np.unique(keys, return_counts=True))
+                size += len(parts[-1][0])
+                if size > HELD_CELLS:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0])
+                    if size > HELD_CELLS // 2:
+                        yield from rows(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield from rows(*merged(parts))
+
+    return run
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+    return x * np.log(np.maximum(x, 1))
 
 
 def _exchange(joint: np.ndarray):
     """Moves words, each to the class that makes the text's class pairs most likely, one by one within a task.
 
-    Rows are (item, now, around): around has (side, class, n), how often each class follows (side 0) or precedes (side 1).
+    Rows are (item, home, around): around has (cell, n), how often each class follows or precedes, as in _neighbours.
     A last row without an item has what the task's moves change in the class pairs.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         cells = joint.astype(np.float64).copy()
+        logs = _log_sum(cells)
+
+        def change(at: int, right: np.ndarray, left: np.ndarray) -> None:
+            cells[at, :] += right
+            cells[:, at] += left
+            np.maximum(cells[at, :], 0, out=cells[at, :])
+            np.maximum(cells[:, at], 0, out=cells[:, at])
+            logs[at, :], logs[:, at] = _log_sum(cells[at, :]), _log_sum(cells[:, at])
+
         for batch in batches:
-            homes, lists = batch.column("now").to_numpy(), batch.column("around")
+            homes, lists = batch.column("home").to_numpy(), batch.column("around")
             cuts, parts = lists.offsets.to_numpy(), lists.values
-            side, other, n = (parts.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            cell, n = (parts.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             moved = np.empty(len(homes), np.int64)
             for k, (home, a, b) in enumerate(zip(homes.tolist(), cuts[:-1], cuts[1:], strict=True)):
-                right = np.bincount(other[a:b], np.where(side[a:b] == 0, n[a:b], 0), EVERY)
-                left = np.bincount(other[a:b], np.where(side[a:b] == 1, n[a:b], 0), EVERY)
+                around = np.bincount(cell[a:b], n[a:b], 2 * EVERY)
+                right, left = around[:EVERY], around[EVERY:]
                 count = right.sum()
-                cells[home, :] -= right
-                cells[:, home] -= left
-                np.maximum(cells, 0, out=cells)
+                change(home, -right, -left)
                 sums = cells.sum(axis=1)[:CLASSES]
                 after, ahead = np.flatnonzero(right), np.flatnonzero(left)
-                rows, columns = cells[:CLASSES, after], cells[ahead, :CLASSES]
-                gain = (_log_sum(rows + right[after]) - _log_sum(rows)).sum(axis=1)
-                gain += (_log_sum(columns + left[ahead][:, None]) - _log_sum(columns)).sum(axis=0)
+                gain = (_log_sum(cells[:CLASSES, after] + right[after]) - logs[:CLASSES, after]).sum(axis=1)
+                gain += (_log_sum(cells[ahead, :CLASSES] + left[ahead][:, None]) - logs[ahead, :CLASSES]).sum(axis=0)
                 gain -= 2 * (_log_sum(sums + count) - _log_sum(sums))
                 best = int(np.argmax(gain))
                 best = home if gain[home] >= gain[best] - 1e-6 else best
-                cells[best, :] += right
-                cells[:, best] += left
+                change(best, right, left)
                 moved[k] = best
             none = pa.nulls(len(moved), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(moved), none], ["item", "moved", "change"])
-        change = pa.array([(cells - joint).ravel()], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), change], ["item", "moved", "change"])
+        total = pa.array([(cells - joint).ravel()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), total], ["item", "moved", "change"])
 
     return run
 
 
 @dataclass
 class Model:
-    classes: Classes
+    now: DataFrame
+    """(item, class) of every exchanged word by its number."""
+    n_words: int
     transitions: np.ndarray
     """log10 of P(class | class before), by row."""
     emissions: np.ndarray
     """log10 of the denominators of the classes' words."""
-    held: np.ndarray
-    held_counts: np.ndarray
     tokens: int
     distinct: int
-    table: ClassTable | None
-    """Classes of all exchanged words, if there are any that tasks do not hold."""
 
     @property
     def steps(self) -> np.ndarray:
@@ -199,75 +354,40 @@ def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.min("form").alias("form"), F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, counts: DataFrame, text_col: str = "text") -> Model:
-    """Fits the classes and their probabilities to texts, of which counts are the word_counts.
-
-    What the driver holds depends on the model's own sizes only: its held words and its classes.
-    """
-    spark = texts.sparkSession
+def train(tokens: DataFrame, counts: DataFrame) -> Model:
+    """Fits the classes and their probabilities to training texts as numbered() gives them, of which counts are the
+    word_counts. The driver holds the class pairs and one slice of words at a time."""
+    spark = tokens.sparkSession
+    tokens = tokens.select("codes")
     sizes = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(HELD_WORDS).collect()
-    held = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    held_counts = np.array([r["n"] for r in top], np.int64)
-    end = int(END.astype(np.int64))
-    ranked = [r["word"] for r in top if r["n"] >= EXCHANGE_COUNT and r["word"] != end]
-    fixed = [(k, CLASSES + k) for k in range(FORMS)] + [(end, CLASSES + FORMS)]
-    first = spark.createDataFrame([(w, k % CLASSES) for k, w in enumerate(ranked)], "item long, first long")
-    exchanged = counts.where((F.col("n") >= EXCHANGE_COUNT) & (F.col("word") != end)).select(F.col("word").alias("item"))
-    now = exchanged.join(F.broadcast(first), "item", "left").select(
-        "item", F.coalesce("first", F.pmod(F.xxhash64("item"), F.lit(CLASSES)).cast("long")).alias("class"), F.col("first").isNotNull().alias("held")
-    )
-    now = stored(now, "classes")
-    n_words = now.count()
-
-    def class_table(now: DataFrame) -> ClassTable:
-        more = spark.createDataFrame(fixed, "item long, class long")
-        if n_words <= BROADCAST_WORDS:
-            return ClassTable(now.select("item", "class").unionByName(more), None)
-        return ClassTable(now.where("held").select("item", "class").unionByName(more), now.where(~F.col("held")).select("item", "class"))
-
-    def class_pairs(table: ClassTable) -> np.ndarray:
-        joint = np.zeros((EVERY, EVERY))
-        for r in table.named(table.named(pairs, "a", "c"), "b", "d").groupBy("c", "d").agg(F.sum("n").alias("n")).collect():
-            joint[r["c"], r["d"]] = r["n"]
-        return joint
-
-    table = class_table(now)
-    rows = texts.select(F.col(f"`{text_col}`").alias("text"))
-    met = rows.mapInArrow(_pair_counts, "a long, b long, form_a long, form_b long, n long")
-    met = table.named(table.named(met, "a", "class_a"), "b", "class_b")
-    items = [F.when(F.col(f"class_{x}").isNotNull(), F.col(x)).otherwise(F.col(f"form_{x}")).alias(x) for x in ("a", "b")]
-    pairs = stored(met.select(*items, "n").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    joint = class_pairs(table)
+    n_words = exchanged_words(counts).count()
+    start = F.pmod(F.xxhash64("id"), F.lit(CLASSES)).cast("long")
+    now = stored(spark.range(n_words).select(F.col("id").alias("item"), start.alias("class")), "classes")
+
+    def class_pairs(now: DataFrame) -> np.ndarray:
+        joint = np.zeros(EVERY * EVERY)
+        found = with_classes(tokens, now, n_words, _class_pairs, "cell long, n long")
+        for r in found.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            joint[r["cell"]] = r["n"]
+        return joint.reshape(EVERY, EVERY)
+
+    joint = class_pairs(now)
     tasks = max(1, -(-n_words // (TURNS * TASK_WORDS)))
-    for turn in range(ROUNDS * TURNS):
-        if not n_words:
-            break
-
-        def side(word: str, other: str, number: int, turn: int = turn) -> DataFrame:
-            at = F.col(word)
-            moving = ~at.between(0, FORMS - 1) & (at != end) & (F.pmod(F.xxhash64(at), F.lit(TURNS)) == turn % TURNS)
-            return pairs.where(moving).select(at.alias("item"), F.col(other).alias("other"), F.lit(number).alias("side"), "n")
-
-        around = table.named(side("a", "b", 0).unionByName(side("b", "a", 1)), "other", "class")
-        around = around.groupBy("item", "side", "class").agg(F.sum("n").alias("n"))
-        around = around.groupBy("item").agg(F.collect_list(F.struct("side", "class", "n")).alias("around"))
-        around = around.join(now.select("item", F.col("class").alias("now")), "item").select("item", "now", "around")
-        dealt = around.repartition(tasks, "item").sortWithinPartitions("item")
+    for turn in range(ROUNDS * TURNS if n_words else 0):
+        met = with_classes(tokens, now, n_words, _neighbours(turn % TURNS), "item long, home long, cell long, n long")
+        around = met.repartition(tasks, "item").groupBy("item", "cell").agg(F.min("home").alias("home"), F.sum("n").alias("n"))
+        around = around.groupBy("item").agg(F.min("home").alias("home"), F.collect_list(F.struct("cell", "n")).alias("around"))
+        dealt = around.sortWithinPartitions("item")
         moved = stored(dealt.mapInArrow(_exchange(joint), "item long, moved long, change array<double>"), "moves")
-        now = stored(now.join(moved.where("item IS NOT NULL"), "item", "left").select("item", F.coalesce("moved", "class").alias("class"), "held"), "classes")
-        table = class_table(now)
+        now = now.join(moved.where("item IS NOT NULL"), "item", "left").select("item", F.coalesce("moved", "class").alias("class"))
+        now = stored(now, "classes")
         if turn % TURNS == TURNS - 1:
-            joint = class_pairs(table)
+            joint = class_pairs(now)
             continue
         # Within a round the tasks' changes are added up; only pairs whose words both moved are counted again at its end.
         changes = moved.where("item IS NULL").select(F.posexplode("change").alias("cell", "by")).groupBy("cell").agg(F.sum("by").alias("by"))
         for r in changes.collect():
             joint[divmod(r["cell"], EVERY)] = max(joint[divmod(r["cell"], EVERY)] + r["by"], 0)
-    own = now.where("held").select("item", "class").collect()
-    words = np.array([r["item"] for r in own], np.int64).view(np.uint64)
-    by_hash = np.argsort(words)
-    classes = Classes(words[by_hash], np.array([r["class"] for r in own], np.int64)[by_hash])
     frequency = joint.sum(axis=0) / max(joint.sum(), 1)
     frequency = (frequency + 1e-9) / (frequency + 1e-9).sum()
     row_sums = joint.sum(axis=1, keepdims=True)
@@ -276,142 +396,71 @@ def train(texts: DataFrame, counts: DataFrame, text_col: str = "text") -> Model:
     totals[0] = joint.sum(axis=0)
     for r in now.groupBy("class").count().collect():
         totals[1, r["class"]] = r["count"]
-    rare = counts.where((F.col("n") < EXCHANGE_COUNT) | (F.col("word") == end))
+    rare = counts.where((F.col("n") < EXCHANGE_COUNT) | (F.col("word") == END_WORD))
     for r in rare.groupBy("form").agg(F.count("*").alias("n")).collect():
-        totals[1, CLASSES + (FORMS if r["form"] < 0 else r["form"])] = r["n"]
-    order = np.argsort(held)
-    emissions = np.log10(totals[0] + totals[1] + 1)
-    more = table if n_words > len(own) else None
-    return Model(classes, transitions, emissions, held[order], held_counts[order], int(sizes["tokens"] or 0), int(sizes["distinct"]), more)
+        totals[1, END_CLASS if r["form"] < 0 else CLASSES + r["form"]] = r["n"]
+    return Model(now, n_words, transitions, np.log10(totals[0] + totals[1] + 1), int(sizes["tokens"] or 0), int(sizes["distinct"]))
 
 
-def _scored(model: Model):
-    joined, model = model.table is not None, replace(model, table=None)
+def _scored(steps: np.ndarray):
+    """Sums of the steps of each text, and its distinct words without a number with how often each stands there."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scale = np.log10(model.tokens + model.distinct + 1)
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                columns = {k: [] for k in ("n_tokens", "n_known", "base", "score", *_LISTS)}
-                for tokens, kinds, begins in token_runs(_bytes(part)):
-                    held = np.zeros(len(tokens), np.int64)
-                    known = np.zeros(len(tokens), bool)
-                    if len(model.held):
-                        place = np.minimum(np.searchsorted(model.held, tokens), len(model.held) - 1)
-                        known = model.held[place] == tokens
-                        held = np.where(known, model.held_counts[place], 0)
-                    classes = model.classes.of(tokens, kinds)
-                    before = np.concatenate(([model.classes.end], classes[:-1]))
-                    before[begins] = model.classes.end
-                    counted = np.log10(held + 1.0)
-                    known_before = np.concatenate(([True], known[:-1]))
-                    known_before[begins] = True
-                    # Steps from or to a word that the task does not hold are added when its class is joined.
-                    here = known & known_before if joined else np.ones(len(tokens), bool)
-                    step = counted + np.where(here, model.steps[before, classes], 0.0)
-                    ends = np.append(begins[1:], len(tokens))
-                    columns["n_tokens"] += (ends - begins).tolist()
-                    columns["n_known"] += np.add.reduceat(known.astype(np.int64), begins).tolist()
-                    columns["base"] += np.add.reduceat(counted - scale, begins).tolist()
-                    columns["score"] += np.add.reduceat(step, begins).tolist()
-                    rare = np.flatnonzero(~known)
-                    owner = np.searchsorted(begins, rare, side="right") - 1
-                    order = np.lexsort((tokens[rare], owner))
-                    of, words = owner[order], tokens[rare][order]
-                    new = np.ones(len(words), bool)
-                    new[1:] = (of[1:] != of[:-1]) | (words[1:] != words[:-1])
-                    first = np.flatnonzero(new)
-                    cuts = np.searchsorted(of[first], np.arange(len(begins) + 1))
-                    lists = {
-                        "words": words[first].view(np.int64), "own": classes[rare][order][first], "times": np.diff(np.append(first, len(words))),
-                    }
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        for name, values in lists.items():
-                            columns[name].append(values[a:b])
-                    if not joined:
-                        rare, owner = rare[:0], owner[:0]
-                    number = np.empty(len(words), np.int64)
-                    number[order] = np.cumsum(new) - 1
-                    last = np.zeros(len(tokens), bool)
-                    last[ends - 1] = True
-                    follower = np.minimum(rare + 1, len(tokens) - 1)
-                    lists = {
-                        "number": number[: len(rare)] - cuts[owner],
-                        "before": np.where(known_before[rare], before[rare], -1),
-                        "after": np.where(known[follower] & ~last[rare], classes[follower], -1),
-                    }
-                    cuts = np.searchsorted(owner, np.arange(len(begins) + 1))
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        for name, values in lists.items():
-                            columns[name].append(values[a:b])
-                kinds_of = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64()}
-                arrays = [pa.array(columns[k], t) for k, t in kinds_of.items()]
-                arrays += [pa.array(columns[k], pa.list_(pa.int64())) for k in _LISTS]
-                rest = ["row", "id", "held_out"]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *arrays], [*rest, *columns])
+            if not batch.num_rows:
+                continue
+            classes, cuts = _flat(batch.column("classes"))
+            before = np.concatenate(([END_CLASS], classes[:-1]))
+            sums = np.add.reduceat(steps[before, classes], cuts[:-1])
+            words, word_cuts = _flat(batch.column("unnamed"))
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(word_cuts))
+            order = np.lexsort((words, owner))
+            words = words[order]
+            new = np.ones(len(words), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (words[1:] != words[:-1])
+            first = np.flatnonzero(new)
+            own_cuts = np.searchsorted(owner[first], np.arange(batch.num_rows + 1))
+            times = np.diff(np.append(first, len(words)))
+            columns = [batch.column(c) for c in _TOKENS[:6]]
+            arrays = [*columns, pa.array(sums), _lists(own_cuts, words[first]), _lists(own_cuts, times)]
+            yield pa.RecordBatch.from_arrays(arrays, [*_TOKENS[:6], "steps", "words", "times"])
 
     return run
 
 
-def _joined_steps(local: DataFrame, model: Model) -> DataFrame:
-    """(row, steps): the steps from and to the words that tasks do not hold, with the classes of the table."""
-    each = local.select("row", "words", "own", "number", F.posexplode(F.arrays_zip("number", "before", "after")).alias("at", "e"))
-    last = F.when(F.col("e.before") < 0, F.get("number", F.col("at") - 1)).cast("int")
-    each = each.select(
-        "row",
-        F.get("words", F.col("e.number").cast("int")).alias("word"),
-        F.get("own", F.col("e.number").cast("int")).alias("own"),
-        F.col("e.before").alias("before"),
-        F.col("e.after").alias("after"),
-        F.get("words", last).alias("last"),
-        F.get("own", last).alias("last_own"),
-    )
-    each = model.table.named(model.table.named(each, "word", "class"), "last", "last_class")
-    steps = F.split(F.lit(" ".join(map(repr, model.steps.ravel().tolist()))), " ").cast("array<double>")
-    here = F.coalesce("class", "own")
-    before = F.when(F.col("before") < 0, F.coalesce("last_class", "last_own")).otherwise(F.col("before"))
-    step = F.get(steps, (before * EVERY + here).cast("int"))
-    follows = F.when(F.col("after") >= 0, F.get(steps, (here * EVERY + F.col("after")).cast("int"))).otherwise(0.0)
-    return each.groupBy("row").agg(F.sum(step + follows).alias("steps"))
-
-
 def perplexities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     The model learns from the rows that are not held out, and all rows are scored. base_score adds log10 of
     (c + 1) / (N + V + 1) over tokens, score is the log10 probability of the class model, and perplexity
     10 ** (-score / n_tokens). Null and empty texts are an end alone; nothing to learn from leaves all words unknown.
+    Texts of any length are taken whole; repeated rows and ids count and are scored each on their own, and other columns,
+    whatever their names, are not read. Of classes equally good for a word, its own stays, else the first is taken.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")
     )
-    texts = rows.where(~F.col("held_out"))
-    counts = stored(word_counts(texts), "counts")
-    model = train(texts, counts)
-    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text")
-    lists = ", ".join(f"{k} array<long>" for k in _LISTS)
-    schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, {lists}"
-    local = stored(numbered.mapInArrow(_scored(model), schema), "scores")
+    counts = stored(word_counts(rows.where(~F.col("held_out"))), "counts")
+    tokens = numbered(rows, counts)
+    model = train(tokens.where(~F.col("held_out")), counts)
+    schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, counted double, steps double, words array<long>, times array<long>"
+    local = stored(with_classes(tokens.drop("classes"), model.now, model.n_words, _scored(model.steps), schema), "scores")
     rare = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    more = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(
+    few = counts.where((F.col("n") < EXCHANGE_COUNT) & (F.col("word") != END_WORD)).select("word", "n")
+    more = rare.join(few, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("found")
     )
-    joined = local.drop(*_LISTS).join(more, "row", "left")
-    if model.table is None:
-        joined = joined.withColumn("steps", F.lit(0.0))
-    else:
-        joined = joined.join(_joined_steps(local, model), "row", "left")
-    extra = F.coalesce("more", F.lit(0.0))
-    score = F.col("score") + extra + F.coalesce("steps", F.lit(0.0))
+    joined = local.drop("words", "times").join(more, "row", "left")
+    counted = F.col("counted") + F.coalesce("more", F.lit(0.0))
+    score = counted + F.col("steps")
     return joined.select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + extra).alias("base_score"),
+        (counted - F.col("n_tokens") * float(np.log10(model.tokens + model.distinct + 1))).alias("base_score"),
         score.alias("score"),
         F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )

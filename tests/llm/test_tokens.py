@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -123,15 +124,29 @@ def test_class_model(spark):
     assert len(nothing) == len(rows) and all(r["n_known"] == 0 for r in nothing)
 
 
+def trained(spark, docs):
+    """The model of texts, and the class of each exchanged word by its hash."""
+    counts = brown.word_counts(docs).cache()
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.lit(False).alias("held_out"))
+    model = brown.train(brown.numbered(rows, counts), counts)
+    of = {r["item"]: r["class"] for r in model.now.collect()}
+    slices = list(brown.word_slices(counts))
+    named = {int(w): of[part.first + k] for part in slices for k, w in enumerate(part.words)}
+    assert len(named) == len(of) == model.n_words
+    return model, named
+
+
+def hash_of(word):
+    return int(next(brown.token_runs([word.encode()]))[0].view(np.int64)[0])
+
+
 def test_exchange_finds_classes(spark):
     rng = np.random.default_rng(2)
     nouns, verbs = [f"n{k}" for k in range(30)], [f"v{k}" for k in range(30)]
     rows = [(k, " ".join(str(rng.choice(nouns if j % 2 else verbs)) for j in range(80))) for k in range(120)]
     docs = documents(spark, rows)
-    model = brown.train(docs, brown.word_counts(docs))
-    hashes = {w: tokens[0] for w in nouns + verbs for tokens, _, _ in brown.token_runs([w.encode()])}
-    by_hash = dict(zip(model.classes.words.tolist(), model.classes.classes.tolist(), strict=True))
-    of_nouns, of_verbs = ({by_hash[int(hashes[w])] for w in part} for part in (nouns, verbs))
+    _, by_hash = trained(spark, docs)
+    of_nouns, of_verbs = ({by_hash[hash_of(w)] for w in part} for part in (nouns, verbs))
     assert not of_nouns & of_verbs
     scored = [r for r in brown.perplexities(docs, F.col("doc_id") % 7 == 2).collect() if r["held_out"]]
     assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
@@ -147,51 +162,73 @@ def test_every_frequent_word_is_exchanged_and_scored_by_its_class(spark, monkeyp
     frequent = {w for w, n in counts.items() if n >= brown.EXCHANGE_COUNT}
     assert len(frequent) > 2_100
     held = F.col("doc_id") >= 902
-    learnt = docs.where(~held)
-    whole = brown.train(learnt, brown.word_counts(learnt))
-    hashes = {w: int(tokens[0]) for w in counts for tokens, _, _ in brown.token_runs([w.encode()])}
-    assert set(whole.classes.words.tolist()) == {hashes[w] for w in frequent}
-    class_of = dict(zip(whole.classes.words.tolist(), whole.classes.classes.tolist(), strict=True))
+    whole, class_of = trained(spark, docs.where(~held))
+    assert set(class_of) == {hash_of(w) for w in frequent}
     steps = whole.steps
+    hashes = {w: hash_of(w) for w in counts}
+
+    def classes(text):
+        out = [brown.CLASSES + brown.FORMS]
+        for w in spaced(text):
+            form = int(next(brown.token_runs([w.encode()]))[1][0]) + brown.CLASSES
+            out.append(class_of.get(hashes.get(w), form))
+        return [*out, brown.CLASSES + brown.FORMS]
 
     def plain_score(text):
-        before, total = brown.CLASSES + brown.FORMS, 0.0
-        for w in [*spaced(text), None]:
-            form = before if w is None else int(next(brown.token_runs([w.encode()]))[1][0]) + brown.CLASSES
-            here = brown.CLASSES + brown.FORMS if w is None else class_of.get(hashes.get(w), form)
-            n = len(rows) - 2 if w is None else counts[w]
-            total, before = total + math.log10(n + 1) + steps[before, here], here
-        return total
+        found = classes(text)
+        total = sum(math.log10(n + 1) for n in [*(counts[w] for w in spaced(text)), len(rows) - 2])
+        return total + sum(steps[a, b] for a, b in zip(found, found[1:], strict=False))
+
+    # Transitions are of the final classes, counted here text by text.
+    pairs = Counter(p for _, t in rows[:-2] for p in zip(classes(t), classes(t)[1:], strict=False))
+    joint = np.array([[pairs[a, b] for b in range(brown.EVERY)] for a in range(brown.EVERY)], float)
+    frequency = (joint.sum(axis=0) / joint.sum() + 1e-9) / (joint.sum(axis=0) / joint.sum() + 1e-9).sum()
+    smooth = (joint + brown.TRANSITION_WEIGHT * frequency) / (joint.sum(axis=1, keepdims=True) + brown.TRANSITION_WEIGHT)
+    assert np.allclose(whole.transitions, np.log10(smooth))
 
     want = {i: plain_score(t) for i, t in rows}
-    # The same words, held by tasks, joined by broadcast, and joined by shuffles; the classes may not depend on it.
     monkeypatch.setattr(brown, "train", lambda *_: whole)
-    assert {r["doc_id"]: r["score"] for r in brown.perplexities(docs, held).collect()} == pytest.approx(want)
-    items = [(w if w < 2**63 else w - 2**64, int(c)) for w, c in class_of.items()]
-    fixed = [(k, brown.CLASSES + k) for k in range(brown.FORMS)] + [(int(brown.END.astype(np.int64)), brown.CLASSES + brown.FORMS)]
-    table = [spark.createDataFrame(x, "item long, class long") for x in (items + fixed, items[:50] + fixed, items[50:])]
-    few = np.argsort(-whole.held_counts)[:100]
-    few = few[np.argsort(whole.held[few])]
-    part = np.isin(whole.classes.words, whole.held[few])
-    cut = brown.Classes(whole.classes.words[part], whole.classes.classes[part])
-    for tables in (brown.ClassTable(table[0], None), brown.ClassTable(table[1], table[2])):
-        model = brown.Model(cut, whole.transitions, whole.emissions, whole.held[few], whole.held_counts[few], whole.tokens, whole.distinct, tables)
-        monkeypatch.setattr(brown, "train", lambda *_, model=model: model)
+    # Numbers and classes looked up at once, or slice by slice with the words of a text in several slices.
+    for most in (brown.SLICE_WORDS, 700):
+        monkeypatch.setattr(brown, "SLICE_WORDS", most)
         assert {r["doc_id"]: r["score"] for r in brown.perplexities(docs, held).collect()} == pytest.approx(want)
 
 
-def test_classes_do_not_depend_on_what_is_held_or_broadcast(spark, monkeypatch):
+def test_classes_do_not_depend_on_slices(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(k, " ".join(f"{'nv'[j % 2]}{rng.integers(40)}" for j in range(80))) for k in range(90)]
     docs = documents(spark, rows)
-    monkeypatch.setattr(brown, "HELD_WORDS", 20)
-    found = []
-    for most in (1_000_000, 10):
-        monkeypatch.setattr(brown, "BROADCAST_WORDS", most)
-        model = brown.train(docs, brown.word_counts(docs))
-        near, far = model.table.near, model.table.far
-        assert (far is None) == (most > 10)
-        found.append(Counter((r["item"], r["class"]) for r in (near if far is None else near.unionByName(far)).collect()))
-        scored = brown.perplexities(docs, F.col("doc_id") % 7 == 2).collect()
+    held = F.col("doc_id") % 7 == 2
+    found, scores = [], []
+    for most in (brown.SLICE_WORDS, 30):
+        monkeypatch.setattr(brown, "SLICE_WORDS", most)
+        found.append(trained(spark, docs)[1])
+        scored = brown.perplexities(docs, held).collect()
         assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
-    assert found[0] == found[1] and len(found[0]) == 80 + brown.FORMS + 1
+        scores.append({r["doc_id"]: (r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in scored})
+    assert found[0] == found[1] and len(found[0]) == 80
+    assert scores[0] == scores[1]
+
+
+def test_neighbours_are_counted_whole_when_handed_over_early(monkeypatch):
+    rng = np.random.default_rng(6)
+    codes = np.append(rng.integers(-3, 40, 500), brown.END_CODE)
+    classes = np.where(codes < 0, brown.CLASSES - 1 - codes, codes % 5).astype(np.int8)
+    cuts = np.array([0, len(codes)])
+    batch = pa.RecordBatch.from_arrays([brown._lists(cuts, codes.astype(np.int32)), brown._lists(cuts, classes)], ["codes", "classes"])
+    want = Counter()
+    chain = [brown.END_CODE, *codes.tolist()]
+    kinds = [brown.END_CLASS, *classes.tolist()]
+    for a, b, x, y in zip(chain, chain[1:], kinds, kinds[1:], strict=False):
+        if a >= 0 and a % brown.TURNS == 1:
+            want[a, x, y] += 1
+        if b >= 0 and b % brown.TURNS == 1:
+            want[b, y, brown.EVERY + x] += 1
+    for most in (brown.HELD_CELLS, 20):
+        monkeypatch.setattr(brown, "HELD_CELLS", most)
+        monkeypatch.setattr(brown, "PIECE", 64)
+        got = Counter()
+        for part in brown._neighbours(1)(iter([batch, batch])):
+            for r in part.to_pylist():
+                got[r["item"], r["home"], r["cell"]] += r["n"]
+        assert got == Counter({k: 2 * n for k, n in want.items()})
