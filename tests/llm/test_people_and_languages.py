@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -173,3 +176,75 @@ def test_languages(spark):
     assert langid.identify(langid.page_records(pages.limit(0)), languages, table).count() == 0
     assert langid.train(labelled.limit(0), "text", "lang")[0] == []
     assert langid.identify(langid.page_records(pages), *langid.train(labelled.limit(0), "text", "lang")).where("lang IS NULL").count() == 7
+
+
+def plain_grams(text):
+    data = b" " + bytes(b | 32 if 65 <= b <= 90 else b for b in text.encode()) + b" "
+    return [(int.from_bytes(data[k : k + 3], "big") * 2654435761 % (1 << 32)) >> 16 for k in range(len(data) - 2)]
+
+
+def test_fused_scores_against_plain_python(spark):
+    learnt = [("the old house on the hill was for them", "en"), ("das alte Haus auf dem Berg war ihres", "de"), ("la vieja casa de la colina era suya", "es")]
+    learnt = [*learnt, learnt[0], (None, "de"), ("no language", None)]
+    languages, table = langid.train(spark.createDataFrame(learnt, "text string, lang string"), "text", "lang")
+    assert languages == ["de", "en", "es"]
+    records = [
+        (1, "the hill and the house", None, "en", "a.example.uk"), (2, "the hill and the house", None, "en", "a.example.uk"),
+        (3, "das Haus", "de", "de", "a.example.uk"), (4, None, None, None, "a.example.uk"), (5, "", "fil", "fil", "b.example.de"),
+        (6, "casa de la colina " * 9_000, None, None, "b.example.de"), (7, "casa", None, "es", "forum"), (7, "casa", None, "es", "forum"),
+        (8, "haus", None, None, None), (9, "x", None, "de", "de"), (10, "ä世", "es", "es", "c.example.mx"),
+    ]
+    grams = {x: Counter() for x in languages}
+    for text, lang in learnt:
+        if lang:
+            grams[lang].update(plain_grams(text or ""))
+    weight = {x: sum(grams[x].values()) + langid.BUCKETS for x in languages}
+    labels = Counter(r[3] for r in records if r[3])
+
+    def suffix(host):
+        return host.rsplit(".", 1)[1] if host and "." in host else None
+
+    def plain(record):
+        _, text, declared, label, host = record
+        out = []
+        for x in languages:
+            n = Counter(plain_grams(text)) if text else {}
+            value = langid.TEMPER * sum(k * math.log((grams[x][g] + 1) / weight[x]) for g, k in n.items())
+            held = Counter(r[3] for r in records if host and r[4] == host and r[3] in languages)
+            near = Counter(r[3] for r in records if suffix(host) and suffix(r[4]) == suffix(host) and r[3] in languages)
+            for of, key in ((held, host), (near, suffix(host))):
+                # A record's own label is left out wherever it counts; without a host there is nothing to leave it out of.
+                if label in languages and key:
+                    of[label] -= 1
+            everywhere = (labels[x] + 1) / (sum(labels.values()) + len(languages))
+            prior = (near[x] + langid.GLOBAL_WEIGHT * everywhere) / (sum(near.values()) + langid.GLOBAL_WEIGHT)
+            prior = (held[x] + langid.SUFFIX_WEIGHT * prior) / (sum(held.values()) + langid.SUFFIX_WEIGHT)
+            value += math.log(prior)
+            national = next((lang for lang, of in langid.LANGUAGE_SUFFIXES.items() if suffix(host) in of), None)
+            for stated, right in ((declared, langid.DECLARED_RIGHT), (national, langid.SUFFIX_RIGHT)):
+                if stated in languages:
+                    value += math.log(right if stated == x else (1 - right) / 2)
+            out.append(value)
+        best = max(out)
+        return languages[out.index(best)], 1 / sum(math.exp(v - best) for v in out)
+
+    frame = spark.createDataFrame(records, "id long, text string, declared string, label string, host string")
+    got = sorted((r["id"], r["lang"], r["probability"]) for r in langid.identify(frame, languages, table).collect())
+    want = sorted((r[0], *plain(r)) for r in records)
+    assert [(i, x) for i, x, _ in got] == [(i, x) for i, x, _ in want]
+    assert [p for *_, p in got] == pytest.approx([p for *_, p in want], rel=1e-4)
+
+
+def test_broken_pages_are_read_once_through(spark):
+    pages = [
+        (1, "https://a.example.org/x", "<html lang='fil'><script>one</script>two<style>three</style>four"),
+        (2, None, "<html lang=deu><p>x</p><script>" * 1 + "<script>" * 60_000),
+        (3, "https://a.example.org", "<" * 60_000), (4, "broken", None), (5, None, "<HTML xml:lang=\"pt-BR\">a < b <!-- c " + "<!--" * 60_000),
+    ]
+    frame = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, host string")
+    began = time.time()
+    got = {r["id"]: r for r in langid.page_records(frame).collect()}
+    assert time.time() - began < 30
+    assert [got[k]["declared"] for k in range(1, 6)] == ["fil", "de", None, None, "pt"]
+    assert got[1]["text"].split() == ["two", "four"] and got[2]["text"].split() == ["x"] and got[5]["text"].split() == ["a", "<", "b"]
+    assert got[3]["text"] == "<" * 60_000 and got[4]["text"] == "" and got[4]["host"] is None
