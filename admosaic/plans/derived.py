@@ -534,7 +534,12 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "platform", pick(PLATFORMS, c("l_orderkey") % 11)
     )
     n = F.greatest(c("l_quantity").cast("int") - 10, F.lit(0))
-    listed = F.array_join(F.array_repeat(F.lit('{"id":"1"}'), n), ",")
+
+    def repeated(item: str) -> Column:
+        """The item ``n`` times, comma-joined."""
+        return F.when(n > 0, F.concat(F.repeat(F.lit(f"{item},"), n - 1), F.lit(item))).when(n == 0, "")
+
+    listed = repeated('{"id":"1"}')
     more = c("l_linestatus") == "O"
     offset = ((c("l_linenumber") - 1) * 25).cast("string")
     total = F.when(more, F.lit(1000)).otherwise(F.lit(0)).cast("string")
@@ -546,9 +551,7 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(more, text(*parts)).otherwise(F.lit(""))
 
     offsets = text(',"pagination":{"offset":', offset, ',"limit":25,"total":', total, "}")
-    preview = F.array_join(
-        F.array_repeat(F.lit('{"sub_request_status":"SUCCESS","ad_preview":{"AdID":"1"}}'), n), ","
-    )
+    preview = repeated('{"sub_request_status":"SUCCESS","ad_preview":{"AdID":"1"}}')
     bodies = {
         "amazon": text('{"data":[', listed, "]", offsets, "}"),
         "apple": text('{"data":[', listed, "]", offsets, "}"),

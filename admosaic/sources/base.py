@@ -30,6 +30,13 @@ class Source:
     total: Callable[[Column], Column] = lambda page: F.lit(None).cast("bigint")
     next_position: Callable[[Column], Column] = lambda page: F.lit(None).cast("string")
     error: Callable[[Column], Column] = lambda page: F.lit(None).cast("string")
+    #: What the functions above get as the page: the parsed body, with whatever they read of it more than once.
+    parsed: Callable[[Column], Column] = lambda page: page
+
+
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is worked out once, as a lambda variable."""
+    return F.element_at(F.transform(F.array(value), of), 1)
 
 
 def strings(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import PAGE_SOURCES
-from .base import Source
+from .base import Source, bound
 
 RAW_PAGES = (
     "platform string, operation string, request_id string, page_no int, fetched_at timestamp, body string"
@@ -54,7 +54,7 @@ def read_raw_pages(spark: SparkSession, path: str, fmt: str = "text") -> DataFra
 
 def _parsed(pages: DataFrame, source: Source) -> DataFrame:
     return pages.filter(F.col("platform") == source.name).select(
-        *KEYS, "body", F.from_json("body", source.page).alias("page")
+        *KEYS, "body", source.parsed(F.from_json("body", source.page)).alias("page")
     )
 
 
@@ -88,19 +88,39 @@ def unwrap_pages(pages: DataFrame, platforms: list[str] | None = None) -> DataFr
     return _union([unwrap_source(pages, source.name) for source in _wanted(platforms)])
 
 
+def _start(body: Column) -> Column:
+    """The first character of a body that is no white space of JSON."""
+    return F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
+
+
+def _object_or_list(body: Column) -> Column:
+    """The body, NULL where it starts with a letter or tag: such texts have no fields, and a parser that fails on each
+    takes longer than it does for a page."""
+    return F.when(~F.coalesce(_start(body).rlike("[<A-Za-z]"), F.lit(False)), body)
+
+
+def _well_formed(body: Column) -> Column:
+    """Whether a body is JSON; texts that start as none can are not parsed."""
+    other = F.coalesce(_start(body).rlike("[<A-HJ-MO-Za-eg-mo-su-z]"), F.lit(False))
+    return body.isNotNull() & ~other & F.try_parse_json(F.when(~other, body)).isNotNull()
+
+
 def _summary(source: Source) -> Column:
-    """Counters of one page of a source; the page is bound to a lambda variable so that it is parsed once."""
+    """Counters of one page of a source; the page and its number of items are bound, so that it is parsed once."""
 
     def counted(page: Column) -> Column:
-        n = F.coalesce(F.size(source.items(page, F.col("operation"), F.col("body"))), F.lit(0)).cast("bigint")
-        return F.struct(
-            n.alias("items"),
-            F.coalesce(source.total(page), n).alias("total_count"),
-            source.next_position(page).alias("next_position"),
-            source.error(page).alias("error"),
+        found = source.items(page, F.col("operation"), F.col("body"))
+        return bound(
+            F.coalesce(F.size(found), F.lit(0)).cast("bigint"),
+            lambda n: F.struct(
+                n.alias("items"),
+                F.coalesce(source.total(page), n).alias("total_count"),
+                source.next_position(page).alias("next_position"),
+                source.error(page).alias("error"),
+            ),
         )
 
-    return F.element_at(F.transform(F.array(F.from_json("body", source.page)), counted), 1)
+    return bound(source.parsed(F.from_json(_object_or_list(F.col("body")), source.page)), counted)
 
 
 #: Where pages of a source without a module of its own may say what follows.
@@ -111,7 +131,7 @@ def _any_summary() -> Column:
     """Counters of a page of any other source: one item if it is JSON, and the usual names of a next position."""
 
     def counted(page: Column) -> Column:
-        n = F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()
+        n = _well_formed(F.col("body"))
         paging = F.coalesce(page["paging"], page["pagination"])
         return F.struct(
             n.cast("bigint").alias("items"),
@@ -120,8 +140,8 @@ def _any_summary() -> Column:
             F.lit(None).cast("string").alias("error"),
         )
 
-    parsed = F.from_json("body", f"paging struct<{_ANY_PAGING}>, pagination struct<{_ANY_PAGING}>")
-    return F.element_at(F.transform(F.array(parsed), counted), 1)
+    parsed = F.from_json(_object_or_list(F.col("body")), f"paging struct<{_ANY_PAGING}>, pagination struct<{_ANY_PAGING}>")
+    return bound(parsed, counted)
 
 
 def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataFrame:
@@ -138,7 +158,7 @@ def page_counters(pages: DataFrame, platforms: list[str] | None = None) -> DataF
     counters = _any_summary() if counters is None else counters.otherwise(_any_summary())
     known = pages if platforms is None else pages.filter(F.col("platform").isin(*platforms))
     # Apart from the counters, so that those who do not ask for it are spared the second parse.
-    is_json = (F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()).alias("json")
+    is_json = _well_formed(F.col("body")).alias("json")
     counted = known.select(*KEYS, counters.alias("c"), is_json)
     return counted.select(*KEYS, "c.*", (F.col("json") & F.col("c.error").isNull()).alias("readable"))
 

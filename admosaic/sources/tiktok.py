@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_datetime
 from ..functions.media import collect_urls
 from ..functions.text import string_list
-from .base import Source, one_object, pick, strings
+from .base import Source, bound, one_object, pick, strings
 
 _DATA = (
     "ads array<string>, advertisers array<string>, total_count bigint, "
@@ -14,16 +14,18 @@ _DATA = (
 )
 
 
-def _data(page: Column) -> Column:
-    return F.from_json(F.when(page["data"].startswith("{"), page["data"]), _DATA)
+def _parsed(page: Column) -> Column:
+    """The page with its object of data, which is read several times, parsed once."""
+    data = F.from_json(F.when(page["data"].startswith("{"), page["data"]), _DATA)
+    return F.struct(page["data"].alias("data"), page["error"].alias("error"), page["pagination"].alias("pagination"), data.alias("inner"))
 
 
 def _items(page: Column, operation: Column, body: Column) -> Column:
     listed = strings(F.when(page["data"].startswith("["), page["data"]))
     found = pick(
         operation,
-        F.coalesce(_data(page)["ads"], listed),
-        advertisers=F.coalesce(_data(page)["advertisers"], listed),
+        F.coalesce(page["inner"]["ads"], listed),
+        advertisers=F.coalesce(page["inner"]["advertisers"], listed),
         details=one_object(page["data"]),
     )
     return F.when(page["error"].isNull(), found)
@@ -75,10 +77,11 @@ TIKTOK = Source(
         "ad_group struct<targeting_info: struct<age: string, gender: string, country: string>>"
     ),
     items=_items,
-    total=lambda page: _data(page)["total_count"],
+    total=lambda page: page["inner"]["total_count"],
     next_position=lambda page: F.coalesce(
-        _data(page)["pagination"]["next_page_token"], page["pagination"]["next_page_token"]
+        page["inner"]["pagination"]["next_page_token"], page["pagination"]["next_page_token"]
     ),
     error=lambda page: F.coalesce(F.get_json_object(page["error"], "$.message"), page["error"]),
     mapping=_mapping,
+    parsed=lambda page: bound(page, _parsed),
 )

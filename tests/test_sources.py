@@ -216,3 +216,20 @@ def test_text_files_as_pages(spark, tmp_path):
     assert sorted(r.ad_id for r in ads.collect()) == ["0", "1", "2"]
     plan = pages.filter(F.col("platform") == "x")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(platform" in plan
+
+
+def test_counters_parse_a_page_once(spark):
+    counters = admosaic.page_counters(page(spark, "tiktok", '{"data":{"ads":[{"ad_id":"1"}],"total_count":7}}'), ["tiktok"])
+    assert counters._jdf.queryExecution().analyzed().toString().count("StructField(total_count") == 1
+    row = counters.first()
+    assert (row["items"], row["total_count"], row["readable"]) == (1, 7, True)
+
+
+def test_texts_that_are_no_json_are_not_parsed(spark):
+    for body, items, readable in [
+        ("<html>busy</html>", 0, False), ("  Busy", 0, False), ("true", 0, True), (" null", 0, True), ("", 0, False),
+        ('\n{"data":[{"id":"1"}]}', 1, True), ('{"data":[{"id"', 0, False),
+    ]:
+        row = admosaic.page_counters(page(spark, "meta", body)).first()
+        assert (row["items"], row["total_count"], row["readable"]) == (items, items, readable), body
+    assert [r["items"] for r in admosaic.page_counters(page(spark, "other", "Busy")).collect()] == [0]
