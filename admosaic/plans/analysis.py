@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import analytics as A
 from ..operators import normalize as N
 from ..operators import quality, reports
-from ..operators.storage import shared_folder
+from ..operators.storage import shared_folder, stored
 from ..sources import registry
 from ..sources.pages import unwrap_pages
 from ..sources.registry_values import FIELD_PATHS
@@ -53,7 +53,7 @@ def _impressions_top(spark, sf_dir):
 
 def _top_rows(spark, sf_dir):
     """Country rows of the ads that are in the five top countries."""
-    flat = _flat(spark, sf_dir)
+    flat = stored(_flat(spark, sf_dir).select("ad_url", "total_impressions_to", "impressions_by_country"), "flat")
     rows = A.unnest_impressions(flat, "ad_url")
     return A.in_top_countries(rows, A.country_impressions(flat, 5)).select("ad_url", "country", "impression_percentage")
 

@@ -79,14 +79,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: supplier countries with their share of the quantity, in hundredths of a percent."""
+    """Per order: supplier countries with their share of the quantity, in hundredths of a percent.
+
+    Lines are spread by their order once, on which both aggregates and the join with the orders work.
+    """
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    per_nation = (
-        table(spark, sf_dir, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_orderkey", "s_nationkey")
-        .agg(F.sum("l_quantity").cast("bigint").alias("q"))
-    )
+    lines = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = spread(lines.select("l_orderkey", "s_nationkey", "l_quantity"), "l_orderkey")
+    per_nation = lines.groupBy("l_orderkey", "s_nationkey").agg(F.sum("l_quantity").cast("bigint").alias("q"))
     per_order = per_nation.groupBy("l_orderkey").agg(
         F.collect_list(F.struct("s_nationkey", "q")).alias("nations"), F.sum("q").alias("total")
     )
