@@ -233,3 +233,17 @@ def test_texts_that_are_no_json_are_not_parsed(spark):
         row = admosaic.page_counters(page(spark, "meta", body)).first()
         assert (row["items"], row["total_count"], row["readable"]) == (items, items, readable), body
     assert [r["items"] for r in admosaic.page_counters(page(spark, "other", "Busy")).collect()] == [0]
+
+
+def test_shares_spread_lines_once(spark, tmp_path):
+    from admosaic.plans import derived
+
+    lines = [(1, 1, 7, 1, 3.0), (1, 2, 7, 2, 1.0), (1, 1, 8, 3, None), (2, 3, 9, 1, 5.0), (2, 3, 6, 2, 5.0)]
+    columns = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    suppliers = [(7, "a", 0), (8, "b", 1), (9, "c", 2)]
+    spark.createDataFrame(suppliers, "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    shares = derived.order_shares(spark, str(tmp_path))
+    assert shares._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(l_orderkey") == 1
+    found = {r["l_orderkey"]: {s["country"]: s["percentage"] for s in r["shares"]} for r in shares.collect()}
+    assert found == {1: {"US": 100.0, "GB": None}, 2: {"CA": 100.0}}
