@@ -137,6 +137,49 @@ def test_batch_of_dates_only_without_broadcasts(spark, ads, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize(("dense", "group"), [(0, 3), (16, 1 << 13), (10**6, 1 << 13)])
+def test_requests_of_one_condition_match_its_ads_once(spark, ads, monkeypatch, dense, group):
+    """Forty windows, open and inverted ones too, of one platform: as many pairs as ads, and the pages and counts of single
+    searches; some ads have no start, some end before they start, many start on one day."""
+    monkeypatch.setattr(matching, "DENSE_DAY", dense)
+    monkeypatch.setattr(matching, "REQUESTS_A_GROUP", group)
+    k = F.col("ad_id").cast("int")
+    odd = ads.withColumns({
+        "platform": F.element_at(F.array(*[F.lit(p) for p in ("x", "google", "linkedin")]), (k % 3 + 1).cast("int")),
+        "first_seen": F.when(k % 4 == 1, F.lit("2024-04-02 23:59:59.5").cast("timestamp")).when(k % 17 != 0, F.col("first_seen")),
+        "last_seen": F.when(k % 5 == 0, F.col("first_seen") - F.expr("INTERVAL 9 DAYS")).otherwise(F.col("last_seen")),
+    }).cache()
+    days = [None, "2023-12-20", "2024-02-01", "2024-04-02", "2024-04-03", "2024-09-09", "2031-01-01"]
+    windows = [(a, b) for a in days for b in days][:40]
+    shapes = [(f"{p}{n}", p, a, b, n % 9 * 30, n % 4 * 10) for p in ("x", "google", "linkedin") for n, (a, b) in enumerate(windows)]
+    rows = [(r, p, "search_ads", None, None, None, a, b, None, None, None, limit, str(skip)) for r, p, a, b, limit, skip in shapes]
+    asked, conditions = matching.by_condition(matching.request_rows(search.resolve_requests(requests_table(spark, rows))))
+    assert asked.count() == 120 and conditions.count() == 3
+    assert matching.condition_pairs(matching.numbered(odd), conditions).count() == 1500
+    counts = {r["request_id"]: r["n"] for r in admosaic.match_counts(odd, requests_table(spark, rows)).collect()}
+    pages = {}
+    for r in admosaic.search_ads_batch(odd, requests_table(spark, rows)).collect():
+        pages.setdefault(r["request_id"], []).append(r["ad_id"])
+    ends = {p: odd.filter(F.col("platform") == p).select("ad_id", "first_seen", "last_seen").collect() for p in ("x", "google", "linkedin")}
+
+    def matches(ad, platform, a, b):
+        first, last = ad["first_seen"], ad["last_seen"]
+        start, end = (v and datetime.datetime.fromisoformat(v) for v in (a, b))
+        day = datetime.timedelta(days=1)
+        running = start is None or last is None or last >= start
+        if platform == "google":
+            return (start is None or (first is not None and first >= start)) and (end is None or (last is not None and last < end + day))
+        if platform == "linkedin":
+            return start is None or end is None or (first is not None and first < end and running)
+        return (end is None or (first is not None and first < end + day)) and running
+
+    for r, p, a, b, limit, skip in shapes:
+        found = [ad for ad in ends[p] if matches(ad, p, a, b)]
+        found.sort(key=lambda ad: (ad["first_seen"] is None, -(ad["first_seen"] or datetime.datetime(2030, 1, 1)).timestamp(), ad["ad_id"]))
+        assert counts.get(r, 0) == len(found)
+        assert sorted(pages.get(r, [])) == sorted(ad["ad_id"] for ad in found[skip : skip + limit])
+
+
 def test_histogram_keeps_every_row_that_can_be_first(spark):
     rows = [(g, None if k % 9 == 0 else (k * 7) % 23, k, n) for g, n in (("a", 5), ("b", 40), ("c", 0), ("d", 1000)) for k in range(60)]
     table = spark.createDataFrame(rows, "g string, bin int, k int, n int")
