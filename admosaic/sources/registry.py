@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .registry_values import DEFAULT_RATE_LIMITS, FIELD_PATHS, GLOBAL, PLATFORMS
@@ -110,16 +110,21 @@ def ads_with_limits(ads: DataFrame) -> DataFrame:
 
 
 def field_coverage(items: DataFrame, platform: str) -> DataFrame:
-    """How many items of a source hold a value at each documented path, in one pass over the items."""
+    """How many items of a source hold a value at each documented path, each item parsed once."""
     paths = [
         (field, path) for field, listed in FIELD_PATHS.get(platform, {}).items() for path in listed
     ]
     if not paths:
         raise ValueError(f"no documented paths for {platform}")
-    counts = [
-        F.count_if(F.get_json_object("item", "$." + path.replace("videos.url", "videos[*].url")).isNotNull()).alias(f"n{i}")
-        for i, (_, path) in enumerate(paths)
-    ]
+    def has(path: str) -> Column:
+        """Items that cannot be parsed whole, and wildcards, are searched as text."""
+        path = "$." + path.replace("videos.url", "videos[*].url")
+        as_text = F.get_json_object("item", path).isNotNull()
+        parsed = F.try_variant_get("parsed", path, "string").isNotNull()
+        return as_text if "*" in path else F.when(F.col("parsed").isNull(), as_text).otherwise(parsed)
+
+    items = items.select("item", F.try_parse_json("item").alias("parsed"))
+    counts = [F.count_if(has(path)).alias(f"n{i}") for i, (_, path) in enumerate(paths)]
     rows = F.array(
         *[
             F.struct(F.lit(field).alias("field"), F.lit(path).alias("path"), F.col(f"n{i}").alias("items"))
