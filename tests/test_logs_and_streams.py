@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 import admosaic
 from admosaic.operators.fetchlog import FETCH_LOG
 from admosaic.operators.requests import REQUESTS
+from admosaic.plans import derived
 from admosaic.sources import registry
 from admosaic.sources.pages import RAW_PAGES, unreadable_pages
+from admosaic.streaming.ingest import ingest_pages_stream, stream_pages
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -275,3 +277,61 @@ def test_usage_of_several_accounts(spark):
     log = spark.createDataFrame([(datetime.datetime(2024, 1, 1), "meta", "e", 200, None, header, None)], FETCH_LOG)
     row = admosaic.usage_tier(log).first()
     assert (row.max_usage, row.wait_seconds) == (99.0, 90)
+
+
+def test_coverage_parses_items_once_and_counts_as_by_path(spark):
+    """Null, empty, nested and repeated values, items that are no JSON or cut short; each item is parsed by one expression."""
+    texts = [
+        '{"id":"1","page_id":2,"spend":{"lower_bound":"1"},"target_ages":[],"beneficiary_payers":{"payer":"a","beneficiary":null}}',
+        '{"id":null,"page_name":"","impressions":{},"beneficiary_payers":[{"payer":"a"}],"eu_total_reach":0}',
+        '{"id":"1","id":"2","spend":null}', '{"id":"1","page_id":"2', "no json", "", None, "[]", '{"media_type":false}',
+    ]
+    items = spark.createDataFrame([(t,) for t in texts], "item string")
+    found = registry.field_coverage(items, "meta")
+    for row in found.collect():
+        assert row["items"] == items.where(F.get_json_object("item", f"$.{row['path']}").isNotNull()).count(), row
+    assert "try_variant_get" in found._jdf.queryExecution().analyzed().toString()
+    tiktok = spark.createDataFrame([('{"ad":{"videos":[{"url":"u"}]}}',)], "item string")
+    assert sum(r["items"] for r in registry.field_coverage(tiktok, "tiktok").collect()) == 1
+
+
+def star(spark, folder, orders=60):
+    """Tables of a few orders, some lines and documents and one customer for each ten orders."""
+    k = F.col("id")
+    rows = spark.range(orders)
+    rows.selectExpr(
+        "id o_orderkey", "id DIV 10 o_custkey", "'O' o_orderstatus", "id * 900.0D o_totalprice",
+        "timestamp '1996-01-01 00:00:00' + make_dt_interval(id) o_orderdate", "'1-URGENT' o_orderpriority",
+    ).write.parquet(f"{folder}/orders.parquet")
+    rows.selectExpr("id c_custkey", "'n' || id c_name", "cast(id % 25 as int) c_nationkey", "1.0D c_acctbal", "'S' c_mktsegment").write.parquet(
+        f"{folder}/customer.parquet"
+    )
+    rows.where(k % 3 > 0).selectExpr(
+        "id l_orderkey", "id l_partkey", "id l_suppkey", "1 l_linenumber", "1.0D l_quantity", "1.0D l_extendedprice", "0.0D l_discount",
+        "0.0D l_tax", "'A' l_returnflag", "'O' l_linestatus", "timestamp '1996-09-01 00:00:00' l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    rows.where(k % 4 == 0).selectExpr("id doc_id", "'text ' || id text", "'en' lang", "'s' source", "id n_chars").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+
+
+def test_items_are_not_shuffled_into_pages(spark, tmp_path):
+    """Rows are spread by page while they are narrow; pages hold the items of all their orders."""
+    star(spark, str(tmp_path))
+    pages = derived.pages_of(spark, str(tmp_path), "x")
+    plan = pages._jdf.queryExecution().sparkPlan().toString() + pages._jdf.queryExecution().executedPlan().toString()
+    between = plan[plan.rindex("[collect_list") : plan.rindex("partial_collect_list")]
+    assert "Exchange" not in between
+    rows = {r["page_no"]: json.loads(r["body"])["data"] for r in pages.collect()}
+    assert {n: len(items) for n, items in rows.items()} == {0: 25, 1: 25, 2: 10}
+    assert sorted(int(i["tweet_id"]) for items in rows.values() for i in items) == list(range(60))
+    assert sum(i["tweet_text"].startswith("text ") for items in rows.values() for i in items) == 15
+
+
+def test_streams_and_steps_are_written_small(spark, tmp_path):
+    star(spark, str(tmp_path / "in"))
+    landing, out, state = (str(tmp_path / name) for name in ("landing", "ads", "state"))
+    derived.pages_of(spark, str(tmp_path / "in"), "x").write.parquet(landing)
+    ingest_pages_stream(stream_pages(spark, landing, "parquet"), out, state, platforms=["x"]).awaitTermination()
+    assert spark.read.parquet(out).count() == 60
+    assert list((tmp_path / "ads").rglob("*.zstd.parquet")) and not list((tmp_path / "ads").rglob("*.snappy.parquet"))
