@@ -18,6 +18,7 @@ per copy, and no pair between different sets is lost for their components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,11 @@ QUERIES_A_TASK = 1024
 #: Sets that agree on a part are compared if they are at most so many; more are joined without, which loses nothing.
 MEETING = 1024
 FEW = 16
-#: Rows of a few numbers each that a join may broadcast (some 40 MB), and signatures with their two numbers (100 MB).
+#: A set's signatures are dealt to lists by so many first bits, and one list is counted and joined after the other.
+SLICE_BITS = 2
+#: Rows of a few numbers each that a join may broadcast (some 40 MB), and signatures of one list with their two numbers.
 BROADCAST_ROWS = 1_000_000
-BROADCAST_SIGNATURES = 4_000_000
+BROADCAST_SIGNATURES = 1_000_000
 ORDERS = 3
 _COLUMNS = 4096
 
@@ -142,18 +145,22 @@ def _sets_of(width: int, percent: int):
                         pa.array(ids[:, 1].view(np.int64)),
                         *[column for k in range(2) for column in _scheme([x[k] if len(x) > k else None for x in schemes])],
                     ],
-                    ["row", "id", "t1", "t2", "n", "s1", "s2", *[f"{c}{k}" for k in range(2) for c in ("size", "sigs", "bytes")]],
+                    ["row", "id", "t1", "t2", "n", "s1", "s2", *[f"{c}{k}" for k in range(2) for c in ("size", "bytes", *_SLICES)]],
                 )
 
     return run
 
 
+_SLICES = [f"sigs{j}_" for j in range(1 << SLICE_BITS)]
+
+
 def _scheme(column: list) -> list[pa.Array]:
     none = np.empty(0, np.uint64)
+    sigs = [none if x is None else x[1] for x in column]
     return [
         pa.array([x and x[0] for x in column], pa.int64()),
-        _lists([none if x is None else x[1] for x in column]),
         pa.array([x and x[2] for x in column], pa.binary()),
+        *[_lists([s[s >> np.uint64(64 - SLICE_BITS) == j] for s in sigs]) for j in range(len(_SLICES))],
     ]
 
 
@@ -220,6 +227,16 @@ def _close_sets(percent: int):
     return run
 
 
+def _meeting(sets: DataFrame, name: str) -> DataFrame:
+    """Signatures of one list that several sets have, with each of these, the smallest and the number of rows. What is
+    one set's own size class is another's next one, so both are counted together."""
+    schemes = F.array(*[F.struct(F.col(f"size{k}").alias("size"), F.col(f"{name}{k}").alias("sigs")) for k in range(2)])
+    parts = sets.select("s1", F.explode(schemes).alias("x")).select("s1", "x.size", F.explode("x.sigs").alias("sig"))
+    met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most"), F.count("*").alias("sets"))
+    met = stored(met.where("least < most").select("sig", "least", "sets"), "met")
+    return stored(parts.join(sized(met, BROADCAST_SIGNATURES), "sig").distinct(), "meeting")
+
+
 def _tokens_of(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         threshold = Threshold(percent)
@@ -423,7 +440,7 @@ def similar_components(
     sets = stored(
         numbered.mapInArrow(
             _sets_of(width, percent), f"row long, id {kind}, t1 long, t2 long, n long, s1 long, s2 long, "
-            + ", ".join(f"size{k} long, sigs{k} array<long>, bytes{k} binary" for k in range(2)),
+            + ", ".join(f"size{k} long, bytes{k} binary, " + ", ".join(f"{c}{k} array<long>" for c in _SLICES) for k in range(2)),
         ),
         "sets",
     )
@@ -432,12 +449,9 @@ def similar_components(
     nodes = sets.where("n > 0").groupBy(*same).agg(first.alias("of"))
     nodes = stored(nodes.select(*same, F.col("of.row").alias("node"), "of.id", "of.t1", "of.t2"), "nodes")
 
-    schemes = F.array(*[F.struct(F.col(f"size{k}").alias("size"), F.col(f"sigs{k}").alias("sigs"), F.col(f"bytes{k}").alias("bytes")) for k in range(2)])
-    parts = sets.select("s1", F.explode(schemes).alias("x")).select("s1", "x.size", F.explode("x.sigs").alias("sig"))
-    met = parts.groupBy("sig").agg(F.min("s1").alias("least"), F.max("s1").alias("most"), F.count("*").alias("sets"))
-    met = stored(met.where("least < most").select("sig", "least", "sets"), "met")
-    meeting = stored(parts.join(sized(met, BROADCAST_SIGNATURES), "sig").distinct(), "meeting")
+    meeting = reduce(DataFrame.unionByName, [_meeting(sets, c) for c in _SLICES])
     stars = meeting.where(F.col("sets") > MEETING).where("s1 <> least").select(F.col("s1").alias("a"), F.col("least").alias("b"))
+    schemes = F.array(*[F.struct(F.col(f"size{k}").alias("size"), F.col(f"bytes{k}").alias("bytes")) for k in range(2)])
     told = sets.select("s1", "n", F.explode(schemes).alias("x")).select("s1", "n", "x.size", "x.bytes").where("size IS NOT NULL")
     told = told.join(meeting.select("s1", "size").distinct(), ["s1", "size"], "left_semi").dropDuplicates(["s1", "size"])
     small = meeting.where(F.col("sets") <= MEETING).select("sig", "s1", "size").join(told, ["s1", "size"])

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 
 CHUNK = 1 << 21
+#: For sets, whose work takes some 50 bytes of memory for each byte of a chunk.
+SET_CHUNK = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -43,10 +45,10 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[list[bytes]]:
     chunk, size = [], 0
     for text in texts:
-        if chunk and size + len(text) > CHUNK:
+        if chunk and size + len(text) > most:
             yield chunk
             chunk, size = [], 0
         chunk.append(text)
@@ -57,7 +59,7 @@ def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     """For each text the sorted hashes of its distinct runs of width words; with fewer words, of the whole sequence."""
-    for chunk in chunks(texts):
+    for chunk in chunks(texts, SET_CHUNK):
         begins = np.cumsum([0] + [len(t) + 1 for t in chunk])
         starts, _, words = word_hashes(np.frombuffer(b"\n".join(chunk), np.uint8))
         first = np.searchsorted(starts, begins)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from admosaic.llm import jaccard
 from admosaic.llm.components import components
+from admosaic.llm.shingles import shingle_sets
 
 from .cases import documents, spaced, texts, words
 
@@ -105,3 +109,33 @@ def test_components_of_chains_and_stars(spark):
     assert {roots[k] for k in range(100, 161)} == {100} and {roots[k] for k in range(200, 260)} == {7}
     assert [roots[k] for k in (1, 2, 3)] == [1, 1, 1] and 5 not in roots
     assert components(spark.createDataFrame([], "a long, b long")).where(F.lit(True)).count() == 0
+
+
+def test_sets_of_many_texts_take_little_memory():
+    rng = random.Random(4)
+    many = [" ".join(words(rng, 600, 1 << 20)).encode() for _ in range(700)]
+    assert sum(map(len, many)) > 1 << 21
+    tracemalloc.start()
+    sizes = [len(s) for s in shingle_sets(many, 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(sizes) == len(many) and peak < 32 << 20
+
+
+def test_signatures_are_dealt_to_lists():
+    rng = random.Random(5)
+    many = [" ".join(words(rng, n, 1 << 20)) for n in (0, 3, 30, 300, 900)]
+    none = pa.array([0] * len(many), pa.int64())
+    batch = pa.RecordBatch.from_arrays([none, none, none, none, pa.array(many)], ["row", "id", "t1", "t2", "text"])
+    (out,) = jaccard._sets_of(5, 80)(iter([batch]))
+    dealt = [[out.column(f"{c}{k}").to_pylist() for k in range(2)] for c in jaccard._SLICES]
+    for row, s in enumerate(shingle_sets([t.encode() for t in many], 5)):
+        schemes = jaccard.signatures(s, jaccard.Threshold(80))
+        for k in range(2):
+            want = schemes[k][1].view(np.int64).tolist() if k < len(schemes) else []
+            assert sorted(x for d in dealt for x in d[k][row]) == sorted(want)
+    total = sum(len(x) for d in dealt for k in d for x in k)
+    for d in dealt:
+        assert 0 < sum(len(x) for k in d for x in k) < total // 2
+    seen = [{x for k in d for r in k for x in r} for d in dealt]
+    assert len(set.union(*seen)) == sum(map(len, seen))
