@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mix, shingle_sets
-from .textops import free_names, process_cache, sized, stored
+from .textops import drop_caches, free_names, process_cache, sized, stored
 
 GROUP = 512
 #: Token places that a group holds at most, unless one set alone has more.
@@ -130,6 +130,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 def _sets_of(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches("part-counts")
         threshold = Threshold(percent)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -176,6 +177,7 @@ def _close_sets(percent: int):
     one gives a link from each set to the smallest it reaches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches("part-counts")
         apart = 100 - percent
 
         def close(table: pa.Table) -> pa.RecordBatch:
@@ -239,6 +241,7 @@ def _meeting(sets: DataFrame, name: str) -> DataFrame:
 
 def _tokens_of(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches("part-counts")
         threshold = Threshold(percent)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from admosaic.llm import jaccard
 from admosaic.llm.components import components
 from admosaic.llm.shingles import shingle_sets
+from admosaic.llm.textops import process_cache
 
 from .cases import documents, spaced, texts, words
 
@@ -139,3 +140,10 @@ def test_signatures_are_dealt_to_lists():
         assert 0 < sum(len(x) for k in d for x in k) < total // 2
     seen = [{x for k in d for r in k for x in r} for d in dealt]
     assert len(set.union(*seen)) == sum(map(len, seen))
+
+
+def test_other_steps_caches_are_freed():
+    process_cache("byte-bpe")["file"] = "encoder"
+    process_cache("part-counts")[0] = 1
+    assert list(jaccard._sets_of(5, 80)(iter([]))) == []
+    assert process_cache("byte-bpe") == {} and process_cache("part-counts").pop(0) == 1
