@@ -4,24 +4,25 @@ probability is the product of class transitions and of word emissions from the c
 Every word that occurs EXCHANGE_COUNT times or more is exchanged between CLASSES classes, at every size of input; rarer
 and unknown words have the class of their form (length, and whether it ends in a letter). Texts are turned once into
 numbers of their words, in a table. What a turn needs of a word, how often each class stands before and after it, is
-counted from that table with the classes of the moment, so pairs of words are never gathered. Tasks look numbers and
-classes up in slices of SLICE_WORDS words; where there are more words, the slices are gone through one after another,
-with the same result. Counts of words, classes and transitions are of all training texts. Unknown words share one extra
-place in the class of their form.
+counted from that table with the classes of the moment, so pairs of words are never gathered; a task hands over one row
+for each word, with all its counts. Tasks look numbers and classes up in slices of SLICE_WORDS words; where there are more words, the slices are
+gone through one after another, with the same result. Counts of words, classes and transitions are of all training
+texts. Unknown words share one extra place in the class of their form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shingles import chunks, word_hashes
+from .shingles import SET_CHUNK, chunks, word_hashes
 from .textops import stored
 
 EXCHANGE_COUNT = 10
@@ -33,7 +34,11 @@ TASK_WORDS = 512
 #: Words that a task, and the driver, look up at once: 16 bytes each for numbers, one byte each for classes.
 SLICE_WORDS = 2_000_000
 #: Tokens, rows and counters that a task works on at once.
-PIECE, ROWS, HELD_CELLS = 1 << 20, 512, 1 << 21
+PIECE, ROWS, HELD_CELLS = 1 << 20, 512, 1 << 20
+#: Counted words that a task holds before it hands them over, and rows that it hands over at once.
+HELD_WORDS, OUT_ROWS = 1 << 20, 1 << 16
+#: Spark's setting for the rows that a Python task gets at once.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Weight of a class's own frequency in a transition.
 TRANSITION_WEIGHT = 10.0
 FORMS = 16
@@ -55,7 +60,7 @@ def forms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def token_runs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For chunks of texts: hashes and forms of all tokens, each text's words and then an end, and where texts begin."""
-    for chunk in chunks(texts):
+    for chunk in chunks(texts, SET_CHUNK):
         begins = np.cumsum([0] + [len(t) + 1 for t in chunk])
         data = np.frombuffer(b"\n".join(chunk), np.uint8)
         starts, ends, words = word_hashes(data)
@@ -69,15 +74,50 @@ def _bytes(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python tasks get ROWS rows at once meanwhile, so that neither they nor Spark hold much text outside its heap."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, the sum of n for each, and a place where each stands."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n[order], first), order[first]
+
+
 def _word_counts(batches: Batches) -> Batches:
+    """How often each word stands in the texts of a task; handed over early only beyond HELD_WORDS."""
+
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        words, n, place = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts]))
+        return words, np.concatenate([p[1] for p in parts])[place], n
+
+    def rows(*found: np.ndarray) -> Batches:
+        for at in range(0, len(found[0]), OUT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + OUT_ROWS]) for c in found], ["word", "form", "n"])
+
+    parts, size = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            runs = list(token_runs(_bytes(batch.slice(at, 4096))))
-            if not runs:
-                continue
-            words, first, n = np.unique(np.concatenate([r[0] for r in runs]), return_index=True, return_counts=True)
-            kinds = np.concatenate([r[1] for r in runs])[first]
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(kinds), pa.array(n)], ["word", "form", "n"])
+        for tokens, kinds, _ in token_runs(_bytes(batch)):
+            words, first, n = np.unique(tokens.view(np.int64), return_index=True, return_counts=True)
+            parts.append((words, kinds[first], n))
+            size += len(words)
+            if size > HELD_WORDS:
+                parts = [merged(parts)]
+                size = len(parts[0][0])
+                if size > HELD_WORDS // 2:
+                    yield from rows(*parts[0])
+                    parts, size = [], 0
+    if parts:
+        yield from rows(*merged(parts))
 
 
 @dataclass
@@ -249,14 +289,13 @@ def _neighbours(turn: int):
     a whole task; handed over early only beyond HELD_CELLS counters."""
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(place, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+        return _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))[:2]
 
     def rows(keys: np.ndarray, n: np.ndarray) -> Batches:
-        for at in range(0, len(keys), 65_536):
-            word, cell = np.divmod(keys[at : at + 65_536], 2 * EVERY)
+        for at in range(0, len(keys), OUT_ROWS):
+            word, cell = np.divmod(keys[at : at + OUT_ROWS], 2 * EVERY)
             item, home = np.divmod(word, CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (item, home, cell, n[at : at + 65_536])], ["item", "home", "cell", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (item, home, cell, n[at : at + OUT_ROWS])], ["item", "home", "cell", "n"])
 
     def run(batches: Batches) -> Batches:
         parts, size = [], 0
@@ -280,6 +319,16 @@ def _neighbours(turn: int):
     return run
 
 
+def _by_word(batches: Batches) -> Batches:
+    """The rows of _neighbours, in which a word's stand together, as one row a word with the lists of its cells and n."""
+    for batch in batches:
+        item, home, cell, n = (c.to_numpy() for c in batch.columns)
+        first = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+        cuts = np.append(first, len(item))
+        columns = [pa.array(item[first]), pa.array(home[first]), _lists(cuts, cell.astype(np.int16)), _lists(cuts, n)]
+        yield pa.RecordBatch.from_arrays(columns, ["item", "home", "cells", "n"])
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -287,8 +336,9 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
 def _exchange(joint: np.ndarray):
     """Moves words, each to the class that makes the text's class pairs most likely, one by one within a task.
 
-    Rows are (item, home, around): around has (cell, n), how often each class follows or precedes, as in _neighbours.
-    A last row without an item has what the task's moves change in the class pairs.
+    Rows are (item, home, around): around has (cells, n) of each task that met the word, how often each class follows or
+    precedes, as in _by_word; a cell's numbers add up. A last row without an item has what the task's moves change in the
+    class pairs.
     """
 
     def run(batches: Batches) -> Batches:
@@ -304,8 +354,9 @@ def _exchange(joint: np.ndarray):
 
         for batch in batches:
             homes, lists = batch.column("home").to_numpy(), batch.column("around")
-            cuts, parts = lists.offsets.to_numpy(), lists.values
-            cell, n = (parts.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            cells_met, times = (lists.values.field(k) for k in range(2))
+            cuts = cells_met.offsets.to_numpy()[lists.offsets.to_numpy()]
+            cell, n = (c.values.to_numpy(zero_copy_only=False) for c in (cells_met, times))
             moved = np.empty(len(homes), np.int64)
             for k, (home, a, b) in enumerate(zip(homes.tolist(), cuts[:-1], cuts[1:], strict=True)):
                 around = np.bincount(cell[a:b], n[a:b], 2 * EVERY)
@@ -374,9 +425,9 @@ def train(tokens: DataFrame, counts: DataFrame) -> Model:
     joint = class_pairs(now)
     tasks = max(1, -(-n_words // (TURNS * TASK_WORDS)))
     for turn in range(ROUNDS * TURNS if n_words else 0):
-        met = with_classes(tokens, now, n_words, _neighbours(turn % TURNS), "item long, home long, cell long, n long")
-        around = met.repartition(tasks, "item").groupBy("item", "cell").agg(F.min("home").alias("home"), F.sum("n").alias("n"))
-        around = around.groupBy("item").agg(F.min("home").alias("home"), F.collect_list(F.struct("cell", "n")).alias("around"))
+        count = _neighbours(turn % TURNS)
+        met = with_classes(tokens, now, n_words, lambda batches, count=count: _by_word(count(batches)), "item long, home long, cells array<short>, n array<long>")
+        around = met.repartition(tasks, "item").groupBy("item").agg(F.min("home").alias("home"), F.collect_list(F.struct("cells", "n")).alias("around"))
         dealt = around.sortWithinPartitions("item")
         moved = stored(dealt.mapInArrow(_exchange(joint), "item long, moved long, change array<double>"), "moves")
         now = now.join(moved.where("item IS NOT NULL"), "item", "left").select("item", F.coalesce("moved", "class").alias("class"))
@@ -441,11 +492,12 @@ def perplexities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")
     )
-    counts = stored(word_counts(rows.where(~F.col("held_out"))), "counts")
-    tokens = numbered(rows, counts)
-    model = train(tokens.where(~F.col("held_out")), counts)
-    schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, counted double, steps double, words array<long>, times array<long>"
-    local = stored(with_classes(tokens.drop("classes"), model.now, model.n_words, _scored(model.steps), schema), "scores")
+    with small_batches(docs.sparkSession):
+        counts = stored(word_counts(rows.where(~F.col("held_out"))), "counts")
+        tokens = numbered(rows, counts)
+        model = train(tokens.where(~F.col("held_out")), counts)
+        schema = f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, counted double, steps double, words array<long>, times array<long>"
+        local = stored(with_classes(tokens.drop("classes"), model.now, model.n_words, _scored(model.steps), schema), "scores")
     rare = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     few = counts.where((F.col("n") < EXCHANGE_COUNT) & (F.col("word") != END_WORD)).select("word", "n")
     more = rare.join(few, "word").groupBy("row").agg(

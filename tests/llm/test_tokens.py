@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -210,6 +211,70 @@ def test_classes_do_not_depend_on_slices(spark, monkeypatch):
     assert scores[0] == scores[1]
 
 
+def test_tasks_hold_little_of_the_texts(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 300) % 50_000) for _ in range(4_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None, ""])], ["text"])
+    want = Counter(w for t in texts for w in t.split())
+    tracemalloc.start()
+    try:
+        got = Counter()
+        for part in brown._word_counts(iter([batch])):
+            for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist(), strict=True):
+                got[word] += n
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == {hash_of(w): n for w, n in want.items()} | {brown.END_WORD: len(texts) + 2}
+    assert peak < 60e6  # 111e6 when all texts of a batch were counted at once, 21e6 since
+    before = spark.conf.get(brown.BATCH_ROWS)
+    with pytest.raises(ZeroDivisionError), brown.small_batches(spark):
+        sizes = spark.range(5_000, numPartitions=1).mapInArrow(lambda batches: (b for b in batches if b.num_rows > brown.ROWS), "id long")
+        assert sizes.count() == 0
+        raise ZeroDivisionError
+    assert spark.conf.get(brown.BATCH_ROWS) == before
+
+
+def test_words_counted_early_are_counted_whole(monkeypatch):
+    texts = [" ".join(f"w{(k * j) % 700}" for j in range(300)) for k in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 20])], ["text"]) for at in range(0, 60, 20)]
+    want = Counter({hash_of(w): n for w, n in Counter(w for t in texts for w in t.split()).items()}) + Counter({brown.END_WORD: 60})
+    for most in (brown.HELD_WORDS, 100):
+        monkeypatch.setattr(brown, "HELD_WORDS", most)
+        got, forms = Counter(), {}
+        for part in brown._word_counts(iter(batches)):
+            for r in part.to_pylist():
+                got[r["word"]] += r["n"]
+                assert forms.setdefault(r["word"], r["form"]) == r["form"]
+        assert got == want
+        assert forms[hash_of("w7")] == int(next(brown.token_runs([b"w7"]))[1][0]) and forms[brown.END_WORD] == -1
+
+
+def test_a_task_hands_over_one_row_a_word():
+    rng = np.random.default_rng(7)
+    codes = np.append(rng.integers(-3, 40, 5_000), brown.END_CODE)
+    classes = np.where(codes < 0, brown.CLASSES - 1 - codes, codes % 5).astype(np.int8)
+    cuts = np.array([0, len(codes)])
+    batch = pa.RecordBatch.from_arrays([brown._lists(cuts, codes.astype(np.int32)), brown._lists(cuts, classes)], ["codes", "classes"])
+    want = {(r["item"], r["home"], r["cell"]): r["n"] for part in brown._neighbours(1)(iter([batch])) for r in part.to_pylist()}
+    rows = [r for part in brown._by_word(brown._neighbours(1)(iter([batch]))) for r in part.to_pylist()]
+    assert [r["item"] for r in rows] == sorted({item for item, _, _ in want})
+    assert len(want) > 5 * len(rows)
+    assert {(r["item"], r["home"], c): n for r in rows for c, n in zip(r["cells"], r["n"], strict=True)} == want
+    # A word met by two tasks moves as one whose numbers were added up before.
+    joint = np.random.default_rng(9).integers(0, 500, (brown.EVERY, brown.EVERY)).astype(float)
+    kind = pa.list_(pa.struct([("cells", pa.list_(pa.int16())), ("n", pa.list_(pa.int64()))]))
+
+    def moves(arounds):
+        arrays = [pa.array([r[k] for r in rows]) for k in ("item", "home")]
+        given = pa.RecordBatch.from_arrays([*arrays, pa.array(arounds, kind)], ["item", "home", "around"])
+        return [r for part in brown._exchange(joint)(iter([given])) for r in part.to_pylist()]
+
+    twice = moves([[{"cells": r["cells"], "n": r["n"]}] * 2 for r in rows])
+    assert twice == moves([[{"cells": r["cells"], "n": [2 * n for n in r["n"]]}] for r in rows])
+    assert twice[-1]["item"] is None and any(r["moved"] != w["home"] for r, w in zip(twice, rows, strict=False))
+
+
 def test_neighbours_are_counted_whole_when_handed_over_early(monkeypatch):
     rng = np.random.default_rng(6)
     codes = np.append(rng.integers(-3, 40, 500), brown.END_CODE)
