@@ -134,7 +134,8 @@ def page_chains(pages: DataFrame) -> DataFrame:
     starts = once.groupBy("at").agg(F.min("page_no").alias("first"))
     to = F.struct("request", c("next_position").alias("position"))
     named = once.where("next_position IS NOT NULL").select(*page, to.alias("to"))
-    found = named.join(starts.select(c("at").alias("to"), "first"), "to").select(*page, "first")
+    # As many rows as pages, of which the plan only sees how small the files are.
+    found = named.join(starts.select(c("at").alias("to"), "first"), "to").select(*page, "first").hint("merge")
     # The page numbered next, if it is there: told by itself, so that no request is gathered.
     told = once.select("request", (c("page_no") - 1).alias("page_no"), F.struct("position").alias("after"))
     placed = once.join(told, page, "left").join(found, page, "left").join(starts.select("at", c("first").alias("same")), "at")

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows up to which a stored table may be broadcast.
+BROADCAST_ROWS = 100_000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``.
 
@@ -25,11 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(table: DataFrame, name: str) -> DataFrame:
-    """The rows of a table, written once, so that later steps read them and a lost executor costs no more than a read."""
+    """The rows of a table, written once, so that later steps read them and a lost executor costs no more than a read.
+
+    A join goes by the size of files, which says little of what their rows take in memory: millions of them may be in a few
+    MB. So a table of more than `BROADCAST_ROWS` rows is marked to be joined by sorting and is never gathered by the driver.
+    """
     spark = table.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     table.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    rows = spark.read.schema(table.schema).parquet(path)
+    return rows if rows.count() <= BROADCAST_ROWS else rows.hint("merge")
 
 
 def few(table: DataFrame, most: int) -> bool:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import admosaic
+from admosaic.operators import storage
 from admosaic.operators.fetchlog import FETCH_LOG
 from admosaic.operators.requests import REQUESTS
 from admosaic.plans import derived
@@ -74,6 +75,24 @@ def test_chains_of_positions(spark):
     assert admosaic.page_chains(table.limit(0)).collect() == []
 
 
+def test_long_tables_in_small_files_are_not_broadcast(spark, monkeypatch):
+    """Rows that take a few bytes each in files take a hundred times that in a broadcast."""
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 1000)
+    k = F.col("id")
+    pages = spark.range(3000).select(
+        F.lit("x").alias("platform"), (k / 3).cast("int").cast("string").alias("request_id"), (k % 3).cast("int").alias("page_no"),
+        F.when(k % 3 > 0, (k % 3).cast("string")).alias("position"), (k % 3 + 1).cast("string").alias("next_position"),
+    )
+    chains = admosaic.page_chains(pages)
+    assert "Broadcast" not in chains._jdf.queryExecution().sparkPlan().toString()
+    assert {(r.page_no, r.state, r.steps, r.n) for r in chains.groupBy("page_no", "state", "steps").agg(F.count("*").alias("n")).collect()} == {
+        (0, "followed", 2, 1000), (1, "followed", 1, 1000), (2, "missing_next", 0, 1000),
+    }
+    long, short = (storage.stored(spark.range(n), "rows") for n in (1001, 1000))
+    assert "SortMergeJoin" in long.join(long.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in short.join(short.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_pages_of_every_source_are_counted(spark):
     bodies = [('{"paging": {"next": "n"}}', 0), ('{"pagination": {"next_token": 5}}', 1), ("oops", 2), (None, 3), ('{"paging": "x"}', 4)]
     rows = [(p, "search_ads", "r", k, AT, body) for p in ("google", "new", None) for body, k in bodies]
