@@ -13,7 +13,7 @@ from admosaic.operators.requests import REQUESTS
 from admosaic.plans import derived
 from admosaic.sources import registry
 from admosaic.sources.pages import RAW_PAGES, unreadable_pages
-from admosaic.streaming.ingest import ingest_pages_stream, stream_pages
+from admosaic.streaming.ingest import PAGES_AT_ONCE, ingest_pages_stream, stream_pages
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -108,6 +108,18 @@ def test_pages_of_every_source_are_counted(spark):
     assert admosaic.normalize_ads(pages, platforms=["new", "x"]).count() == 3
 
 
+def test_streams_read_few_pages_at_once(spark, tmp_path):
+    """The size of a reader's batch is a number of rows, 4,096 by default; long pages need a smaller one, the session does not."""
+    key, pages = "spark.sql.parquet.columnarReaderBatchSize", spark.createDataFrame([x_page("long", 0, 3)], RAW_PAGES)
+    pages.write.parquet(str(tmp_path / "pages"))
+    before, stream = spark.conf.get(key), stream_pages(spark, str(tmp_path / "pages"), "parquet")
+    assert int(stream.sparkSession.conf.get(key)) == PAGES_AT_ONCE < int(before) == int(spark.conf.get(key))
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        assert stream.sparkSession.conf.get(name) == spark.conf.get(name)
+    ingest_pages_stream(stream, str(tmp_path / "ads"), str(tmp_path / "state"), ["x"]).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "ads")).count() == 3
+
+
 def test_usage_and_errors(spark):
     rows = [
         (AT, "meta", "e", 200, None, '{"call_count": 96, "total_cputime": 1, "total_time": 2}', "{}"),
