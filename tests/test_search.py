@@ -4,6 +4,8 @@ import datetime
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -350,3 +352,54 @@ def test_latest_copy_wins(spark):
     latest = admosaic.latest_ads(admosaic.conform_ads(rows)).collect()
     assert len(latest) == 51
     assert {r.ad_id: r.fetched_at for r in latest}["hot"] == datetime.datetime(1970, 1, 1, 0, 14, 57)
+
+
+def test_requests_of_a_condition_are_answered_in_one_pass_over_its_days():
+    """Counts, lowest days and bins as one look at every count for every request gives them."""
+    pick = np.random.default_rng(7)
+    for span, size in [(4, 0), (4, 30), (60, 300), (900, 300)]:
+        days = {(int(a), int(b)) for a, b in pick.integers(-span, span, (size, 2))}
+        days |= {(matching.NEVER, 1), (2, matching.RUNNING), (matching.NEVER, matching.RUNNING)} if size else set()
+        cells = [(a, b, int(n)) for (a, b), n in zip(sorted(days), pick.integers(1, 30, len(days)), strict=True)]
+        asked = [tuple(None if pick.random() < 0.4 else int(v) for v in pick.integers(-span, span, 4)) for _ in range(60)]
+        wanted = [None if pick.random() < 0.2 else int(v) for v in pick.integers(0, 400, 60)]
+        ints, longs = pa.int32(), pa.int64()
+        requests = {"_request": pa.array(range(60), longs), "_condition": pa.array([1] * 60, longs), "wanted": pa.array(wanted, longs)}
+        requests |= {name: pa.array(values, ints) for name, values in zip(matching.DAYS, zip(*asked, strict=True), strict=True)}
+        columns = [pa.array(values, kind) for values, kind in zip(zip(*cells, strict=True) if cells else ([], [], []), (ints, ints, longs), strict=True)]
+        got = matching._answer(pa.table(requests), pa.table(columns, names=["first_day", "last_day", "ads"])).to_pylist()
+        for answer, (low, high, last_low, last_high), most in zip(got, asked, wanted, strict=True):
+            fits = sorted((-a, n) for a, b, n in cells if (low is None and high is None or a != matching.NEVER)
+                          and (low is None or a >= low) and (high is None or a <= high)
+                          and (last_low is None or b >= last_low) and (last_high is None or b <= last_high))
+            assert answer["n"] == sum(n for _, n in fits)
+            if fits and most:
+                first = [-a for k, (a, _) in enumerate(fits) if sum(n for _, n in fits[:k]) < most]
+                assert answer["lowest"] == min(first)
+                assert answer["bins"] == sorted(set(first if answer["fine"] else [a // matching.NARROW_DAYS for a in first]))
+
+
+def test_only_tokens_that_requests_ask_for_are_indexed(spark, monkeypatch):
+    """Requests with dates only leave one token an ad, and many tokens of a kind are joined, with the same pairs."""
+    k = F.col("id")
+    ads = spark.range(300).select(
+        k.cast("string").alias("ad_id"), F.lit("x").alias("platform"), (k % 50).cast("string").alias("advertiser_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (k % 90).cast("int")).cast("timestamp").alias("first_seen"),
+    ).select(*ads_columns({name: F.col(name) for name in ("ad_id", "platform", "advertiser_id", "first_seen")}))
+    rows = [(f"r{i}", "x", [str(i)] if i % 2 else None, f"2024-0{i % 3 + 1}-01") for i in range(40)]
+    asked = spark.createDataFrame(rows, "request_id string, platform string, advertisers array<string>, date_to string")
+    others = [F.lit(None).cast(field.dataType).alias(field.name) for field in spark.createDataFrame([], REQUESTS).schema if field.name not in asked.columns]
+    asked = asked.select("*", *others)
+    counted = []
+    real = matching.held_tokens
+    monkeypatch.setattr(matching, "held_tokens", lambda *a: counted.append(real(*a)) or counted[-1])
+    dates = {r.request_id: r.n for r in search.match_counts(ads, asked.withColumn("advertisers", F.lit(None).cast("array<string>"))).collect()}
+    assert counted[-1].count() == 300
+    one = {r.request_id: r.n for r in search.match_counts(ads, asked).collect()}
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 5)
+    assert {r.request_id: r.n for r in search.match_counts(ads, asked).collect()} == one
+    starts = [i % 90 for i in range(300)]
+    upto = {i: [0, 31, 60][i % 3] for i in range(40)}
+    assert dates == {f"r{i}": sum(s <= upto[i] for s in starts) for i in range(40)}
+    wanted = {f"r{i}": sum(s <= upto[i] and (i % 2 == 0 or k % 50 == i) for k, s in enumerate(starts)) for i in range(40)}
+    assert one == {name: n for name, n in wanted.items() if n}
