@@ -368,6 +368,8 @@ def test_requests_of_a_condition_are_answered_in_one_pass_over_its_days():
         requests |= {name: pa.array(values, ints) for name, values in zip(matching.DAYS, zip(*asked, strict=True), strict=True)}
         columns = [pa.array(values, kind) for values, kind in zip(zip(*cells, strict=True) if cells else ([], [], []), (ints, ints, longs), strict=True)]
         got = matching._answer(pa.table(requests), pa.table(columns, names=["first_day", "last_day", "ads"])).to_pylist()
+        none = pa.table(requests).slice(0, 0), pa.table(columns, names=["first_day", "last_day", "ads"])
+        assert matching._answer(*none).num_rows == 0
         for answer, (low, high, last_low, last_high), most in zip(got, asked, wanted, strict=True):
             fits = sorted((-a, n) for a, b, n in cells if (low is None and high is None or a != matching.NEVER)
                           and (low is None or a >= low) and (high is None or a <= high)
